@@ -119,7 +119,12 @@ def _drive(gen, names):
             frame = next(gen)
         except StopIteration as done:
             return done.value
-        yield frame if list(frame.columns) == names else frame.reindex(columns=names)
+        if list(frame.columns) != names:
+            frame = frame.assign(**{
+                n: pd.Series([None] * len(frame), index=frame.index, dtype=object)
+                for n in names if n not in frame.columns
+            })[names]
+        yield frame
 
 
 # -- folds -------------------------------------------------------------------------------------
