@@ -110,7 +110,7 @@ def _stream_stream_streaming(left, right, f, interval, how, emit, retention) ->
     if emit == "eager":
         raise ValueError("eager emission on streams: tideway.streaming.eager_left_join")
     keep = f"{max(interval_ms(retention or (1, 'days')), interval_ms(interval))} milliseconds"
-    reach = F.expr(f"make_dt_interval(0, 0, 0, {interval_us(interval)} / 1000000D)")
+    reach = F.expr(f"INTERVAL {interval_ms(interval)} MILLISECONDS")
 
     def side(df, tag):
         kept = [c for c in df.columns if c not in ("key", "timestamp")]

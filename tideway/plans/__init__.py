@@ -1,4 +1,4 @@
 from tideway.plans.registry import ORACLES, QUERIES
-from tideway.plans import stream_queries, table_queries, topic_queries  # noqa: F401  (registers the queries)
+from tideway.plans import stream_queries, table_queries, topic_queries, live_queries  # noqa: F401  (registers the queries)
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -27,6 +27,9 @@ def tune(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME_CONF.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
+    # one machine with Spark's default of 200: every stateful stream would open 200 state stores
+    if spark.sparkContext.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 

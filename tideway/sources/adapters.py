@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideway.operators.stream import Stream
 from tideway.operators.table import Table
 from tideway.record import as_records
+from tideway.session import fresh_path
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,13 +28,16 @@ def events(spark: SparkSession, sf_dir: str) -> Stream:
     return Stream(event_records(raw(spark, sf_dir, "events")))
 
 
-def orders(spark: SparkSession, sf_dir: str) -> Table:
-    """`orders` as a table keyed by customer; updates arrive by order date, then order key."""
-    df = raw(spark, sf_dir, "orders")
-    return Table(as_records(
+def order_records(df: DataFrame) -> DataFrame:
+    return as_records(
         df, topic="orders", offset=F.col("o_orderkey"), timestamp=F.col("o_orderdate"), key=F.col("o_custkey"),
         value=F.struct("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"),
-    ), order=["timestamp", "offset"])
+    )
+
+
+def orders(spark: SparkSession, sf_dir: str) -> Table:
+    """`orders` as a table keyed by customer; updates arrive by order date, then order key."""
+    return Table(order_records(raw(spark, sf_dir, "orders")), order=["timestamp", "offset"])
 
 
 def customers(spark: SparkSession, sf_dir: str) -> Stream:
@@ -66,3 +70,37 @@ def documents(spark: SparkSession, sf_dir: str) -> Stream:
 def cents(c: Column) -> Column:
     """Money as whole cents, so that sums do not depend on the order of addition."""
     return F.round(c * 100).cast("bigint")
+
+
+CLOSING_KEY = -1  # key of the records that only move event time on
+
+
+def streamed(spark: SparkSession, sf_dir: str, name: str, closing: DataFrame | None = None) -> DataFrame:
+    """A test table as an endless frame, followed by `closing` rows (same columns) if given."""
+    def read(path: str, schema) -> DataFrame:
+        return spark.readStream.schema(schema).parquet(path)
+
+    table = raw(spark, sf_dir, name)
+    # as a pattern, since a file stream takes a table that is one file only by pattern
+    df = read(f"{sf_dir.rstrip('/')}/{name}.parque[t]", table.schema)
+    if closing is None:
+        return df
+    path = fresh_path(spark, f"closing-{name}")
+    closing.select(*[F.col(f.name).cast(f.dataType) for f in table.schema]).write.parquet(path)
+    return df.unionByName(read(path, table.schema))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, closing: bool = True) -> Stream:
+    """`events` as a stream. Windows, sessions and unmatched records are only emitted once event time has passed them,
+    so one late record per event type, keyed `CLOSING_KEY`, follows the data; results for that key are not part of it."""
+    last = raw(spark, sf_dir, "events").groupBy("event_type").agg(F.max("ts").alias("ts")).select(
+        (F.monotonically_increasing_id() + 10**15).alias("event_id"),
+        (F.col("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts"),
+        F.lit(CLOSING_KEY).alias("user_id"), "event_type", F.lit(0.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    return Stream(event_records(streamed(spark, sf_dir, "events", last if closing else None)))
+
+
+def orders_stream(spark: SparkSession, sf_dir: str) -> Table:
+    df = streamed(spark, sf_dir, "orders")
+    return Table(order_records(df), order=["timestamp", "offset"])

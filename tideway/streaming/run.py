@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideway.operators.stores import Store
 from tideway.session import fresh_path
@@ -23,7 +24,7 @@ def run_to_files(df: DataFrame, mode: str = "append", path: str | None = None) -
     spark = df.sparkSession
     path = path or fresh_path(spark, "stream")
     start_to_files(df, path, f"{path}-checkpoint", mode).awaitTermination()
-    schema = df.schema.add("batch", "bigint")
+    schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
