@@ -38,7 +38,7 @@ def _joined_record(df: DataFrame, f, left_columns: list[str], right_columns: lis
     l, r = F.col("l"), F.col("r")
     pick = lambda name, default=None: F.coalesce(
         *([l[name]] if name in left_columns else []), *([r[name]] if name in right_columns else []),
-        *([default] if default is not None else []),
+        default if default is not None else F.lit(None),
     )
     positions = lambda side, columns: F.coalesce(
         side["_pos"] if "_pos" in columns else F.array().cast("array<bigint>"), F.array().cast("array<bigint>")
@@ -48,7 +48,7 @@ def _joined_record(df: DataFrame, f, left_columns: list[str], right_columns: lis
     ).otherwise(F.array().cast("array<bigint>"))
     return df.select(
         pick("topic").alias("topic"), pick("partition").alias("partition"), pick("offset").alias("offset"),
-        F.greatest(l["timestamp"], r["timestamp"]).alias("timestamp"), pick("timestampType").alias("timestampType"),
+        F.greatest(l["timestamp"], r["timestamp"]).alias("timestamp"), pick("timestampType").cast("int").alias("timestampType"),
         F.col("key"), f(l["value"], r["value"]).alias("value"),
         pick("headers", F.array().cast(HEADERS_TYPE)).alias("headers"),
         F.concat(positions(l, left_columns), partner, positions(r, right_columns)).alias("_pos"),

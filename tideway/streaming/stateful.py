@@ -149,7 +149,7 @@ class _Replaced(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         before = self.last.get()[0] if self.last.exists() else None
-        for row in sorted(rows, key=lambda r: tuple(r["_at"])):
+        for row in sorted(rows, key=lambda r: tuple(r["_at"].values())):  # structs arrive as dicts
             yield Row(key=key[0], timestamp=row["timestamp"], _old=before, _new=row["_v"])
             before = row["_v"]
         if before is not None:
