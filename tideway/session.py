@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -24,24 +22,8 @@ RUNTIME_CONF = {
 }
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors, whose Python workers run processors and folds from it."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    # read by this process only: addPyFile copies it to every executor
-    archive = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "tideway")
-    sc.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(root), os.path.basename(root)))
-    _shipped.add(sc.applicationId)
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options the library relies on and return the session."""
-    ship(spark)
     for name, value in RUNTIME_CONF.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tideway.operators import processors as OP
+from tideway.functions.folds import RowFold
+from tideway.operators.processors import RECORD_FIELDS, Context, _type, instance, output_schema
 from tideway.record import interval_ms
 
 EPOCH = datetime(1970, 1, 1)
@@ -290,7 +291,7 @@ class _Sessions(StatefulProcessor):
         return iter(())
 
 
-def updating_sessions(df: DataFrame, fold: OP.RowFold, interval, retention=DAY) -> DataFrame:
+def updating_sessions(df: DataFrame, fold: RowFold, interval, retention=DAY) -> DataFrame:
     """Sessions on a stream with every update: a session that grew or was merged is deleted under its old bounds
     (null value) and emitted under its new ones. Needs a Python fold with `merge`."""
     if fold.merge is None:
@@ -298,7 +299,7 @@ def updating_sessions(df: DataFrame, fold: OP.RowFold, interval, retention=DAY)
     rows = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
     rows = _watermarked(rows.select("key", "timestamp", "value"), retention).withColumn(
         "_us", F.unix_micros("timestamp"))
-    agg = OP._type(fold.schema)
+    agg = _type(fold.schema)
     out = _struct(("key", df.schema["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()),
                   ("value", agg))
     gap = interval_ms(interval)
@@ -343,12 +344,12 @@ class _Sliding(StatefulProcessor):
                 self.rows.removeKey((ms,))
 
 
-def sliding_windows(df: DataFrame, fold: OP.RowFold, interval, retention=DAY) -> DataFrame:
+def sliding_windows(df: DataFrame, fold: RowFold, interval, retention=DAY) -> DataFrame:
     """Record-aligned windows [t − I, t] on a stream, emitted when the watermark passes t."""
     rows = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select("key", "timestamp", "value")
     rows = _watermarked(rows, retention).withColumn("_ms", F.unix_millis("timestamp"))
     out = _struct(("key", df.schema["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()),
-                  ("value", OP._type(fold.schema)))
+                  ("value", _type(fold.schema)))
     return rows.groupBy("key").transformWithState(
         _Sliding(fold, df.schema["value"].dataType, interval_ms(interval)), out, "Append", "EventTime")
 
@@ -399,12 +400,12 @@ class _UserProcessor(StatefulProcessor):
     def __init__(self, processor, values_only: bool, event_time: bool):
         self.processor, self.values_only, self.event_time = processor, values_only, event_time
         # DDL is parsed here, on the driver
-        self.types = {n: (_struct(("k", OP._type(k))), _struct(("v", OP._type(v))))
-                      for n, (k, v) in getattr(OP.instance(processor), "stores", {}).items()}
+        self.types = {n: (_struct(("k", _type(k))), _struct(("v", _type(v))))
+                      for n, (k, v) in getattr(instance(processor), "stores", {}).items()}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.made = OP.instance(self.processor)
+        self.made = instance(self.processor)
         self.states = {
             n: _MapStore(handle.getMapState(n, k, v)) for n, (k, v) in self.types.items()
         }
@@ -412,7 +413,7 @@ class _UserProcessor(StatefulProcessor):
                                          _struct(("due", T.LongType()), ("live", T.BooleanType())))
 
     def _context(self):
-        ctx = OP.Context(self.states, forbid_forward=self.values_only)
+        ctx = Context(self.states, forbid_forward=self.values_only)
         start = getattr(self.made, "init", None)
         user = start(ctx) if start else None
         for i, timer in enumerate(ctx._timers):
@@ -446,7 +447,7 @@ class _UserProcessor(StatefulProcessor):
             if row["timestamp"] is not None:
                 ms = int(row["timestamp"].timestamp() * 1000)
                 ctx.now_ms = ms if ctx.now_ms is None else max(ms, ctx.now_ms)
-            record = {c: row[c] for c in OP.RECORD_FIELDS if c in row}
+            record = {c: row[c] for c in RECORD_FIELDS if c in row}
             if isinstance(record.get("value"), Row):
                 record["value"] = record["value"].asDict(recursive=True)
             result = self.made.on_record(ctx, user, record)
@@ -488,7 +489,7 @@ def process_stream(df: DataFrame, processor, time_mode: str = "EventTime", reten
     if event_time:
         df = _watermarked(df, retention)
     return df.groupBy("_by").transformWithState(
-        _UserProcessor(processor, False, event_time), OP.output_schema(df, processor), "Update", time_mode)
+        _UserProcessor(processor, False, event_time), output_schema(df, processor), "Update", time_mode)
 
 
 def process_values_stream(df: DataFrame, processor, value_type: T.DataType) -> DataFrame:
