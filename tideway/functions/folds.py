@@ -31,9 +31,8 @@ class Part:
     kind: str  # sum, count, min or max
     lift: KV
 
-    def update(self, k: Column, v: Column) -> Column:
-        agg = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[self.kind]
-        return agg(self.lift(k, v))
+    def update(self, lifted: Column) -> Column:
+        return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[self.kind](lifted)
 
     def merge(self, partial: Column) -> Column:
         return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[self.kind](partial)
@@ -57,8 +56,14 @@ class Fold:
     parts: Mapping[str, Part]
     finish: Callable[[Mapping[str, Column]], Column]
 
-    def partials(self, k: Column, v: Column) -> list[Column]:
-        return [p.update(k, v).alias(n) for n, p in self.parts.items()]
+    def lifted(self, df: DataFrame, *keep) -> DataFrame:
+        """Only the `keep` columns and each record's contributions: what is not folded is not even read."""
+        k, v = F.col("key"), F.col("value")
+        return df.filter(v.isNotNull()).select(*keep, *[p.lift(k, v).alias(f"_in_{n}") for n, p in self.parts.items()])
+
+    def partials(self) -> list[Column]:
+        """Aggregates over a lifted frame."""
+        return [p.update(F.col(f"_in_{n}")).alias(n) for n, p in self.parts.items()]
 
     def merged(self) -> list[Column]:
         return [p.merge(F.col(n)).alias(n) for n, p in self.parts.items()]
@@ -73,8 +78,9 @@ class Fold:
     def finished(self) -> Column:
         return self.finish({n: F.col(n) for n in self.parts})
 
-    def running(self, k: Column, v: Column) -> dict[str, S.Scan]:
-        return {n: S.running(p.update(k, v), p.merge, p.pair) for n, p in self.parts.items()}
+    def running(self) -> dict[str, S.Scan]:
+        """Running results over a lifted frame."""
+        return {n: S.running(p.update(F.col(f"_in_{n}")), p.merge, p.pair) for n, p in self.parts.items()}
 
 
 def _single(kind: str, lift: KV) -> Fold:
@@ -143,10 +149,11 @@ class RowFold:
 
 def apply(df: DataFrame, keys: list[str], fold, order: list[str]) -> DataFrame:
     """Fold `df` (columns `key`, `value`, …) per `keys` into the column `value`. Null values are skipped."""
-    df = df.filter(F.col("value").isNotNull())
     k, v = F.col("key"), F.col("value")
     if isinstance(fold, Fold):
-        return df.groupBy(*keys).agg(*fold.partials(k, v)).select(*keys, fold.finished().alias("value"))
+        lifted = fold.lifted(df, *keys)
+        return lifted.groupBy(*keys).agg(*fold.partials()).select(*keys, fold.finished().alias("value"))
+    df = df.filter(v.isNotNull())
     if isinstance(fold, OrderedFold):
         return tree(df, keys, fold, order)
     if isinstance(fold, RowFold):

@@ -44,21 +44,19 @@ class GroupedStream:
 def _stream_fold(df: DataFrame, keys: list, fold) -> DataFrame:
     """A fold on a streaming frame; needs an aggregate that Spark keeps as state."""
     k, v = F.col("key"), F.col("value")
-    grouped = df.filter(v.isNotNull()).groupBy(*keys)
     if isinstance(fold, Fold):
-        return grouped.agg(*fold.partials(k, v)).withColumn("value", fold.finished()).drop(*fold.parts)
+        grouped = fold.lifted(df, "key", "timestamp").groupBy(*keys)
+        return grouped.agg(*fold.partials()).withColumn("value", fold.finished()).drop(*fold.parts)
     if callable(fold):
-        return grouped.agg(fold(k, v).alias("value"))
+        return df.filter(v.isNotNull()).groupBy(*keys).agg(fold(k, v).alias("value"))
     raise TypeError("on a stream, ordered folds run as a processor: tideway.streaming.run_processor")
 
 
 def running_fold(df: DataFrame, fold: Fold) -> DataFrame:
     """Every intermediate result: one row per record with the fold of its key up to that record."""
-    k, v = F.col("key"), F.col("value")
-    df = df.filter(v.isNotNull())
-    order = order_columns(df)
-    scanned = S.scan(df, ["key"], order, fold.running(k, v))
-    return scanned.withColumn("value", fold.finished()).drop(*fold.parts)
+    meta = [c for c in df.columns if c != "value"]
+    scanned = S.scan(fold.lifted(df, *meta), ["key"], order_columns(df), fold.running())
+    return scanned.select(*meta, fold.finished().alias("value"))
 
 
 def on_time(df: DataFrame, retention) -> DataFrame:
@@ -111,12 +109,15 @@ class TimeWindowed:
             return WindowTable(self._from_panes(df, fold))
         us = F.unix_micros("timestamp")
         length, step = self.length * 1000, self.step * 1000
-        if length == step:
-            windowed = df.withColumn("_w", us - F.pmod(us, F.lit(length)))
+        starting = lambda at: (at - F.pmod(at, F.lit(length))) if length == step else F.explode(starts(at, length, step))
+        if isinstance(fold, Fold):
+            lifted = fold.lifted(df, "key", us.alias("_us"))
+            windowed = lifted.withColumn("_w", starting(F.col("_us"))).filter(F.col("_w") >= 0)
+            folded = windowed.groupBy("key", "_w").agg(*fold.partials()).select(
+                "key", "_w", fold.finished().alias("value"))
         else:
-            windowed = df.withColumn("_w", F.explode(starts(us, length, step)))
-        windowed = windowed.filter(F.col("_w") >= 0)
-        folded = folds_.apply(windowed, ["key", "_w"], fold, order_columns(df))
+            windowed = df.withColumn("_w", starting(us)).filter(F.col("_w") >= 0)
+            folded = folds_.apply(windowed, ["key", "_w"], fold, order_columns(df))
         return WindowTable(self._bounds(folded))
 
     def _bounds(self, df: DataFrame) -> DataFrame:
@@ -125,12 +126,13 @@ class TimeWindowed:
 
     def _from_panes(self, df: DataFrame, fold: Fold) -> DataFrame:
         """Fold each record once into its pane, then hand the (much fewer) panes to every window over them."""
-        us = F.unix_micros("timestamp")
+        us = F.col("_us")
         length, step = self.length * 1000, self.step * 1000
         panes = (
-            df.withColumn("_p", us - F.pmod(us, F.lit(step)))
+            fold.lifted(df, "key", F.unix_micros("timestamp").alias("_us"))
+            .withColumn("_p", us - F.pmod(us, F.lit(step)))
             .groupBy("key", "_p")
-            .agg(*fold.partials(F.col("key"), F.col("value")))
+            .agg(*fold.partials())
         )
         windows = (
             panes.withColumn("_w", F.explode(starts(F.col("_p"), length, step)))
@@ -165,9 +167,9 @@ class TimeWindowed:
         span = self.length
         names = list(fold.parts)
         points = (
-            df.withColumn("_t", epoch_ms(F.col("timestamp")))
+            fold.lifted(df, "key", epoch_ms(F.col("timestamp")).alias("_t"))
             .groupBy("key", "_t")
-            .agg(*fold.partials(F.col("key"), F.col("value")))
+            .agg(*fold.partials())
             .withColumn("_b", F.floor(F.col("_t") / span).cast("bigint"))
         )
         merging = lambda prefix: {
@@ -220,23 +222,28 @@ class SessionWindowed:
         df = self.df.filter(F.col("value").isNotNull() & F.col("timestamp").isNotNull())
         if df.isStreaming:
             return WindowTable(self._streamed(df, fold))
-        order = order_columns(df)
         us = F.col("_us")
-        scanner = S.Scanner(df.withColumn("_us", F.unix_micros("timestamp")), ["key"], order)
+        at = F.unix_micros("timestamp").alias("_us")
+        order = ["_us", *[c for c in order_columns(df) if c != "timestamp"]]
+        rest = [c for c in order if c != "_us"]
+        if isinstance(fold, Fold):
+            rows = fold.lifted(df, "key", at, *rest)
+        else:
+            rows = df.select("key", at, *rest, "timestamp", "value")
+        scanner = S.Scanner(rows, ["key"], order)
         scanner.add(_prev=S.previous(us.alias("us")))
         opens = F.col("_prev").isNull() | (us - F.col("_prev.us") > self.gap * 1000)
         scanner.add(_open=S.last_known(opens, us.alias("us")))
         tagged = scanner.result().withColumn("_from", F.col("_open.us"))
         keys = ["key", "_from"]
-        if isinstance(fold, Fold) or not isinstance(fold, (folds_.OrderedFold, folds_.RowFold)):
-            k, v = F.col("key"), F.col("value")
-            aggs = fold.partials(k, v) if isinstance(fold, Fold) else [fold(k, v).alias("value")]
-            folded = tagged.groupBy(*keys).agg(*aggs, F.max("_us").alias("_to"))
-            if isinstance(fold, Fold):
-                folded = folded.withColumn("value", fold.finished())
-        else:
+        if isinstance(fold, Fold):
+            folded = tagged.groupBy(*keys).agg(*fold.partials(), F.max("_us").alias("_to"))
+            folded = folded.withColumn("value", fold.finished())
+        elif isinstance(fold, (folds_.OrderedFold, folds_.RowFold)):
             ends = tagged.groupBy(*keys).agg(F.max("_us").alias("_to"))
             folded = folds_.apply(tagged, keys, fold, order).join(ends, keys)
+        else:
+            folded = tagged.groupBy(*keys).agg(fold(F.col("key"), F.col("value")).alias("value"), F.max("_us").alias("_to"))
         ms = lambda c: F.floor(F.col(c) / 1000).cast("bigint")
         return WindowTable(folded.select("key", ms("_from").alias("window_from"), ms("_to").alias("window_to"), "value"))
 

@@ -19,7 +19,7 @@ def _usable(df: DataFrame) -> DataFrame:
 def _side(df: DataFrame, tag: str) -> DataFrame:
     return df.select(
         F.col("key"), F.unix_micros("timestamp").alias(f"{tag}_us"),
-        F.struct(*[c for c in df.columns if c != "key"]).alias(tag),
+        F.struct(*[c for c in df.columns if c not in ("key", "timestamp")]).alias(tag),
     )
 
 
@@ -34,7 +34,7 @@ def _in_reach(df: DataFrame, us: str, width: int, reach: int) -> DataFrame:
 
 
 def _joined_record(df: DataFrame, f, left_columns: list[str], right_columns: list[str]) -> DataFrame:
-    """Rows with structs `l` and `r` (either may be null) as records; time is the later of the two."""
+    """Rows with structs `l` and `r` (either may be null), `l_us` and `r_us` as records; time is the later of the two."""
     l, r = F.col("l"), F.col("r")
     pick = lambda name, default=None: F.coalesce(
         *([l[name]] if name in left_columns else []), *([r[name]] if name in right_columns else []),
@@ -48,7 +48,7 @@ def _joined_record(df: DataFrame, f, left_columns: list[str], right_columns: lis
     ).otherwise(F.array().cast("array<bigint>"))
     return df.select(
         pick("topic").alias("topic"), pick("partition").alias("partition"), pick("offset").alias("offset"),
-        F.greatest(l["timestamp"], r["timestamp"]).alias("timestamp"), pick("timestampType").cast("int").alias("timestampType"),
+        F.timestamp_micros(F.greatest("l_us", "r_us")).alias("timestamp"), pick("timestampType").cast("int").alias("timestampType"),
         F.col("key"), f(l["value"], r["value"]).alias("value"),
         pick("headers", F.array().cast(HEADERS_TYPE)).alias("headers"),
         F.concat(positions(l, left_columns), partner, positions(r, right_columns)).alias("_pos"),
@@ -80,28 +80,28 @@ def stream_stream(left: DataFrame, right: DataFrame, f, interval, how: str, emit
         on = (F.col("a.key") == F.col("b.key")) & (F.col("a._b") == F.col("b._b")) & condition
         out = a.join(b, on, kind)
         return out.select("a.*") if kind == "left_anti" else out.select(
-            F.col("a.key").alias("key"), "l", "r"
+            F.col("a.key").alias("key"), "l_us", "l", "r_us", "r"
         )
 
     l_here, r_here = _in_bucket(l, "l_us", width), _in_bucket(r, "r_us", width)
     l_reach, r_reach = _in_reach(l, "l_us", width, reach), _in_reach(r, "r_us", width, reach)
-    empty_r = F.lit(None).cast(r.schema["r"].dataType).alias("r")
-    empty_l = F.lit(None).cast(l.schema["l"].dataType).alias("l")
+    no_r = [F.lit(None).cast("bigint").alias("r_us"), F.lit(None).cast(r.schema["r"].dataType).alias("r")]
+    no_l = [F.lit(None).cast("bigint").alias("l_us"), F.lit(None).cast(l.schema["l"].dataType).alias("l")]
     if emit == "final":
         kind = "inner" if how == "inner" else "left"
         out = join(l_here, r_reach, kind, near)
         if how == "outer":
             alone = join(r_here, l_reach, "left_anti", near)
-            out = out.unionByName(alone.select("key", empty_l, "r"))
+            out = out.unionByName(alone.select("key", *no_l, "r_us", "r"))
     else:
         out = join(l_here, r_reach, "inner", near)
         if how != "inner":
             # at equal times the left record counts as the earlier one
             early = join(l_here, r_reach, "left_anti", near & (F.col("r_us") < F.col("l_us")))
-            out = out.unionByName(early.select("key", "l", empty_r))
+            out = out.unionByName(early.select("key", "l_us", "l", *no_r))
         if how == "outer":
             early = join(r_here, l_reach, "left_anti", near & (F.col("l_us") <= F.col("r_us")))
-            out = out.unionByName(early.select("key", empty_l, "r"))
+            out = out.unionByName(early.select("key", *no_l, "r_us", "r"))
     return _joined_record(out, f, lcols, rcols)
 
 
@@ -116,7 +116,7 @@ def _stream_stream_streaming(left, right, f, interval, how, emit, retention) ->
         kept = [c for c in df.columns if c not in ("key", "timestamp")]
         return _usable(df).select(
             F.col("key").alias(f"{tag}_key"), F.col("timestamp").alias(f"{tag}_ts"),
-            F.struct(*kept, F.col("timestamp")).alias(tag),
+            F.unix_micros("timestamp").alias(f"{tag}_us"), F.struct(*kept).alias(tag),
         ).withWatermark(f"{tag}_ts", keep)
 
     on = (

@@ -27,20 +27,22 @@ def order_cents(k, v):
     return cents(v["o_totalprice"])
 
 
-def order_fields(df):
-    return df.select("key", "value.o_orderkey", F.col("value.o_orderstatus").alias("status"),
-                     cents(F.col("value.o_totalprice")).alias("cents"))
+def slim_orders(spark, sf):
+    """Values narrowed before the latest one is looked for, so that no other column is read or shuffled."""
+    return orders(spark, sf).map_values(lambda k, v: F.struct(
+        v["o_orderkey"].alias("o_orderkey"), v["o_orderstatus"].alias("status"), order_cents(k, v).alias("cents")))
 
 
 @query(f"WITH {LATEST} SELECT key, o_orderkey, status, cents FROM latest")
 def q_table_latest(spark, sf):
-    return order_fields(orders(spark, sf).snapshot())
+    return slim_orders(spark, sf).snapshot().select("key", "value.*")
 
 
 @query(f"WITH {LATEST} SELECT key, o_orderkey, status, cents FROM latest WHERE status = 'F'")
 def q_table_filter(spark, sf):
     """Filtered after the latest value is known: an update that stops matching removes the key."""
-    return order_fields(orders(spark, sf).filter_kv(lambda k, v: v["o_orderstatus"] == "F").snapshot())
+    filtered = slim_orders(spark, sf).filter_kv(lambda k, v: v["status"] == "F")
+    return filtered.snapshot().select("key", "value.*")
 
 
 @query(f"WITH {LATEST} SELECT key, cents AS value FROM latest")

@@ -240,6 +240,7 @@ def eager_left_join(left: DataFrame, right: DataFrame, f, interval, retention=DA
     out = _struct(("key", l.schema["key"].dataType), ("l", lt), ("r", rt))
     pairs = rows.groupBy("key").transformWithState(
         _EagerLeft(lt, rt, reach * 1000, reach + 1), out, "Append", "EventTime")
+    pairs = pairs.withColumns({f"{side}_us": F.unix_micros(F.col(side)["timestamp"]) for side in "lr"})
     return _joined_record(pairs, f, left.columns, right.columns)
 
 
