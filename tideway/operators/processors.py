@@ -21,11 +21,14 @@ from __future__ import annotations
 import itertools
 import pickle
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta, timezone
+from typing import Tuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tideway.functions import layout as L
 from tideway.functions.folds import RowFold
@@ -33,7 +36,10 @@ from tideway.record import interval_ms, order_columns
 from tideway.session import fresh_path
 
 _STATE = "_state"
-Body = Callable[[tuple, Iterator[pd.DataFrame], object, bool], Iterator[pd.DataFrame]]
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+MILLISECOND = timedelta(milliseconds=1)
+Columns = dict[str, list]
+Body = Callable[[tuple, Iterator[Columns], object, bool], Iterator[Columns]]
 
 
 def _schema(ddl_or_type) -> T.StructType:
@@ -42,9 +48,9 @@ def _schema(ddl_or_type) -> T.StructType:
 
 def sequential(df: DataFrame, keys: list[str], order: list[str], body: Body, schema: T.StructType,
                chunk_rows: int | None = None) -> DataFrame:
-    """Run `body(key, frames, state, last)` over the records of each key in order.
+    """Run `body(key, batches, state, last)` over the records of each key in order.
 
-    `body` is a generator: it yields output frames and returns the new state. `last` tells it whether more records
+    Batches are dicts of column lists. `body` is a generator: it yields output batches and returns the new state. `last` tells it whether more records
     of the key may follow in another round. `state` is None at first.
     """
     layout = L.measure(df, keys, order, chunk_rows)
@@ -88,43 +94,39 @@ def _nullable(f: T.StructField, name: str) -> T.StructField:
 
 def _round(df: DataFrame, keys: list[str], order: list[str], body: Body, schema: T.StructType, *, last: bool,
            carry: bool = False) -> DataFrame:
-    names = schema.fieldNames()
+    arrow = to_arrow_schema(schema)
 
-    def run(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch_of(columns: dict[str, list]) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_pydict({f.name: columns.get(f.name, [None] * n) for f in arrow}, schema=arrow)
+
+    # Arrow rather than pandas: whole numbers next to nulls stay whole numbers
+    def run(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = tuple(k.as_py() for k in key)
+        batches = (b for b in batches if b.num_rows)
         state = None
         if carry:
-            first = next(frames)
-            if first[_STATE].iloc[0] is not None:
-                state = pickle.loads(first[_STATE].iloc[0])
-                first = first.iloc[1:]
-            frames = (f.drop(columns=_STATE) for f in itertools.chain([first], frames))
-        frames = (f for f in frames if len(f))
-        new_state = yield from _drive(body(key, frames, state, last), names)
+            first = next(batches)
+            carried = first.column(_STATE)[0].as_py()
+            if carried is not None:
+                state = pickle.loads(carried)
+                first = first.slice(1)
+            batches = itertools.chain([first], batches)
+        work = body(names, (b.to_pydict() for b in batches if b.num_rows), state, last)
+        while True:
+            try:
+                columns = next(work)
+            except StopIteration as done:
+                state = done.value
+                break
+            yield batch_of(columns)
         if carry and not last:
-            row = {n: None for n in names}
-            row.update({f"_k_{k}": v for k, v in zip(keys, key)})
-            row[_STATE] = pickle.dumps(new_state)
-            yield pd.DataFrame([row], columns=names)
+            yield batch_of({**{f"_k_{k}": [v] for k, v in zip(keys, names)}, _STATE: [pickle.dumps(state)]})
 
     # the state row sorts before all records of its key
     by = [F.col(k) for k in keys] + ([F.col(_STATE).isNull().asc()] if carry else []) + [F.col(c) for c in order]
     ordered = df.repartition(*keys).sortWithinPartitions(*by)
-    return ordered.groupBy(*keys).applyInPandas(run, schema)
-
-
-def _drive(gen, names):
-    """Pass on the frames of a body, filling columns it does not know; gives back its return value."""
-    while True:
-        try:
-            frame = next(gen)
-        except StopIteration as done:
-            return done.value
-        if list(frame.columns) != names:
-            frame = frame.assign(**{
-                n: pd.Series([None] * len(frame), index=frame.index, dtype=object)
-                for n in names if n not in frame.columns
-            })[names]
-        yield frame
+    return ordered.groupBy(*keys).applyInArrow(run, schema)
 
 
 # -- folds -------------------------------------------------------------------------------------
@@ -161,11 +163,11 @@ def _type(ddl: str) -> T.DataType:
 def _fold_body(keys: list[str], seed, step) -> Body:
     def body(key, frames, state, last):
         agg = seed() if state is None else state[0]
-        for frame in frames:
-            for k, v in zip(frame["key"], frame["value"]):
+        for columns in frames:
+            for k, v in zip(columns["key"], columns["value"]):
                 agg = step(agg, k, v)
         if last:
-            yield pd.DataFrame({**{n: [k] for n, k in zip(keys, key)}, "value": pd.Series([agg], dtype=object)})
+            yield {**{n: [k] for n, k in zip(keys, key)}, "value": [agg]}
         return (agg,)
 
     return body
@@ -249,7 +251,7 @@ class Context:
                 timer["due"] = self.now_ms + timer["every"]
             elif self.now_ms >= timer["due"]:
                 timer["due"] += timer["every"] * (1 + (self.now_ms - timer["due"]) // timer["every"])
-                self.timestamp = pd.Timestamp(self.now_ms, unit="ms")
+                self.timestamp = EPOCH + self.now_ms * MILLISECOND
                 timer["call"](self.now_ms)
 
 
@@ -287,15 +289,15 @@ def _processor_body(processor, names: list[str], values_only: bool) -> Body:
         for timer, (due, live) in zip(ctx._timers, kept.get("timers", [])):
             timer["due"], timer["live"] = due, live
         for frame in frames:
-            columns = [c for c in RECORD_FIELDS if c in frame.columns]
+            columns = [c for c in RECORD_FIELDS if c in frame]
             rows = []
             for values in zip(*[frame[c] for c in columns]):
                 record = dict(zip(columns, values))
                 ctx.topic, ctx.partition, ctx.offset = (record.get(n) for n in ("topic", "partition", "offset"))
                 ctx.headers = record.get("headers")
                 at = record.get("timestamp")
-                if at is not None and at is not pd.NaT:
-                    ctx.advance(int(at.value // 1_000_000))
+                if at is not None:
+                    ctx.advance((at - EPOCH) // MILLISECOND)
                 ctx.timestamp = at
                 result = made.on_record(ctx, user, record)
                 if values_only:
@@ -305,11 +307,9 @@ def _processor_body(processor, names: list[str], values_only: bool) -> Body:
                         rows.append((ctx.topic, ctx.partition, ctx.offset, ts, k, v, child, [i]))
                     ctx.out.clear()
             if values_only:
-                out = frame.drop(columns=["value"]) if "value" in frame else frame
-                out = out.assign(value=pd.Series(rows, index=frame.index, dtype=object))
-                yield out[names]
+                yield {**frame, "value": rows}
             elif rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield dict(zip(names, map(list, zip(*rows))))
         if last and hasattr(made, "close"):
             made.close()
         return {

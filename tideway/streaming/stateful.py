@@ -8,7 +8,6 @@ trails is the `retention` of the caller. State per key is what lies within that
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -16,10 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideway.functions.folds import RowFold
-from tideway.operators.processors import RECORD_FIELDS, Context, _type, instance, output_schema
+from tideway.operators.processors import EPOCH, MILLISECOND, RECORD_FIELDS, Context, _type, instance, output_schema
 from tideway.record import interval_ms
 
-EPOCH = datetime(1970, 1, 1)
 DAY = (1, "days")
 
 
@@ -446,7 +444,7 @@ class _UserProcessor(StatefulProcessor):
             ctx.timestamp = row["timestamp"]
             ctx.headers = row["headers"] if "headers" in row else None
             if row["timestamp"] is not None:
-                ms = int(row["timestamp"].timestamp() * 1000)
+                ms = (row["timestamp"] - EPOCH) // MILLISECOND
                 ctx.now_ms = ms if ctx.now_ms is None else max(ms, ctx.now_ms)
             record = {c: row[c] for c in RECORD_FIELDS if c in row}
             if isinstance(record.get("value"), Row):
@@ -466,7 +464,7 @@ class _UserProcessor(StatefulProcessor):
         now = (timerValues.getCurrentWatermarkInMs() if self.event_time
                else timerValues.getCurrentProcessingTimeInMs())
         ctx.now_ms = due
-        ctx.timestamp = datetime.fromtimestamp(0, timezone.utc).replace(tzinfo=None) + timedelta(milliseconds=due)
+        ctx.timestamp = EPOCH + due * MILLISECOND
         for i, timer in enumerate(ctx._timers):
             if timer["due"] != due or not timer["live"]:
                 continue
