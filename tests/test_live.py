@@ -4,13 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, got, records
-from tideway.functions import folds
-from tideway.operators import upkeep
+from tideway.functions import codec, folds
+from tideway.operators import stores, upkeep
 from tideway.operators.processors import Context
 from tideway.operators.stream import Stream
 from tideway.session import fresh_path
 from tideway.sources import positions as P
-from tideway.sources.topics import TopicDataset
+from tideway.sources.topics import TopicDataset, connector
 from tideway.streaming import run, stateful
 
 
@@ -251,3 +251,35 @@ def test_global_store_and_through_topic(spark):
     out = topics.stream("t").map_values(lambda k, v: v * 10).through_topic(topics, "next")
     assert got(out.df, "key", "value") == [("a", 10), ("a", 20), ("b", 50)]
     assert got(P.list_topics(topics.read()), "topic", "partitions") == [("next", 1), ("t", 1)]
+
+
+def test_latest_and_start_positions(spark):
+    topics = TopicDataset(spark, fresh_path(spark, "topics"), "string", "bigint")
+    topics.produce(records(spark, [("a", 1, 1), ("b", 2, 2)]))
+    live = topics.read_stream("t", policy="latest").select("key")
+    later = topics.read_stream("t", start={("t", 0): 1}).select("key")
+    topics.produce(records(spark, [("c", 3, 3)]))
+    assert got(run.run_to_files(live), "key") == [("c",)]
+    assert got(run.run_to_files(later), "key") == [("b",), ("c",)]
+
+
+def test_state_of_a_running_count(spark):
+    df, _, _ = file_stream(spark, [[("a", 1, 1), ("b", 2, 2)], [("a", 3, 4)]])
+    path = fresh_path(spark, "out")
+    counts = Stream(df).group_by_key().reduce_values(folds.count()).snapshot()
+    run.start_to_files(counts, path, f"{path}-checkpoint", "update").awaitTermination()
+    state = stores.streaming_state(spark, f"{path}-checkpoint")
+    assert sorted((r["key"]["key"], r["value"][0]) for r in state.collect()) == [("a", 2), ("b", 1)]
+
+
+def test_json_lines_and_python_codec(spark):
+    path = fresh_path(spark, "json")
+    rows = records(spark, [("a", 1, None), ("b", 2, 2**62 + 1)])
+    rows.write.json(path)
+    df = connector(spark, "json", schema=rows.schema, path=path)
+    assert got(df, "key", "value") == [("a", None), ("b", 2**62 + 1)]
+    headed = df.withColumn("headers", F.array().cast("array<struct<key:string,value:binary>>"))
+    assert got(Stream(headed).do_kv(lambda k, v: None).df, "key", "value") == [("a", None), ("b", 2**62 + 1)]
+    text = codec.encode_with(headed, lambda data, topic, headers: f"{topic}:{data}".encode(), "binary")
+    assert got(codec.decode_with(text, lambda data, topic, headers: int(data.split(b":")[1]), "bigint"), "value") == [
+        (2**62 + 1,), (None,)]

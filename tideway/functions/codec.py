@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DataType, DoubleType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType, DataType, DoubleType, StructType
 
 # fixed values: names of the built-in formats
 FORMATS = ("boolean", "byte-array", "byte-buffer", "double", "integer", "keyword", "long", "string")
@@ -88,10 +90,14 @@ def transcode_with(df: DataFrame, f, type: str | DataType | None = None, column:
     if type is None:
         return df.withColumn(column, f(data, topic, headers))
 
-    def batch(items: pd.Series, topics: pd.Series, heads: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else f(d, t, h) for d, t, h in zip(items, topics, heads)], dtype=object)
+    kind = StructType.fromDDL(f"c {type}")["c"].dataType if isinstance(type, str) else type
+    arrow = to_arrow_type(kind)
 
-    return df.withColumn(column, F.pandas_udf(batch, type)(data, topic, headers))
+    def batch(items: pa.Array, topics: pa.Array, heads: pa.Array) -> pa.Array:
+        rows = zip(items.to_pylist(), topics.to_pylist(), heads.to_pylist())
+        return pa.array([None if d is None else f(d, t, h) for d, t, h in rows], type=arrow)
+
+    return df.withColumn(column, F.arrow_udf(batch, kind)(data, topic, headers))
 
 
 decode_with = transcode_with

@@ -102,6 +102,11 @@ def query_store(spark: SparkSession, name: str, schema) -> Store:
     return Store(spark, name, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
+def streaming_state(spark: SparkSession, checkpoint: str, **options) -> DataFrame:
+    """The state a streaming query keeps, straight from its checkpoint (Spark's state reader and its options)."""
+    return spark.read.format("statestore").options(**options).load(checkpoint)
+
+
 def kv_get(df: DataFrame, key) -> DataFrame:
     return df.filter(F.col("key") == key)
 

@@ -136,13 +136,13 @@ class Stream:
 
     def do_kv(self, f: Callable[[object, object], None]) -> Stream:
         """Call the Python function `f(key, value)` per record and pass the records on. May repeat on retries."""
-        def each(frames):
-            for frame in frames:
-                for k, v in zip(frame["key"], frame["value"]):
+        def each(batches):
+            for batch in batches:
+                for k, v in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist()):
                     f(k, v)
-                yield frame
+                yield batch
 
-        return Stream(self.df.mapInPandas(each, self.df.schema))
+        return Stream(self.df.mapInArrow(each, self.df.schema))
 
     def observe(self, name, *aggregates: Column) -> Stream:
         """Side effect without Python per record: named aggregates reported by Spark's `observe`."""

@@ -14,6 +14,7 @@ from tideway.plans.registry import ORACLES, query
 from tideway.plans.stream_queries import value_cents
 from tideway.session import fresh_path
 from tideway.sources.adapters import CLOSING_KEY, cents, events_stream, nations, orders_stream, raw, streamed
+from tideway.sources import positions as P
 from tideway.sources.topics import TopicDataset
 from tideway.streaming import run, stateful
 
@@ -213,3 +214,10 @@ def q_stream_sink_topic(spark, sf):
     return topics.read().groupBy("topic").agg(
         F.count("*").alias("records"), F.sum("value").alias("total"),
         F.count_distinct("partition", "offset").alias("places"))
+
+
+@query(ORACLES["q_extract_timestamp"])
+def q_stream_extract_timestamp(spark, sf):
+    """Event time = time of the record before in the same partition, on a stream."""
+    df = P.extract_timestamp(events_stream(spark, sf, closing=False).df, lambda prev, rec: F.coalesce(prev, rec["timestamp"]))
+    return run.run_to_files(df.select("offset", F.unix_millis("timestamp").alias("event_time"))).drop("batch")

@@ -84,14 +84,14 @@ def q_read_batch_by_partition(spark, sf):
     """Every worker gets consecutive offsets in order; a worker that sees disorder would raise."""
     df = events(spark, sf).df.select("topic", "partition", "offset", "key")
 
-    def worker(frames):
+    def worker(batches):
         last = ("", -1, -1)
-        for frame in frames:
-            here = list(zip(frame["topic"], frame["partition"], frame["offset"]))
+        for batch in batches:
+            here = list(zip(*[batch.column(c).to_pylist() for c in ("topic", "partition", "offset")]))
             if here != sorted(here) or (here and here[0] <= last):
                 raise ValueError("records out of order")
             last = here[-1] if here else last
-            yield frame
+            yield batch
 
     return P.read_batch_by_partition(df, worker, df.schema)
 

@@ -169,7 +169,7 @@ def read_batch_by_partition(df: DataFrame, worker=None, schema=None) -> DataFram
     into several ranges instead of going to one worker. `worker(frames)` gets an iterator of pandas frames in order.
     """
     laid = df.repartitionByRange("topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
-    return laid if worker is None else laid.mapInPandas(worker, schema)
+    return laid if worker is None else laid.mapInArrow(worker, schema)
 
 
 def extract_timestamp(df: DataFrame, f) -> DataFrame:
@@ -178,11 +178,13 @@ def extract_timestamp(df: DataFrame, f) -> DataFrame:
     from tideway.operators.stream import Record
 
     order = [c for c in ("offset", "_pos") if c in df.columns]
-    if df.isStreaming:
-        return df.withColumn("timestamp", f(F.lit(None).cast("timestamp"), Record(df.columns)))
     probe = f(F.lit(None).cast("timestamp"), Record(df.columns))
     marked = f(F.col("_previous.timestamp"), Record(df.columns))
-    if str(probe) == str(marked):
+    if str(probe) == str(marked):  # the previous time is not used
         return df.withColumn("timestamp", probe)
+    if df.isStreaming:
+        from tideway.streaming.stateful import with_previous_time
+
+        return with_previous_time(df).withColumn("timestamp", marked).select(*df.columns)
     scanned = S.scan(df, ["topic", "partition"], order, {"_previous": S.previous(F.col("timestamp").alias("timestamp"))})
     return scanned.withColumn("timestamp", marked).select(*df.columns)

@@ -114,19 +114,26 @@ class TopicDataset:
         """A table filled by a processor that is fed every record of the topic."""
         return Table(self.stream(source).process(processor, by).df)
 
-    def read_stream(self, source=None, *, max_files: int | None = None, deduplicate: str | None = None) -> DataFrame:
-        """Endless read of the records as they are written. A batch that was replayed after a crash may be seen twice;
-        `deduplicate` = how far back (e.g. "1 hour") to drop repeated (topic, partition, offset)."""
+    def read_stream(self, source=None, *, start=None, policy: str = "earliest", max_files: int | None = None,
+                    deduplicate: str | None = None, extract_timestamp=None) -> DataFrame:
+        """Endless read of the records as they are written, from `start` positions or where `policy` says (`latest` =
+        only what is written from now on). A batch that was replayed after a crash may be seen twice; `deduplicate` =
+        how far back (e.g. "1 hour") to drop repeated (topic, partition, offset)."""
         reader = self.spark.readStream.schema(self.schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         df = reader.parquet(f"{self.path}/data").drop("part")
         if source is not None:
             df = P.subscribe(df, source)
+        if start is None and policy == "latest":
+            # one number per partition, fixed at the start of the query
+            start = {(r["topic"], r["partition"]): r["offset"] for r in self.end_offsets().collect()}
+        if start is not None:
+            df = P.seek(df, start)
         if deduplicate:
             df = df.withWatermark("timestamp", deduplicate).dropDuplicatesWithinWatermark(
                 ["topic", "partition", "offset"])
-        return df
+        return P.extract_timestamp(df, extract_timestamp) if extract_timestamp else df
 
     def end_offsets(self) -> DataFrame:
         """End offsets from the manifest alone, without reading records."""

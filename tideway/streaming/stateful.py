@@ -93,6 +93,35 @@ def as_of_join(stream: DataFrame, changes: DataFrame, f, how: str, retention=DAY
     ])
 
 
+# -- event time from the record before -------------------------------------------------------------
+
+
+class _PreviousTime(StatefulProcessor):
+    """Each record of a partition with the time of the one before it."""
+
+    def __init__(self, record: T.StructType):
+        self.record = record
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", _struct(("timestamp", T.TimestampType())))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = self.last.get()[0] if self.last.exists() else None
+        for row in sorted(rows, key=lambda r: r["offset"]):
+            yield Row(_record=row["_record"], _previous={"timestamp": before})
+            before = row["timestamp"]
+        self.last.update((before,))
+
+
+def with_previous_time(df: DataFrame) -> DataFrame:
+    """Streaming records plus `_previous.timestamp`, per (topic, partition) in offset order."""
+    rows = df.select("topic", "partition", "offset", "timestamp", F.struct(*df.columns).alias("_record"))
+    record = rows.schema["_record"].dataType
+    out = _struct(("_record", record), ("_previous", _struct(("timestamp", T.TimestampType()))))
+    seen = rows.groupBy("topic", "partition").transformWithState(_PreviousTime(record), out, "Append", "None")
+    return seen.select("_record.*", "_previous")
+
+
 # -- table–table join -----------------------------------------------------------------------------
 
 
