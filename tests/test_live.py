@@ -31,7 +31,7 @@ def file_stream(spark, batches, **types):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path), path, append
 
 
-END = [("zz", 10_000, 0)]
+END = [("zz", 1_000_000, 0)]
 
 
 def test_windows_over_batches_equal_batch(spark):
@@ -283,3 +283,23 @@ def test_json_lines_and_python_codec(spark):
     text = codec.encode_with(headed, lambda data, topic, headers: f"{topic}:{data}".encode(), "binary")
     assert got(codec.decode_with(text, lambda data, topic, headers: int(data.split(b":")[1]), "bigint"), "value") == [
         (2**62 + 1,), (None,)]
+
+
+def test_ordered_folds_on_streams(spark):
+    """Per key, per window, per sliding window and per session, over three micro-batches."""
+    fold = folds.RowFold(lambda: "", lambda agg, k, v: f"{agg}{v},", "string", merge=lambda a, b: a + b)
+    batches = [[("a", 2, 1), ("a", 1, 2)], [("a", 5, 3), ("b", 5, 4)], [("a", 12, 5)], END]
+    grouped = lambda: Stream(file_stream(spark, batches)[0]).group_by_key()
+    only = lambda df: df.filter("key <> 'zz'")
+    latest = run.latest(run.run_to_files(grouped().reduce_values(fold).snapshot(), "update"), ["key"])
+    assert got(only(latest), "key", "value") == [("a", "2,1,3,5,"), ("b", "4,")]
+    windows = run.run_to_files(grouped().window((10, "seconds")).reduce_windows(fold).df, "update")
+    assert got(only(run.latest(windows, ["key", "window_from"])), "key", "window_from", "value") == [
+        ("a", 0, "2,1,3,"), ("a", 10000, "5,"), ("b", 0, "4,")]
+    sliding = run.run_to_files(grouped().window((4, "seconds"), "sliding").reduce_windows(fold).df)
+    assert got(only(sliding), "key", "window_to", "value") == [
+        ("a", 1000, "2,"), ("a", 12000, "5,"), ("a", 2000, "2,1,"), ("a", 5000, "2,1,3,"), ("b", 5000, "4,")]
+    sessions = run.run_to_store(
+        grouped().window_by_session((5, "seconds")).reduce_sessions(fold).df, fresh_path(spark, "s").rsplit("/", 1)[1])
+    assert got(only(sessions.snapshot()), "key", "window_from", "value") == [
+        ("a", 1000, "2,1,3,"), ("a", 12000, "5,"), ("b", 5000, "4,")]

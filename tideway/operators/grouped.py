@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,10 @@ class GroupedStream:
 
         df = self.df
         if df.isStreaming:
+            if isinstance(fold, folds_.RowFold):
+                from tideway.streaming.stateful import fold_stream
+
+                return Table(None, snapshot=fold_stream(df, ["key"], fold))
             return Table(None, snapshot=_stream_fold(df, ["key"], fold))
         changes = None
         if isinstance(fold, Fold):
@@ -49,7 +55,7 @@ def _stream_fold(df: DataFrame, keys: list, fold) -> DataFrame:
         return grouped.agg(*fold.partials()).withColumn("value", fold.finished()).drop(*fold.parts)
     if callable(fold):
         return df.filter(v.isNotNull()).groupBy(*keys).agg(fold(k, v).alias("value"))
-    raise TypeError("on a stream, ordered folds run as a processor: tideway.streaming.run_processor")
+    raise TypeError("on a stream, a fold that depends on order has to be a RowFold")
 
 
 def running_fold(df: DataFrame, fold: Fold) -> DataFrame:
@@ -101,7 +107,9 @@ class TimeWindowed:
         df = self.df.filter(F.col("value").isNotNull() & F.col("timestamp").isNotNull())
         if self.kind == "sliding":
             if df.isStreaming:
-                raise TypeError("sliding windows on a stream: tideway.streaming.sliding_windows")
+                from tideway.streaming.stateful import sliding_windows
+
+                return WindowTable(sliding_windows(df, fold, self.length, retention=self.retention))
             return WindowTable(self._sliding(df, fold))
         if df.isStreaming:
             return WindowTable(self._streamed(df, fold))
@@ -144,6 +152,12 @@ class TimeWindowed:
         return self._bounds(windows)
 
     def _streamed(self, df: DataFrame, fold) -> DataFrame:
+        if isinstance(fold, folds_.RowFold):
+            from tideway.streaming.stateful import fold_stream
+
+            rows = df.withWatermark("timestamp", f"{self.retention} milliseconds").withColumn(
+                "_w", F.explode(starts(F.unix_micros("timestamp"), self.length * 1000, self.step * 1000)))
+            return self._bounds(fold_stream(rows.filter("_w >= 0"), ["key", "_w"], fold, self.length))
         window = F.window("timestamp", f"{self.length} milliseconds", f"{self.step} milliseconds")
         folded = _stream_fold(
             df.withWatermark("timestamp", f"{self.retention} milliseconds"),
@@ -216,9 +230,11 @@ class SessionWindowed:
     def reduce_sessions(self, fold, merge=None) -> WindowTable:
         """Fold per (key, session). Result columns: key, window_from, window_to (first and last record), value.
 
-        `merge` is needed only where sessions are joined one record at a time; a whole-session fold never
-        bridges sessions after the fact, so batch and append output do not use it.
+        `merge(a, b)` (or the one of a `RowFold`) joins the aggregates of sessions that a late record bridges. Only
+        a stream that emits every update needs it; batch and append output fold whole sessions.
         """
+        if merge is not None and isinstance(fold, folds_.RowFold):
+            fold = replace(fold, merge=merge)
         df = self.df.filter(F.col("value").isNotNull() & F.col("timestamp").isNotNull())
         if df.isStreaming:
             return WindowTable(self._streamed(df, fold))
@@ -248,6 +264,11 @@ class SessionWindowed:
         return WindowTable(folded.select("key", ms("_from").alias("window_from"), ms("_to").alias("window_to"), "value"))
 
     def _streamed(self, df: DataFrame, fold) -> DataFrame:
+        if isinstance(fold, folds_.RowFold):
+            # every update and merge at once instead of whole sessions at the end
+            from tideway.streaming.stateful import updating_sessions
+
+            return updating_sessions(df, fold, self.gap, retention=self.retention)
         session = F.session_window("timestamp", interval_sql(self.gap))
         folded = _stream_fold(
             df.withWatermark("timestamp", interval_sql(self.retention)),

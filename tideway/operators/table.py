@@ -143,12 +143,15 @@ class GroupedTable:
                     F.col("_e.kv.value").alias("value"))
         )
 
-    def reduce_values(self, fold: Fold) -> Table:
-        """Aggregate that follows updates. A group all of whose members left keeps its value (sum 0).
+    def reduce_values(self, fold: Fold | Callable, sub: Callable | None = None, seed: Callable | None = None,
+                      schema: str | None = None) -> Table:
+        """Aggregate that follows updates: a sum-like `Fold`, or Python `add, sub, seed` (see `reduce_rows`). A group all of whose members left keeps its value (sum 0).
 
         Latest result: totals over the latest values; the groups ever seen come from a duplicate-free list of
         group keys, so the changelog never has to be sorted. `changelog()` of the result has one row per change.
         """
+        if not isinstance(fold, Fold):
+            return self.reduce_rows(fold, sub, seed, schema)
         k, v = F.col("key"), F.col("value")
         changes = self.table.changelog().filter(k.isNotNull())
         parts = fold.parts

@@ -382,6 +382,43 @@ def sliding_windows(df: DataFrame, fold: RowFold, interval, retention=DAY) -> Da
         _Sliding(fold, df.schema["value"].dataType, interval_ms(interval)), out, "Append", "EventTime")
 
 
+# -- ordered folds ----------------------------------------------------------------------------------
+
+
+class _Folding(StatefulProcessor):
+    """The aggregate of a key (or of its window); every micro-batch that adds to it emits it once."""
+
+    def __init__(self, fold, agg: T.DataType, keys: list[str], keep_ms: int | None):
+        self.fold, self.agg, self.keys, self.keep = fold, agg, keys, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("agg", _struct(("agg", self.agg)))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        agg = self.state.get()[0] if self.state.exists() else self.fold.seed()
+        for row in sorted(rows, key=lambda r: (r["timestamp"] or EPOCH, r["topic"], r["partition"], r["offset"])):
+            agg = self.fold.step(agg, row["key"], row["value"])
+        self.state.update((agg,))
+        if self.keep is not None:
+            self.handle.registerTimer(key[1] // 1000 + self.keep)
+        yield Row(**dict(zip(self.keys, key)), value=agg)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.state.clear()
+        return iter(())
+
+
+def fold_stream(df: DataFrame, keys: list[str], fold: RowFold, length_ms: int | None = None) -> DataFrame:
+    """Ordered Python fold on a stream. Windows (`keys` = key and window start) are forgotten when the watermark is past
+    them; records of one micro-batch are folded in time order."""
+    rows = df.filter(F.col("value").isNotNull())
+    out = T.StructType([rows.schema[k] for k in keys] + [T.StructField("value", _type(fold.schema))])
+    windowed = length_ms is not None
+    return rows.groupBy(*keys).transformWithState(
+        _Folding(fold, _type(fold.schema), keys, length_ms), out, "Update", "EventTime" if windowed else "None")
+
+
 # -- processors -------------------------------------------------------------------------------------
 
 
