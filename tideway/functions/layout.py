@@ -29,6 +29,8 @@ MAX_CHUNKS = 4096           # cuts per hot key; above this, chunks grow instead
 class Layout:
     """Cut points per hot key. `frame` has the key columns and `_cuts`, a sorted array of order structs.
 
+    `order` may be the first columns of the order a scan uses: chunks then still follow that order.
+
     Its size is bounded by rows / chunk_rows entries over all keys together, so it can be broadcast
     whatever the input size.
     """
@@ -41,21 +43,17 @@ class Layout:
     def assign(self, df: DataFrame) -> DataFrame:
         """Add `_chunk` (0 for keys that were not cut) and `_hot`."""
         columns = [df[c] for c in df.columns]
-        here = F.struct(*[F.col(c) for c in self.order])
-        cuts = F.col("_cuts")
-        halves = F.array(*[F.lit(1 << d) for d in reversed(range(self.depth))])
-        # binary search: how many cuts are at or before this record
-        chunk = F.aggregate(
-            halves,
-            F.lit(0),
-            lambda at, half: F.when(F.get(cuts, at + half - 1) <= here, at + half).otherwise(at),
-        )
-        joined = df.join(F.broadcast(self.frame), list(self.keys), "left").select(*columns, cuts)
-        return joined.select(
-            *df.columns,
-            F.when(cuts.isNull(), 0).otherwise(chunk).alias("_chunk"),
-            cuts.isNotNull().alias("_hot"),
+        joined = df.join(F.broadcast(self.frame), list(self.keys), "left").select(
+            *columns, "_cuts",
+            F.when(F.col("_cuts").isNotNull(), F.struct(*[df[c] for c in self.order])).alias("_here"),
+            F.lit(0).alias("_chunk"),
         )
+        # binary search for the number of cuts at or before this record, one step per projection: stays in generated code
+        for step in reversed(range(self.depth)):
+            probe = F.col("_chunk") + (1 << step)
+            joined = joined.withColumn(
+                "_chunk", F.when(F.get("_cuts", probe - 1) <= F.col("_here"), probe).otherwise(F.col("_chunk")))
+        return joined.select(*df.columns, "_chunk", F.col("_cuts").isNotNull().alias("_hot"))
 
 
 def measure(
@@ -91,9 +89,11 @@ def measure(
         plan.append((*[row[k] for k in keys], min(1.0, SAMPLES_PER_CHUNK * chunks / rows), chunks))
     planned = spark.createDataFrame(plan, plan_schema)
     at = F.struct(*[F.col(c) for c in order])
+    densest = max(row[len(keys)] for row in plan)
+    candidates = slim.sample(densest, seed=5) if densest < 1.0 else slim
     cut = (
-        slim.join(F.broadcast(planned), keys)
-        .filter(F.rand(11) < F.col("_rate"))
+        candidates.join(F.broadcast(planned), keys)
+        .filter(F.rand(11) * densest < F.col("_rate"))
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(at)).alias("_s"), F.first("_n").alias("_n"))
         .select(

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideway.functions import folds as folds_
 from tideway.functions import scans as S
 from tideway.functions.folds import Fold
+from tideway.functions.layout import measure
 from tideway.record import epoch_ms, interval_ms, interval_sql, interval_us, order_columns
 
 DEFAULT_RETENTION = (1, "days")  # fixed value: how long a past window can still be updated
@@ -180,18 +181,16 @@ class TimeWindowed:
             raise TypeError("sliding windows need a mergeable fold from tideway.functions.folds")
         span = self.length
         names = list(fold.parts)
-        points = (
-            fold.lifted(df, "key", epoch_ms(F.col("timestamp")).alias("_t"))
-            .groupBy("key", "_t")
-            .agg(*fold.partials())
-            .withColumn("_b", F.floor(F.col("_t") / span).cast("bigint"))
-        )
+        bucket = F.floor(F.col("_t") / span).cast("bigint").alias("_b")
+        lifted = fold.lifted(df, "key", epoch_ms(F.col("timestamp")).alias("_t"))
+        # one look at the records serves all three scans
+        layout = measure(lifted.select("key", bucket, "_t"), ["key", "_b"], ["_t"]) or False
+        points = lifted.groupBy("key", "_t").agg(*fold.partials()).withColumn("_b", bucket)
         merging = lambda prefix: {
             f"{prefix}{n}": S.running(p.merge(F.col(n)), p.merge, p.pair) for n, p in fold.parts.items()
         }
-        forward = S.Scanner(points, ["key", "_b"], ["_t"]).add(**merging("_head"))
-        both = S.Scanner(forward.result(), ["key", "_b"], ["_t"], reverse=True,
-                         layout=forward.layout or False).add(**merging("_tail")).result()
+        forward = S.scan(points, ["key", "_b"], ["_t"], merging("_head"), layout=layout)
+        both = S.scan(forward, ["key", "_b"], ["_t"], merging("_tail"), reverse=True, layout=layout)
         kind = {n: both.schema[f"_head{n}"].dataType for n in names}
         nothing = lambda prefix: [F.lit(None).cast(kind[n]).alias(f"{prefix}{n}") for n in names]
         tails = both.select("key", "_b", "_t", F.lit(1).alias("_side"),
@@ -201,7 +200,7 @@ class TimeWindowed:
         looked = S.scan(
             tails.unionByName(probes), ["key", "_b"], ["_t", "_side"],
             {"_seen": S.last_known(F.col("_side") == 1, *[F.col(f"_tail{n}").alias(n) for n in names])},
-            reverse=True,
+            reverse=True, layout=layout,
         ).filter("_side = 0")
         merged = looked.select(
             "key", "_t", *fold.pair(lambda n: F.col("_seen")[n], lambda n: F.col(f"_head{n}")),
@@ -247,6 +246,8 @@ class SessionWindowed:
         else:
             rows = df.select("key", at, *rest, "timestamp", "value")
         scanner = S.Scanner(rows, ["key"], order)
+        if isinstance(fold, Fold) and scanner.layout:
+            return WindowTable(self._bounds(self._across_chunks(scanner.df, fold, order)))
         scanner.add(_prev=S.previous(us.alias("us")))
         opens = F.col("_prev").isNull() | (us - F.col("_prev.us") > self.gap * 1000)
         scanner.add(_open=S.last_known(opens, us.alias("us")))
@@ -260,8 +261,37 @@ class SessionWindowed:
             folded = folds_.apply(tagged, keys, fold, order).join(ends, keys)
         else:
             folded = tagged.groupBy(*keys).agg(fold(F.col("key"), F.col("value")).alias("value"), F.max("_us").alias("_to"))
+        return WindowTable(self._bounds(folded))
+
+    def _bounds(self, df: DataFrame) -> DataFrame:
         ms = lambda c: F.floor(F.col(c) / 1000).cast("bigint")
-        return WindowTable(folded.select("key", ms("_from").alias("window_from"), ms("_to").alias("window_to"), "value"))
+        return df.select("key", ms("_from").alias("window_from"), ms("_to").alias("window_to"), "value")
+
+    def _across_chunks(self, chunked: DataFrame, fold: Fold, order: list[str]) -> DataFrame:
+        """Sessions where hot keys are cut: fold inside each chunk, then join only what touches a cut.
+
+        The first and last session of a chunk may go on in the next one; those, two per chunk at most, are put together
+        per key. All others are complete.
+        """
+        us, gap = F.col("_us"), self.gap * 1000
+        w = Window.partitionBy("key", "_chunk").orderBy(*order)
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        rows = chunked.withColumns({"_prev": F.lag("_us").over(w), "_next": F.lead("_us").over(w)})
+        opens = F.col("_prev").isNull() | (us - F.col("_prev") > gap)
+        rows = rows.withColumn("_from", F.last(F.when(opens, us), ignorenulls=True).over(so_far))
+        edge = F.col("_hot") & (F.col("_prev").isNull() | F.col("_next").isNull())
+        pieces = rows.groupBy("key", "_chunk", "_from").agg(
+            *fold.partials(), F.max("_us").alias("_to"), F.max(edge).alias("_edge"))
+        # complete sessions are alone in their group, the edges of a key share the group null
+        pieces = pieces.withColumn("_own", F.when(~F.col("_edge"), F.struct("_chunk", "_from")))
+        w = Window.partitionBy("key", "_own").orderBy("_chunk", "_from")
+        before = F.lag("_to").over(w)
+        pieces = pieces.withColumn("_before", before)
+        opens = F.col("_before").isNull() | (F.col("_from") - F.col("_before") > gap)
+        pieces = pieces.withColumn("_start", F.last(F.when(opens, F.col("_from")), ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, 0)))
+        merged = pieces.groupBy("key", "_own", "_start").agg(*fold.merged(), F.max("_to").alias("_to"))
+        return merged.select("key", F.col("_start").alias("_from"), "_to", fold.finished().alias("value"))
 
     def _streamed(self, df: DataFrame, fold) -> DataFrame:
         if isinstance(fold, folds_.RowFold):
