@@ -120,21 +120,19 @@ class GroupedTable:
     """A table grouped by another key. Replacing a value takes the old one out of its group."""
 
     def __init__(self, table: Table, f):
-        self.table, self.f = table, f
+        def pair(k: Column, v: Column) -> Column:
+            new_key, new_value = f(k, v)
+            return F.struct(new_key.alias("key"), new_value.alias("value"))
 
-    def _kv(self, k: Column, v: Column) -> Column:
-        new_key, new_value = self.f(k, v)
-        return F.struct(new_key.alias("key"), new_value.alias("value"))
+        # values become (new key, new value) before anything is compared or shuffled
+        self.table, self.order = table.map_values(pair), table.order
 
     def signed_changes(self) -> DataFrame:
         """Each update as up to two rows: sign −1 for the value it replaces, then sign +1 for the new one."""
         changes = self.table.changelog().filter(F.col("key").isNotNull())
-        order = self.table.order
-        scanned = S.scan(changes, ["key"], order, {"_before": S.previous(F.col("value").alias("value"))})
-        k, old, new = F.col("key"), F.col("_before.value"), F.col("value")
-        part = lambda sign, v: F.when(
-            v.isNotNull(), F.struct(F.lit(sign).alias("sign"), self._kv(k, v).alias("kv"))
-        )
+        scanned = S.scan(changes, ["key"], self.order, {"_before": S.previous(F.col("value").alias("value"))})
+        old, new = F.col("_before.value"), F.col("value")
+        part = lambda sign, v: F.when(v.isNotNull(), F.struct(F.lit(sign).alias("sign"), v.alias("kv")))
         meta = [c for c in changes.columns if c not in ("key", "value")]
         return (
             scanned.select(*meta, F.explode(F.array(part(-1, old), part(1, new))).alias("_e"))
@@ -156,13 +154,12 @@ class GroupedTable:
         changes = self.table.changelog().filter(k.isNotNull())
         parts = fold.parts
         plus = F.lit(1)
-        latest = self.table.snapshot().select(self._kv(k, v).alias("_kv")).select("_kv.key", "_kv.value")
+        latest = self.table.snapshot().select("value.key", "value.value")
         contributions = latest.filter(k.isNotNull()).select(
             "key", *[p.contribution(k, v, plus).alias(n) for n, p in parts.items()]
         )
         seen = (
-            changes.filter(v.isNotNull()).select(self._kv(k, v)["key"].alias("key"))
-            .filter(k.isNotNull()).distinct()
+            changes.filter(v.isNotNull()).select("value.key").filter(k.isNotNull()).distinct()
         )
         zero = seen.select("key", *[F.lit(0).cast(contributions.schema[n].dataType).alias(n) for n in parts])
         totals = contributions.unionByName(zero).groupBy("key").agg(*[F.sum(n).alias(n) for n in parts])
@@ -170,7 +167,7 @@ class GroupedTable:
 
     def _running(self, fold: Fold) -> DataFrame:
         signed = self.signed_changes()
-        order = [*self.table.order, "sign"]
+        order = [*self.order, "sign"]
         k, v = F.col("key"), F.col("value")
         rows = signed.withColumns({n: p.contribution(k, v, F.col("sign")) for n, p in fold.parts.items()})
         scans = {f"_r{n}": S.running(F.sum(n), F.sum, lambda a, b: a + b) for n in fold.parts}
@@ -188,4 +185,4 @@ class GroupedTable:
         signed = self.signed_changes()
         rows = signed.withColumn("value", F.struct(F.col("sign").alias("sign"), F.col("value").alias("v")))
         fold = RowFold(seed, step, schema)
-        return Table(None, snapshot=folds.apply(rows, ["key"], fold, [*self.table.order, "sign"]))
+        return Table(None, snapshot=folds.apply(rows, ["key"], fold, [*self.order, "sign"]))
