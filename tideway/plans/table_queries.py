@@ -321,7 +321,7 @@ def q_process_values(spark, sf):
 
 
 @query(f"""
-SELECT event_type AS topic, user_id % 4 AS partition, user_id AS key, event_id AS "offset", {CENTS} AS value FROM events
+SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, user_id AS key, event_id AS "offset", {CENTS} AS value FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id DESC) = 1
 """)
 def q_compact(spark, sf):
@@ -330,7 +330,7 @@ def q_compact(spark, sf):
 
 
 @query("""
-SELECT event_type AS topic, user_id % 4 AS partition, event_id AS "offset" FROM events
+SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset" FROM events
 WHERE NOT (event_type = 'click' AND user_id % 4 = 0 AND event_id < 500)
   AND NOT (event_type = 'error' AND user_id % 4 = 3 AND event_id < 900)
 """)

@@ -14,7 +14,7 @@ from tideway.sources import positions as P
 from tideway.sources.adapters import events, raw
 from tideway.sources.topics import TopicDataset
 
-EV = """ev AS (SELECT event_type AS topic, user_id % 4 AS partition, event_id AS "offset", ts, user_id AS key, value FROM events)"""
+EV = """ev AS (SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset", ts, user_id AS key, value FROM events)"""
 
 
 def dataset(spark, value_type: str = "bigint") -> TopicDataset:
@@ -120,7 +120,7 @@ def routed(record):
 
 
 @query(f"""
-SELECT CASE WHEN {CENTS} >= 5000 THEN 'big-' || event_type ELSE 'small' END AS topic, user_id % 4 AS partition,
+SELECT CASE WHEN {CENTS} >= 5000 THEN 'big-' || event_type ELSE 'small' END AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
        CAST(count(*) AS BIGINT) AS records, CAST(sum({CENTS}) AS BIGINT) AS total, CAST(0 AS BIGINT) AS first,
        CAST(count(*) AS BIGINT) AS last
 FROM events GROUP BY 1, 2
@@ -135,7 +135,7 @@ def q_sink_select(spark, sf):
 
 
 @query(f"""
-SELECT event_id AS key, user_id % 3 AS partition, row_number() OVER (PARTITION BY user_id % 3 ORDER BY ts, event_id) - 1 AS "offset",
+SELECT event_id AS key, CAST(user_id % 3 AS INTEGER) AS partition, row_number() OVER (PARTITION BY user_id % 3 ORDER BY ts, event_id) - 1 AS "offset",
        {CENTS} AS value FROM events
 """)
 def q_produce_offsets(spark, sf):
