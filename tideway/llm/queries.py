@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideway.llm import chat, hamming, lines, minhash, mixing, packing, topk, toxicity
+from tideway.llm import chat, hamming, lines, minhash, mixing, packing, suffixes, topk, toxicity
 from tideway.llm.common import table
 from tideway.llm.registry import query
 
@@ -113,3 +113,10 @@ SELECT * FROM r WHERE rank <= 20
 def op10_uniform_threshold(spark, sf_dir):
     """The 20 best inner products of every twentieth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op8_difference_cover(spark, sf_dir):
+    """Every document without the passages of 200 bytes that occur elsewhere."""
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
