@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideway.llm import chat, hamming, lines, minhash, mixing, packing, suffixes, topk, toxicity
+from tideway.llm import chat, hamming, lines, minhash, mixing, packing, pii, suffixes, topk, toxicity
 from tideway.llm.common import table
 from tideway.llm.registry import query
 
@@ -120,3 +120,9 @@ def op8_difference_cover(spark, sf_dir):
     """Every document without the passages of 200 bytes that occur elsewhere."""
     cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op3_contextual_pii(spark, sf_dir):
+    """Personal data in every document."""
+    return pii.spans(table(spark, sf_dir, "documents"))
