@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tideway.llm import chat, hamming, lines, minhash, mixing, packing, pii, suffixes, topk, toxicity
 from tideway.llm.common import table
-from tideway.llm.registry import query
+from tideway.llm.registry import ORACLES, QUERIES, query
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def word_tokenizer() -> str:
