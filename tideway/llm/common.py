@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,32 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def forest(near: np.ndarray) -> np.ndarray:
+    """Smallest index reachable by the links of a symmetric matrix."""
+    label = np.arange(len(near))
+    while True:
+        lower = np.minimum(label, np.where(near, label, len(near)).min(axis=1, initial=len(near)))
+        lower = lower[lower]
+        if (lower == label).all():
+            return label
+        label = lower
+
+
+def sorted_groups(batches, key: list[str]):
+    """Whole groups from batches sorted by key."""
+    held = None
+    for batch in batches:
+        batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        starts = np.flatnonzero((batch[key] != batch[key].shift()).any(axis=1).to_numpy())
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield batch.iloc[a:b]
+        held = batch.iloc[starts[-1]:]
+    if held is not None and len(held):
+        yield held
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
                         .alias("e")).select("e.a", "e.b")
@@ -66,12 +94,13 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select("b", "b").distinct())
 
 
-def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Connected classes (id, component) of ids that share a bucket and pass `verify`. `buckets` has (key, id).
 
     First the ids of each bucket are checked against its smallest and its largest id, so that a bucket of m near copies costs 2m checks
     and not m². Ids still outside the class of the smallest one are then checked against every id of the bucket in another
-    class, so no link between classes is lost. `verify` takes distinct pairs (a, b) and returns those that hold.
+    class, so no link between classes is lost. `verify` takes distinct pairs (a, b) and returns those that hold. With `settle`, buckets
+    with ids outside are not turned into pairs but handed over as rows (key, id), for links (a, b) that join all that is linked in them.
     """
     shared = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
     shared = shared.where("first < last").select("key", "first", "last")
@@ -89,8 +118,11 @@ def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFr
     classed = written(classed.select("key", "id", "component").join(heads, "key"), "classed")
     outside = classed.where("component <> head")
     inside = classed.join(outside.select("key").distinct(), "key", "left_semi")
-    rest = (outside.select("key", F.col("id").alias("x"), F.col("component").alias("mine"))
-            .join(inside.select("key", F.col("id").alias("y"), F.col("component").alias("other"), "head"), "key")
-            .where("mine <> other and (other = head or x < y)").select(*ordered("x", "y")).distinct().join(tried, ["a", "b"], "left_anti"))
-    more = written(verify(written(rest, "rest")).select("a", "b"), "links")
+    if settle is not None:
+        more = written(settle(inside.select("key", "id")).select("a", "b"), "links")
+    else:
+        rest = (outside.select("key", F.col("id").alias("x"), F.col("component").alias("mine"))
+                .join(inside.select("key", F.col("id").alias("y"), F.col("component").alias("other"), "head"), "key")
+                .where("mine <> other and (other = head or x < y)").select(*ordered("x", "y")).distinct().join(tried, ["a", "b"], "left_anti"))
+        more = written(verify(written(rest, "rest")).select("a", "b"), "links")
     return classes if more.isEmpty() else components(links.union(more))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideway.llm.common import components, written
+from tideway.llm.common import components, forest, sorted_groups, written
 from tideway.llm.topk import finite
 
 
@@ -49,32 +49,6 @@ def _unit(vectors) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _forest(near: np.ndarray) -> np.ndarray:
-    """Smallest index reachable by the links of a symmetric matrix."""
-    label = np.arange(len(near))
-    while True:
-        lower = np.minimum(label, np.where(near, label, len(near)).min(axis=1, initial=len(near)))
-        lower = lower[lower]
-        if (lower == label).all():
-            return label
-        label = lower
-
-
-def _groups(batches, key: list[str]):
-    """Whole groups from batches sorted by key."""
-    held = None
-    for batch in batches:
-        batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        if not len(batch):
-            continue
-        starts = np.flatnonzero((batch[key] != batch[key].shift()).any(axis=1).to_numpy())
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            yield batch.iloc[a:b]
-        held = batch.iloc[starts[-1]:]
-    if held is not None and len(held):
-        yield held
-
-
 def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, sample: int = 10_000, bits: int = 64, width: int = 16, rotations: int = 3,
                     block_rows: int = 1024) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of `vectors` (vec_id, embedding).
@@ -127,7 +101,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, sample: int
 
     def alive(batches):
         """Rows of a bucket with another one whose whole code is near."""
-        for g in _groups(batches, group):
+        for g in sorted_groups(batches, group):
             if len(g) < 2:
                 continue
             keys = np.stack(g["keys"].to_numpy()).astype(np.int64)
@@ -143,7 +117,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, sample: int
     found = written(found.select("id", "t", "key", "i", "j", "mine", "n", "keys"), "alive")
 
     def verify(batches):
-        for g in _groups(batches, group):
+        for g in sorted_groups(batches, group):
             if len(g) < 2:
                 continue
             keys, t = np.stack(g["keys"].to_numpy()), g["t"].iloc[0]
@@ -154,7 +128,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, sample: int
                 fresh &= keys[:, None, c] != keys[None, :, c]
             order = np.argsort(ids)
             label = np.empty(len(ids), dtype=np.int64)
-            label[order] = ids[order][_forest(near[np.ix_(order, order)])]
+            label[order] = ids[order][forest(near[np.ix_(order, order)])]
             if near.any():
                 yield pd.DataFrame({"id": ids, "links": fresh @ n, "least": label})
 

@@ -5,8 +5,8 @@ are fewer words. One permutation (a 64-bit mixing of the shingle's hash, of whic
 circularly shifted by k, gives the k-th signature coordinate. Documents that agree in all rows of a band are candidates: at similarity 0.8 thirty-two
 bands of five rows miss 3 in a million. Candidates are confirmed on their full sets.
 
-Documents with equal sets become one class before anything else. Within a band, classes are checked against few leaders first and only those that are still
-apart against each other (see `common.link`). Null, empty and blank texts have no shingles and link with nothing. Repeated doc_ids are rows of
+Documents with equal sets become one class before anything else. Within a band, classes are checked against few leaders first; bands in which some are still apart are
+compared block by block in tasks that return a forest of links (see `common.link`). Null, empty and blank texts have no shingles and link with nothing. Repeated doc_ids are rows of
 their own but share the smallest id of their group; a null doc_id counts as greater than all others. Extra columns are ignored.
 """
 
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideway.llm.common import link, written
+from tideway.llm.common import forest, link, sorted_groups, written
 
 BANDS, ROWS = 32, 5
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -71,7 +71,7 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, block_sets: int = 128) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, row): one row per row of `docs`; `kept` holds for the row that stands for its group."""
 
     def sign(batches):
@@ -95,6 +95,8 @@ def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int =
         signed.where("n > 0").groupBy(*of_set).agg(F.min(F.struct("row", "doc_id", "t", "keys")).alias("one"))
         .select(*of_set, F.col("one.row").alias("id"), F.col("one.doc_id").alias("doc_id"), F.col("one.t").alias("t"), F.col("one.keys").alias("keys")), "sets")
 
+    full_sets: dict[str, DataFrame] = {}
+
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         wanted = classes.select("id", "doc_id", "t").join(wanted, "id").withColumnRenamed("doc_id", "d")
@@ -103,7 +105,8 @@ def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int =
             for batch in batches:
                 yield pd.DataFrame({"id": batch["id"], "s": [shingles(x, shingle).view(np.int64) for x in batch["text"]]})
 
-        sets = written(
+        # every id that shares a bucket is in a first pair, so this is all that is ever needed
+        sets = full_sets["sets"] = written(
             text.join(wanted, (text["t"] == wanted["t"]) & text["doc_id"].eqNullSafe(wanted["d"])).select("id", "text")
             .dropDuplicates(["id"]).mapInPandas(full, "id long, s array<long>"), "full")
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(
@@ -113,7 +116,42 @@ def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int =
         return both.where(F.least(F.size("x"), F.size("y")) * 100 >= percent * F.greatest(F.size("x"), F.size("y"))).where(
             100 * common >= percent * (sizes - common)).select("a", "b")
 
-    linked = link(classes.select(F.explode("keys").alias("key"), "id"), verify)
+    block = ["key", "i", "j"]
+
+    def compare(batches):
+        """Links within a block, or between two blocks, of a bucket: all intersections at once, and of the links a forest."""
+        for g in sorted_groups(batches, block):
+            sizes = g["s"].map(len).to_numpy()
+            _, code, counts = np.unique(np.concatenate(g["s"].to_numpy()), return_inverse=True, return_counts=True)
+            row, shared = np.repeat(np.arange(len(g)), sizes), counts > 1
+            column = np.cumsum(shared) - 1
+            common = np.zeros((len(g), len(g)), dtype=np.float32)
+            keep = shared[code]
+            row, code = row[keep], column[code[keep]]
+            order = np.argsort(code, kind="stable")
+            row, code = row[order], code[order]
+            for at in range(0, int(shared.sum()), 4096):
+                a, b = np.searchsorted(code, [at, at + 4096])
+                part = np.zeros((len(g), 4096), dtype=np.float32)
+                part[row[a:b], code[a:b] - at] = 1
+                common += part @ part.T
+            near = 100 * common.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :] - common.astype(np.int64))
+            mine = g["mine"].to_numpy()
+            near &= ~np.eye(len(g), dtype=bool) if g["i"].iloc[0] == g["j"].iloc[0] else mine[:, None] != mine[None, :]
+            if near.any():
+                ids = g["id"].to_numpy()
+                yield pd.DataFrame({"a": ids, "b": ids[forest(near)]})
+
+    def settle(rows: DataFrame) -> DataFrame:
+        """Buckets in blocks of `block_sets` sets, every two of them in a task of their own: no pair leaves its task unless it is needed."""
+        blocks = F.ceil(F.col("m") / block_sets).cast("int")
+        dealt = rows.join(rows.groupBy("key").agg(F.count("*").alias("m")), "key").select(
+            "key", "id", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        dealt = dealt.select("key", "id", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+        return (dealt.join(full_sets["sets"], "id").repartition(*block).sortWithinPartitions(*block)
+                .mapInPandas(compare, "a long, b long").where("a <> b"))
+
+    linked = link(classes.select(F.explode("keys").alias("key"), "id"), verify, settle)
     sets = classes.select(*of_set, "id").join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows_ = signed.select("doc_id", "row", *of_set)
     whole = rows_.where("n > 0").join(sets.select(*of_set, "component"), of_set)

@@ -27,8 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideway.llm.common import written
-from tideway.llm.hamming import _groups
+from tideway.llm.common import sorted_groups, written
 from tideway.session import fresh_path
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -196,7 +195,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, chunk_bytes: int = 2_0
                     yield pd.DataFrame({"bucket": [b for b, _ in blobs], "chunk": row["chunk"], "blob": [x for _, x in blobs]})
 
         def compare(batches):
-            for g in _groups(batches, ["bucket"]):
+            for g in sorted_groups(batches, ["bucket"]):
                 blobs = [np.frombuffer(x, dtype=np.uint8).reshape(-1, width) for x in g["blob"]]
                 values = np.zeros((sum(map(len, blobs)), 8), dtype=np.uint8)
                 values[:, :width] = np.concatenate(blobs)
