@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tideway.llm.common import written
 
 # Letters of other scripts that look like Latin ones, and characters used in their place.
-LOOK_ALIKES = dict(zip("авеԁіјкмнорԛѕтуԝхһαβεικνορτυχγ", "abedijkmhopqstywxhabeiknoptuxy"))
+LOOK_ALIKES = dict(zip("авеԁіјкмнорԛсѕтуԝхһαβεικνορτυχγ", "abedijkmhopqcstywxhabeiknoptuxy"))
 SUBSTITUTES = {"0": "o", "1": "i", "l": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
 INVISIBLE = "­​‌‍⁠﻿"
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "idiot proof", "loser bracket", "stupid simple")
