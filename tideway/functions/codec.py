@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -14,21 +14,18 @@ from pyspark.sql.types import BinaryType, DataType, DoubleType, StructType
 FORMATS = ("boolean", "byte-array", "byte-buffer", "double", "integer", "keyword", "long", "string")
 
 
-@F.pandas_udf(BinaryType())
-def _double_to_bytes(s: pd.Series) -> pd.Series:
-    present = s.notna().to_numpy()
-    raw = s.fillna(0.0).to_numpy(dtype=">f8").tobytes()
-    return pd.Series([raw[8 * i:8 * i + 8] if ok else None for i, ok in enumerate(present)], dtype=object)
+@F.arrow_udf(BinaryType())
+def _double_to_bytes(a: pa.Array) -> pa.Array:
+    data = a.fill_null(0.0).to_numpy(zero_copy_only=False).astype(">f8").tobytes()
+    fixed = pa.Array.from_buffers(pa.binary(8), len(a), [None, pa.py_buffer(data)]).cast(pa.binary())
+    return pc.if_else(a.is_null(), pa.scalar(None, pa.binary()), fixed)
 
 
-@F.pandas_udf(DoubleType())
-def _double_from_bytes(s: pd.Series) -> pd.Series:
-    present = s.notna()
-    out = pd.Series(np.nan, index=s.index, dtype="Float64")
-    out[:] = pd.NA
-    if present.any():
-        out[present] = np.frombuffer(b"".join(s[present]), dtype=">f8").astype("f8")
-    return out
+@F.arrow_udf(DoubleType())
+def _double_from_bytes(a: pa.Array) -> pa.Array:
+    data = b"".join(a.fill_null(bytes(8)).to_pylist())
+    values = np.frombuffer(data, dtype=">f8").astype("f8")
+    return pa.array(values, type=pa.float64(), mask=a.is_null().to_numpy(zero_copy_only=False))
 
 
 def decoded(c: Column, format: str) -> Column:

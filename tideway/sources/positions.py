@@ -7,7 +7,6 @@ return a frame, so selections reach the scan as filters on `topic`, `partition`
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 from tideway.functions import scans as S
 from tideway.record import INTERNAL_TOPIC
 
-INLINE = 256  # a position map up to this long is written into the filter, a longer one is joined
 POSITIONS = "topic string, partition int, offset bigint"
 
 
@@ -62,14 +60,7 @@ def positions(spark: SparkSession, offsets) -> DataFrame:
 
 
 def _bounded(df: DataFrame, offsets, keep, others: bool) -> DataFrame:
-    """Rows for which `keep(offset column, bound)` holds; partitions without a bound stay if `others`."""
-    if isinstance(offsets, Mapping) and len(offsets) <= INLINE:
-        here = [(F.col("topic") == t) & (F.col("partition") == p) for t, p in offsets]
-        named = reduce(lambda a, b: a | b, here, F.lit(False))
-        inside = reduce(lambda a, b: a | b, [
-            h & keep(F.col("offset"), F.lit(o)) for h, o in zip(here, offsets.values())
-        ], F.lit(False))
-        return df.filter(inside | ~named) if others else df.filter(inside)
+    """Rows for which `keep(offset column, bound)` holds; where that is unknown, for want of a bound or an offset, they stay if `others`."""
     bounds = positions(df.sparkSession, offsets).withColumnRenamed("offset", "_bound")
     joined = df.join(bounds, ["topic", "partition"], "left" if others else "inner")
     inside = keep(F.col("offset"), F.col("_bound"))
@@ -86,6 +77,11 @@ def read_slice(df: DataFrame, start, end) -> DataFrame:
     return _bounded(_bounded(df, start, lambda o, b: o >= b, False), end, lambda o, b: o < b, False)
 
 
+def read_until(df: DataFrame, end) -> DataFrame:
+    """Records with offset < end, for the partitions named in the map."""
+    return _bounded(df, end, lambda o, b: o < b, False)
+
+
 def beginning_offsets(df: DataFrame) -> DataFrame:
     return df.groupBy("topic", "partition").agg(F.min("offset").alias("offset"))
 

@@ -97,6 +97,8 @@ class TopicDataset:
             df = P.subscribe(df, source)
         if start is not None:
             df = P.read_batch(df, start, end)
+        elif end is not None:
+            df = P.read_until(df, end)
         return P.extract_timestamp(df, extract_timestamp) if extract_timestamp else df
 
     def stream(self, source=None, **options) -> Stream:
