@@ -125,4 +125,7 @@ def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: C
                 .join(inside.select("key", F.col("id").alias("y"), F.col("component").alias("other"), "head"), "key")
                 .where("mine <> other and (other = head or x < y)").select(*ordered("x", "y")).distinct().join(tried, ["a", "b"], "left_anti"))
         more = written(verify(written(rest, "rest")).select("a", "b"), "links")
-    return classes if more.isEmpty() else components(links.union(more))
+    if more.isEmpty():
+        return classes
+    # the classes so far are a forest of all earlier links
+    return components(classes.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
