@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
 from check import TABLES, rows_of  # noqa: E402
+from tideway.plans import ORACLES, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
