@@ -119,7 +119,8 @@ def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int =
     block = ["key", "i", "j"]
 
     def compare(batches):
-        """Links within a block, or between two blocks, of a bucket: all intersections at once, and of the links a forest."""
+        """Links within a block, or between two blocks, of a bucket: all intersections at once. Of the links between classes known so far
+        a forest is returned, as links of the ids that name the classes; links within a class tell nothing new."""
         for g in sorted_groups(batches, block):
             sizes = g["s"].map(len).to_numpy()
             _, code, counts = np.unique(np.concatenate(g["s"].to_numpy()), return_inverse=True, return_counts=True)
@@ -137,19 +138,25 @@ def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int =
                 common += part @ part.T
             near = 100 * common.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :] - common.astype(np.int64))
             mine = g["mine"].to_numpy()
-            near &= ~np.eye(len(g), dtype=bool) if g["i"].iloc[0] == g["j"].iloc[0] else mine[:, None] != mine[None, :]
-            if near.any():
-                ids = g["id"].to_numpy()
-                yield pd.DataFrame({"a": ids, "b": ids[forest(near)]})
+            if g["i"].iloc[0] != g["j"].iloc[0]:
+                near &= mine[:, None] != mine[None, :]
+            names, of = np.unique(g["component"].to_numpy(), return_inverse=True)
+            a, b = np.nonzero(near & (of[:, None] != of[None, :]))
+            if len(a):
+                joined = np.zeros((len(names), len(names)), dtype=bool)
+                joined[of[a], of[b]] = True
+                root = forest(joined)
+                moved = np.flatnonzero(root != np.arange(len(names)))
+                yield pd.DataFrame({"a": names[moved], "b": names[root[moved]]})
 
     def settle(rows: DataFrame) -> DataFrame:
         """Buckets in blocks of `block_sets` sets, every two of them in a task of their own: no pair leaves its task unless it is needed."""
         blocks = F.ceil(F.col("m") / block_sets).cast("int")
         dealt = rows.join(rows.groupBy("key").agg(F.count("*").alias("m")), "key").select(
-            "key", "id", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        dealt = dealt.select("key", "id", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+            "key", "id", "component", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        dealt = dealt.select("key", "id", "component", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
         return (dealt.join(full_sets["sets"], "id").repartition(*block).sortWithinPartitions(*block)
-                .mapInPandas(compare, "a long, b long").where("a <> b"))
+                .mapInPandas(compare, "a long, b long"))
 
     linked = link(classes.select(F.explode("keys").alias("key"), "id"), verify, settle)
     sets = classes.select(*of_set, "id").join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
