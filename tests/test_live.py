@@ -8,6 +8,7 @@ from tideway.functions import codec, folds
 from tideway.operators import stores, upkeep
 from tideway.operators.processors import Context
 from tideway.operators.stream import Stream
+from tideway.operators.table import Table
 from tideway.session import fresh_path
 from tideway.sources import positions as P
 from tideway.sources.topics import TopicDataset, connector
@@ -223,6 +224,68 @@ def test_read_stream_of_a_topic_and_metrics(spark):
     assert metrics.filter("group = 'query' AND name = 'numInputRows'").agg(F.sum("value")).first()[0] == 2
 
 
+def test_two_streams_into_one_topic(spark):
+    topics = TopicDataset(spark, fresh_path(spark, "topics"), "string", "bigint")
+    for rows in ([("a", 1, 1), ("b", 2, 2)], [("c", 1, 3)]):
+        topics.stream_sink(file_stream(spark, [rows])[0], fresh_path(spark, "checkpoint")).awaitTermination()
+    assert got(topics.read(), "key", "offset") == [("a", 0), ("b", 1), ("c", 2)]
+
+
+def test_offsets_go_on_after_pruning_and_aborts(spark):
+    topics = TopicDataset(spark, fresh_path(spark, "topics"), "string", "bigint")
+    topics.produce(records(spark, [("a", 1, 1), ("b", 2, 2)]))
+    topics.commit_offsets("g", topics.read())
+    topics.rewrite(upkeep.delete_records_before(topics.read(), {("t", 0): 2}))
+    assert topics.read().count() == 0
+    assert got(topics.beginning_offsets(), "offset") == got(topics.end_offsets(), "offset") == [(2,)]
+    lost = topics.transaction()
+    lost.produce(records(spark, [("x", 1, 1)]))
+    lost.abort()
+    topics.produce(records(spark, [("c", 3, 3)]))
+    assert got(topics.read_uncommitted_by("g"), "key", "offset") == [("c", 2)]
+    # the committed record has the offset of the aborted one and is not taken for its repetition
+    again = run.run_to_files(topics.read_stream("t", max_files=1, deduplicate="1 hour").select("key", "offset"))
+    assert got(again.filter("offset = 2"), "key") == [("c",), ("x",)]
+
+
+def test_committed_stream(spark):
+    """Aborted, unpublished and rewritten records do not come; published ones come once."""
+    topics = TopicDataset(spark, fresh_path(spark, "topics"), "string", "bigint")
+    path, checkpoint = fresh_path(spark, "out"), fresh_path(spark, "checkpoint")
+    sink = lambda batch, i: batch.write.mode("overwrite").parquet(f"{path}/batch={i}")
+    start = lambda: topics.stream_committed(sink, checkpoint, "t").awaitTermination()
+    send = lambda txn, *keys: txn.produce(records(spark, [(k, 1, 1) for k in keys]))
+    lost, open_ = topics.transaction(), topics.transaction()
+    send(lost, "x")
+    lost.abort()
+    send(open_, "later")
+    topics.produce(records(spark, [("a", 1, 1), ("a", 2, 2)]))
+    topics.rewrite(upkeep.compact_topic(topics.read()))
+    start()
+    assert got(spark.read.parquet(path), "key", "value") == [("a", 2)]
+    open_.commit()
+    topics.produce(records(spark, [("b", 1, 1)]))
+    topics.rewrite(upkeep.compact_topic(topics.read()))
+    start()
+    start()
+    assert got(spark.read.parquet(path), "key") == [("a",), ("b",), ("later",)]
+
+
+def test_table_joins_keep_records_of_one_place(spark):
+    """Flat-mapped records share topic, partition, offset and time."""
+    split = lambda k, v: F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.struct(k.alias("key"), (v + i).alias("value")))
+    left = [[("a", 2, 10), ("a", 2, 20)], [("a", 6, 30)], END]
+    stream = lambda: Stream(file_stream(spark, left)[0]).fmap_kv(split)
+    table = Table(file_stream(spark, [[("a", 1, 7)], [("a", 4, 8)], END])[0])
+    joined = stream().left_join_table(table, lambda v, t: F.struct(v.alias("v"), t.alias("t")))
+    rows = run.run_to_files(joined.df.select("key", "value.*")).filter("key = 'a'")
+    assert got(rows, "v", "t") == sorted([(10 + i, 7) for i in (1, 2, 3)] + [(20 + i, 7) for i in (1, 2, 3)] + [(30 + i, 8) for i in (1, 2, 3)], key=repr)
+    right = file_stream(spark, [[("b", 2, 1)], [("a", 3, 1)], END])[0]
+    eager = stateful.eager_left_join(stream().df, right, lambda l, r: F.struct(l.alias("l"), r.alias("r")), "2 seconds")
+    pairs = run.run_to_files(eager.select("key", "value.*")).filter("key = 'a' and r is not null")
+    assert got(pairs, "l") == [(10 + i,) for i in (1, 2, 3)] + [(20 + i,) for i in (1, 2, 3)]
+
+
 def test_topic_selection_errors(spark):
     df = records(spark, [("a", 1, 1)])
     with pytest.raises(ValueError):

@@ -12,8 +12,10 @@ One writer at a time per dataset.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ from tideway.sources import positions as P
 MANIFEST = """txn string, part string, state string, generation int, at bigint,
     ends array<struct<topic:string,partition:int,offset:bigint>>,
     positions array<struct<group:string,topic:string,partition:int,offset:bigint>>"""
+REWRITE = "rewrite-"  # begins the names of transactions that replace the content
 PROGRESS = "group string, topic string, partition int, offset bigint, seq bigint"
 
 
@@ -119,12 +122,14 @@ class TopicDataset:
     def read_stream(self, source=None, *, start=None, policy: str = "earliest", max_files: int | None = None,
                     deduplicate: str | None = None, extract_timestamp=None) -> DataFrame:
         """Endless read of the records as they are written, from `start` positions or where `policy` says (`latest` =
-        only what is written from now on). A batch that was replayed after a crash may be seen twice; `deduplicate` =
-        how far back (e.g. "1 hour") to drop repeated (topic, partition, offset)."""
+        only what is written from now on). This is an uncommitted read: records of aborted transactions and those written again by `rewrite`
+        are seen too (`stream_committed` gives published ones, once). A batch that was replayed after a crash may be seen twice;
+        `deduplicate` = how far back (e.g. "1 hour") to drop records of one transaction with the same (topic, partition, offset); an
+        aborted record, whose offset is given out again, does not displace the later one."""
         reader = self.spark.readStream.schema(self.schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        df = reader.parquet(f"{self.path}/data").drop("part")
+        df = reader.parquet(f"{self.path}/data")
         if source is not None:
             df = P.subscribe(df, source)
         if start is None and policy == "latest":
@@ -134,15 +139,43 @@ class TopicDataset:
             df = P.seek(df, start)
         if deduplicate:
             df = df.withWatermark("timestamp", deduplicate).dropDuplicatesWithinWatermark(
-                ["topic", "partition", "offset"])
+                ["part", "topic", "partition", "offset"])
+        df = df.drop("part")
         return P.extract_timestamp(df, extract_timestamp) if extract_timestamp else df
 
+    def stream_committed(self, sink: Callable[[DataFrame, int], None], checkpoint: str, source=None, *, max_transactions: int | None = None,
+                         available_now: bool = True):
+        """Start a query that calls `sink(records, batch_id)` with the records of every published transaction, once and never before it is
+        published. Aborted ones do not come, and what a `rewrite` leaves does not come again: only the first batch takes the last rewritten
+        content it finds in place of what that superseded. `max_transactions` limits the transactions of a batch."""
+        def route(published: DataFrame, batch_id: int):
+            rows = published.filter("state = 'committed' and part is not null")
+            rewritten = F.col("txn").startswith(REWRITE)
+            if batch_id == 0:
+                newest = rows.agg(F.max("generation")).first()[0]
+                rows = rows.filter(F.col("generation") == F.lit(newest))
+            else:
+                rows = rows.filter(~rewritten)
+            df = self._read("data", self.schema).join(rows.select("part"), "part", "left_semi").drop("part")
+            sink(P.subscribe(df, source) if source is not None else df, batch_id)
+
+        reader = self.spark.readStream.schema(MANIFEST)
+        if max_transactions:
+            reader = reader.option("maxFilesPerTrigger", max_transactions)
+        writer = reader.parquet(f"{self.path}/manifest").writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
     def end_offsets(self) -> DataFrame:
-        """End offsets from the manifest alone, without reading records."""
-        ends = self.manifest().filter((F.col("state") == "committed") & (F.col("generation") == self._generation()))
-        return (ends.select(F.explode("ends").alias("e")).select("e.*")
+        """End offsets from the manifest alone, without reading records. They only grow, also where records were pruned or compacted away."""
+        return (self.manifest().filter("state = 'committed'").select(F.explode("ends").alias("e")).select("e.*")
                 .groupBy("topic", "partition").agg(F.max("offset").alias("offset")))
 
+    def beginning_offsets(self) -> DataFrame:
+        """First offset per partition; for one that has been emptied, its end."""
+        first = P.beginning_offsets(self.records()).withColumnRenamed("offset", "_first")
+        return self.end_offsets().join(first, ["topic", "partition"], "left").select(
+            "topic", "partition", F.coalesce("_first", "offset").alias("offset"))
+
     # -- writing -----------------------------------------------------------------------------
 
     def transaction(self, txn: str | None = None) -> Transaction:
@@ -153,10 +186,13 @@ class TopicDataset:
         with self.transaction() as txn:
             return txn.produce(df, **options)
 
-    def stream_sink(self, df: DataFrame, checkpoint: str, name: str = "sink", available_now: bool = True, **options):
-        """Start a query that appends a stream, one transaction per micro-batch; replays publish nothing twice."""
+    def stream_sink(self, df: DataFrame, checkpoint: str, name: str | None = None, available_now: bool = True, **options):
+        """Start a query that appends a stream, one transaction per micro-batch; replays publish nothing twice. Transactions are named
+        after the query's id, which stays with its checkpoint: another query, or this one with a new checkpoint, has its own. A `name` given
+        instead must be of this query and checkpoint alone."""
         def write(batch: DataFrame, batch_id: int):
-            with self.transaction(f"{name}-{batch_id}") as txn:
+            query = name or json.loads(self.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+            with self.transaction(f"{query}-{batch_id}") as txn:
                 txn.produce(batch, **options)
 
         writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -164,7 +200,7 @@ class TopicDataset:
 
     def rewrite(self, df: DataFrame) -> None:
         """Publish `df` (records with their offsets) as the whole content of the dataset."""
-        txn = self.transaction()
+        txn = self.transaction(f"{REWRITE}{uuid.uuid4().hex}")
         txn.write(df)
         txn.commit(generation=self._generation() + 1)
 

@@ -33,51 +33,69 @@ def _watermarked(df: DataFrame, retention) -> DataFrame:
 
 
 class _AsOf(StatefulProcessor):
-    """Table updates and stream records by time; records are answered once the watermark is past them."""
+    """Table updates and stream records by time; records are answered once the watermark is past them. Of the updates of one moment
+    the last one counts. Records of one moment are held in a list: after flat maps, joins and merges several have one place."""
 
     def __init__(self, record: T.StructType, update: T.StructType):
         self.record, self.update = record, update
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        at = _struct(("us", T.LongType()), ("tie", T.LongType()))
-        self.updates = handle.getMapState("updates", at, _struct(("row", self.update)))
-        self.waiting = handle.getMapState("waiting", at, _struct(("row", self.record)))
+        at = _struct(("us", T.LongType()))
+        self.updates = handle.getMapState("updates", at, _struct(("place", T.StringType()), ("row", self.update)))
+        self.waiting = handle.getMapState("waiting", at, _struct(("rows", T.ArrayType(self.record))))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        updates: dict[int, tuple] = {}
+        fresh: dict[int, list] = {}
         for row in rows:
-            if row["_side"] == 0:
-                self.updates.updateValue((row["_us"], row["_tie"]), (row["_update"],))
-            else:
-                self.waiting.updateValue((row["_us"], row["_tie"]), (row["_record"],))
-                self.handle.registerTimer(row["_us"] // 1000 + 1)
+            us = row["_us"]
+            if row["_side"] == 1:
+                fresh.setdefault(us, []).append(row["_record"])
+            elif us not in updates or updates[us][0] <= row["_place"]:
+                updates[us] = row["_place"], row["_update"]
+        for us, (place, update) in updates.items():
+            if not self.updates.containsKey((us,)) or self.updates.getValue((us,))[0] <= place:
+                self.updates.updateValue((us,), (place, update))
+        for us, records in fresh.items():
+            held = list(self.waiting.getValue((us,))[0]) if self.waiting.containsKey((us,)) else []
+            self.waiting.updateValue((us,), (held + records,))
+            self.handle.registerTimer(us // 1000 + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        due = sorted((tuple(k), v[0]) for k, v in self.waiting.iterator() if k[0] < until)
+        by_time = lambda e: e[0]
+        due = sorted(((k[0], list(v[0])) for k, v in self.waiting.iterator() if k[0] < until), key=by_time)
         if not due:
             return
-        known = sorted((tuple(k), v[0]) for k, v in self.updates.iterator() if k[0] < until)
+        known = sorted(((k[0], v[1]) for k, v in self.updates.iterator() if k[0] < until), key=by_time)
         i = 0
-        for (us, tie), record in due:
-            while i < len(known) and known[i][0][0] <= us:
+        for us, records in due:
+            while i < len(known) and known[i][0] <= us:
                 i += 1
-            yield Row(key=key[0], _record=record, _seen=known[i - 1][1] if i else None)
-            self.waiting.removeKey((us, tie))
-        for at, _ in known[:-1]:  # the last one may still answer later records
-            self.updates.removeKey(at)
+            for record in records:
+                yield Row(key=key[0], _record=record, _seen=known[i - 1][1] if i else None)
+            self.waiting.removeKey((us,))
+        for us, _ in known[:-1]:  # the last one may still answer later records
+            self.updates.removeKey((us,))
+
+
+def _place(df: DataFrame):
+    """The place of a record as text that sorts by topic, partition, offset and position; unknown parts sort first."""
+    number = lambda c: F.lpad(F.coalesce(c.cast("string"), F.lit("")), 19, "0")
+    inner = [F.array_join(F.transform("_pos", number), ",")] if "_pos" in df.columns else []
+    return F.concat_ws("\u0001", F.coalesce("topic", F.lit("")), number(F.col("partition")), number(F.col("offset")), *inner)
 
 
 def as_of_join(stream: DataFrame, changes: DataFrame, f, how: str, retention=DAY) -> DataFrame:
     meta = [c for c in stream.columns if c != "key"]
     record = F.struct(*meta).alias("_record")
     update = F.struct(F.col("value").alias("value")).alias("_update")
-    tie = lambda df: (F.col("partition").cast("bigint") * (1 << 48) + F.col("offset")).alias("_tie")
     left = stream.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select(
-        "key", "timestamp", F.lit(1).alias("_side"), tie(stream), record)
+        "key", "timestamp", F.lit(1).alias("_side"), record)
     right = changes.filter(F.col("key").isNotNull()).select(
-        "key", "timestamp", F.lit(0).alias("_side"), tie(changes), update)
+        "key", "timestamp", F.lit(0).alias("_side"), _place(changes).alias("_place"), update)
     rows = left.unionByName(right, allowMissingColumns=True)
     rows = _watermarked(rows, retention).withColumn("_us", F.unix_micros("timestamp"))
     record_type, update_type = left.schema["_record"].dataType, right.schema["_update"].dataType
@@ -224,21 +242,25 @@ class _EagerLeft(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        at = _struct(("us", T.LongType()), ("tie", T.LongType()))
-        self.sides = [handle.getMapState(n, at, _struct(("row", t))) for n, t in zip("lr", self.types)]
+        at = _struct(("us", T.LongType()))
+        self.sides = [handle.getMapState(n, at, _struct(("rows", T.ArrayType(t)))) for n, t in zip("lr", self.types)]
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = [{tuple(k): v[0] for k, v in s.iterator()} for s in self.sides]
-        for row in sorted(rows, key=lambda r: (r["_us"], r["_side"], r["_tie"])):
+        # lists per time: after flat maps, joins and merges several records have one place
+        held = [{k[0]: list(v[0]) for k, v in s.iterator()} for s in self.sides]
+        changed = set()
+        for row in sorted(rows, key=lambda r: (r["_us"], r["_side"], r["_place"])):
             side, us = row["_side"], row["_us"]
             mine = row["_r"] if side else row["_l"]
-            partners = [r for (t, _), r in held[1 - side].items() if abs(t - us) <= self.reach]
+            partners = [r for t, rs in held[1 - side].items() if abs(t - us) <= self.reach for r in rs]
             if side == 0 and not partners:
                 yield Row(key=key[0], l=mine, r=None)
             for other in partners:
                 yield Row(key=key[0], l=other if side else mine, r=mine if side else other)
-            held[side][us, row["_tie"]] = mine
-            self.sides[side].updateValue((us, row["_tie"]), (mine,))
+            held[side].setdefault(us, []).append(mine)
+            changed.add((side, us))
+        for side, us in changed:
+            self.sides[side].updateValue((us,), (held[side][us],))
             self.handle.registerTimer(us // 1000 + self.keep)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -256,7 +278,7 @@ def eager_left_join(left: DataFrame, right: DataFrame, f, interval, retention=DA
     def wrapped(df, side, name):
         return df.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select(
             "key", "timestamp", F.lit(side).alias("_side"),
-            (F.col("partition").cast("bigint") * (1 << 48) + F.col("offset")).alias("_tie"),
+            _place(df).alias("_place"),
             F.struct(*[c for c in df.columns if c != "key"]).alias(name))
 
     l, r = wrapped(left, 0, "_l"), wrapped(right, 1, "_r")
