@@ -100,8 +100,8 @@ def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: C
     First the ids of each bucket are checked against its smallest and its largest id, so that a bucket of m near copies costs 2m checks
     and not m². Ids still outside the class of the smallest one are then checked against every id of the bucket in another
     class, so no link between classes is lost. `verify` takes distinct pairs (a, b) and returns those that hold. With `settle`, buckets
-    with ids outside are not turned into pairs but handed over as rows (key, id, component), for links (a, b) of ids or components that join
-    all that is linked in them.
+    with ids outside are not turned into pairs but handed over as rows (key, id, component, head), head being the class of the
+    smallest id, for links (a, b) of ids or components that join all that is linked in them.
     """
     shared = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
     shared = shared.where("first < last").select("key", "first", "last")
@@ -120,7 +120,7 @@ def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: C
     outside = classed.where("component <> head")
     inside = classed.join(outside.select("key").distinct(), "key", "left_semi")
     if settle is not None:
-        more = written(settle(inside.select("key", "id", "component")).select("a", "b"), "links")
+        more = written(settle(inside.select("key", "id", "component", "head")).select("a", "b"), "links")
     else:
         rest = (outside.select("key", F.col("id").alias("x"), F.col("component").alias("mine"))
                 .join(inside.select("key", F.col("id").alias("y"), F.col("component").alias("other"), "head"), "key")

@@ -150,10 +150,15 @@ def groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int =
                 yield pd.DataFrame({"a": names[moved], "b": names[root[moved]]})
 
     def settle(rows: DataFrame) -> DataFrame:
-        """Buckets in blocks of `block_sets` sets, every two of them in a task of their own: no pair leaves its task unless it is needed."""
-        blocks = F.ceil(F.col("m") / block_sets).cast("int")
-        dealt = rows.join(rows.groupBy("key").agg(F.count("*").alias("m")), "key").select(
-            "key", "id", "component", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        """Buckets in blocks of `block_sets` sets, outside and inside the head's class apart. Every two blocks meet in a task of their own, but
+        for two of the head's class, whose sets are linked already: no pair leaves its task unless it is needed."""
+        out = F.col("component") != F.col("head")
+        blocks = [F.ceil(F.count_if(x) / block_sets).cast("int").alias(n) for x, n in ((out, "b_out"), (~out, "b_head"))]
+        here = F.xxhash64("id")
+        mine = F.when(out, F.pmod(here, "b_out")).otherwise(F.col("b_out") + F.pmod(here, "b_head")).cast("int")
+        last = F.col("b_out") - 1 + F.when(out, F.col("b_head")).otherwise(0)
+        dealt = rows.join(rows.groupBy("key").agg(*blocks), "key").select(
+            "key", "id", "component", mine.alias("mine"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
         dealt = dealt.select("key", "id", "component", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
         return (dealt.join(full_sets["sets"], "id").repartition(*block).sortWithinPartitions(*block)
                 .mapInPandas(compare, "a long, b long"))
