@@ -68,6 +68,35 @@ def test_lines(spark, docs, nothing, corpus):
     assert {r["doc_id"]: r["n_removed"] for r in lines.dedup(near).collect()} == {1: 0, 2: 1, 3: 0}
 
 
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        corner, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
+    return row[-1]
+
+
+def test_lines_recall(spark):
+    """Pairs with similarities from 0.8 up: whatever brute force links is linked."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(3000)]
+    pairs = []
+    for n in [*range(4, 31), 40, 60, 90]:
+        for _ in range(6):
+            base = rng.choices(vocabulary, k=n)
+            other = list(base)
+            for _ in range(rng.randint(1, max(1, n // 5))):
+                at, kind = rng.randrange(len(other)), rng.random()
+                other[at:at + (kind < 0.8)] = [] if 0.6 <= kind < 0.8 else [rng.choice(vocabulary)]
+            pairs.append((base, other))
+    rows = [(2 * k + side, " ".join(w)) for k, pair in enumerate(pairs) for side, w in enumerate(pair)]
+    near = [k for k, (a, b) in enumerate(pairs) if a == b or _distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedup(docs, most_bits=96).collect()}
+    assert len(near) > 150 and {k for k, n in got.items() if n} == {2 * k + 1 for k in near}
+
+
 def test_packing(docs, nothing, corpus):
     from tokenizers import Tokenizer
 

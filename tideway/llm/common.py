@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideway.session import fresh_path
@@ -94,14 +94,16 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select("b", "b").distinct())
 
 
-def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame], DataFrame] | None = None,
+         facts: DataFrame | None = None, alike: Callable[[str, str], Column] | None = None) -> DataFrame:
     """Connected classes (id, component) of ids that share a bucket and pass `verify`. `buckets` has (key, id).
 
     First the ids of each bucket are checked against its smallest and its largest id, so that a bucket of m near copies costs 2m checks
     and not m². Ids still outside the class of the smallest one are then checked against every id of the bucket in another
     class, so no link between classes is lost. `verify` takes distinct pairs (a, b) and returns those that hold. With `settle`, buckets
     with ids outside are not turned into pairs but handed over as rows (key, id, component, head), head being the class of the
-    smallest id, for links (a, b) of ids or components that join all that is linked in them.
+    smallest id, for links (a, b) of ids or components that join all that is linked in them. With `facts` (id, …), pairs of ids outside are made only
+if `alike("x", "y")` holds for their facts, named x_… and y_…; it must hold for all that `verify` returns.
     """
     shared = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
     shared = shared.where("first < last").select("key", "first", "last")
@@ -122,9 +124,12 @@ def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: C
     if settle is not None:
         more = written(settle(inside.select("key", "id", "component", "head")).select("a", "b"), "links")
     else:
-        rest = (outside.select("key", F.col("id").alias("x"), F.col("component").alias("mine"))
-                .join(inside.select("key", F.col("id").alias("y"), F.col("component").alias("other"), "head"), "key")
-                .where("mine <> other and (other = head or x < y)").select(*ordered("x", "y")).distinct().join(tried, ["a", "b"], "left_anti"))
+        sides = {"x": outside.select("key", F.col("id").alias("x"), F.col("component").alias("mine")),
+                 "y": inside.select("key", F.col("id").alias("y"), F.col("component").alias("other"), "head")}
+        if facts is not None:
+            sides = {x: rows.join(facts.select(*[F.col(c).alias(x if c == "id" else f"{x}_{c}") for c in facts.columns]), x) for x, rows in sides.items()}
+        rest = (sides["x"].join(sides["y"], "key").where("mine <> other and (other = head or x < y)")
+                .where(F.lit(True) if alike is None else alike("x", "y")).select(*ordered("x", "y")).distinct().join(tried, ["a", "b"], "left_anti"))
         more = written(verify(written(rest, "rest")).select("a", "b"), "links")
     if more.isEmpty():
         return classes
