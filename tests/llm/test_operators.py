@@ -97,6 +97,14 @@ def test_lines_recall(spark):
     assert len(near) > 150 and {k for k, n in got.items() if n} == {2 * k + 1 for k in near}
 
 
+def test_short_lines(spark):
+    """Equal lines of one or two words, or without blanks, are repeats as well; similar ones without blanks are compared by characters."""
+    chinese = "今天天气很好我们一起去公园散步"
+    texts = ["Home\nread more\n" + chinese, "home!\nRead More\nreads more", chinese + "\n--\n\n" + chinese.replace("公", "花"), "--\n\nお早う", "お早う\nお早い"]
+    got = {r["doc_id"]: (r["n_removed"], r["text"]) for r in lines.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: (0, texts[0]), 1: (2, "reads more"), 2: (2, "--\n"), 3: (0, texts[3]), 4: (1, "お早い")}
+
+
 def test_packing(docs, nothing, corpus):
     from tokenizers import Tokenizer
 
