@@ -236,6 +236,21 @@ def test_mixing(spark, docs, nothing, corpus):
             assert abs(sum(r["weight"] * r["tokens"] for r in raked if r[side] == value) / total - share) < 1e-4
 
 
+def test_mixture(spark):
+    """Expected tokens have the wanted shares, though a common source has to be thinned out and a rare one can't be repeated."""
+    sizes = {("hot", "en"): 400, ("hot", "de"): 100, ("mid", "en"): 250, ("mid", "de"): 150, ("rare", "en"): 40, ("rare", "de"): 60}
+    rows = [(i, "word other third", s, x) for i, (s, x) in enumerate(k for k, n in sizes.items() for _ in range(n))]
+    targets = {"source": {"hot": 0.35, "mid": 0.45, "rare": 0.2}, "lang": {"en": 0.5, "de": 0.5}, "topic": {str(k): 1.0 for k in range(8)}}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    for keep, reached in ((0.3, 0.3), (None, 0.5)):  # all of the rare source is a fifth of half of the tokens
+        got = mixing.mix(docs, targets=targets, keep=keep, topics=1).collect()
+        total = sum(r["tokens"] * r["probability"] for r in got)
+        assert abs(total / sum(r["tokens"] for r in got) - reached) < 0.01
+        for side in ("source", "lang"):
+            for value, share in targets[side].items():
+                assert abs(sum(r["tokens"] * r["probability"] for r in got if r[side] == value) / total - share) < 0.005
+
+
 def test_toxicity(spark, nothing):
     rng = random.Random(4)
     clean = ["".join(rng.choices("qwertzuiop", k=5)) for _ in range(300)]
