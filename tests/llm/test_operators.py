@@ -251,6 +251,23 @@ def test_mixture(spark):
                 assert abs(sum(r["tokens"] * r["probability"] for r in got if r[side] == value) / total - share) < 0.005
 
 
+def test_topics_of_all(spark):
+    """Means and centres come from all documents, not from the sample that the first centres are drawn from."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdef" if i % 2 else "uvwxyz", k=200)) for i in range(300)] + ["".join(rng.choices("klmnop", k=200))]
+    langs = ["en"] * 300 + ["rare"]
+    docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string")
+    learned = mixing.learn_topics(docs, topics=2, sample=2, rounds=3)
+    of = np.stack([mixing.profile(t) for t in texts])
+    assert set(learned.means) == {"en", "rare"} and np.allclose(learned.means["en"], of[:300].mean(axis=0), atol=1e-6)
+    assert np.allclose(learned.mean, of.mean(axis=0), atol=1e-6)
+    points = learned.apart(of, langs)
+    near = (points @ learned.centres.T).argmax(axis=1)
+    again = np.stack([points[near == k].sum(axis=0) for k in range(2)])
+    again /= np.linalg.norm(again, axis=1, keepdims=True)
+    assert len(set(near)) == 2 and (again * learned.centres).sum(axis=1).min() > 0.95
+
+
 def test_toxicity(spark, nothing):
     rng = random.Random(4)
     clean = ["".join(rng.choices("qwertzuiop", k=5)) for _ in range(300)]
