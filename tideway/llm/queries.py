@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideway.llm import chat, hamming, lines, minhash, mixing, packing, pii, suffixes, topk, toxicity
+from tideway.llm import chat, hamming, importance, lines, minhash, mixing, packing, pii, suffixes, topk, toxicity
 from tideway.llm.common import table
 from tideway.llm.registry import ORACLES, QUERIES, query
 
@@ -128,3 +128,36 @@ def op8_difference_cover(spark, sf_dir):
 def op3_contextual_pii(spark, sf_dir):
     """Personal data in every document."""
     return pii.spans(table(spark, sf_dir, "documents"))
+
+
+CRC32_SQL = """
+k AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"""
+
+
+@query(rf"""
+WITH {CRC32_SQL.strip()},
+texts AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+f AS (SELECT side, id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM w),
+d AS (SELECT side, id, feature, count(*) AS n FROM f GROUP BY ALL),
+h AS (SELECT feature, hex(encode(feature)) AS x FROM (SELECT DISTINCT feature FROM d)),
+b AS (SELECT feature, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(0, len(x) // 2),
+             lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+             lambda c, y: xor(t[(xor(c, y) & 255) + 1], c >> 8))) % 10000 AS bucket FROM h, k),
+c AS (SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t FROM d JOIN b USING (feature) GROUP BY bucket),
+tot AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM c),
+g AS (SELECT bucket, CAST(floor(1000 * ln((CAST(c.t AS DOUBLE) + 1) * (CAST(tot.s AS DOUBLE) + 10000)
+                                          / ((CAST(c.s AS DOUBLE) + 1) * (CAST(tot.t AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM c, tot),
+m AS (SELECT id, sum(n) AS n, CAST(sum(n * gain) AS BIGINT) AS gain FROM d JOIN b USING (feature) JOIN g USING (bucket) WHERE side = 0 GROUP BY id),
+z AS (SELECT w.id AS doc_id, len(words) AS n_words, CAST(coalesce(m.n, 0) AS BIGINT) AS n_features,
+             CAST(coalesce((m.gain - (m.gain % m.n + m.n) % m.n) // m.n, 0) AS BIGINT) AS weight,
+             CAST('0x' || substr(sha256('7:' || w.id), 1, 8) AS BIGINT) AS h FROM w LEFT JOIN m USING (id) WHERE side = 0),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM z),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM y WHERE n_words >= 20)
+SELECT doc_id, n_words, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM y LEFT JOIN r USING (doc_id)
+""")
+def op13_importance(spark, sf_dir):
+    """Every document with its weight towards the benchmark and its rank among the drawn quarter."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
