@@ -27,7 +27,7 @@ def test_stages(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = entry.queries()[name](spark, SF)
     cursor = con.execute(ORACLES[name])
@@ -36,4 +36,4 @@ def test_query(spark, name):
 
 
 def test_numbers():
-    assert {n for q in entry.queries() if (n := q.split("_")[0])[:2] == "op"} == {f"op{n}" for n in range(1, 11)}
+    assert {n for q in entry.queries() if (n := q.split("_")[0])[:2] == "op"} == {f"op{n}" for n in range(1, 14)}

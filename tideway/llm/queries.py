@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideway.llm import chat, hamming, importance, lines, minhash, mixing, packing, pii, suffixes, topk, toxicity
+from tideway.llm import chat, collocations, hamming, importance, lines, minhash, mixing, packing, pii, suffixes, topk, toxicity, warc
 from tideway.llm.common import table
 from tideway.llm.registry import ORACLES, QUERIES, query
+from tideway.session import fresh_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -161,3 +162,43 @@ SELECT doc_id, n_words, n_features, weight, score, CASE WHEN rank <= 25 * n // 1
 def op13_importance(spark, sf_dir):
     """Every document with its weight towards the benchmark and its rank among the drawn quarter."""
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to FROM m
+""")
+def op11_warc(spark, sf_dir):
+    """All pages written to archives and read back: what the archives say of each."""
+    path = fresh_path(warc.register(spark), "archive")
+    warc.page_records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
+    return warc.page_index(spark, path)
+
+
+@query(r"""
+WITH p AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+t AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, words[i:i + k - 1] AS phrase, count(*) AS f
+      FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, range(1, 6) AS r(k) WHERE len(words) >= k)
+      GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, f AS a FROM g WHERE len(phrase) > 1),
+s AS (SELECT DISTINCT c.lang, c.phrase[i:j] AS phrase, c.a AS f FROM c, range(1, 5) AS x(i), range(2, 6) AS y(j)
+      WHERE j > i AND j <= len(c.phrase) AND j - i + 1 < len(c.phrase)),
+k AS (SELECT c.* FROM c WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.lang = c.lang AND s.phrase = c.phrase AND 100 * s.f >= 100 * c.a)),
+u AS (SELECT k.lang, k.phrase, k.a, x.cut, l.f AS l, r.f AS r, t.n, 1000::HUGEINT * k.a * t.n // (l.f::HUGEINT * r.f) AS score
+      FROM k, range(1, 5) AS x(cut), g l, g r, t
+      WHERE x.cut < len(k.phrase) AND l.lang = k.lang AND l.phrase = k.phrase[1:x.cut]
+        AND r.lang = k.lang AND r.phrase = k.phrase[x.cut + 1:] AND t.lang = k.lang),
+b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+o AS (SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM b)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o
+QUALIFY rank <= 2000
+""")
+def op12_de_bruijn(spark, sf_dir):
+    """The phrases of each language whose words keep together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
