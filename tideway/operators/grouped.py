@@ -33,6 +33,8 @@ class GroupedStream:
                 from tideway.streaming.stateful import fold_stream
 
                 return Table(None, snapshot=fold_stream(df, ["key"], fold))
+            if isinstance(fold, folds_.OrderedFold):
+                return LiveFold(df, fold)
             return Table(None, snapshot=_stream_fold(df, ["key"], fold))
         changes = None
         if isinstance(fold, Fold):
@@ -80,6 +82,57 @@ def on_time(df: DataFrame, retention) -> DataFrame:
     return clock.filter(F.col("_us") >= F.col("_clock") - interval_us(retention)).drop("_us", "_clock")
 
 
+class LiveFold:
+    """An `OrderedFold` of a stream, kept in a store."""
+
+    def __init__(self, df: DataFrame, fold: folds_.OrderedFold):
+        self.df, self.fold = df, fold
+
+    def start(self, name: str, checkpoint: str, retention=DEFAULT_RETENTION, available_now: bool = True):
+        """Start the query that keeps the store `name`; returns (query, store).
+
+        Records wait until the watermark, `retention` behind, has passed them, so they are folded in order however they arrive. Each micro-batch
+        folds what it releases as a tree and merges it with what the store `name`-parts holds of the key. Both stores get one part per
+        micro-batch, which a replay writes again from the parts before it.
+        """
+        from tideway.operators.stores import Store
+        from tideway.streaming.stateful import in_order
+
+        fold, spark = self.fold, self.df.sparkSession
+        rows = in_order(self.df, order_columns(self.df), retention)
+        parts_of = replace(fold, finish=lambda agg: agg)
+        parts, values = [], []
+
+        def write(batch: DataFrame, batch_id: int):
+            path = f"{checkpoint.rstrip('/')}-released/batch={batch_id}"
+            batch.write.mode("overwrite").parquet(path)
+            released = spark.read.schema(rows.schema).parquet(path)
+            folded = folds_.tree(released, ["key"], parts_of, ["_n"])
+            known = parts[0].before(batch_id).select("key", F.struct("value").alias("_known"))
+            old, new = F.col("_known.value"), F.col("value")
+            merged = folded.join(known, "key", "left").select("key", F.when(F.col("_known").isNull(), new).otherwise(fold.merge(old, new)).alias("value"))
+            parts[0].upsert(merged, batch_id)
+            values[0].upsert(parts[0].part(batch_id).select("key", fold.finish(F.col("value")).alias("value")), batch_id)
+
+        empty = spark.createDataFrame([], rows.schema)
+        typed = lambda f: folds_.tree(empty, ["key"], f, ["_n"]).schema
+        parts.append(Store(spark, f"{name}-parts", typed(parts_of)))
+        values.append(Store(spark, name, typed(fold)))
+        writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if available_now else writer).start(), values[0]
+
+    def to_store(self, name: str, checkpoint: str | None = None, retention=DEFAULT_RETENTION):
+        """The store once all that is there now has been folded."""
+        from tideway.session import fresh_path
+
+        query, store = self.start(name, checkpoint or fresh_path(self.df.sparkSession, "checkpoint"), retention)
+        query.awaitTermination()
+        return store
+
+    def snapshot(self) -> DataFrame:
+        raise ValueError("an OrderedFold of a stream is kept in a store: start(name, checkpoint) or to_store(name)")
+
+
 class TimeWindowed:
     """Windows of fixed length per key: tumbling, hopping (epoch-aligned) or sliding (record-aligned)."""
 

@@ -87,12 +87,10 @@ def stream_stream(left: DataFrame, right: DataFrame, f, interval, how: str, emit
     l_reach, r_reach = _in_reach(l, "l_us", width, reach), _in_reach(r, "r_us", width, reach)
     no_r = [F.lit(None).cast("bigint").alias("r_us"), F.lit(None).cast(r.schema["r"].dataType).alias("r")]
     no_l = [F.lit(None).cast("bigint").alias("l_us"), F.lit(None).cast(l.schema["l"].dataType).alias("l")]
-    if emit == "final":
-        kind = "inner" if how == "inner" else "left"
-        out = join(l_here, r_reach, kind, near)
-        if how == "outer":
-            alone = join(r_here, l_reach, "left_anti", near)
-            out = out.unionByName(alone.select("key", *no_l, "r_us", "r"))
+    if emit == "final" and how == "outer":
+        out = _outer_in_one_pass(l_reach, r_reach, width, near)
+    elif emit == "final":
+        out = join(l_here, r_reach, "inner" if how == "inner" else "left", near)
     else:
         out = join(l_here, r_reach, "inner", near)
         if how != "inner":
@@ -105,10 +103,26 @@ def stream_stream(left: DataFrame, right: DataFrame, f, interval, how: str, emit
     return _joined_record(out, f, lcols, rcols)
 
 
+def _outer_in_one_pass(l_reach: DataFrame, r_reach: DataFrame, width: int, near: Column) -> DataFrame:
+    """Full outer join of records that are at home in one bucket and guests in those within reach, each side read and shuffled once.
+
+    A record meets all its partners in its home bucket. Rows count where their left record is at home or, without one, their right record;
+    two guests never make a pair, so neither hides the other.
+    """
+    home = lambda us: F.col("_b") == F.floor(F.col(us) / width).cast("bigint")
+    a = l_reach.withColumn("_lh", home("l_us")).withColumnsRenamed({"key": "_lk", "_b": "_lb"})
+    b = r_reach.withColumn("_rh", home("r_us")).withColumnsRenamed({"key": "_rk", "_b": "_rb"})
+    met = (F.col("_lk") == F.col("_rk")) & (F.col("_lb") == F.col("_rb")) & near & (F.col("_lh") | F.col("_rh"))
+    rows = a.join(b, met, "full").filter(F.coalesce("_lh", "_rh"))
+    return rows.select(F.coalesce("_lk", "_rk").alias("key"), "l_us", "l", "r_us", "r")
+
+
 def _stream_stream_streaming(left, right, f, interval, how, emit, retention) -> DataFrame:
     """The same join on streams: watermarks bound the state, rows without partner appear once none can come."""
     if emit == "eager":
-        raise ValueError("eager emission on streams: tideway.streaming.eager_left_join")
+        from tideway.streaming.stateful import DAY, eager_join
+
+        return eager_join(left, right, f, interval, how, max(interval_ms(retention or DAY), interval_ms(interval)))
     keep = f"{max(interval_ms(retention or (1, 'days')), interval_ms(interval))} milliseconds"
     reach = F.expr(f"INTERVAL {interval_ms(interval)} MILLISECONDS")
 
@@ -129,17 +143,18 @@ def _stream_stream_streaming(left, right, f, interval, how, emit, retention) ->
     return _joined_record(out, f, left.columns, right.columns)
 
 
-def stream_table(stream: DataFrame, table, f, how: str) -> DataFrame:
+def stream_table(stream: DataFrame, table, f, how: str, retention=None) -> DataFrame:
     """Each stream record with the value its key had in the table at the record's time.
 
     The table never fires. At equal times the table update comes first. Streams and updates are put in one order per
-    key and each stream record takes the last update before it; hot keys are cut into chunks by the scan.
+    key and each stream record takes the last update before it; hot keys are cut into chunks by the scan. On a stream, records wait until the
+    watermark, `retention` (a day) behind, has passed them.
     """
     changes = table.changelog()
     if stream.isStreaming or changes.isStreaming:
-        from tideway.streaming.stateful import as_of_join
+        from tideway.streaming.stateful import DAY, as_of_join
 
-        return as_of_join(stream, changes, f, how)
+        return as_of_join(stream, changes, f, how, retention or DAY)
     records = _usable(stream)
     order = order_columns(records)
     meta = [c for c in records.columns if c not in ("key", "value")]
@@ -186,27 +201,40 @@ def table_table(left, right, f, how: str):
     joined = l.join(r, "key", kind).select("key", f(F.col("l.value"), F.col("r.value")).alias("value"))
 
     def changes() -> DataFrame:
-        return table_table_changes(left.changelog(), right.changelog(), f, how)
+        return table_table_changes(left.changelog(), right.changelog(), f, how, (left.order, right.order))
 
     known = left._changes is not None and right._changes is not None
     return Table(changes if known else None, snapshot=joined.filter(F.col("value").isNotNull()))
 
 
-def table_table_changes(left: DataFrame, right: DataFrame, f, how: str) -> DataFrame:
-    """One row per update of either side: the joined value after it, or a delete."""
+def _arrival(df: DataFrame, order: list[str]) -> DataFrame:
+    """Updates with `_clock`, the time at which they arrived: later than any update that comes before them in the order of their table."""
+    if order[:1] == ["timestamp"]:
+        return df.withColumn("_clock", F.col("timestamp"))
+    return S.scan(df, ["key"], order, {"_clock": S.running(F.max("timestamp"), F.max, lambda a, b: F.greatest(a, b))})
+
+
+def table_table_changes(left: DataFrame, right: DataFrame, f, how: str, orders: tuple[list[str], list[str]] | None = None) -> DataFrame:
+    """One row per update of either side: the joined value after it, or a delete.
+
+    The updates of a side come in the order of its table, those of the two sides by time. `orders` names the columns of both orders; without it they
+    are the total order of records.
+    """
     if left.isStreaming or right.isStreaming:
         from tideway.streaming.stateful import table_join
 
         return table_join(left, right, f, how)
     lt, rt = left.schema["value"].dataType, right.schema["value"].dataType
     meta = [c for c in left.columns if c not in ("key", "value") and c in right.columns]
-    order = [c for c in order_columns(left) if c in meta]
-    rows = left.select(
-        "key", *meta, F.lit(0).alias("_side"), F.col("value").alias("_lv"), F.lit(None).cast(rt).alias("_rv")
-    ).unionByName(right.select(
-        "key", *meta, F.lit(1).alias("_side"), F.lit(None).cast(lt).alias("_lv"), F.col("value").alias("_rv")
-    )).filter(F.col("key").isNotNull())
-    by = ["timestamp", "_side", *[c for c in order if c != "timestamp"]]
+    total = [c for c in order_columns(left) if c in meta]
+    l_order, r_order = ([c for c in o if c in meta] for o in orders) if orders else (total, total)
+    known = lambda df, order: _arrival(df.filter(F.col("key").isNotNull()), order)
+    rows = known(left, l_order).select(
+        "key", *meta, "_clock", F.lit(0).alias("_side"), F.col("value").alias("_lv"), F.lit(None).cast(rt).alias("_rv")
+    ).unionByName(known(right, r_order).select(
+        "key", *meta, "_clock", F.lit(1).alias("_side"), F.lit(None).cast(lt).alias("_lv"), F.col("value").alias("_rv")))
+    rest = l_order if l_order == r_order else [*l_order, *[c for c in r_order if c not in l_order]]
+    by = ["_clock", "_side", *[c for c in rest if c != "timestamp"]]
     seen = S.scan(rows, ["key"], by, {
         "_l": S.last_known(F.col("_side") == 0, F.col("_lv").alias("v")),
         "_r": S.last_known(F.col("_side") == 1, F.col("_rv").alias("v")),

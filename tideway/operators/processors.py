@@ -4,11 +4,13 @@ A processor is a class (or any callable that makes a fresh instance) with
 
     key_type, value_type     DDL types of what it forwards
     stores                   {name: (DDL key type, DDL value type)}
-    init(ctx) -> state       optional
+    init(ctx) -> state       optional; what it returns is the state of a key and lasts as long as the key's stores
     on_record(ctx, state, record)
     close()                  optional
 
-State is kept per grouping key. The same class runs on streams, see `tideway.streaming.stateful`.
+State is kept per grouping key. The same class runs on streams, see `tideway.streaming.stateful`. `init` runs again whenever a key is taken up
+again (a later round or micro-batch), so that timers have their callbacks; the state it returns then is given the content of the kept one,
+so that callbacks which refer to it see that. It has to be a dict, list, set or anything else that can be pickled.
 
 On a batch frame the records of a key are sorted by the shuffle and handed over in Arrow batches, so a key is
 never held in memory. Python state has to see the records of one key one after another; a key that holds a large
@@ -255,6 +257,26 @@ class Context:
                 timer["call"](self.now_ms)
 
 
+def taken_up(fresh, kept):
+    """The kept state, in the object that a new run of `init` made where that can hold it."""
+    if type(fresh) is type(kept) and isinstance(kept, (dict, list, set)):
+        fresh.clear()
+        fresh.extend(kept) if isinstance(kept, list) else fresh.update(kept)
+        return fresh
+    return kept
+
+
+def clocks(processor) -> set[str]:
+    """Kinds of time that the processor schedules by: what it says in `clocks`, else what its `init` schedules (tried on an empty context)."""
+    made = instance(processor)
+    if hasattr(made, "clocks"):
+        return set(made.clocks)
+    ctx = Context({n: KeyValueStore() for n in getattr(made, "stores", {})})
+    if hasattr(made, "init"):
+        made.init(ctx)
+    return {timer["kind"] for timer in ctx._timers}
+
+
 def instance(processor):
     made = processor() if callable(processor) else processor
     if not callable(getattr(made, "on_record", None)):
@@ -284,7 +306,8 @@ def _processor_body(processor, names: list[str], values_only: bool) -> Body:
         init = getattr(made, "init", None)
         user = init(ctx) if init else None
         if "user" in kept:
-            user = kept["user"]
+            user = taken_up(user, kept["user"])
+            ctx.out.clear()
         ctx.now_ms = kept.get("now")
         for timer, (due, live) in zip(ctx._timers, kept.get("timers", [])):
             timer["due"], timer["live"] = due, live
@@ -320,13 +343,13 @@ def _processor_body(processor, names: list[str], values_only: bool) -> Body:
     return body
 
 
-def process(df: DataFrame, processor, by=None) -> DataFrame:
+def process(df: DataFrame, processor, by=None, **streaming) -> DataFrame:
     """Run a processor; the output records are what it forwards. Columns `child` and `_pos` tell outputs apart."""
     df = df.withColumn("_by", by(F.col("key"), F.col("value")) if by else F.col("key"))
     if df.isStreaming:
         from tideway.streaming.stateful import process_stream
 
-        return process_stream(df, processor)
+        return process_stream(df, processor, **streaming)
     schema = output_schema(df, processor)
     return sequential(df, ["_by"], order_columns(df), _processor_body(processor, schema.fieldNames(), False), schema)
 

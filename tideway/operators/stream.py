@@ -99,11 +99,11 @@ class Stream:
     def outer_join_stream(self, other: Stream, f, interval, **options) -> Stream:
         return Stream(joins.stream_stream(self.df, other.df, f, interval, "outer", **options))
 
-    def join_table(self, table, f) -> Stream:
-        return Stream(joins.stream_table(self.df, table, f, "inner"))
+    def join_table(self, table, f, retention=None) -> Stream:
+        return Stream(joins.stream_table(self.df, table, f, "inner", retention))
 
-    def left_join_table(self, table, f) -> Stream:
-        return Stream(joins.stream_table(self.df, table, f, "left"))
+    def left_join_table(self, table, f, retention=None) -> Stream:
+        return Stream(joins.stream_table(self.df, table, f, "left", retention))
 
     def join_global_table(self, table, f_key, f) -> Stream:
         return Stream(joins.stream_global(self.df, table, f_key, f, "inner"))
@@ -122,11 +122,12 @@ class Stream:
 
     # -- processors and side effects ----------------------------------------------------------
 
-    def process(self, processor, by=None) -> Stream:
-        """Output is whatever the processor forwards. `by(k, v)` chooses what state is kept per (default: the key)."""
+    def process(self, processor, by=None, **streaming) -> Stream:
+        """Output is whatever the processor forwards. `by(k, v)` chooses what state is kept per (default: the key). For a stream there are
+        `time_mode` and `retention`, see `tideway.streaming.stateful.process_stream`."""
         from tideway.operators.processors import process
 
-        return Stream(process(self.df, processor, by))
+        return Stream(process(self.df, processor, by, **streaming))
 
     def process_values(self, processor) -> Stream:
         """Values replaced by what the processor returns; forwarding is an error."""
@@ -174,6 +175,17 @@ class Stream:
             return dataset.stream_sink(df, **options)
         return dataset.produce(df, **options)
 
+    def sink_children(self, dataset, topics: dict[str, str], **options):
+        """Send what a processor forwarded on: records for a child to the topic of that child, records for no child in particular to all of them.
+        All topics are written in one pass and one transaction (on a stream, one per micro-batch). A child without a topic is an error."""
+        child = F.col("child")
+        named = F.coalesce(*[F.when(child == c, F.array(F.lit(t))) for c, t in topics.items()],
+                           F.raise_error(F.concat(F.lit("no topic for the child "), child)).cast("array<string>"))
+        everywhere = F.array(*[F.lit(t) for t in dict.fromkeys(topics.values())])
+        # places are those of the record that was processed; in the new topics they follow from the keys
+        routed = self.df.withColumn("topic", F.explode(F.when(child.isNull(), everywhere).otherwise(named))).drop("child", "partition")
+        return dataset.stream_sink(routed, **options) if routed.isStreaming else dataset.produce(routed, **options)
+
     def through_topic(self, dataset, topic: str, **options) -> Stream:
         """Write to a topic and go on from what was written. On a stream the writing query runs until its input ends."""
         written = self.sink_topic(dataset, topic, **options)
@@ -183,6 +195,22 @@ class Stream:
         return Stream(dataset.read(topic))
 
 
+def add_sink(parents: list[Stream], dataset, topic, **options):
+    """Send the records of several streams (or processors) to one topic, in one transaction; `topic` as for `sink_topic`."""
+    merged = parents[0]
+    for other in parents[1:]:
+        merged = merged.merge_stream(other)
+    return merged.sink_topic(dataset, topic, **options)
+
+
+def add_processor(parents: list[Stream], processor, by=None) -> Stream:
+    """A processor fed by several streams, each key's records in their total order."""
+    merged = parents[0]
+    for other in parents[1:]:
+        merged = merged.merge_stream(other)
+    return merged.process(processor, by)
+
+
 class Record:
     """A record as topic and partition choosers see it: `record["value"]` is a Column, unknown fields are null."""
 

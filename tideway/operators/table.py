@@ -142,16 +142,21 @@ class GroupedTable:
         )
 
     def reduce_values(self, fold: Fold | Callable, sub: Callable | None = None, seed: Callable | None = None,
-                      schema: str | None = None) -> Table:
-        """Aggregate that follows updates: a sum-like `Fold`, or Python `add, sub, seed` (see `reduce_rows`). A group all of whose members left keeps its value (sum 0).
+                      schema: str | None = None, merge: Callable | None = None) -> Table:
+        """Aggregate that follows updates: a sum-like `Fold`, or Python `add, sub, seed[, merge]` (see `reduce_rows`). A group all of whose members left keeps its value (sum 0).
 
         Latest result: totals over the latest values; the groups ever seen come from a duplicate-free list of
-        group keys, so the changelog never has to be sorted. `changelog()` of the result has one row per change.
+        group keys, so the changelog never has to be sorted. `changelog()` of the result has one row per change. On a stream the snapshot
+        appends the aggregate of each group that a micro-batch changed (`run.run_to_store(…, mode="append")` keeps the last one).
         """
         if not isinstance(fold, Fold):
-            return self.reduce_rows(fold, sub, seed, schema)
+            return self.reduce_rows(fold, sub, seed, schema, merge)
         k, v = F.col("key"), F.col("value")
         changes = self.table.changelog().filter(k.isNotNull())
+        if changes.isStreaming:
+            from tideway.streaming.stateful import regrouped
+
+            return Table(None, snapshot=regrouped(changes, fold, self.order))
         parts = fold.parts
         plus = F.lit(1)
         latest = self.table.snapshot().select("value.key", "value.value")
@@ -175,14 +180,33 @@ class GroupedTable:
         scanned = scanned.drop(*fold.parts).withColumnsRenamed({f"_r{n}": n for n in fold.parts})
         return scanned.withColumn("value", fold.finished()).drop(*fold.parts)
 
-    def reduce_rows(self, add, sub, seed, schema: str) -> Table:
-        """Python `add(agg, k, v)` / `sub(agg, k, v)`, in order of the changes, for folds that are no signed sum."""
+    def reduce_rows(self, add, sub, seed, schema: str, merge=None, salts: int | None = None) -> Table:
+        """Python `add(agg, k, v)` / `sub(agg, k, v)` for folds that are no signed sum.
+
+        Without `merge`, a group is folded in order of the changes. With `merge(a, b)`, for aggregates that do not depend on the order of changes
+        of different keys, a group is folded in `salts` pieces (default: the number of shuffle partitions), each with all changes of the keys
+        it holds, and the pieces are merged: a group costs one task only `salts` partial results.
+        """
         from tideway.functions import folds
 
+        changes = self.table.changelog()
+        if changes.isStreaming:
+            from tideway.streaming.stateful import regrouped_rows
+
+            return Table(None, snapshot=regrouped_rows(changes, add, sub, seed, schema, self.order))
+
         def step(agg, k, v):
             return (add if v["sign"] > 0 else sub)(agg, k, v["v"])
 
-        signed = self.signed_changes()
-        rows = signed.withColumn("value", F.struct(F.col("sign").alias("sign"), F.col("value").alias("v")))
-        fold = RowFold(seed, step, schema)
-        return Table(None, snapshot=folds.apply(rows, ["key"], fold, [*self.order, "sign"]))
+        order = [*self.order, "sign"]
+        if merge is None:
+            rows = self.signed_changes().withColumn("value", F.struct(F.col("sign").alias("sign"), F.col("value").alias("v")))
+            return Table(None, snapshot=folds.apply(rows, ["key"], RowFold(seed, step, schema), order))
+        n = salts or int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = GroupedTable.__new__(GroupedTable)
+        salt = F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
+        salted.table, salted.order = Table(changes.withColumn("_salt", salt), order=self.order), self.order
+        rows = salted.signed_changes().withColumn("value", F.struct(F.col("sign").alias("sign"), F.col("value").alias("v")))
+        partial = folds.apply(rows, ["key", "_salt"], RowFold(seed, step, schema, merge=None), order)
+        pieces = RowFold(lambda: None, lambda agg, k, v: v if agg is None else merge(agg, v), schema)
+        return Table(None, snapshot=folds.apply(partial, ["key"], pieces, ["_salt"]))

@@ -178,6 +178,36 @@ def q_table_regroup_rows(spark, sf):
     return table.snapshot().select("key", "value.*")
 
 
+@query(REGROUP_SQL)
+def q_table_regroup_merge(spark, sf):
+    """The same in pieces of each group, which are merged: three groups keep all tasks busy."""
+    table = orders(spark, sf).map_and_group_by(by_status).reduce_values(
+        lambda agg, k, v: {"n": agg["n"] + 1, "total": agg["total"] + v},
+        lambda agg, k, v: {"n": agg["n"] - 1, "total": agg["total"] - v},
+        lambda: {"n": 0, "total": 0}, "struct<n:bigint,total:bigint>",
+        merge=lambda a, b: {"n": a["n"] + b["n"], "total": a["total"] + b["total"]})
+    return table.snapshot().select("key", "value.*")
+
+
+@query(f"""
+WITH l AS (SELECT o_custkey AS key, o_orderkey, {ORDER_CENTS} AS cents FROM orders
+           QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)
+SELECT c_custkey AS key, CASE WHEN l.key IS NOT NULL OR c_acctbal > 0 THEN CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END + coalesce(cents, 0) END AS value
+FROM customer LEFT JOIN l ON l.key = c_custkey WHERE l.key IS NOT NULL OR c_acctbal > 0
+""")
+def q_outer_join_changelog_last(spark, sf):
+    """Orders arrive by key, out of time: what the changelog of the joined table says last is its snapshot."""
+    from tideway.operators.table import Table
+
+    left = rich(spark, sf).map_values(lambda k, v: F.lit(1).cast("bigint"))
+    right = Table(orders(spark, sf).map_values(order_cents).changelog(), order=["offset"])
+    changes = Table(left.changelog().withColumn("timestamp", F.lit("1970-01-01").cast("timestamp")), order=["offset"]).outer_join_tables(
+        right, lambda l, r: F.coalesce(l, F.lit(0)) + F.coalesce(r, F.lit(0))).changelog()
+    place = F.struct(F.col("topic") == "orders", "offset")
+    last = changes.groupBy("key").agg(F.max_by(F.struct("value"), place).alias("last"))
+    return last.select("key", F.col("last.value").alias("value")).filter("value IS NOT NULL")
+
+
 @query("""
 SELECT user_id AS key, max(event_id) AS "offset" FROM events GROUP BY 1 ORDER BY 2 DESC LIMIT 50
 """)
@@ -225,6 +255,48 @@ def q_kv_put_offer_remove(spark, sf):
     return store.snapshot()
 
 
+@query("""
+SELECT user_id AS key, CAST(count(*) AS BIGINT) AS value FROM events WHERE event_type = 'error' GROUP BY 1
+UNION ALL SELECT DISTINCT -user_id - 1, CAST(-1 AS BIGINT) FROM events WHERE event_type = 'error'
+""")
+def q_store_replace(spark, sf):
+    """What was written and put before a second write is gone; what is put after it counts."""
+    count = lambda s: s.group_by_key().reduce_values(folds.count()).snapshot()
+    store = stored(count(events(spark, sf)), "kv")
+    store.kv_put(store.snapshot().select("key", F.lit(-5).cast("bigint").alias("value")))
+    store = Store.write(store.name, count(events(spark, sf).filter_kv(lambda k, v: v["event_type"] == "error")))
+    store.kv_put(store.snapshot().select((-F.col("key") - 1).alias("key"), F.lit(-1).cast("bigint").alias("value")))
+    return store.snapshot()
+
+
+@query("""
+SELECT 'count' AS name, CAST(count(DISTINCT user_id) AS BIGINT) AS value FROM events
+UNION ALL SELECT 'largest', max(n) FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM events GROUP BY user_id)
+""")
+def q_query_store(spark, sf):
+    """A store found by its name: how many keys it has, and its largest value."""
+    made = stored(events(spark, sf).group_by_key().reduce_values(folds.count()).snapshot(), "kv")
+    store = stores.query_store(spark, made.name, made.schema)
+    count = spark.range(1).select(F.lit("count").alias("name"), F.lit(store.kv_count()).cast("bigint").alias("value"))
+    return count.unionByName(store.snapshot().agg(F.max("value").alias("value")).select(F.lit("largest").alias("name"), "value"))
+
+
+@query(f"""
+SELECT o_custkey % 10 AS key, (epoch_us(o_orderdate) // 1000) AS window_from, (epoch_us(o_orderdate) // 1000) + 86400000 AS window_to,
+       max({ORDER_CENTS}) AS value FROM orders WHERE o_custkey % 10 <> 3 GROUP BY 1, 2, 3
+UNION ALL SELECT DISTINCT o_custkey % 10, CAST(5000 AS BIGINT), CAST(86405000 AS BIGINT), CAST(-1 AS BIGINT) FROM orders
+""")
+def q_ws_put(spark, sf):
+    """Puts into a window store: with windows of their own, at a given time, and deletes."""
+    s = orders(spark, sf).map_values(order_cents).to_stream(lambda k, v: k % 10)
+    rows = s.df.groupBy("key", F.unix_millis("timestamp").alias("window_from")).agg(F.max("value").alias("value"))
+    store = stored(rows.limit(0).select("key", "window_from", F.col("window_from").alias("window_to"), "value"), "ws")
+    store.ws_put(rows, length_ms=86_400_000)
+    store.ws_put(rows.filter("key = 3").withColumn("value", F.lit(None).cast("bigint")), length_ms=86_400_000)
+    store.ws_put(rows.select("key", F.lit(-1).cast("bigint").alias("value")).distinct(), at_ms=5000, length_ms=86_400_000)
+    return store.snapshot()
+
+
 @query(f"SELECT *, window_from AS timestamp FROM ({TUMBLING_SQL}) WHERE key = 8 AND window_from BETWEEN 1704240000000 AND 1705276800000")
 def q_ws_multi_get(spark, sf):
     store = stored(q_window_tumbling_sum(spark, sf), "ws")
@@ -317,6 +389,98 @@ def q_process_values(spark, sf):
     return out.df.select("key", "offset", "value")
 
 
+class Ticking:
+    """Every six hours of event time, forwards the sum so far; the sum lives in what `init` returns."""
+
+    key_type, value_type = "bigint", "bigint"
+
+    def init(self, ctx):
+        state = {"sum": 0, "key": None}
+        ctx.schedule("6 hours", "stream-time", lambda now: ctx.forward(state["key"], state["sum"]))
+        return state
+
+    def on_record(self, ctx, state, record):
+        state["sum"] += record["value"]
+        state["key"] = record["key"]
+
+
+class TickingByBoth(Ticking):
+    """The same beside a timer by wall clock."""
+
+    def init(self, ctx):
+        ctx.schedule("1 hour", "wall-clock-time", lambda now: ctx.forward(None, -1))
+        return super().init(ctx)
+
+
+TICKS_SQL = f"""
+SELECT user_id AS key, (epoch_us(ts) // 1000) AS event_time, CAST(total - c AS BIGINT) AS value FROM (
+  SELECT user_id, ts, {CENTS} AS c, sum({CENTS}) OVER w AS total, lag(ts) OVER w AS before, min(ts) OVER (PARTITION BY user_id) AS first
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WHERE ((epoch_us(ts) // 1000) - (epoch_us(first) // 1000)) // 21600000 > ((epoch_us(before) // 1000) - (epoch_us(first) // 1000)) // 21600000
+"""
+
+
+@query(TICKS_SQL)
+def q_process_schedule(spark, sf):
+    """Timers by event time fire before the record that passes them."""
+    out = events(spark, sf).map_values(value_cents).process(Ticking)
+    return out.df.select("key", F.unix_millis("timestamp").alias("event_time"), "value")
+
+
+class Sorting:
+    """Sends every record to the child of its kind, with its place, and large ones to both."""
+
+    key_type, value_type = "bigint", "struct<topic:string,offset:bigint,cents:bigint,headers:int>"
+
+    def on_record(self, ctx, state, record):
+        value = {"topic": ctx.topic, "offset": ctx.offset, "cents": record["value"], "headers": len(ctx.headers or [])}
+        both = record["value"] >= 5000
+        ctx.forward(record["key"], value, child=None if both else "clicks" if record["topic"] == "click" else "others")
+
+
+SORTED_SQL = f"""
+SELECT out AS topic, event_type AS was, CAST(count(*) AS BIGINT) AS records, CAST(sum(c) AS BIGINT) AS total, CAST(sum(event_id) AS BIGINT) AS places
+FROM (SELECT event_type, event_id, {CENTS} AS c, unnest(CASE WHEN {CENTS} >= 5000 THEN ['a', 'b'] WHEN event_type = 'click' THEN ['a'] ELSE ['b'] END) AS out
+      FROM events) GROUP BY 1, 2
+"""
+
+
+def sorted_out(topics):
+    return topics.read().groupBy("topic", F.col("value.topic").alias("was")).agg(
+        F.count("*").alias("records"), F.sum("value.cents").alias("total"), F.sum("value.offset").alias("places"))
+
+
+def topics_of(spark, value_type: str):
+    from tideway.session import fresh_path
+    from tideway.sources.topics import TopicDataset
+
+    return TopicDataset(spark, fresh_path(spark, "topics"), "bigint", value_type, partitions=4)
+
+
+@query(SORTED_SQL)
+def q_process_children(spark, sf):
+    """A processor's children as topics, written in one transaction."""
+    topics = topics_of(spark, Sorting.value_type)
+    events(spark, sf).map_values(value_cents).process(Sorting).sink_children(topics, {"clicks": "a", "others": "b"})
+    return sorted_out(topics)
+
+
+@query(SORTED_SQL)
+def q_process_merged_parents(spark, sf):
+    """One processor and one sink with several parents each."""
+    from tideway.operators.stream import add_processor, add_sink
+
+    s = events(spark, sf).map_values(value_cents)
+    parents = s.branch([lambda k, v: F.col("topic") == "click", lambda k, v: F.col("topic") == "error", lambda k, v: F.lit(True)])
+    out = add_processor(parents, Sorting)
+    topics = topics_of(spark, Sorting.value_type)
+    child = lambda c: type(out)(out.df.filter(F.coalesce(F.col("child") == c, F.lit(True))).drop("child"))
+    add_sink([child("clicks")], topics, "a")
+    other = child("others").branch([lambda k, v: v["topic"] == "error", lambda k, v: F.lit(True)])
+    add_sink(other, topics, "b")
+    return sorted_out(topics)
+
+
 # -- upkeep -------------------------------------------------------------------------------------------
 
 
@@ -354,3 +518,19 @@ def q_repartition_topic(spark, sf):
         F.count("*").alias("records"), F.count_distinct("key").alias("keys"),
         F.count_distinct("key", "partition").alias("places"))
     return stats.join(gaps, "topic", "left").filter("bad IS NULL").select("topic", "records", "keys", "places")
+
+
+@query("""
+SELECT event_type AS topic, CAST(count(*) AS BIGINT) AS records, CAST(count(*) AS BIGINT) AS places, CAST(count(*) FILTER (ts < TIMESTAMP '2024-01-15') AS BIGINT) AS stayed
+FROM events GROUP BY 1
+""")
+def q_repartition_in_place(spark, sf):
+    """Records from a position on go by the new rule and are numbered behind what stays: every record has a place of its own, and what stays keeps its."""
+    df = events(spark, sf).df
+    early = df.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    cuts = early.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("offset"))
+    now = upkeep.repartition_topic(df, 16, from_offsets=cuts).groupBy("topic").agg(
+        F.count("*").alias("records"), F.count_distinct("partition", "offset").alias("places"))
+    place = ["topic", "partition", "offset", "key"]
+    kept = upkeep.repartition_topic(df, 16, from_offsets=cuts).join(early.select(*place), place, "left_semi")
+    return now.join(kept.groupBy("topic").agg(F.count("*").alias("stayed")), "topic")

@@ -13,6 +13,7 @@ from tideway.session import fresh_path
 from tideway.sources import positions as P
 from tideway.sources.adapters import events, raw
 from tideway.sources.topics import TopicDataset
+from tideway.streaming import run
 
 EV = """ev AS (SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset", ts, user_id AS key, value FROM events)"""
 
@@ -50,6 +51,29 @@ def q_offsets_for_ts(spark, sf):
                         F.unix_millis("timestamp").alias("event_time"))
 
 
+@query(f"""
+WITH ev AS (SELECT CASE WHEN event_type = 'error' THEN 'e' ELSE 'a' END AS topic, CAST(user_id % 4 AS INTEGER) AS partition, ts, event_id,
+              row_number() OVER (PARTITION BY event_type = 'error', user_id % 4 ORDER BY ts, event_id) - 1 AS "offset" FROM events),
+asked AS (SELECT DISTINCT topic, partition, t FROM ev, (VALUES (TIMESTAMP '2024-01-10 12:00:00'), (TIMESTAMP '2024-01-25'), (TIMESTAMP '2030-01-01'), (TIMESTAMP '2020-01-01')) AS x(t))
+SELECT asked.topic, asked.partition, (epoch_us(t) // 1000) AS asked, min("offset") AS "offset", (epoch_us(min_by(ts, "offset")) // 1000) AS event_time
+FROM asked LEFT JOIN ev ON asked.topic = ev.topic AND asked.partition = ev.partition AND ts >= t GROUP BY 1, 2, 3
+""")
+def q_offsets_for_ts_zones(spark, sf):
+    """The same of a topic dataset with a part per four days: only parts that hold the time asked for are read."""
+    topics = dataset(spark)
+    s = events(spark, sf).map_values(value_cents).df
+    s = s.withColumns({"topic": F.when(F.col("topic") == "error", "e").otherwise("a"), "_day": F.date_trunc("day", "timestamp")})
+    first = s.agg(F.min("_day")).first()[0]
+    step = F.floor(F.date_diff("_day", F.lit(first)) / 4)
+    last = s.agg(F.max(step)).first()[0]
+    for i in range(last + 1):
+        topics.produce(s.filter(step == i).drop("_day"), order_by=["timestamp", "offset"])
+    times = [F.lit(t).cast("timestamp") for t in ("2024-01-10 12:00:00", "2024-01-25", "2030-01-01", "2020-01-01")]
+    asked = topics.end_offsets().select("topic", "partition", F.explode(F.array(*times)).alias("timestamp"))
+    found = topics.offsets_for_timestamps(asked)
+    return found.select("topic", "partition", F.unix_millis("asked").alias("asked"), "offset", F.unix_millis("timestamp").alias("event_time"))
+
+
 @query(f"""WITH {EV} SELECT topic, partition, "offset", key FROM ev
 WHERE (topic = 'click' AND partition = 1 AND "offset" >= 100 AND "offset" < 5000)
    OR (topic = 'view' AND partition = 0 AND "offset" >= 2000 AND "offset" < 9000)""")
@@ -151,53 +175,86 @@ def q_produce_offsets(spark, sf):
 
 
 @query(f"""
-SELECT 'out' AS topic, CAST(count(*) AS BIGINT) AS records, CAST(sum({CENTS}) AS BIGINT) AS total FROM events
-WHERE event_type <> 'error'
+SELECT 'out-' || event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, CAST(count(*) AS BIGINT) AS records, CAST(sum({CENTS}) AS BIGINT) AS total,
+       CAST(count(*) AS BIGINT) AS end_offset FROM events GROUP BY 1, 2
 """)
 def q_through_topic(spark, sf):
-    """Written, read back and filtered."""
-    s = events(spark, sf).filter_kv(lambda k, v: v["event_type"] != "error").map_values(value_cents)
-    df = s.through_topic(dataset(spark), "out").df
-    return df.groupBy("topic").agg(F.count("*").alias("records"), F.sum("value").alias("total"))
-
-
-TRANSACTION_SQL = """
-SELECT event_type AS topic, CAST(count(*) AS BIGINT) AS records, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total
-FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1
-"""
+    """All events written, read back and gone on from, per topic and partition."""
+    out = None
+    topics = dataset(spark)
+    kinds = [r[0] for r in raw(spark, sf, "events").select("event_type").distinct().orderBy("event_type").collect()]
+    for kind in kinds:
+        s = events(spark, sf).filter_kv(lambda k, v: v["event_type"] == kind).map_values(value_cents)
+        df = s.through_topic(topics, f"out-{kind}").df.groupBy("topic", "partition").agg(
+            F.count("*").alias("records"), F.sum("value").alias("total"), (F.max("offset") + 1).alias("end_offset"))
+        # before the next write: scans of one folder at different times count as equal
+        df = run.kept(df, "through")
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
-@query(TRANSACTION_SQL)
+@query(f"""
+SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, CAST(count(*) AS BIGINT) AS records, CAST(sum({CENTS}) AS BIGINT) AS total,
+       CAST(count(*) AS BIGINT) AS end_offset FROM events GROUP BY 1, 2
+""")
 def q_transaction(spark, sf):
-    """Two committed sends, one replayed (no effect), one aborted (invisible)."""
+    """All events in four transactions of two sends each, every one replayed (no effect), with aborted ones in between (invisible)."""
     topics = dataset(spark)
-    s = events(spark, sf).map_values(value_cents)
-    pick = lambda name: s.df.filter(F.col("topic") == name)
-    for _ in range(2):
-        with topics.transaction("batch-1") as txn:
-            txn.produce(pick("click"))
-            txn.produce(pick("purchase"))
-            txn.offsets("group-a", P.end_offsets(pick("click")))
-    dropped = topics.transaction("batch-2")
-    dropped.produce(pick("error"))
-    dropped.abort()
-    return topics.read().groupBy("topic").agg(F.count("*").alias("records"), F.sum("value").alias("total"))
-
-
-@query(f"""WITH {EV} SELECT topic, partition, max("offset") + 1 AS "offset" FROM ev WHERE topic = 'click' GROUP BY 1, 2""")
+    s = events(spark, sf).map_values(value_cents).df
+    for i in range(4):
+        some = s.filter(F.col("offset") % 4 == i)
+        for _ in range(2):
+            with topics.transaction(f"batch-{i}") as txn:
+                txn.produce(some.filter("topic IN ('click', 'error')"))
+                txn.produce(some.filter("topic NOT IN ('click', 'error')"))
+        lost = topics.transaction(f"lost-{i}")
+        lost.produce(some)
+        lost.abort()
+    return topics.read().groupBy("topic", "partition").agg(
+        F.count("*").alias("records"), F.sum("value").alias("total"), (F.max("offset") + 1).alias("end_offset"))
+
+
+@query(f"""WITH {EV} SELECT topic, partition, max("offset") + 1 AS "offset" FROM ev GROUP BY 1, 2""")
 def q_transaction_offsets(spark, sf):
-    """Positions become visible with the transaction that carries them."""
+    """Positions of all topics become visible with the transactions that carry them, never with a lost one."""
     topics = dataset(spark)
-    clicks = events(spark, sf).map_values(value_cents).df.filter(F.col("topic") == "click")
-    with topics.transaction("batch-1") as txn:
-        txn.produce(clicks)
-        txn.offsets("group-a", P.end_offsets(clicks))
-    lost = topics.transaction("batch-2")
-    lost.offsets("group-a", {("click", 0): 10**9})
-    lost.abort()
+    s = events(spark, sf).map_values(value_cents).df
+    half = F.lit("2024-01-15").cast("timestamp")
+    for name, some in (("early", s.filter(F.col("timestamp") < half)), ("all", s)):
+        with topics.transaction(name) as txn:
+            txn.produce(some)
+            txn.offsets("group-a", P.end_offsets(some))
+        lost = topics.transaction(f"lost-{name}")
+        lost.offsets("group-a", {(r["topic"], r["partition"]): 10**9 for r in topics.end_offsets().collect()})
+        lost.abort()
     return topics.consumer_group_offsets("group-a")
 
 
+@query(f"""WITH {EV} SELECT topic, partition, max("offset") + 1 AS "offset" FROM ev WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2""")
+def q_committed_offset(spark, sf):
+    """The committed position of each partition, asked one by one."""
+    topics = dataset(spark)
+    df = events(spark, sf).df
+    early = df.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    topics.commit_offsets("group-a", P.end_offsets(early))
+    # one row per partition
+    places = [(r["topic"], r["partition"]) for r in P.end_offsets(early).select("topic", "partition").collect()]
+    rows = [(t, p, topics.committed_offset("group-a", t, p)) for t, p in places]
+    return spark.createDataFrame(rows, P.POSITIONS)
+
+
+@query("""SELECT event_type AS topic, event_id AS "offset" FROM events WHERE event_type IN ('click', 'error')""")
+def q_add_source(spark, sf):
+    """A source by a list of topics."""
+    return P.add_source(events(spark, sf).df, ["click", "error", "none"]).select("topic", "offset")
+
+
+@query(f"""WITH {EV} SELECT topic, partition, max("offset") + 1 AS "offset" FROM ev GROUP BY 1, 2""")
+def q_offset_reset_latest(spark, sf):
+    """A new reader that starts behind what is there."""
+    return P.offset_reset(events(spark, sf).df, "latest")
+
+
 @query(f"""
 SELECT user_id AS key, {CENTS} AS value FROM events WHERE ts >= TIMESTAMP '2024-01-15'
 """)

@@ -4,6 +4,8 @@
     <path>/manifest/*.parquet                                    one row per published part
     <path>/progress/*.parquet                                    committed reader positions
 
+A manifest row also has the ends of the part's partitions and their zones: first and last offset, least and greatest time, time of the first record.
+
 A part is visible to committed readers once its manifest row is there; the rows of a transaction are written by one
 single-file append. A part's name is its transaction's name, so a micro-batch that is replayed overwrites its own part
 and is skipped when it had been published. Rewrites (compaction, pruning) publish a new generation in one row.
@@ -29,8 +31,10 @@ from tideway.sources import positions as P
 
 MANIFEST = """txn string, part string, state string, generation int, at bigint,
     ends array<struct<topic:string,partition:int,offset:bigint>>,
+    zones array<struct<topic:string,partition:int,first:bigint,last:bigint,least:timestamp,most:timestamp,opens:timestamp>>,
     positions array<struct<group:string,topic:string,partition:int,offset:bigint>>"""
 REWRITE = "rewrite-"  # begins the names of transactions that replace the content
+MOST_NAMED = 1000  # parts that a query names one by one
 PROGRESS = "group string, topic string, partition int, offset bigint, seq bigint"
 
 
@@ -119,6 +123,24 @@ class TopicDataset:
         """A table filled by a processor that is fed every record of the topic."""
         return Table(self.stream(source).process(processor, by).df)
 
+    def start_global_store(self, source, processor, name: str, checkpoint: str, by=None, available_now: bool = True):
+        """Start the query that keeps the store `name` with what the processor forwards for the records of the topic (an uncommitted read, see
+        `read_stream`); returns (query, store). Every micro-batch is a version of the store; `run.join_global_store` joins streams with the
+        newest one."""
+        from tideway.operators.stores import Store
+        from tideway.streaming.run import query_id
+
+        updates = Stream(self.read_stream(source)).process(processor, by, time_mode="None").df
+        store = Store(self.spark, name, T.StructType([updates.schema["key"], updates.schema["value"]]))
+
+        def write(batch: DataFrame, batch_id: int):
+            place = F.struct("timestamp", "topic", "partition", "offset", "_pos")
+            last = batch.filter(F.col("key").isNotNull()).groupBy("key").agg(F.max_by(F.struct("value"), place).alias("_l"))
+            store.upsert(last.select("key", F.col("_l.value").alias("value")), batch_id, query_id(self.spark, checkpoint))
+
+        writer = updates.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if available_now else writer).start(), store
+
     def read_stream(self, source=None, *, start=None, policy: str = "earliest", max_files: int | None = None,
                     deduplicate: str | None = None, extract_timestamp=None) -> DataFrame:
         """Endless read of the records as they are written, from `start` positions or where `policy` says (`latest` =
@@ -176,6 +198,33 @@ class TopicDataset:
         return self.end_offsets().join(first, ["topic", "partition"], "left").select(
             "topic", "partition", F.coalesce("_first", "offset").alias("offset"))
 
+    def zones(self) -> DataFrame:
+        """Per published part and partition: first and last offset, least and greatest time, and the time of the first record."""
+        current = (F.col("state") == "committed") & (F.col("generation") == self._generation())
+        return self.manifest().filter(current).select("part", F.explode("zones").alias("z")).select("part", "z.*")
+
+    def offsets_for_timestamps(self, asked: DataFrame) -> DataFrame:
+        """Per asked (topic, partition, timestamp): the first offset at or after that time and its time, else nulls.
+
+        Parts whose records are all earlier are not read, nor those whose records are all later: the zone tells their first offset. Of the
+        others only those are read that may begin before it.
+        """
+        wanted = asked.select("topic", "partition", F.col("timestamp").alias("asked")).distinct()
+        place = ["topic", "partition", "asked"]
+        zoned = self.zones().join(wanted, ["topic", "partition"]).filter(F.col("most") >= F.col("asked"))
+        later = F.col("least") >= F.col("asked")
+        known = zoned.filter(later).groupBy(*place).agg(F.min("first").alias("_known"), F.min_by("opens", "first").alias("_opens"))
+        mixed = zoned.filter(~later).join(known, place, "left").filter("_known IS NULL OR first < _known").select("part", *place)
+        least = wanted.agg(F.min("asked")).first()[0]
+        data = self._read("data", self.schema).filter(F.col("timestamp") >= F.lit(least)).select("part", "topic", "partition", "offset", "timestamp")
+        some = [r["part"] for r in mixed.select("part").distinct().limit(MOST_NAMED + 1).collect()]
+        if len(some) <= MOST_NAMED:  # folders that the scan need not even list; of more, the join below takes what it needs
+            data = data.filter(F.col("part").isin(some))
+        read = data.join(mixed, ["part", "topic", "partition"]).filter(F.col("timestamp") >= F.col("asked"))
+        read = read.groupBy(*place).agg(F.min("offset").alias("_known"), F.min_by("timestamp", "offset").alias("_opens"))
+        first = known.unionByName(read).groupBy(*place).agg(F.min("_known").alias("offset"), F.min_by("_opens", "_known").alias("timestamp"))
+        return asked.select("topic", "partition", F.col("timestamp").alias("asked")).join(first, place, "left")
+
     # -- writing -----------------------------------------------------------------------------
 
     def transaction(self, txn: str | None = None) -> Transaction:
@@ -186,7 +235,7 @@ class TopicDataset:
         with self.transaction() as txn:
             return txn.produce(df, **options)
 
-    def stream_sink(self, df: DataFrame, checkpoint: str, name: str | None = None, available_now: bool = True, **options):
+    def stream_sink(self, df: DataFrame, checkpoint: str, name: str | None = None, available_now: bool = True, mode: str = "append", **options):
         """Start a query that appends a stream, one transaction per micro-batch; replays publish nothing twice. Transactions are named
         after the query's id, which stays with its checkpoint: another query, or this one with a new checkpoint, has its own. A `name` given
         instead must be of this query and checkpoint alone."""
@@ -195,7 +244,7 @@ class TopicDataset:
             with self.transaction(f"{query}-{batch_id}") as txn:
                 txn.produce(batch, **options)
 
-        writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        writer = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
     def rewrite(self, df: DataFrame) -> None:
@@ -250,7 +299,7 @@ class Transaction:
         self.dataset, self.name = dataset, name
         self.done = dataset.published(name)
         self.parts: list[str] = []
-        self.ends: list[DataFrame] = []
+        self.zones: list[DataFrame] = []
         self.positions: list[tuple] = []
 
     def __enter__(self) -> Transaction:
@@ -283,8 +332,8 @@ class Transaction:
         )
         by = [f"_by_{c}" for c in order_by] if order_by else ["timestamp", *[f"_was_{c}" for c in formerly]]
         base = self.dataset.end_offsets()
-        for ends in self.ends:
-            base = base.unionByName(ends)
+        for zones in self.zones:
+            base = base.unionByName(zones.select("topic", "partition", (F.col("last") + 1).alias("offset")))
         base = base.groupBy("topic", "partition").agg(F.max("offset").alias("_base"))
         numbered = S.scan(rows, ["topic", "partition"], [*by, "_hash"], {"_n": S.number()})
         placed = numbered.join(base, ["topic", "partition"], "left").withColumn(
@@ -302,7 +351,9 @@ class Transaction:
              .write.mode("overwrite").partitionBy("topic", "partition").parquet(path))
         written = self.dataset.spark.read.schema(schema).parquet(path)
         self.parts.append(part)
-        self.ends.append(P.end_offsets(written))
+        self.zones.append(written.groupBy("topic", "partition").agg(
+            F.min("offset").alias("first"), F.max("offset").alias("last"), F.min("timestamp").alias("least"), F.max("timestamp").alias("most"),
+            F.min_by("timestamp", "offset").alias("opens")))
         return written.select("topic", "partition", "offset", "timestamp")
 
     def offsets(self, group: str, offsets) -> None:
@@ -326,8 +377,9 @@ class Transaction:
         rows = []
         for i, part in enumerate(self.parts or [None]):
             # one entry per partition written
-            ends = [tuple(r) for r in self.ends[i].collect()] if part and state == "committed" else []
-            rows.append((self.name, part, state, generation, time.time_ns(), ends, self.positions if i == 0 else []))
+            zones = [tuple(r) for r in self.zones[i].collect()] if part and state == "committed" else []
+            ends = [(topic, partition, last + 1) for topic, partition, _, last, *_ in zones]
+            rows.append((self.name, part, state, generation, time.time_ns(), ends, zones, self.positions if i == 0 else []))
         (self.dataset.spark.createDataFrame(rows, MANIFEST).coalesce(1)
          .write.mode("append").parquet(f"{self.dataset.path}/manifest"))
         self.done = True

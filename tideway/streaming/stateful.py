@@ -7,16 +7,21 @@ trails is the `retention` of the caller. State per key is what lies within that
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tideway.functions.folds import RowFold
-from tideway.operators.processors import EPOCH, MILLISECOND, RECORD_FIELDS, Context, _type, instance, output_schema
-from tideway.record import interval_ms
+from tideway.functions.folds import Fold, RowFold
+from tideway.operators.processors import EPOCH, MILLISECOND, RECORD_FIELDS, Context, _type, clocks, instance, output_schema, taken_up
+from tideway.record import interval_ms, interval_us
 
 DAY = (1, "days")
 
@@ -25,6 +30,15 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
 
+def _plain(value):
+    """Rows as tuples: what was read from state can be written to it again only in this form."""
+    if isinstance(value, tuple):
+        return tuple(map(_plain, value))
+    if isinstance(value, list):
+        return list(map(_plain, value))
+    return {k: _plain(v) for k, v in value.items()} if isinstance(value, dict) else value
+
+
 def _watermarked(df: DataFrame, retention) -> DataFrame:
     return df.withWatermark("timestamp", f"{interval_ms(retention)} milliseconds")
 
@@ -44,6 +58,14 @@ class _AsOf(StatefulProcessor):
         at = _struct(("us", T.LongType()))
         self.updates = handle.getMapState("updates", at, _struct(("place", T.StringType()), ("row", self.update)))
         self.waiting = handle.getMapState("waiting", at, _struct(("rows", T.ArrayType(self.record))))
+        self.due = handle.getValueState("due", _struct(("ms", T.LongType())))
+
+    def _wait(self, first: int) -> None:
+        """One timer per key, for the first record that waits."""
+        ms = first // 1000 + 1
+        if not self.due.exists() or ms < self.due.get()[0]:
+            self.due.update((ms,))
+            self.handle.registerTimer(ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         updates: dict[int, tuple] = {}
@@ -56,28 +78,32 @@ class _AsOf(StatefulProcessor):
                 updates[us] = row["_place"], row["_update"]
         for us, (place, update) in updates.items():
             if not self.updates.containsKey((us,)) or self.updates.getValue((us,))[0] <= place:
-                self.updates.updateValue((us,), (place, update))
+                self.updates.updateValue((us,), _plain((place, update)))
         for us, records in fresh.items():
             held = list(self.waiting.getValue((us,))[0]) if self.waiting.containsKey((us,)) else []
-            self.waiting.updateValue((us,), (held + records,))
-            self.handle.registerTimer(us // 1000 + 1)
+            self.waiting.updateValue((us,), _plain((held + records,)))
+        if fresh:
+            self._wait(min(fresh))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        by_time = lambda e: e[0]
-        due = sorted(((k[0], list(v[0])) for k, v in self.waiting.iterator() if k[0] < until), key=by_time)
-        if not due:
-            return
-        known = sorted(((k[0], v[1]) for k, v in self.updates.iterator() if k[0] < until), key=by_time)
-        i = 0
-        for us, records in due:
-            while i < len(known) and known[i][0] <= us:
-                i += 1
-            for record in records:
-                yield Row(key=key[0], _record=record, _seen=known[i - 1][1] if i else None)
+        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        self.due.clear()
+        times = sorted(k[0] for k in self.waiting.keys())
+        known = sorted(k[0] for k in self.updates.keys())
+        i, seen = 0, None
+        for us in times:
+            if us >= until:
+                self._wait(us)
+                break
+            if bisect_right(known, us) > i:
+                i = bisect_right(known, us)
+                seen = self.updates.getValue((known[i - 1],))[1]
+            for record in self.waiting.getValue((us,))[0]:
+                yield Row(key=key[0], _record=record, _seen=seen)
             self.waiting.removeKey((us,))
-        for us, _ in known[:-1]:  # the last one may still answer later records
+        # of the updates that no record can come before any more, the last one may still answer later records
+        for us in known[:max(0, bisect_left(known, until) - 1)]:
             self.updates.removeKey((us,))
 
 
@@ -161,7 +187,7 @@ class _TwoSides(StatefulProcessor):
                       timestamp=row["timestamp"], key=key[0], _l=now[0], _r=now[1])
         for state, value in zip(self.sides, now):
             if value is not None:
-                state.update((value,))
+                state.update(_plain((value,)))
 
 
 def table_join(left: DataFrame, right: DataFrame, f, how: str) -> DataFrame:
@@ -184,115 +210,245 @@ def table_join(left: DataFrame, right: DataFrame, f, how: str) -> DataFrame:
 # -- retraction -----------------------------------------------------------------------------------
 
 
+def _order(df: DataFrame, order: list[str]):
+    """The columns of an order as a struct without timestamps, which state and input hand over in different forms."""
+    plain = lambda c: F.unix_micros(c).alias(c) if isinstance(df.schema[c].dataType, T.TimestampType) else F.col(c)
+    return F.struct(*[plain(c) for c in order])
+
+
+def _at(place) -> tuple:
+    """The place of an update as something that sorts: nulls first."""
+    values = place.values() if isinstance(place, dict) else place
+    return tuple((v is not None, v) for v in values)
+
+
 class _Replaced(StatefulProcessor):
-    """Each update together with the value it replaces."""
+    """Each update together with the value it replaces. An update that comes after a later one of its key is left out: what it
+    added would be taken out again at once."""
 
-    def __init__(self, value: T.StructType):
-        self.value = value
+    def __init__(self, place: T.StructType, value: T.StructType):
+        self.place, self.value = place, value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", _struct(("row", self.value)))
+        self.last = handle.getValueState("last", _struct(("at", self.place), ("row", self.value)))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        before = self.last.get()[0] if self.last.exists() else None
-        for row in sorted(rows, key=lambda r: tuple(r["_at"].values())):  # structs arrive as dicts
+        at, before = self.last.get() if self.last.exists() else (None, None)
+        for row in sorted(rows, key=lambda r: _at(r["_at"])):  # structs arrive as dicts
+            if at is not None and _at(row["_at"]) < _at(at):
+                continue
             yield Row(key=key[0], timestamp=row["timestamp"], _old=before, _new=row["_v"])
-            before = row["_v"]
+            at, before = row["_at"], row["_v"]
         if before is not None:
-            self.last.update((before,))
-
+            self.last.update(_plain((at, before)))
 
-def regrouped_changes(changes: DataFrame, f, fold, order: list[str]) -> DataFrame:
-    """Streaming form of a regrouped table: signed contributions per new key, to be summed by `regrouped_totals`.
 
-    The contributions of a batch can be appended anywhere; their sums are the aggregate, whatever the order.
-    """
+def signed_changes(changes: DataFrame, order: list[str]) -> DataFrame:
+    """Streaming updates whose values are (new key, new value), as rows (key, timestamp, sign, value): the replaced value with sign −1,
+    the new one with +1."""
     rows = changes.filter(F.col("key").isNotNull()).select(
-        "key", "timestamp", F.struct(*order).alias("_at"), F.struct("value").alias("_v"))
-    value = rows.schema["_v"].dataType
-    out = _struct(("key", rows.schema["key"].dataType), ("timestamp", T.TimestampType()), ("_old", value),
-                  ("_new", value))
-    pairs = rows.groupBy("key").transformWithState(_Replaced(value), out, "Append", "None")
+        "key", "timestamp", _order(changes, order).alias("_at"), F.struct("value").alias("_v"))
+    place, value = rows.schema["_at"].dataType, rows.schema["_v"].dataType
+    out = _struct(("key", rows.schema["key"].dataType), ("timestamp", T.TimestampType()), ("_old", value), ("_new", value))
+    pairs = rows.groupBy("key").transformWithState(_Replaced(place, value), out, "Append", "None")
+    part = lambda sign, side: F.when(F.col(side)["value"].isNotNull(), F.struct(F.lit(sign).alias("sign"), F.col(side)["value"].alias("kv")))
+    signed = pairs.select("timestamp", F.explode(F.array(part(-1, "_old"), part(1, "_new"))).alias("e")).filter(F.col("e.kv.key").isNotNull())
+    return signed.select(F.col("e.kv.key").alias("key"), "timestamp", F.col("e.sign").alias("sign"), F.col("e.kv.value").alias("value"))
+
+
+def _contributions(signed: DataFrame, fold: Fold) -> DataFrame:
+    k, v, sign = F.col("key"), F.col("value"), F.col("sign")
+    return signed.select("key", "timestamp", *[p.contribution(k, v, sign).alias(n) for n, p in fold.parts.items()])
+
 
-    def part(sign: int, side: str):
-        v = F.col(side)["value"]
-        k2, v2 = f(F.col("key"), v)
-        return F.when(v.isNotNull(), F.struct(F.lit(sign).alias("sign"), k2.alias("key"), v2.alias("value")))
+def regrouped_changes(changes: DataFrame, f, fold: Fold, order: list[str]) -> DataFrame:
+    """Signed contributions per new key, to be summed by `regrouped_totals`.
 
-    signed = pairs.select("timestamp", F.explode(F.array(part(-1, "_old"), part(1, "_new"))).alias("e")).filter(
-        F.col("e.key").isNotNull())
-    k, v, sign = F.col("e.key"), F.col("e.value"), F.col("e.sign")
-    return signed.select(k.alias("key"), "timestamp",
-                         *[p.contribution(k, v, sign).alias(n) for n, p in fold.parts.items()])
+    The contributions of a batch can be appended anywhere; their sums are the aggregate, whatever the order.
+    """
+    k, v = F.col("key"), F.col("value")
+    new_key, new_value = f(k, v)
+    pairs = changes.withColumn("value", F.when(v.isNotNull(), F.struct(new_key.alias("key"), new_value.alias("value"))))
+    return _contributions(signed_changes(pairs, order), fold)
 
 
-def regrouped_totals(contributions: DataFrame, fold) -> DataFrame:
+def regrouped_totals(contributions: DataFrame, fold: Fold) -> DataFrame:
     return contributions.groupBy("key").agg(*[F.sum(n).alias(n) for n in fold.parts]).select(
         "key", fold.finished().alias("value"))
 
 
+PLAIN_KEYS = (T.StringType, T.BinaryType, T.BooleanType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+SUMS_HELD = 100_000
+
+
+def _summed_before_the_shuffle(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Sums of `names` per key within each task, so that a group costs one row per task and not one per change."""
+    if not isinstance(rows.schema["key"].dataType, PLAIN_KEYS):
+        return rows
+    schema = to_arrow_schema(rows.schema)
+
+    def summed(tables):
+        sums = pa.concat_tables(tables).group_by("key", use_threads=False).aggregate([(n, "sum") for n in names])
+        return sums.rename_columns([c.removesuffix("_sum") for c in sums.column_names]).select(schema.names).cast(schema)
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(pa.Table.from_batches([batch]).cast(schema))
+            if sum(t.num_rows for t in held) > SUMS_HELD:
+                held = [summed(held)]
+                if held[0].num_rows > SUMS_HELD // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from summed(held).to_batches()
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+class _Totals(StatefulProcessor):
+    """The sums of a group; every micro-batch that changes it emits them once."""
+
+    def __init__(self, sums: T.StructType):
+        self.sums = sums
+        zero = lambda t: Decimal(0) if isinstance(t, T.DecimalType) else 0.0 if isinstance(t, T.FractionalType) else 0
+        self.zeros = [zero(f.dataType) for f in sums]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("sums", self.sums)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        names = self.sums.names
+        now = list(self.state.get()) if self.state.exists() else list(self.zeros)
+        for row in rows:
+            for i, n in enumerate(names):
+                if row[n] is not None:
+                    now[i] += row[n]
+        self.state.update(tuple(now))
+        yield Row(key=key[0], **dict(zip(names, now)))
+
+
+def regrouped(changes: DataFrame, fold: Fold, order: list[str]) -> DataFrame:
+    """A regrouped table on a stream: the aggregate (key, value) of every group that a micro-batch changed.
+
+    Two chained state operators: the first one knows the last value per key and takes it back when it is replaced, the second one keeps
+    the sums of each group. In between, changes are summed within their task. Both append; of a group, the row of the last micro-batch counts.
+    """
+    names = list(fold.parts)
+    rows = _contributions(signed_changes(changes, order), fold).select("key", *names)
+    wide = rows.groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).schema
+    rows = rows.select("key", *[F.col(n).cast(wide[n].dataType).alias(n) for n in names])
+    rows = _summed_before_the_shuffle(rows, names)
+    out = T.StructType([T.StructField("key", wide["key"].dataType), *[T.StructField(n, wide[n].dataType) for n in names]])
+    totals = rows.groupBy("key").transformWithState(_Totals(T.StructType(out.fields[1:])), out, "Append", "None")
+    return totals.select("key", fold.finished().alias("value"))
+
+
+class _SignedFold(StatefulProcessor):
+    """A group's aggregate under Python `add` and `sub`."""
+
+    def __init__(self, add, sub, seed, agg: T.DataType):
+        self.add, self.sub, self.seed, self.agg = add, sub, seed, agg
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("agg", _struct(("agg", self.agg)))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        agg = self.state.get()[0] if self.state.exists() else self.seed()
+        for row in rows:
+            agg = (self.add if row["sign"] > 0 else self.sub)(agg, key[0], row["value"])
+        self.state.update(_plain((agg,)))
+        yield Row(key=key[0], value=agg)
+
+
+def regrouped_rows(changes: DataFrame, add, sub, seed, schema: str, order: list[str]) -> DataFrame:
+    """The same with Python functions, which are called in undefined order."""
+    rows = signed_changes(changes, order).select("key", "sign", "value")
+    out = _struct(("key", rows.schema["key"].dataType), ("value", _type(schema)))
+    return rows.groupBy("key").transformWithState(_SignedFold(add, sub, seed, _type(schema)), out, "Append", "None")
+
+
 # -- stream–stream join, eager ----------------------------------------------------------------------
 
 
-class _EagerLeft(StatefulProcessor):
-    """Left records that find no partner on arrival give a (v, null) row at once; pairs follow as partners come."""
+class _Eager(StatefulProcessor):
+    """The records of both sides that lie in one time bucket of a key (at home) or within reach of it (guests). On arrival a record is
+    paired with what is there of the other side; with nothing there, a home record of a side in `alone` is sent by itself.
 
-    def __init__(self, left: T.StructType, right: T.StructType, reach_us: int, keep_ms: int):
-        self.types, self.reach, self.keep = (left, right), reach_us, keep_ms
+    A pair belongs to the bucket of its left record. The state of a bucket goes at once when no record can reach it any more.
+    """
+
+    def __init__(self, left: T.StructType, right: T.StructType, reach_us: int, width_us: int, alone: tuple[bool, bool]):
+        self.types, self.reach, self.width, self.alone = (left, right), reach_us, width_us, alone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        at = _struct(("us", T.LongType()))
-        self.sides = [handle.getMapState(n, at, _struct(("rows", T.ArrayType(t)))) for n, t in zip("lr", self.types)]
+        item = lambda t: _struct(("us", T.LongType()), ("home", T.BooleanType()), ("row", t))
+        self.sides = [handle.getListState(n, item(t)) for n, t in zip("lr", self.types)]
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # lists per time: after flat maps, joins and merges several records have one place
-        held = [{k[0]: list(v[0]) for k, v in s.iterator()} for s in self.sides]
-        changed = set()
+        held = [sorted(s.get(), key=lambda x: x[0]) if s.exists() else [] for s in self.sides]
+        times = [[x[0] for x in h] for h in held]
+        fresh = [], []
         for row in sorted(rows, key=lambda r: (r["_us"], r["_side"], r["_place"])):
-            side, us = row["_side"], row["_us"]
+            side, us, home = row["_side"], row["_us"], row["_home"]
             mine = row["_r"] if side else row["_l"]
-            partners = [r for t, rs in held[1 - side].items() if abs(t - us) <= self.reach for r in rs]
-            if side == 0 and not partners:
-                yield Row(key=key[0], l=mine, r=None)
-            for other in partners:
-                yield Row(key=key[0], l=other if side else mine, r=mine if side else other)
-            held[side].setdefault(us, []).append(mine)
-            changed.add((side, us))
-        for side, us in changed:
-            self.sides[side].updateValue((us,), (held[side][us],))
-            self.handle.registerTimer(us // 1000 + self.keep)
+            there = times[1 - side]
+            near = held[1 - side][bisect_left(there, us - self.reach):bisect_right(there, us + self.reach)]
+            if home and not near and self.alone[side]:
+                yield Row(key=key[0], l=None if side else mine, r=mine if side else None)
+            for _, other_home, other in near:
+                if other_home if side else home:
+                    yield Row(key=key[0], l=other if side else mine, r=mine if side else other)
+            i = bisect_right(times[side], us)
+            times[side].insert(i, us)
+            held[side].insert(i, (us, home, mine))
+            fresh[side].append((us, home, mine))
+        for state, items in zip(self.sides, fresh):
+            if items:
+                state.appendList(_plain(items))
+        self.handle.registerTimer(((key[1] + 1) * self.width + self.reach) // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = (expiredTimerInfo.getExpiryTimeInMs() - self.keep) * 1000
         for side in self.sides:
-            for at in [tuple(k) for k, _ in side.iterator() if k[0] <= until]:
-                side.removeKey(at)
+            side.clear()
         return iter(())
 
 
-def eager_left_join(left: DataFrame, right: DataFrame, f, interval, retention=DAY) -> DataFrame:
-    """Streaming left join that emits (v, null) for left records without a partner so far."""
-    from tideway.operators.joins import _joined_record
+def eager_join(left: DataFrame, right: DataFrame, f, interval, how: str, retention=DAY) -> DataFrame:
+    """Streaming join that emits pairs as they meet and, for the sides that `how` keeps, (v, null) or (null, v) for records without a
+    partner so far. At equal times the left record counts as the earlier one.
+
+    The state is kept by (key, time bucket), so a hot key spreads over its buckets.
+    """
+    from tideway.operators.joins import BUCKET_SPAN, _joined_record
+
+    reach = interval_us(interval)
+    width = max(reach, 1) * BUCKET_SPAN
+    us, bucket = F.col("_us"), lambda c: F.floor(c / width).cast("bigint")
 
     def wrapped(df, side, name):
-        return df.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select(
-            "key", "timestamp", F.lit(side).alias("_side"),
-            _place(df).alias("_place"),
+        rows = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select(
+            "key", "timestamp", F.unix_micros("timestamp").alias("_us"), F.lit(side).alias("_side"), _place(df).alias("_place"),
             F.struct(*[c for c in df.columns if c != "key"]).alias(name))
+        rows = rows.withColumn("_b", F.explode(F.sequence(bucket(us - reach), bucket(us + reach))))
+        return rows.withColumn("_home", F.col("_b") == bucket(us))
 
     l, r = wrapped(left, 0, "_l"), wrapped(right, 1, "_r")
     rows = _watermarked(l.unionByName(r, allowMissingColumns=True), retention)
-    rows = rows.withColumn("_us", F.unix_micros("timestamp"))
     lt, rt = l.schema["_l"].dataType, r.schema["_r"].dataType
-    reach = interval_ms(interval)
     out = _struct(("key", l.schema["key"].dataType), ("l", lt), ("r", rt))
-    pairs = rows.groupBy("key").transformWithState(
-        _EagerLeft(lt, rt, reach * 1000, reach + 1), out, "Append", "EventTime")
+    alone = how in ("left", "outer"), how == "outer"
+    pairs = rows.groupBy("key", "_b").transformWithState(_Eager(lt, rt, reach, width, alone), out, "Append", "EventTime")
     pairs = pairs.withColumns({f"{side}_us": F.unix_micros(F.col(side)["timestamp"]) for side in "lr"})
     return _joined_record(pairs, f, left.columns, right.columns)
 
 
+def eager_left_join(left: DataFrame, right: DataFrame, f, interval, retention=DAY) -> DataFrame:
+    return eager_join(left, right, f, interval, "left", retention)
+
+
 # -- sessions that update, sliding windows ------------------------------------------------------------
 
 
@@ -330,7 +486,7 @@ class _Sessions(StatefulProcessor):
         for s, (to, agg) in changed.items():
             if s in before and before[s][0] != to:
                 yield Row(key=key[0], window_from=s // 1000, window_to=before[s][0] // 1000, value=None)
-            self.open.updateValue((s,), (to, agg))
+            self.open.updateValue((s,), _plain((to, agg)))
             self.handle.registerTimer(to // 1000 + self.keep)
             yield Row(key=key[0], window_from=s // 1000, window_to=to // 1000, value=agg)
 
@@ -357,8 +513,97 @@ def updating_sessions(df: DataFrame, fold: RowFold, interval, retention=DAY) ->
         _Sessions(fold, agg, gap * 1000, gap + 1), out, "Update", "EventTime")
 
 
+class TwoStacks:
+    """The aggregate of a sliding stretch of points in order: each point is merged twice at most, however long the stretch is.
+
+    `front` holds, for the older points, the aggregate from there to the end of the front, newest last to leave at the bottom; `back`
+    the newer points, of which `sum` is the aggregate.
+    """
+
+    def __init__(self, merge):
+        self.merge, self.front, self.back, self.sum = merge, [], [], None
+
+    def push(self, at: int, agg) -> None:
+        self.sum = agg if not self.back else self.merge(self.sum, agg)
+        self.back.append((at, agg))
+
+    def evict(self, before: int) -> None:
+        """Drop points earlier than `before`."""
+        while self.front or self.back:
+            if not self.front:
+                if self.back[0][0] >= before:
+                    return
+                total = None
+                for at, agg in reversed(self.back):
+                    total = agg if total is None else self.merge(agg, total)
+                    self.front.append((at, total))
+                self.back, self.sum = [], None
+            if self.front[-1][0] >= before:
+                return
+            self.front.pop()
+
+    def value(self):
+        if not self.front:
+            return self.sum
+        return self.merge(self.front[-1][1], self.sum) if self.back else self.front[-1][1]
+
+
 class _Sliding(StatefulProcessor):
-    """Records of the last interval; each time is answered once the watermark is past it."""
+    """Aggregates of the moments of a key within the last interval. When the watermark has passed moments, one pass over what is held
+    answers them all; a key has one timer at a time."""
+
+    def __init__(self, value: Callable, step: Callable, merge: Callable, agg: T.StructType, span_ms: int):
+        self.value, self.step, self.merge, self.agg, self.span = value, step, merge, agg, span_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.points = handle.getMapState("points", _struct(("ms", T.LongType())), self.agg)
+        self.done = handle.getValueState("done", _struct(("until", T.LongType()), ("due", T.LongType())))
+
+    def _timer(self, until, due, first: int) -> None:
+        if due is None or first + 1 < due:
+            due = first + 1
+            self.handle.registerTimer(due)
+        self.done.update((until, due))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        until, due = self.done.get() if self.done.exists() else (None, None)
+        fresh: dict[int, tuple] = {}
+        for row in rows:
+            ms = row["_ms"]
+            if until is not None and ms < until:
+                continue  # later than the watermark: its moment is answered
+            if ms not in fresh:
+                fresh[ms] = tuple(self.points.getValue((ms,))) if self.points.containsKey((ms,)) else None
+            fresh[ms] = self.step(fresh[ms], key[0], self.value(row))
+        for ms, agg in fresh.items():
+            self.points.updateValue((ms,), _plain(agg))
+        if fresh:
+            self._timer(until, due, min(fresh))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        before, _ = self.done.get()
+        window, later = TwoStacks(self.merge), None
+        for ms, agg in sorted(((k[0], tuple(v)) for k, v in self.points.iterator()), key=lambda p: p[0]):
+            if ms >= until:
+                later = ms
+                break
+            window.push(ms, agg)
+            window.evict(ms - self.span)
+            if before is None or ms >= before:
+                yield Row(key=key[0], window_from=ms - self.span, window_to=ms, agg=window.value())
+            if ms < until - self.span:
+                self.points.removeKey((ms,))
+        if later is None:
+            self.done.update((until, None))
+        else:
+            self._timer(until, None, later)
+
+
+class _SlidingRows(StatefulProcessor):
+    """The same for a Python fold without `merge`: the values of each window are folded anew."""
 
     def __init__(self, fold, value: T.DataType, span_ms: int):
         self.fold, self.value, self.span = fold, value, span_ms
@@ -374,7 +619,7 @@ class _Sliding(StatefulProcessor):
             fresh.setdefault(row["_ms"], []).append(row["value"])
         for ms, values in fresh.items():
             old = list(self.rows.getValue((ms,))[0]) if self.rows.containsKey((ms,)) else []
-            self.rows.updateValue((ms,), (old + values, False))
+            self.rows.updateValue((ms,), _plain((old + values, False)))
             self.handle.registerTimer(ms + 1)
         return iter(())
 
@@ -389,19 +634,65 @@ class _Sliding(StatefulProcessor):
                         for v in values:
                             agg = self.fold.step(agg, key[0], v)
                 yield Row(key=key[0], window_from=ms - self.span, window_to=ms, value=agg)
-                self.rows.updateValue((ms,), (items, True))
+                self.rows.updateValue((ms,), _plain((items, True)))
             elif ms < until - self.span - 1:
                 self.rows.removeKey((ms,))
 
 
-def sliding_windows(df: DataFrame, fold: RowFold, interval, retention=DAY) -> DataFrame:
-    """Record-aligned windows [t − I, t] on a stream, emitted when the watermark passes t."""
-    rows = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select("key", "timestamp", "value")
-    rows = _watermarked(rows, retention).withColumn("_ms", F.unix_millis("timestamp"))
-    out = _struct(("key", df.schema["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()),
-                  ("value", _type(fold.schema)))
-    return rows.groupBy("key").transformWithState(
-        _Sliding(fold, df.schema["value"].dataType, interval_ms(interval)), out, "Append", "EventTime")
+def _smaller(a, b):
+    """As Spark orders: NaN is the largest number."""
+    return b if a != a else a if b != b else min(a, b)
+
+
+def _larger(a, b):
+    return a if a != a else b if b != b else max(a, b)
+
+
+COMBINE = {"sum": lambda a, b: a + b, "count": lambda a, b: a + b, "min": _smaller, "max": _larger}
+
+
+def _sliding_fold(df: DataFrame, fold: Fold, span_ms: int, retention) -> DataFrame:
+    """A `Fold` in sliding windows: Columns give each record's contributions and finish the result, the state merges partial ones."""
+    rows = _watermarked(fold.lifted(df, "key", "timestamp"), retention).withColumn("_ms", F.unix_millis("timestamp"))
+    names, kinds = list(fold.parts), [p.kind for p in fold.parts.values()]
+    typed = rows.groupBy("key").agg(*fold.partials()).schema
+    agg = T.StructType([T.StructField(n, typed[n].dataType) for n in names])
+    rows = rows.select("key", "timestamp", "_ms", *[F.col(f"_in_{n}") if k == "count" else F.col(f"_in_{n}").cast(typed[n].dataType).alias(f"_in_{n}")
+                                                    for n, k in zip(names, kinds)])
+
+    def value(row):
+        lifted = (row[f"_in_{n}"] for n in names)
+        return tuple(int(x is not None) if k == "count" else x for x, k in zip(lifted, kinds))
+
+    def merge(a, b):
+        return tuple(y if x is None else x if y is None else COMBINE[k](x, y) for x, y, k in zip(a, b, kinds))
+
+    step = lambda held, k, v: v if held is None else merge(held, v)
+    out = _struct(("key", typed["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()), ("agg", agg))
+    windows = rows.groupBy("key").transformWithState(_Sliding(value, step, merge, agg, span_ms), out, "Append", "EventTime")
+    return windows.select("key", "window_from", "window_to", "agg.*").select("key", "window_from", "window_to", fold.finished().alias("value"))
+
+
+def sliding_windows(df: DataFrame, fold: Fold | RowFold, interval, retention=DAY) -> DataFrame:
+    """Record-aligned windows [t − I, t] on a stream, emitted when the watermark passes t. Folds that merge (every `Fold`, a `RowFold` with
+    `merge`) take time linear in the records."""
+    span = interval_ms(interval)
+    df = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
+    if isinstance(fold, Fold):
+        return _sliding_fold(df, fold, span, retention)
+    rows = _watermarked(df.select("key", "timestamp", "value"), retention).withColumn("_ms", F.unix_millis("timestamp"))
+    kind = _type(fold.schema)
+    out = lambda name, t: _struct(("key", df.schema["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()), (name, t))
+    if fold.merge is None:
+        return rows.groupBy("key").transformWithState(
+            _SlidingRows(fold, df.schema["value"].dataType, span), out("value", kind), "Append", "EventTime")
+    seed, one, many = fold.seed, fold.step, fold.merge
+    step = lambda held, k, v: (one(seed() if held is None else held[0], k, v),)
+    merge = lambda a, b: (many(a[0], b[0]),)
+    agg = _struct(("value", kind))
+    windows = rows.groupBy("key").transformWithState(
+        _Sliding(lambda row: row["value"], step, merge, agg, span), out("agg", agg), "Append", "EventTime")
+    return windows.select("key", "window_from", "window_to", "agg.value")
 
 
 # -- ordered folds ----------------------------------------------------------------------------------
@@ -421,7 +712,7 @@ class _Folding(StatefulProcessor):
         agg = self.state.get()[0] if self.state.exists() else self.fold.seed()
         for row in sorted(rows, key=lambda r: (r["timestamp"] or EPOCH, r["topic"], r["partition"], r["offset"])):
             agg = self.fold.step(agg, row["key"], row["value"])
-        self.state.update((agg,))
+        self.state.update(_plain((agg,)))
         if self.keep is not None:
             self.handle.registerTimer(key[1] // 1000 + self.keep)
         yield Row(**dict(zip(self.keys, key)), value=agg)
@@ -441,6 +732,69 @@ def fold_stream(df: DataFrame, keys: list[str], fold: RowFold, length_ms: int |
         _Folding(fold, _type(fold.schema), keys, length_ms), out, "Update", "EventTime" if windowed else "None")
 
 
+class _Reorder(StatefulProcessor):
+    """Holds the records of a key in time buckets; those of a bucket that the watermark has passed are sent on in order, numbered on. A key
+    has one timer, for its first bucket."""
+
+    def __init__(self, record: T.StructType, width_ms: int):
+        self.record, self.width = record, width_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buckets = handle.getMapState("buckets", _struct(("b", T.LongType())), _struct(("rows", T.ArrayType(self.record))))
+        self.sent = handle.getValueState("sent", _struct(("n", T.LongType()), ("until", T.LongType()), ("due", T.LongType())))
+
+    def _state(self):
+        return self.sent.get() if self.sent.exists() else (0, None, None)
+
+    def _wait(self, n: int, until, due, first) -> None:
+        if first is not None and (due is None or (first + 1) * self.width < due):
+            due = (first + 1) * self.width
+            self.handle.registerTimer(due)
+        self.sent.update((n, until, due))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        n, until, due = self._state()
+        fresh: dict[int, list] = {}
+        for row in rows:
+            b = row["_ms"] // self.width
+            if until is None or b >= until:  # else later than the watermark
+                fresh.setdefault(b, []).append(row["_record"])
+        for b, records in fresh.items():
+            held = list(self.buckets.getValue((b,))[0]) if self.buckets.containsKey((b,)) else []
+            self.buckets.updateValue((b,), _plain((held + records,)))
+        if fresh:
+            self._wait(n, until, due, min(fresh))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        n, _, _ = self._state()
+        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) // self.width
+        waiting = sorted(k[0] for k in self.buckets.keys())
+        for b in waiting:
+            if b >= until:
+                break
+            for record in sorted(self.buckets.getValue((b,))[0], key=lambda r: _at(r["at"])):
+                n += 1
+                yield Row(key=key[0], _n=n, _value=record["value"])
+            self.buckets.removeKey((b,))
+        self._wait(n, until, None, next((b for b in waiting if b >= until), None))
+
+
+def in_order(df: DataFrame, order: list[str], retention=DAY) -> DataFrame:
+    """Records of a stream as (key, value, _n), each key's in the order of `order` (which begins with the time) and numbered from 1. Records wait
+    until the watermark has passed them; later ones are dropped."""
+    # narrow enough that little waits for the rest of its bucket, wide enough that a bucket is more than a record
+    width = min(60_000, max(1, interval_ms(retention) // 64))
+    known = F.col("key").isNotNull() & F.col("value").isNotNull() & F.col("timestamp").isNotNull()
+    record = F.struct(_order(df, order).alias("at"), F.struct("value").alias("value")).alias("_record")
+    rows = _watermarked(df.filter(known), retention).select("key", "timestamp", F.unix_millis("timestamp").alias("_ms"), record)
+    kind = rows.schema["_record"].dataType
+    out = _struct(("key", rows.schema["key"].dataType), ("_n", T.LongType()), ("_value", kind["value"].dataType))
+    sent = rows.groupBy("key").transformWithState(_Reorder(kind, width), out, "Append", "EventTime")
+    return sent.select("key", F.col("_value.value").alias("value"), "_n")
+
+
 # -- processors -------------------------------------------------------------------------------------
 
 
@@ -457,7 +811,7 @@ class _MapStore:
         if v is None:
             self.remove(k)
         else:
-            self.state.updateValue((k,), (v,))
+            self.state.updateValue((k,), _plain((v,)))
 
     def offer(self, k, v):
         old = self.get(k)
@@ -481,11 +835,15 @@ class _MapStore:
 
 
 class _UserProcessor(StatefulProcessor):
-    """Runs a processor on a stream. Stores and timers are durable; what `init` returns lives in the task, as a
-    fresh instance is initialised per task and key, and should hold nothing that cannot be made again."""
+    """Runs a processor on a stream. Stores, timers, stream time and what `init` returned are durable.
 
-    def __init__(self, processor, values_only: bool, event_time: bool):
-        self.processor, self.values_only, self.event_time = processor, values_only, event_time
+    In event time, stream-time timers fire when the watermark passes them, also for keys without further records. In the other modes the stream
+    time of a key is that of its records, and a timer fires before the record that passes it, as on a batch; in processing time there are
+    wall-clock timers beside them.
+    """
+
+    def __init__(self, processor, values_only: bool, mode: str):
+        self.processor, self.values_only, self.mode = processor, values_only, mode
         # DDL is parsed here, on the driver
         self.types = {n: (_struct(("k", _type(k))), _struct(("v", _type(v))))
                       for n, (k, v) in getattr(instance(processor), "stores", {}).items()}
@@ -498,25 +856,34 @@ class _UserProcessor(StatefulProcessor):
         }
         self.timers = handle.getMapState("_timers", _struct(("i", T.IntegerType())),
                                          _struct(("due", T.LongType()), ("live", T.BooleanType())))
+        self.kept = handle.getValueState("_kept", _struct(("now", T.LongType()), ("user", T.BinaryType())))
 
     def _context(self):
         ctx = Context(self.states, forbid_forward=self.values_only)
         start = getattr(self.made, "init", None)
         user = start(ctx) if start else None
+        if self.kept.exists():
+            ctx.out.clear()
+            ctx.now_ms, kept = self.kept.get()
+            if kept is not None:
+                user = taken_up(user, pickle.loads(kept))
         for i, timer in enumerate(ctx._timers):
             if self.timers.containsKey((i,)):
                 timer["due"], timer["live"] = self.timers.getValue((i,))
         return ctx, user
 
-    def _save_timers(self, ctx, now_ms: int) -> None:
-        kind = "stream-time" if self.event_time else "wall-clock-time"
+    def _save(self, ctx, user, wall_ms: int | None) -> None:
         for i, timer in enumerate(ctx._timers):
-            if timer["kind"] != kind:
-                continue
-            if timer["due"] is None and timer["live"]:
-                timer["due"] = now_ms + timer["every"]
+            by_wall = timer["kind"] == "wall-clock-time"
+            if by_wall and self.mode != "ProcessingTime":
+                raise ValueError("timers by wall clock need processing time: schedule them in init, name them in `clocks`, or ask for time_mode=\"ProcessingTime\"")
+            timed = by_wall or self.mode == "EventTime"
+            now = wall_ms if by_wall else ctx.now_ms
+            if timed and timer["due"] is None and timer["live"] and now is not None:
+                timer["due"] = now + timer["every"]
                 self.handle.registerTimer(timer["due"])
             self.timers.updateValue((i,), (timer["due"], timer["live"]))
+        self.kept.update((ctx.now_ms, None if user is None else pickle.dumps(user)))
 
     def _emitted(self, ctx) -> Iterator[Row]:
         for i, (k, v, ts, child) in enumerate(ctx.out):
@@ -529,11 +896,14 @@ class _UserProcessor(StatefulProcessor):
         order = lambda r: (r["timestamp"] or EPOCH, r["topic"], r["partition"], r["offset"])
         for row in sorted(rows, key=order):
             ctx.topic, ctx.partition, ctx.offset = row["topic"], row["partition"], row["offset"]
-            ctx.timestamp = row["timestamp"]
             ctx.headers = row["headers"] if "headers" in row else None
             if row["timestamp"] is not None:
                 ms = (row["timestamp"] - EPOCH) // MILLISECOND
-                ctx.now_ms = ms if ctx.now_ms is None else max(ms, ctx.now_ms)
+                if self.mode == "EventTime":
+                    ctx.now_ms = ms if ctx.now_ms is None else max(ms, ctx.now_ms)
+                else:
+                    ctx.advance(ms)
+            ctx.timestamp = row["timestamp"]
             record = {c: row[c] for c in RECORD_FIELDS if c in row}
             if isinstance(record.get("value"), Row):
                 record["value"] = record["value"].asDict(recursive=True)
@@ -542,26 +912,26 @@ class _UserProcessor(StatefulProcessor):
                 yield Row(_record=row["_record"], _result=result)
             else:
                 yield from self._emitted(ctx)
-        clock = ctx.now_ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-        if clock is not None:
-            self._save_timers(ctx, clock)
+        self._save(ctx, user, timerValues.getCurrentProcessingTimeInMs() if self.mode == "ProcessingTime" else None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ctx, _ = self._context()
+        ctx, user = self._context()
         due = expiredTimerInfo.getExpiryTimeInMs()
-        now = (timerValues.getCurrentWatermarkInMs() if self.event_time
-               else timerValues.getCurrentProcessingTimeInMs())
-        ctx.now_ms = due
+        event_time = self.mode == "EventTime"
+        now = timerValues.getCurrentWatermarkInMs() if event_time else timerValues.getCurrentProcessingTimeInMs()
+        if event_time:
+            ctx.now_ms = due
         ctx.timestamp = EPOCH + due * MILLISECOND
-        for i, timer in enumerate(ctx._timers):
-            if timer["due"] != due or not timer["live"]:
+        kind = "stream-time" if event_time else "wall-clock-time"
+        for timer in list(ctx._timers):
+            if timer["kind"] != kind or timer["due"] != due or not timer["live"]:
                 continue
             timer["call"](due)
             if timer["live"]:
                 # ticks that were jumped over are not made up for
                 timer["due"] += timer["every"] * (1 + max(0, now - due) // timer["every"])
                 self.handle.registerTimer(timer["due"])
-            self.timers.updateValue((i,), (timer["due"], timer["live"]))
+        self._save(ctx, user, None if event_time else now)
         if not self.values_only:
             yield from self._emitted(ctx)
 
@@ -570,18 +940,26 @@ class _UserProcessor(StatefulProcessor):
             self.made.close()
 
 
-def process_stream(df: DataFrame, processor, time_mode: str = "EventTime", retention=DAY) -> DataFrame:
-    """Streaming form of `process`; `time_mode` "ProcessingTime" for wall-clock timers, "None" without timers."""
-    event_time = time_mode == "EventTime"
-    if event_time:
+TIME_MODES = ("EventTime", "ProcessingTime", "None")
+
+
+def process_stream(df: DataFrame, processor, time_mode: str | None = None, retention=DAY) -> DataFrame:
+    """Streaming form of `process`. Without `time_mode`, a processor that schedules by wall clock runs in processing time, others in event time. A query
+    in processing time goes on making micro-batches for its timers, so the trigger `availableNow` does not end it (`run.run_until_idle` does)."""
+    if time_mode is None:
+        time_mode = "ProcessingTime" if "wall-clock-time" in clocks(processor) else "EventTime"
+    if time_mode not in TIME_MODES:
+        raise ValueError(f"unknown time mode: {time_mode!r}")
+    if time_mode == "EventTime":
         df = _watermarked(df, retention)
     return df.groupBy("_by").transformWithState(
-        _UserProcessor(processor, False, event_time), output_schema(df, processor), "Update", time_mode)
+        _UserProcessor(processor, False, time_mode), output_schema(df, processor), "Update", time_mode)
 
 
 def process_values_stream(df: DataFrame, processor, value_type: T.DataType) -> DataFrame:
     rows = df.withColumn("_record", F.struct(*df.columns))
     out = _struct(("_record", rows.schema["_record"].dataType), ("_result", value_type))
-    done = rows.groupBy("key").transformWithState(_UserProcessor(processor, True, False), out, "Update", "None")
+    mode = "ProcessingTime" if "wall-clock-time" in clocks(processor) else "None"
+    done = rows.groupBy("key").transformWithState(_UserProcessor(processor, True, mode), out, "Update", mode)
     return done.select(*[F.col("_result").alias("value") if c == "value" else F.col(f"_record.{c}").alias(c)
                          for c in df.columns])
