@@ -200,7 +200,7 @@ def brute_index(pages):
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"compression": "gzip"}, {"compression": "gzip", "maxFileBytes": "5000"}, {"maxFileBytes": "3000"}])
+@pytest.mark.parametrize("options", [{}, {"compression": "none"}, {"maxFileBytes": "5000"}, {"compression": "none", "maxFileBytes": "3000"}])
 def test_archive(spark, pages, options):
     warc.register(spark)
     path = fresh_path(spark, "archive")

@@ -7,7 +7,7 @@ over by its length. What is read of the others depends on the columns asked for
 header. In compressed archives (one gzip member per record) only as much is inflated as is needed, and members that carry their
 length (extra field `sl`, which the writer adds) are jumped over too.
 
-Writing takes record_id, record_type, target_uri, date, refers_to, payload, payload_digest (hexadecimal) and payload_length; missing
+Writing (compressed, one gzip member per record, unless the option `compression` is "none") takes record_id, record_type, target_uri, date, refers_to, payload, payload_digest (hexadecimal) and payload_length; missing
 columns count as null and others are not looked at. A task writes files of its own names; a manifest that is written once all tasks are done
 makes them visible, so lost or repeated tasks leave nothing that is read. Files that came without a manifest are read by their suffix.
 
@@ -374,7 +374,7 @@ class Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path, self.overwrite = options["path"], overwrite
-        self.zipped = options.get("compression", "none") == "gzip"
+        self.zipped = options.get("compression", "gzip") == "gzip"
         self.most = int(options.get("maxFileBytes", 256 << 20))
         self.now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
         self.job = uuid.uuid4().hex
