@@ -35,8 +35,8 @@ from tideway.llm.common import written
 LONGEST = 5
 BITS = 27                   # bitmap of frequent pairs: 2^27 bits
 BLOCK = 17                  # bits of one block of it
-SLICE_BYTES = 8 << 20       # text that is looked at at once; a longer document is a slice of its own
-HELD = 1 << 21              # distinct pairs that a task holds before it sends them on
+SLICE_BYTES = 4 << 20       # text that is looked at at once; a longer document is a slice of its own
+HELD = 1 << 20              # distinct pairs that a task holds before it sends them on
 GRAMS = 400_000             # distinct grams likewise
 MIX = np.uint64(0x9E3779B97F4A7C15)
 

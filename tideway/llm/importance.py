@@ -30,7 +30,7 @@ from tideway.llm.common import written
 POLYNOMIAL = 0xEDB88320     # fixed value: CRC-32, lowest bit first
 WIDE = 512                  # longest run, in bytes, that is one column of a matrix
 CELLS = 1 << 22             # bytes in one matrix
-SLICE_BYTES = 8 << 20       # text that is looked at at once; a longer document is a slice of its own
+SLICE_BYTES = 4 << 20       # text that is looked at at once; a longer document is a slice of its own
 SLICE_ROWS = 20_000
 COARSE = 1024               # scores that share a step of the histogram's running sum
 
