@@ -24,6 +24,22 @@ def test_stages(spark):
     assert {p["doc_id"] for p in pieces} == {r["doc_id"] for r in docs.collect()}
 
 
+def test_stages_on_awkward_tables(spark):
+    """Null ids and texts, repeated rows and columns named like those the stages make themselves; and no rows at all."""
+    texts = [None, "", "  \n ", "one line of words here\nanother line of other words", "one line of words here\nanother line of other words",
+             *[" ".join(f"w{i}x{j}" for j in range(30 + i)) for i in range(20)]]
+    rows = [(None if i == 8 else i, t, "en" if i % 2 else None, "src", 10, 100 + i, 200 + i, 300 + i, 400 + i) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + rows[10:11], "doc_id long, text string, lang string, source string, n_chars long, _row long, _source long, of long, _left long")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        kept = out.collect()
+        assert 0 < len(kept) <= len(rows) + 1 and all(r["_row"] == r["_left"] - 300 == r["_source"] - 100 == r["of"] - 200 for r in kept), name
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    pack = corpus_pipeline.STAGES[-1][1]
+    assert pack(spark, docs, SF).agg({"length": "sum"}).first()[0] > 0 and pack(spark, docs.limit(0), SF).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, name):
     con = duckdb.connect()
