@@ -222,6 +222,15 @@ def test_replayed_batches_of_a_live_fold(spark):
     assert got(store.snapshot(), "key", "value") == [("a", 3), ("b", 3)] and got(store.part(1), "value") == [(9,)]
 
 
+def test_ordered_fold_of_maps(spark):
+    rows = records(spark, [("a", t, t) for t in range(1, 30)]).withColumn("value", F.create_map(F.lit("v"), F.col("value")))
+    fold = folds.OrderedFold(seed=F.lit(0).cast("bigint"), step=lambda agg, k, v: (agg * 3 + v["v"]) % 1009, merge=lambda a, b: a, block=64)
+    wanted = 0
+    for t in range(1, 30):
+        wanted = (wanted * 3 + t) % 1009
+    assert got(Stream(rows).group_by_key().reduce_values(fold).snapshot(), "key", "value") == [("a", wanted)]
+
+
 # -- processors ---------------------------------------------------------------------------------------
 
 
@@ -261,6 +270,18 @@ def test_state_of_init_lasts_in_event_time(spark):
     assert got(out.filter("child = 'tick'"), "value")[0] == (4,)  # after the records of the micro-batch that the watermark reaches
 
 
+def test_records_without_key_have_state_by_partition(spark):
+    rows = [records(spark, [(None, t, 1) for t in range(1, 4)], topic=topic, partition=p) for topic, p in (("x", 0), ("x", 1), ("y", 0))]
+    rows = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(records(spark, [("a", 1, 1), ("a", 2, 1)]))
+    path = fresh_path(spark, "in")
+    rows.write.parquet(path)
+    wanted = sorted([(t, p, n) for t, p in (("x", 0), ("x", 1), ("y", 0)) for n in (1, 2, 3)] + [("t", 0, 1), ("t", 0, 2)])
+    live = spark.readStream.schema(rows.schema).parquet(path)
+    for df, run_ in ((rows, lambda d: d), (live, lambda d: run.run_to_files(d, "update"))):
+        out = run_(Stream(df).process(counting(), time_mode="None").df if df.isStreaming else Stream(df).process(counting()).df)
+        assert got(out.filter("child = 'count'"), "topic", "partition", "value") == wanted
+
+
 def test_taken_up():
     fresh = {"a": 0}
     assert taken_up(fresh, {"b": 1}) is fresh and fresh == {"b": 1}

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideway.functions import scans as S
 
@@ -163,6 +164,12 @@ def apply(df: DataFrame, keys: list[str], fold, order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(fold(k, v).alias("value"))
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)
+
+
 def tree(df: DataFrame, keys: list[str], fold: OrderedFold, order: list[str]) -> DataFrame:
     """Ordered fold as a tree: number the records of a key, fold blocks of `fold.block`, then fold blocks of blocks.
 
@@ -173,6 +180,13 @@ def tree(df: DataFrame, keys: list[str], fold: OrderedFold, order: list[str]) ->
     numbered = S.scan(df, keys, order, {"_n": S.number()})
     block = F.lit(fold.block)
     start = fold.seed
+
+    def in_place(items: Column, kind: T.DataType) -> Column:
+        """Items by `at`, which is unique among them; types that hold maps can't be compared as a whole."""
+        if not _holds_map(kind):
+            return F.sort_array(items)
+        return F.array_sort(items, lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0))
+
     levels = (
         numbered.select(
             *keys,
@@ -180,7 +194,8 @@ def tree(df: DataFrame, keys: list[str], fold: OrderedFold, order: list[str]) ->
             F.struct(F.col("_n").alias("at"), F.col("key").alias("k"), F.col("value").alias("v")).alias("_item"),
         )
         .groupBy(*keys, "_g")
-        .agg(F.sort_array(F.collect_list("_item")).alias("_items"))
+        .agg(F.collect_list("_item").alias("_items"))
+        .withColumn("_items", in_place(F.col("_items"), df.select("key", "value").schema))
         .select(
             *keys, "_g",
             F.aggregate("_items", start, lambda agg, x: fold.step(agg, x["k"], x["v"])).alias("_agg"),
@@ -192,7 +207,8 @@ def tree(df: DataFrame, keys: list[str], fold: OrderedFold, order: list[str]) ->
             levels.withColumn("_item", F.struct(F.col("_g").alias("at"), F.col("_agg").alias("v")))
             .withColumn("_g", F.floor(F.col("_g") / block))
             .groupBy(*keys, "_g")
-            .agg(F.sort_array(F.collect_list("_item")).alias("_items"))
+            .agg(F.collect_list("_item").alias("_items"))
+            .withColumn("_items", in_place(F.col("_items"), levels.schema["_agg"].dataType))
             .select(
                 *keys, "_g",
                 F.aggregate(

@@ -343,15 +343,22 @@ def _processor_body(processor, names: list[str], values_only: bool) -> Body:
     return body
 
 
+def _apart(df: DataFrame, by: str) -> DataFrame:
+    """With `_part`: records without a key to keep state by have it by their topic and partition, not all in one group."""
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("topic", "partition") if c in df.columns]
+    return df.withColumn("_part", F.when(F.col(by).isNull(), F.concat_ws("/", *place)).otherwise(""))
+
+
 def process(df: DataFrame, processor, by=None, **streaming) -> DataFrame:
-    """Run a processor; the output records are what it forwards. Columns `child` and `_pos` tell outputs apart."""
-    df = df.withColumn("_by", by(F.col("key"), F.col("value")) if by else F.col("key"))
+    """Run a processor; the output records are what it forwards. Columns `child` and `_pos` tell outputs apart. Records whose key (or `by`) is
+    null share a state per topic and partition."""
+    df = _apart(df.withColumn("_by", by(F.col("key"), F.col("value")) if by else F.col("key")), "_by")
     if df.isStreaming:
         from tideway.streaming.stateful import process_stream
 
         return process_stream(df, processor, **streaming)
     schema = output_schema(df, processor)
-    return sequential(df, ["_by"], order_columns(df), _processor_body(processor, schema.fieldNames(), False), schema)
+    return sequential(df, ["_by", "_part"], order_columns(df), _processor_body(processor, schema.fieldNames(), False), schema)
 
 
 def process_values(df: DataFrame, processor) -> DataFrame:
@@ -362,4 +369,5 @@ def process_values(df: DataFrame, processor) -> DataFrame:
 
         return process_values_stream(df, processor, value_type)
     schema = T.StructType([T.StructField(f.name, value_type if f.name == "value" else f.dataType) for f in df.schema])
-    return sequential(df, ["key"], order_columns(df), _processor_body(processor, schema.fieldNames(), True), schema)
+    parted = _apart(df, "key")
+    return sequential(parted, ["key", "_part"], order_columns(df), _processor_body(processor, schema.fieldNames(), True), schema)

@@ -130,6 +130,12 @@ def q_outer_join_tables_changelog(spark, sf):
     return joined.changelog().select("key", "offset", "value")
 
 
+@query(changes_sql("l IS NOT NULL"))
+def q_left_join_tables_changelog(spark, sf):
+    joined = last_of(spark, sf, "click").left_join_tables(last_of(spark, sf, "purchase"), difference)
+    return joined.changelog().select("key", "offset", "value")
+
+
 REGROUP_SQL = f"""
 WITH {LATEST} SELECT o_orderstatus AS key, coalesce(n, 0) AS n, coalesce(total, 0) AS total
 FROM (SELECT DISTINCT o_orderstatus FROM orders) LEFT JOIN
@@ -342,6 +348,15 @@ def q_ws_put_last_wins(spark, sf):
     return stores.put_values(s.df).select("key", "timestamp", "value", "offset")
 
 
+@query(f"""
+SELECT o_custkey % 10 AS key, (epoch_us(o_orderdate) // 1000) AS timestamp, {ORDER_CENTS} AS value, o_orderkey AS "offset" FROM orders
+""")
+def q_ws_put_duplicates(spark, sf):
+    """All values of a (key, time)."""
+    s = orders(spark, sf).map_values(order_cents).to_stream(lambda k, v: k % 10)
+    return stores.put_values(s.df, duplicate_keys=True).select("key", "timestamp", "value", "offset")
+
+
 # -- processors ---------------------------------------------------------------------------------------
 
 
@@ -389,6 +404,25 @@ def q_process_values(spark, sf):
     return out.df.select("key", "offset", "value")
 
 
+@query(f"""
+SELECT o_custkey AS key, o_orderkey AS "offset", lag({ORDER_CENTS}) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS value FROM orders
+""")
+def q_table_process_values(spark, sf):
+    """Each update of a table replaced by the value before it."""
+    table = orders(spark, sf).map_values(order_cents).process_values(Previous)
+    return table.changelog().select("key", "offset", "value")
+
+
+@query(f"""
+SELECT user_id AS key, CAST(sum({CENTS}) AS BIGINT) AS value FROM events WHERE event_type <> 'error' GROUP BY 1
+""")
+def q_global_store(spark, sf):
+    """A table filled by a processor that is fed every record of its topics."""
+    topics = topics_of(spark, "bigint")
+    events(spark, sf).filter_kv(lambda k, v: v["event_type"] != "error").map_values(value_cents).sink_topic(topics, "all")
+    return topics.global_store("all", RunningSum).snapshot().select("key", "value")
+
+
 class Ticking:
     """Every six hours of event time, forwards the sum so far; the sum lives in what `init` returns."""
 

@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideway.functions.folds import Fold, RowFold
-from tideway.operators.processors import EPOCH, MILLISECOND, RECORD_FIELDS, Context, _type, clocks, instance, output_schema, taken_up
+from tideway.operators.processors import EPOCH, MILLISECOND, RECORD_FIELDS, Context, _apart, _type, clocks, instance, output_schema, taken_up
 from tideway.record import interval_ms, interval_us
 
 DAY = (1, "days")
@@ -952,14 +952,15 @@ def process_stream(df: DataFrame, processor, time_mode: str | None = None, reten
         raise ValueError(f"unknown time mode: {time_mode!r}")
     if time_mode == "EventTime":
         df = _watermarked(df, retention)
-    return df.groupBy("_by").transformWithState(
+    df = df if "_part" in df.columns else _apart(df, "_by")
+    return df.groupBy("_by", "_part").transformWithState(
         _UserProcessor(processor, False, time_mode), output_schema(df, processor), "Update", time_mode)
 
 
 def process_values_stream(df: DataFrame, processor, value_type: T.DataType) -> DataFrame:
-    rows = df.withColumn("_record", F.struct(*df.columns))
+    rows = _apart(df.withColumn("_record", F.struct(*df.columns)), "key")
     out = _struct(("_record", rows.schema["_record"].dataType), ("_result", value_type))
     mode = "ProcessingTime" if "wall-clock-time" in clocks(processor) else "None"
-    done = rows.groupBy("key").transformWithState(_UserProcessor(processor, True, mode), out, "Update", mode)
+    done = rows.groupBy("key", "_part").transformWithState(_UserProcessor(processor, True, mode), out, "Update", mode)
     return done.select(*[F.col("_result").alias("value") if c == "value" else F.col(f"_record.{c}").alias(c)
                          for c in df.columns])
