@@ -439,8 +439,8 @@ def test_repartitioning_in_place_numbers_on(spark):
     moved = upkeep.repartition_topic(df, 4, from_offsets={("t", 0): 20})
     assert moved.count() == moved.select("partition", "offset").distinct().count() == 40
     assert got(moved.filter("value < 20"), "partition", "offset") == sorted(((0, i) for i in range(20)), key=repr)
-    sizes = moved.groupBy("partition").agg(F.count("*").alias("n"), F.max("offset").alias("last")).collect()
-    assert len(sizes) > 1 and all(r["last"] == r["n"] - 1 for r in sizes)
+    there = moved.filter("value >= 20").groupBy("partition").agg(F.count("*").alias("n"), F.min("offset").alias("first"), F.max("offset").alias("last")).collect()
+    assert len(there) > 1 and all(r["first"] == 20 and r["last"] == 20 + r["n"] - 1 for r in there)
 
 
 # -- joins ------------------------------------------------------------------------------------------------

@@ -33,7 +33,8 @@ def repartition_topic(df: DataFrame, n: int, *, move: bool = False, from_offsets
     """Raise the number of partitions to `n`.
 
     `move=False`: records stay where they are; the new rule holds for records from `from_offsets` on (none given: for
-    none that exist). Those are numbered on, in (time, old partition, old offset) order, behind what stays in their partition. `move=True`: every record goes to its new partition and gets a new offset there, in
+    none that exist). Those are numbered on, in (time, old partition, old offset) order, behind what stays in their partition and
+    not below the positions from which the rule holds. `move=True`: every record goes to its new partition and gets a new offset there, in
     (time, old partition, old offset) order.
     """
     place = default_partition(df, n)
@@ -46,8 +47,10 @@ def repartition_topic(df: DataFrame, n: int, *, move: bool = False, from_offsets
         stay = joined.filter("NOT _fresh").select(*df.columns)
         ends = P.end_offsets(stay).withColumnRenamed("offset", "_end")
         go = joined.filter("_fresh").withColumn("_to", place).withColumnsRenamed({"partition": "_p", "offset": "_o", "_to": "partition"})
-        numbered = S.scan(go, ["topic", "partition"], ["timestamp", "_p", "_o"], {"_n": S.number()}).join(ends, ["topic", "partition"], "left")
-        return stay.unionByName(numbered.withColumn("offset", F.coalesce("_end", F.lit(0)) + F.col("_n") - 1).select(*df.columns))
+        cuts = bounds.groupBy("topic").agg(F.max("_from").alias("_cut"))
+        numbered = S.scan(go.drop("_from"), ["topic", "partition"], ["timestamp", "_p", "_o"], {"_n": S.number()})
+        numbered = numbered.join(ends, ["topic", "partition"], "left").join(cuts, "topic")
+        return stay.unionByName(numbered.withColumn("offset", F.greatest("_end", "_cut") + F.col("_n") - 1).select(*df.columns))
     moved = df.withColumn("_to", place).withColumnsRenamed({"partition": "_p", "offset": "_o", "_to": "partition"})
     numbered = S.scan(moved, ["topic", "partition"], ["timestamp", "_p", "_o"], {"_n": S.number()})
     return numbered.withColumn("offset", F.col("_n") - 1).select(*df.columns)
