@@ -105,6 +105,56 @@ def test_short_lines(spark):
     assert got == {0: (0, texts[0]), 1: (2, "reads more"), 2: (2, "--\n"), 3: (0, texts[3]), 4: (1, "お早い")}
 
 
+def test_lines_of_templates(spark):
+    """Pairs of long lines that differ in their longest words, with the query's own parameters: at least nine tenths are linked, and nothing else is."""
+    rng = random.Random(12)
+    pairs = []
+    for k in range(60):
+        base = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 6))) for _ in range(40)]
+        at = rng.sample(range(40), 6) if k % 2 else range(3, 40, 7)
+        sides = [[f"identifier{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(base)] for _ in range(2)]
+        pairs.append(sides)
+    rows = [(2 * k + side, " ".join(w)) for k, pair in enumerate(pairs) for side, w in enumerate(pair)]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(got[2 * k] for k in range(60)) and sum(got[2 * k + 1] for k in range(60)) >= 54
+
+
+def test_lines_in_one_bucket(spark):
+    """Many lines with a run in common, in groups that have no other: whatever brute force links is linked, across blocks too."""
+    rng = random.Random(2)
+    groups = [["".join(rng.choices("abcdefghij", k=4)) for _ in range(9)] for _ in range(150)]
+    said = [["one", "two", "three", *(f"x{rng.randrange(10**6)}" if j == side else w for j, w in enumerate(g))] for g in groups for side in range(-1, 3)]
+    of = classes(range(len(said)), [(a, b) for a in range(len(said)) for b in range(a) if a // 4 == b // 4 or _distance(said[a], said[b]) <= 2])
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(said)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedup(docs, most_bits=128).collect()}
+    assert got == {i: int(c != i) for i, c in of.items()}
+
+
+def test_line_numbers():
+    """Edit distances of bit vectors, slices of any size and equal rows."""
+    rng = random.Random(5)
+    for _ in range(300):
+        a, b = ("".join(rng.choices("abc", k=rng.randint(0, 90))) for _ in range(2))
+        assert lines.distance(a, b) == _distance(a, b)
+    texts = ["a b\n\nc\n", None, "", "\n\n", "d e f " * 50 + "\ng", "h"]
+    for size in (1, 5, 10**6):
+        before, lines.SLICE = lines.SLICE, size
+        try:
+            parts = [lines._Lines(p, lines._splitter(), lines._Hashes()) for p in lines._slices(texts)]
+        finally:
+            lines.SLICE = before
+        found = [x for p in parts for x in zip(p.row.tolist(), p.line.tolist(), p.n.tolist(), strict=True)]
+        assert found == [(0, 0, 2), (0, 2, 1), (4, 0, 150), (4, 1, 1), (5, 0, 1)]
+
+
+def test_lines_of_equal_rows(spark):
+    rows = [(None, "one two three\n--\nfour", 1), (None, "one two three\n--\nfour", 2), (3, "Four!\nfive", 3), (3, "Four!\nfive", 4), (4, None, 5)]
+    got = lines.dedup(spark.createDataFrame(rows, "doc_id long, text string, t int")).collect()
+    assert sorted((r["text"] or "", r["n_lines"], r["n_removed"]) for r in got) == [
+        ("", 0, 0), ("", 2, 2), ("--", 3, 2), ("five", 2, 1), ("one two three\n--\nfour", 3, 0)]
+    assert sorted(r["t"] for r in got) == [1, 2, 3, 4, 5]
+
+
 def test_packing(docs, nothing, corpus):
     from tokenizers import Tokenizer
 
