@@ -140,7 +140,7 @@ def test_line_numbers():
     for size in (1, 5, 10**6):
         before, lines.SLICE = lines.SLICE, size
         try:
-            parts = [lines._Lines(p, lines._splitter(), lines._Hashes()) for p in lines._slices(texts)]
+            parts = [lines._Lines(p) for p in lines._slices(texts)]
         finally:
             lines.SLICE = before
         found = [x for p in parts for x in zip(p.row.tolist(), p.line.tolist(), p.n.tolist(), strict=True)]

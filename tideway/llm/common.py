@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tideway.session import fresh_path
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)  # tables written for the frame being built
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,9 +25,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that `build` gives, as a table. The tables that were written for it are removed once it is there, as nothing reads them any more."""
+    before = _made.set(paths := [])
+    try:
+        df = build()
+    finally:
+        _made.reset(before)
+    out = written(df, label)
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return out
+
+
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """The frame as a table in the shared folder whose files are dealt by `key`: later joins and groupings on it need no exchange."""
     spark = df.sparkSession
