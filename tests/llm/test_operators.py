@@ -229,6 +229,34 @@ def test_hamming(spark):
     assert hamming.near_duplicates(frame.where("vec_id > 2000")).count() == 0
 
 
+def _pairs(d, n, rng, at=0.951, shift=0.0):
+    """n vectors around `shift` and n more, each at cosine `at` to one of them."""
+    x = rng.standard_normal((n, d)) + shift
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    noise = rng.standard_normal((n, d))
+    noise -= (noise * x).sum(axis=1, keepdims=True) * x
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    return np.concatenate([x, at * x + np.sqrt(1 - at * at) * noise])
+
+
+def test_hamming_recall(spark):
+    """Pairs hardly above the threshold, in tables of several numbers of components, one of them first with few vectors; and vectors far from the origin."""
+    rng = np.random.default_rng(5)
+    rows, links, start = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0])], {2: 2}, 10
+    for d, shift in ((12, 0.0), (24, 0.0), (32, 0.0), (48, 0.0), (65, 1.0), (128, 0.0)):
+        v = _pairs(d, 600, rng, shift=shift)
+        rows += [(start + i, [float(x) for x in r]) for i, r in enumerate(v)]
+        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        links[d] = int((unit @ unit.T >= 0.95).sum()) - len(v)
+        start += len(v)
+    size = {i: len(v) for i, v in rows}
+    got = Counter()
+    for r in hamming.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block_rows=64).collect():
+        got[size[r["vec_id"]]] += r["n_links"]
+    assert got[2] == links.pop(2)
+    assert all(0.9 * n <= got[d] <= n and n > 1000 for d, n in links.items()), (got, links)
+
+
 def test_top_k(spark):
     from pyspark.sql import functions as F
 

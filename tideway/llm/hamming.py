@@ -1,20 +1,25 @@
 """Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
 
 Rotations that make the signs of the rotated components balanced and close to them are learned on a bounded sample (principal
-axes, then alternating signs and orthogonal fits). The sign codes of all vectors are cut into substrings, each the key of one
+axes, then alternating signs and orthogonal fits). The signs of all vectors under all rotations are cut into substrings, each the key of one
 table; vectors that agree in a substring and are near in the whole code are candidates, and the original vectors, in double
-precision, decide. At cosine 0.95 a bit differs with probability 0.1, so one 16-bit table finds 19 % of the pairs and the
-twelve tables of three rotations 92 %; at 0.98 they find 98 %, and the more the nearer. Every vector is in every table.
+precision, decide. Substrings have 16 bits, one more for each doubling beyond a million vectors. Tables are added until probes, sampled vectors and
+made ones at exactly the threshold, meet in one of them as often as `recall` says, so it holds for any number of components and any distribution.
+Every vector is in every table.
+
+Each number of components is an index of its own with its own rotations. Where at most `block_rows` different vectors have it, all of these are compared.
 
 Equal vectors become one class with a count first. A bucket of more than `block_rows` classes is compared block by block in
 several tasks; tasks return sums and a spanning forest, never the pairs. A pair that meets in several tables counts in the first.
 
-Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and so do vectors of another
-dimension than the first of the sample. Ids are taken as unique; rows without id are left out. Extra columns are ignored.
+Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; nor do vectors of different numbers of components with
+each other. Ids are taken as unique; rows without id are left out. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,23 +29,69 @@ from tideway.llm.common import components, forest, sorted_groups, written
 from tideway.llm.topk import finite
 
 
-def learn(sample: np.ndarray, *, bits: int = 64, rotations: int = 3, rounds: int = 40, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projections of shape rotations × dimension × bits) from unit vectors."""
+@dataclass(frozen=True)
+class Index:
+    """Signs under `turns` (components × bits of all rotations) make `tables` keys of `width` bits; codes `unlike` bits apart or less are compared."""
+
+    mean: np.ndarray
+    turns: np.ndarray
+    width: int
+    tables: int
+    unlike: int
+
+    def keys(self, unit: np.ndarray) -> np.ndarray:
+        signs = (unit - self.mean) @ self.turns >= 0
+        powers = 1 << np.arange(self.width)
+        return np.stack([signs[:, t * self.width:(t + 1) * self.width] @ powers for t in range(self.tables)], axis=1).astype(np.int32)
+
+
+def _rotations(sample: np.ndarray, bits: int, rounds: int, seed: int):
+    """(mean, endless projections of shape components × bits) from unit vectors."""
     rng = np.random.default_rng(seed)
     mean = sample.mean(axis=0)
     centred = sample - mean
     _, axes = np.linalg.eigh(centred.T @ centred)
     axes = axes[:, ::-1][:, :min(bits, sample.shape[1])]
     flat = centred @ axes
-    out = []
-    for _ in range(rotations):
-        turn = np.linalg.qr(rng.standard_normal((axes.shape[1],) * 2))[0]
-        for _ in range(rounds):
-            signs = np.where(flat @ turn >= 0, 1.0, -1.0)
-            left, _, right = np.linalg.svd(signs.T @ flat)
-            turn = (left @ right).T
-        out.append(axes @ turn)
-    return mean, np.stack(out)
+
+    def turns():
+        while True:
+            turn = np.linalg.qr(rng.standard_normal((axes.shape[1],) * 2))[0]
+            for _ in range(rounds):
+                signs = np.where(flat @ turn >= 0, 1.0, -1.0)
+                left, _, right = np.linalg.svd(signs.T @ flat)
+                turn = (left @ right).T
+            yield axes @ turn
+
+    return mean, turns()
+
+
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).astype(np.int32)
+
+
+def learn(sample: np.ndarray, *, threshold: float, width: int, recall: float, bits: int = 64, rounds: int = 40, least: int = 12, most: int = 128,
+          probes: int = 2000, seed: int = 7) -> Index:
+    """An index from unit vectors, with `least` to `most` tables."""
+    mean, turns = _rotations(sample, bits, rounds, seed)
+    rng = np.random.default_rng(seed + 1)
+    x = sample[:probes]
+    noise = rng.standard_normal(x.shape)
+    noise -= (noise * x).sum(axis=1, keepdims=True) * x
+    noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-300)
+    y = threshold * x + np.sqrt(max(0.0, 1 - threshold * threshold)) * noise
+    made = np.zeros((sample.shape[1], 0))
+    for tables in range(least, most + 1):
+        while made.shape[1] < tables * width:
+            made = np.concatenate([made, next(turns)], axis=1)
+        index = Index(mean, made[:, :tables * width], width, tables, 0)
+        differ = _differing(index.keys(x), index.keys(y))
+        found = (differ == 0).any(axis=1)
+        if found.mean() >= recall:
+            break
+    # random codes differ in half of the bits
+    unlike = max(tables * width // 4, int(np.quantile(differ.sum(axis=1)[found], 0.999)) if found.any() else 0)
+    return Index(mean, index.turns, width, tables, unlike)
 
 
 def _unit(vectors) -> np.ndarray:
@@ -49,48 +100,40 @@ def _unit(vectors) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, sample: int = 10_000, bits: int = 64, width: int = 16, rotations: int = 3,
-                    block_rows: int = 1024) -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, sample: int = 10_000, recall: float = 0.93, block_rows: int = 1024) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of `vectors` (vec_id, embedding).
 
-    `sample` bounds the vectors from which rotations are learned, hence what the driver holds.
+    `sample` bounds the different vectors from which the rotations of one number of components are learned, hence what the driver holds at a time.
     """
-    spark = vectors.sparkSession
     rows = vectors.where("vec_id is not null").select(
         "vec_id", "embedding", (finite(F.col("embedding")) & F.exists("embedding", lambda x: x != 0)).alias("whole"))
-    learned = rows.where("whole").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").toPandas()["embedding"]
-    if not len(learned):
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    size = len(learned[0])
-    mean, turns = learn(_unit([v for v in learned if len(v) == size]), bits=bits, rotations=rotations)
-    # a code is cut into substrings of about `width` bits
-    cuts = [c for c in np.array_split(np.arange(turns.shape[2]), max(1, turns.shape[2] // width))]
-    tables = [(r, c) for r in range(len(turns)) for c in cuts]
-    unlike = int(0.25 * turns.shape[0] * turns.shape[2])  # random codes differ in half of the bits, codes at the threshold in a tenth
     digest = [F.xxhash64("embedding").alias("h"), F.xxhash64(F.lit(1), "embedding").alias("g")]
-    rows = rows.withColumn("whole", F.col("whole") & (F.size("embedding") == size))
     hashed = rows.where("whole").select("vec_id", "embedding", *digest)
-    classes = written(hashed.groupBy("h", "g").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("embedding").alias("embedding")),
-                      "vectors")
+    classes = written(hashed.groupBy("h", "g").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
+                      .withColumn("size", F.size("embedding")), "vectors")
+    indexes = {}
+    for size, n in classes.groupBy("size").count().where(F.col("count") > block_rows).collect():
+        # equal vectors count once, and about `sample` rows leave their tasks
+        drawn = F.pmod("h", F.lit(2**30)) < min(2**30, -(-sample * 2**30 // n))
+        learned = classes.where((F.col("size") == size) & drawn).select("embedding").limit(sample).toPandas()["embedding"]
+        width = min(30, max(16, int(n).bit_length() - 4))
+        indexes[size] = learn(_unit(learned), threshold=threshold, width=width, recall=recall)
 
     def encode(batches):
         for batch in batches:
-            if not len(batch):
-                continue
-            flat = _unit(batch["embedding"]) - mean
-            signs = np.concatenate([flat @ t >= 0 for t in turns], axis=1)
-            keys = [signs[:, r * turns.shape[2] + c] @ (1 << np.arange(len(c))) for r, c in tables]
-            keys = np.stack(keys, axis=1).astype(np.int32)
-            yield pd.DataFrame({"id": batch["id"], "n": batch["n"], "keys": list(keys)})
-
-    coded = written(classes.select("id", "n", "embedding").mapInPandas(encode, "id long, n long, keys array<int>"), "codes")
-    entries = coded.select("id", F.posexplode("keys").alias("t", "key"))
-    shared = entries.groupBy("t", "key").agg(F.count("*").alias("m")).where("m > 1")
+            for size, part in batch.groupby("size"):
+                index = indexes.get(size)
+                keys = np.zeros((len(part), 1), dtype=np.int32) if index is None else index.keys(_unit(part["embedding"]))
+                yield pd.DataFrame({"id": part["id"], "size": size, "n": part["n"], "keys": list(keys)})
+
+    coded = written(classes.select("id", "size", "n", "embedding").mapInPandas(encode, "id long, size int, n long, keys array<int>"), "codes")
+    entries = coded.select("id", "size", F.posexplode("keys").alias("t", "key"))
+    shared = entries.groupBy("size", "t", "key").agg(F.count("*").alias("m")).where("m > 1")
     blocks = F.ceil(F.col("m") / block_rows).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    entries = (entries.join(shared, ["t", "key"]).withColumn("mine", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", other)
-               .select("t", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id"))
-    group = ["t", "key", "i", "j"]
+    entries = (entries.join(shared, ["size", "t", "key"]).withColumn("mine", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", other)
+               .select("size", "t", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id"))
+    group = ["size", "t", "key", "i", "j"]
 
     def apart(g: pd.DataFrame) -> np.ndarray:
         """Pairs to compare: all others of a block, or those of the other block."""
@@ -104,17 +147,17 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, sample: int
         for g in sorted_groups(batches, group):
             if len(g) < 2:
                 continue
-            keys = np.stack(g["keys"].to_numpy()).astype(np.int64)
-            differ = np.zeros((len(g), len(g)), dtype=np.int16)
+            keys, index = np.stack(g["keys"].to_numpy()), indexes.get(g["size"].iloc[0])
+            differ = np.zeros((len(g), len(g)), dtype=np.int32)
             for c in range(keys.shape[1]):
-                differ += np.bitwise_count(keys[:, None, c] ^ keys[None, :, c])
-            near = (differ <= unlike) & apart(g)
+                differ += _differing(keys[:, None, c], keys[None, :, c])
+            near = (differ <= (0 if index is None else index.unlike)) & apart(g)
             if (hit := near.any(axis=1)).any():
                 yield g[hit]
 
-    found = entries.join(coded, "id").repartition(*group).sortWithinPartitions(*group).mapInPandas(
-        alive, "id long, t int, key int, i int, j int, mine int, n long, keys array<int>")
-    found = written(found.select("id", "t", "key", "i", "j", "mine", "n", "keys"), "alive")
+    found = entries.join(coded.drop("size"), "id").repartition(*group).sortWithinPartitions(*group).mapInPandas(
+        alive, "id long, size int, t int, key int, i int, j int, mine int, n long, keys array<int>")
+    found = written(found.select("id", "size", "t", "key", "i", "j", "mine", "n", "keys"), "alive")
 
     def verify(batches):
         for g in sorted_groups(batches, group):
