@@ -364,6 +364,37 @@ def test_toxicity(spark, nothing):
     assert toxicity.score(docs, empty).where("predicted = 1").count() == 0 and toxicity.score(nothing, model).count() == 0
 
 
+def test_strength():
+    """Hits inside phrases against a plain comparison of all with all, and a text of many of both."""
+    rng = random.Random(9)
+    weights = {" bad ": 4.0, " ba": 1.0, " worse ": 5.0, " it bad ": 2.0}
+    automaton = toxicity._automaton(toxicity.Model(weights, ("not bad it", "it bad", "bad worse bad"), 1.0, 0.0))
+    phrases = [" not bad it ", " it bad ", " bad worse bad "]
+    for n in [*range(60), 100_000]:
+        words = rng.choices(["not", "bad", "it", "worse", "band"], k=n)
+        got = toxicity._strength(automaton, " ".join(words))
+        if n < 60:
+            text = " ".join(("", *words, ""))
+            at = {p: [i for i in range(len(text)) if text.startswith(p, i)] for p in [*phrases, *weights]}
+            spared = [(i, i + len(p)) for p in phrases for i in at[p]]
+            total = sum(w for p, w in weights.items() for i in at[p] if p not in phrases and not any(a <= i and i + len(p) <= b for a, b in spared))
+            assert got == pytest.approx(total / np.log2(8 + n)), words
+    assert got > 0
+
+
+def test_learned_exceptions(spark):
+    """A phrase that only clean documents hold takes nothing from the word's weight elsewhere."""
+    rng = random.Random(6)
+    clean = ["".join(rng.choices("qwertzuiop", k=5)) for _ in range(300)]
+    rows = [(i, " ".join([*rng.choices(clean, k=15), *(["you", "scum"] if i % 4 == 0 else ["pond", "scum"] if i % 100 == 1 else []), *rng.choices(clean, k=15)]))
+            for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"), exceptions=())
+    assert " scum " in model.weights and "pond scum" in model.exceptions and "you scum" not in model.exceptions
+    odd = spark.createDataFrame([(1, "green pond scum here"), (2, "vile scum here"), (3, "p0nd scum and scum")], "doc_id long, text string")
+    assert [r["predicted"] for r in toxicity.score(odd, model).orderBy("doc_id").collect()] == [0, 1, 1]
+
+
 def test_suffixes(docs, nothing, corpus):
     rows = suffixes.remove_repeats(docs, chunk_bytes=3000, bucket_bytes=2000).collect()
     texts = [(t or "").encode() for _, t, *_ in corpus]

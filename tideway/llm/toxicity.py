@@ -2,7 +2,8 @@
 
 The lexicon (whole words and word beginnings) and its weights are learned from labelled documents. Texts are folded first:
 compatibility forms, look-alike letters, digits and signs standing for letters, invisible characters. The sum of the weights found,
-less those inside an exception phrase, is divided by the logarithm of the length and turned into a probability.
+less those inside an exception phrase, is divided by the logarithm of the length and turned into a probability. Exception phrases are given ones and
+learned ones: two words with a lexicon entry in them that clean documents hold at least as often as toxic ones.
 
 Null and empty texts score as texts without a match. Documents without a label, or with a null label, teach nothing; repeated
 labels of one document count once (toxic if any says so). Without a toxic and a clean label all documents score 0.
@@ -13,9 +14,11 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -91,11 +94,24 @@ def _strength(automaton, text: str | None) -> float:
     found = [(end - n + 1, end, w) for end, (n, w) in automaton.iter(" ".join(("", *folded.split(), "")))]
     if not found:
         return 0.0
-    spared = [(s, e) for s, e, w in found if w is None]
-    total = sum(w for s, e, w in found if w is not None and not any(a <= s and e <= b for a, b in spared))
+    spared = sorted((s, e) for s, e, w in found if w is None)
+    starts, reach = [s for s, _ in spared], list(accumulate((e for _, e in spared), max))
+    # inside a phrase: one that starts no later reaches as far
+    total = sum(w for s, e, w in found if w is not None and not ((k := bisect_right(starts, s)) and reach[k - 1] >= e))
     return total / math.log2(8 + len(folded.split()))
 
 
+def _around(automaton, text: str) -> set[str]:
+    """Pairs of neighbouring words of which one holds an entry."""
+    words = fold(text).split()
+    if not len(automaton) or len(words) < 2:
+        return set()
+    ends = list(accumulate(len(w) + 1 for w in words))  # places of the blanks behind the words
+    # an entry starts with the blank before its word
+    hit = {bisect_right(ends, end - n + 1) for end, (n, _) in automaton.iter(" ".join(("", *words, "")))}
+    return {f"{words[i]} {words[i + 1]}" for h in hit for i in (h - 1, h) if 0 <= i < len(words) - 1}
+
+
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
@@ -125,9 +141,10 @@ def _lexicon(rows: list, toxic: int, clean: int, least_odds: float) -> dict[str,
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000, max_entries: int = 20_000, least_odds: float = 4.0,
-        evidence_margin: float = 6.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
+        evidence_margin: float = 6.0, least_clean: int = 5, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
     """Learn from at most `sample` labelled documents, taken in the order of a hash of their ids; that bound makes the list of ids
-    and the (strength, label) pairs small enough for the driver, `max_entries` the lexicon. Rows whose crc32(doc_id as text) mod 3 is 1 teach nothing."""
+    and the (strength, label) pairs small enough for the driver, `max_entries` the lexicon and the learned phrases, which at least `least_clean` clean
+    documents hold. Rows whose crc32(doc_id as text) mod 3 is 1 teach nothing."""
     spark = docs.sparkSession
     chosen = (labels.where("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 3 <> 1")
               .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -147,7 +164,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000, max_entries
     counted = written(counted, "features")
     least_evidence = 2 * math.log(max(2, counted.count())) + evidence_margin
     rows = counted.where((odds >= least_odds) & (evidence >= least_evidence)).orderBy(F.desc("toxic"), "feature").limit(max_entries).collect()
-    model = Model(_lexicon(rows, n[1], n[0], least_odds), tuple(exceptions), 0.0, 0.0)
+    weights = _lexicon(rows, n[1], n[0], least_odds)
+
+    def phrases(batches):
+        automaton = _automaton(Model(weights, (), 0.0, 0.0))
+        for batch in batches:
+            counts: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+                counts[int(toxic)].update(_around(automaton, text))
+            names = list(counts[0].keys() | counts[1].keys())
+            yield pd.DataFrame({"feature": names, "clean": [counts[0][x] for x in names], "toxic": [counts[1][x] for x in names]})
+
+    learned = [r["feature"] for r in taught.mapInPandas(phrases, "feature string, clean long, toxic long").groupBy("feature")
+               .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("clean") >= least_clean) & (odds <= 0))
+               .orderBy(F.desc("clean"), "feature").limit(max_entries).collect()]
+    model = Model(weights, tuple(dict.fromkeys((*exceptions, *learned))), 0.0, 0.0)
 
     def strengths(batches):
         automaton = _automaton(model)
