@@ -1,9 +1,9 @@
 """Personal data: fixed shapes, and identifiers that bootstrapped contexts reveal.
 
 Base spans are the leftmost non-overlapping matches of four patterns, less those that fail a check (see BASE). The contextual part starts from seeds: base
-spans and tokens shaped like keys. The one to three blank-separated pieces left of an occurrence are its lexical patterns. In each round a
-pattern's confidence in a kind is the score of its instances over their number (plus one, so that few prove little), and an instance's score the chance that not all
-its confident patterns err; seeds stay at 1. Tokens with a digit behind a pattern that ends up confident are new spans of its kind, unless they touch a base span.
+spans and tokens shaped like keys. The one to three blank-separated pieces left of an occurrence are its lexical patterns, back to the match of the same shape
+before it. In each round a pattern's confidence in a kind is the score of its instances over their number (plus one, so that few prove little), and an instance's
+score the chance that not all its confident patterns err; seeds stay at 1. Confidences only grow; rounds end when none grows by `settled` or more. Tokens with a digit behind a pattern that ends up confident are new spans of its kind, unless they touch a base span.
 
 Positions are code points, ends exclusive. Null text is empty; a row of `docs` gives one row whatever it holds, repeated rows and null ids too. Extra columns are
 ignored. Everything here is DataFrame functions; the text is read in one pass, and what follows moves matches only.
@@ -32,7 +32,7 @@ TOKEN = rf"(?<!{TOKEN_CHARS})(?=[A-Za-z_@.+-]*+[0-9]){TOKEN_CHARS}{{6,}}+"
 SEED_SECRET = r"^(?:AKIA[0-9A-Z]{16}|[0-9a-f]{32,})$"
 # What a text must hold for a pattern to be tried at all.
 HINTS = {"email": "@", "phone": "+"}
-LEFT = 64
+NEAR, LONG = 256, 64
 
 
 def _found(kind: str, pattern: str) -> Column:
@@ -57,10 +57,19 @@ def _valid() -> Column:
             .when(F.col("kind") == "phone", n.between(9, 15)).otherwise(False))
 
 
-def _patterns(left: Column) -> Column:
-    """The last one, two and three pieces of what lies before, in lower case; from a start of text or line fewer."""
-    pieces = F.filter(F.split(F.lower(left), r"\s+"), lambda p: p != "")
-    last = F.slice(F.reverse(pieces), 1, 3)
+def _left(gap: Column) -> Column:
+    """The last three pieces of what lies before, the nearest first, in lower case; a piece of more than LONG characters by its digest."""
+    def pieces(x: Column) -> Column:
+        return F.filter(F.split(F.lower(x), r"\s+"), lambda p: p != "")
+
+    near = pieces(F.right(gap, F.lit(NEAR)))
+    # behind a fourth piece the last three are whole
+    last = F.slice(F.reverse(F.when((F.length(gap) <= NEAR) | (F.size(near) > 3), near).otherwise(pieces(gap))), 1, 3)
+    return F.transform(last, lambda p: F.when(F.length(p) <= LONG, p).otherwise(F.concat(F.lit("#"), F.sha2(p.cast("binary"), 256))))
+
+
+def _patterns(last: Column) -> Column:
+    """The last one, two and three pieces; from a start of text or behind a match fewer."""
     joined = F.transform(F.sequence(F.lit(1), F.size(last)), lambda n: F.array_join(F.reverse(F.slice(last, 1, n)), " "))
     return F.when(F.size(last) > 0, joined)
 
@@ -73,8 +82,8 @@ def matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for kind, pattern in patterns.items():
         text = text.withColumn(f"m_{kind}", _found(kind, pattern))
     for kind, pattern in patterns.items():
-        gaps = F.transform(F.split("text", pattern, -1), lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(LEFT)).alias("left")))
-        text = text.withColumn(f"g_{kind}", F.when(F.size(f"m_{kind}") > 0, F.arrays_zip(F.slice(gaps, 1, F.size(f"m_{kind}")).alias("g"), F.col(f"m_{kind}").alias("s"))))
+        gaps = F.transform(F.slice(F.split("text", pattern, -1), 1, F.size(f"m_{kind}")), lambda g: F.struct(F.length(g).alias("n"), _left(g).alias("left")))
+        text = text.withColumn(f"g_{kind}", F.when(F.size(f"m_{kind}") > 0, F.arrays_zip(gaps.alias("g"), F.col(f"m_{kind}").alias("s"))))
     scanned = written(text.select("row", "doc_id", *[f"g_{k}" for k in patterns]), "scanned")
     parts = [scanned.where(F.size(f"g_{k}") > 0).select(
         "row", F.lit(k).alias("kind"), F.posexplode(f"g_{k}").alias("k", "m")) for k in patterns]
@@ -89,7 +98,7 @@ def matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return scanned.select("row", "doc_id"), written(every.select("row", "kind", "s", "start", "end", "left", "base"), "found")
 
 
-def discover(found: DataFrame, *, rounds: int = 3, confidence: float = 0.6, support: int = 5) -> DataFrame:
+def discover(found: DataFrame, *, confidence: float = 0.6, support: int = 5, settled: float = 0.001) -> DataFrame:
     """New spans (row, kind, start, end) behind confident patterns."""
     # tokens that touch a base span are not candidates
     by_start = Window.partitionBy("row").orderBy("start", F.col("base").desc())
@@ -107,15 +116,20 @@ def discover(found: DataFrame, *, rounds: int = 3, confidence: float = 0.6, supp
     graph = written(graph.join(sizes, "pattern"), "graph")
     seeds = graph.where("seed is not null").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
     scores, patterns = seeds, None
-    for _ in range(rounds):
-        patterns = (graph.join(scores, "instance").groupBy("pattern", "kind")
-                    .agg((F.sum("score") / (F.first("n") + 1)).alias("confidence")).where(F.col("confidence") >= confidence))
-        patterns = written(patterns, "patterns")
+    while True:
+        now = written(graph.join(scores, "instance").groupBy("pattern", "kind")
+                      .agg((F.sum("score") / (F.first("n") + 1)).alias("confidence")).where(F.col("confidence") >= confidence), "patterns")
+        if patterns is None:
+            grown = now
+        else:
+            grown = now.join(patterns.withColumnRenamed("confidence", "was"), ["pattern", "kind"], "left").where(
+                F.col("confidence") - F.coalesce("was", F.lit(0.0)) >= settled)
+        patterns = now
+        if grown.isEmpty():
+            break
         told = graph.where("seed is null").join(patterns, "pattern").groupBy("instance", "kind").agg(
             (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score"))
         scores = written(seeds.union(told), "scores")
-    if patterns is None:
-        return found.where("false").select("row", "kind", "start", "end")
     new = occurrences.where("not base").join(patterns, "pattern")
     best = Window.partitionBy("row", "start", "end").orderBy(F.desc("confidence"), "kind")
     new = new.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").select("row", "kind", "start", "end")
