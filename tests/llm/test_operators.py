@@ -488,7 +488,11 @@ def test_learned_exceptions(spark):
     assert [r["predicted"] for r in toxicity.score(odd, model).orderBy("doc_id").collect()] == [0, 1, 1]
 
 
-def test_suffixes(docs, nothing, corpus):
+@pytest.mark.parametrize("collide", [False, True])
+def test_suffixes(docs, nothing, corpus, collide, monkeypatch):
+    """Also if all strings have equal first fingerprints."""
+    if collide:
+        monkeypatch.setattr(suffixes.Chunk, "fingerprints", lambda self, at, n: np.full(len(at), 5, dtype=np.uint64))
     rows = suffixes.remove_repeats(docs, chunk_bytes=3000, bucket_bytes=2000).collect()
     texts = [(t or "").encode() for _, t, *_ in corpus]
     count = Counter(t[i:i + 200] for t in texts for i in range(len(t) - 199))

@@ -1,7 +1,9 @@
 """Exact removal of repeated passages by blockwise suffix comparison with a difference-cover sample.
 
 Every byte under a string of `length` bytes that also starts elsewhere (in any document, the same one included) is removed. Suffixes matter up to `length` bytes
-only, so a rank is a class of equal prefixes, named by a 64-bit polynomial fingerprint of the prefix.
+only, so a rank is a class of equal prefixes, named by a 64-bit polynomial fingerprint of the prefix. What decides that two strings are equal is that and a second,
+independent fingerprint, a polynomial over the field of 2³¹ - 1 elements: two different strings agree in the second with probability 200 / 2³¹ at most, besides
+2⁻⁵⁶ in the first, which makes 4 in a million for one false removal in 100 TB.
 
 1. A difference cover D modulo v has for any two positions i, j a shift d < v with i + d and j + d in D. So two equal strings share,
    at an equal shift, a pair of sampled positions whose following length - v + 1 bytes are equal. The classes of the samples (13.7 % of positions for v = 73) are
@@ -10,7 +12,7 @@ only, so a rank is a class of equal prefixes, named by a 64-bit polynomial finge
    and marks what occurs twice, so memory is bounded by a bucket; the number of buckets follows the bytes.
 
 Documents are read once into chunks of about `chunk_bytes`; tasks exchange packed fingerprints (4 bytes for samples, where a collision only costs an extra
-candidate, else 7 beside the bucket) and get back one bit each, so hot passages add one entry per chunk. Of equal documents, one takes part.
+candidate, else 7 beside the bucket and 4 of the second fingerprint) and get back one bit each, so hot passages add one entry per chunk. Of equal documents, one takes part.
 A longer document is a chunk of its own.
 
 Null text is empty; documents shorter than `length` lose nothing. Repeated rows are documents of their own, so both lose all; null doc_ids stay. Extra columns are ignored.
@@ -33,6 +35,7 @@ from tideway.session import fresh_path
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LETTERS = np.random.default_rng(1).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 WIDE, NARROW = 7, 4
+PRIME, POINT = np.uint64(2**31 - 1), np.uint64(1_190_494_759)  # any point will do that was not chosen with the texts in mind
 
 
 def difference_cover(length: int) -> tuple[int, np.ndarray]:
@@ -47,10 +50,18 @@ def difference_cover(length: int) -> tuple[int, np.ndarray]:
 
 
 class Powers:
-    """Powers of the base and of its inverse modulo 2⁶⁴, as many as needed so far."""
+    """Powers of the base and of its inverse modulo 2⁶⁴, and of the point and its inverse modulo the prime, as many as needed so far."""
 
     def __init__(self):
         self.up = self.down = np.ones(1, dtype=np.uint64)
+        self.points = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+    def of_point(self, n: int) -> list[np.ndarray]:
+        for k, x in enumerate((int(POINT), pow(int(POINT), -1, int(PRIME)))):
+            while len(self.points[k]) < n:
+                known = self.points[k]
+                self.points[k] = np.concatenate([known, known * np.uint64(pow(x, len(known), int(PRIME))) % PRIME])
+        return [x[:n] for x in self.points]
 
     def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > len(self.up):
@@ -69,6 +80,7 @@ class Chunk:
         self.bytes, self.length = np.frombuffer(data, dtype=np.uint8), length
         self.ends = np.cumsum(sizes)
         self.stop = np.repeat(np.where(active, self.ends, 0), sizes)  # documents that take no part end before they begin
+        self.powers = powers
         up, self.down = powers.of(len(self.bytes) + 1)
         self.sums = np.zeros(len(self.bytes) + 1, dtype=np.uint64)
         np.cumsum(LETTERS[self.bytes] * up[:-1], out=self.sums[1:])
@@ -81,6 +93,15 @@ class Chunk:
         x *= np.uint64(0xBF58476D1CE4E5B9)
         return x ^ (x >> np.uint64(29))
 
+    def checks(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The second fingerprints."""
+        if not len(at):
+            return np.zeros(0, dtype=np.uint32)
+        up, down = self.powers.of_point(len(self.bytes) + 1)
+        sums = np.zeros(len(self.bytes) + 1, dtype=np.uint64)  # below 2³¹ · 2³³
+        np.cumsum((self.bytes + np.uint64(1)) * up[:-1] % PRIME, out=sums[1:])
+        return ((sums[at + n] - sums[at]) % PRIME * down[at] % PRIME).astype(np.uint32)
+
     def samples(self) -> np.ndarray:
         at = (np.arange(0, len(self.bytes), self.v)[:, None] + self.cover[None, :]).ravel()
         at = at[at < len(self.bytes)]
@@ -95,12 +116,36 @@ class Chunk:
         return np.flatnonzero((at + self.length <= self.stop) & (shared[self.v:self.v + len(at)] > shared[:len(at)]))
 
 
-def _packed(values: np.ndarray, buckets: int, width: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
-    """(place of each value among the distinct ones, which of these occur twice here, their packed low bytes by bucket)."""
-    distinct, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
+def _distinct(values: np.ndarray, checks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
+    """(distinct values in order, their checks, place of each among them, how often each occurs); values with different checks are different."""
+    if checks is None:
+        distinct, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
+        return distinct, None, inverse, counts
+    order = np.argsort(values)
+    if _torn(values[order], checks[order]):
+        order = np.lexsort((checks, values))
+    v, c = values[order], checks[order]
+    fresh = np.ones(len(v), dtype=bool)
+    fresh[1:] = (v[1:] != v[:-1]) | (c[1:] != c[:-1])
+    inverse = np.empty(len(v), dtype=np.int64)
+    inverse[order] = np.cumsum(fresh) - 1
+    starts = np.flatnonzero(fresh)
+    return v[starts], c[starts], inverse, np.diff(np.append(starts, len(v)))
+
+
+def _torn(values: np.ndarray, checks: np.ndarray) -> bool:
+    """Whether equal neighbours have different checks, so that equal pairs may lie apart."""
+    return bool(((values[1:] == values[:-1]) & (checks[1:] != checks[:-1])).any())
+
+
+def _packed(values: np.ndarray, checks: np.ndarray | None, buckets: int) -> list[tuple[int, bytes]]:
+    """The distinct values by bucket, each by its low bytes and its check."""
+    distinct, checks, _, _ = _distinct(values, checks)
     cuts = _cuts(distinct, buckets)
-    low = distinct.view(np.uint8).reshape(-1, 8)[:, :width]
-    return inverse, counts > 1, [(b, low[s:e].tobytes()) for b, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if e > s]
+    low = distinct.view(np.uint8).reshape(-1, 8)[:, :NARROW if checks is None else WIDE]
+    if checks is not None:
+        low = np.concatenate([low, checks.view(np.uint8).reshape(-1, 4)], axis=1)
+    return [(b, low[s:e].tobytes()) for b, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if e > s]
 
 
 def _cuts(distinct: np.ndarray, buckets: int) -> np.ndarray:
@@ -108,11 +153,11 @@ def _cuts(distinct: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(distinct, np.array(edges, dtype=np.uint64)), [len(distinct)]])
 
 
-def _told(values: np.ndarray, answers) -> np.ndarray:
+def _told(values: np.ndarray, checks: np.ndarray | None, answers) -> np.ndarray:
     """Which values are repeated, from the bits for the distinct ones of each bucket."""
     if not len(values):
         return np.zeros(0, dtype=bool)
-    _, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
+    _, _, inverse, counts = _distinct(values, checks)
     bits = [np.unpackbits(np.frombuffer(a["bits"], dtype=np.uint8), count=a["n"]) for a in sorted(answers, key=lambda a: a["bucket"])]
     return ((counts > 1) | np.concatenate(bits).astype(bool))[inverse]
 
@@ -178,30 +223,39 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, chunk_bytes: int = 2_0
 
     def samples_of(chunk: Chunk):
         at = chunk.samples()
-        return at, chunk.fingerprints(at, chunk.sample_length)
+        return at, chunk.fingerprints(at, chunk.sample_length), None
 
     def strings_of(chunk: Chunk, row):
-        at, values = samples_of(chunk)
-        at = chunk.candidates(at, _told(values, row["samples"] if row["samples"] is not None else ()))
-        return at, chunk.fingerprints(at, length)
+        at, values, _ = samples_of(chunk)
+        at = chunk.candidates(at, _told(values, None, row["samples"] if row["samples"] is not None else ()))
+        return at, chunk.fingerprints(at, length), chunk.checks(at, length)
 
-    def repeated(source: DataFrame, values_of, width: int) -> DataFrame:
+    def repeated(source: DataFrame, values_of, checked: bool) -> DataFrame:
         """(chunk, answers): for each value of a chunk whether it occurs elsewhere."""
         def send(batches):
             powers = Powers()
             for batch in batches:
                 for row in batch.to_dict("records"):
-                    _, _, blobs = _packed(values_of(opened(row, powers), row), buckets, width)
+                    _, values, checks = values_of(opened(row, powers), row)
+                    blobs = _packed(values, checks, buckets)
                     yield pd.DataFrame({"bucket": [b for b, _ in blobs], "chunk": row["chunk"], "blob": [x for _, x in blobs]})
 
         def compare(batches):
+            width, size = (WIDE, WIDE + 4) if checked else (NARROW, NARROW)
             for g in sorted_groups(batches, ["bucket"]):
-                blobs = [np.frombuffer(x, dtype=np.uint8).reshape(-1, width) for x in g["blob"]]
-                values = np.zeros((sum(map(len, blobs)), 8), dtype=np.uint8)
-                values[:, :width] = np.concatenate(blobs)
+                blobs = [np.frombuffer(x, dtype=np.uint8).reshape(-1, size) for x in g["blob"]]
+                packed = np.concatenate(blobs)
+                values = np.zeros((len(packed), 8), dtype=np.uint8)
+                values[:, :width] = packed[:, :width]
                 values = values.view(np.uint64).ravel()
                 order = np.argsort(values)
                 same = values[order[1:]] == values[order[:-1]]
+                if checked:
+                    checks = np.ascontiguousarray(packed[:, width:]).view(np.uint32).ravel()
+                    if _torn(values[order], checks[order]):
+                        order = np.lexsort((checks, values))
+                        same = values[order[1:]] == values[order[:-1]]
+                    same &= checks[order[1:]] == checks[order[:-1]]
                 again = np.zeros(len(values), dtype=bool)
                 again[order[1:]] |= same
                 again[order[:-1]] |= same
@@ -218,8 +272,8 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, chunk_bytes: int = 2_0
         for batch in batches:
             for row in batch.to_dict("records"):
                 chunk = opened(row, powers)
-                at, values = strings_of(chunk, row)
-                at = at[_told(values, row["strings"] if row["strings"] is not None else ())]
+                at, values, checks = strings_of(chunk, row)
+                at = at[_told(values, checks, row["strings"] if row["strings"] is not None else ())]
                 edge = np.zeros(len(chunk.bytes) + 1, dtype=np.int32)
                 edge[at] += 1
                 np.add.at(edge, at + length, -1)
@@ -236,7 +290,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, chunk_bytes: int = 2_0
 
     with _small_batches(spark):
         first = chunks.join(copies, "chunk", "left")
-        second = first.join(repeated(first, lambda c, row: samples_of(c)[1], NARROW).withColumnRenamed("answers", "samples"), "chunk", "left")
-        answers = repeated(second, lambda c, row: strings_of(c, row)[1], WIDE).withColumnRenamed("answers", "strings")
+        second = first.join(repeated(first, lambda c, row: samples_of(c), False).withColumnRenamed("answers", "samples"), "chunk", "left")
+        answers = repeated(second, strings_of, True).withColumnRenamed("answers", "strings")
         return written(second.join(answers, "chunk", "left").mapInPandas(
             finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"), "cut")
