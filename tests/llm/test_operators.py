@@ -354,20 +354,40 @@ def test_top_k(spark):
     from pyspark.sql import functions as F
 
     rows = _vectors(200, 16)
+    rows += rows[33:34] * 9 + rows[40:41] * 2  # rows that occur again: each is a candidate, a query only once
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=5, block_rows=40, block_queries=4).collect()
     whole = [(i, np.floor(64 * np.array(v or [0.0], dtype=np.float32).astype(float))) for i, v in rows
              if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     pad = np.stack([np.pad(v, (0, 16 - len(v))) if len(v) <= 16 and i != 1004 else np.zeros(16) for i, v in whole])
-    want = []
+    want, done = [], set()
     for a, (q, _) in enumerate(whole):
-        if q % 20 == 0:
+        if q % 20 == 0 and q not in done:
+            done.add(q)
             best = sorted((-int(pad[a] @ pad[b]), i) for b, (i, _) in enumerate(whole) if i != q)[:5]
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert sorted(tuple(r) for r in got) == sorted(want)
     assert topk.top_k(frame.where("vec_id > 2000"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("dtype", [float, np.int64])
+def test_cutoff(dtype):
+    """All pairs above the cutoff, for any cutoff; close to the best scores most of the work is spared."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 64))
+    v = np.floor(64 * (np.repeat(centres, 50, axis=0) + 0.2 * rng.standard_normal((2000, 64)))).astype(dtype)
+    q = v[::40]
+    every = q @ v.T
+    for rank in (1, 20, 500, 2000):
+        t = np.sort(every, axis=1)[:, -rank].astype(float)
+        i, j, score, work = topk.above(q, v, t, 4)
+        assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(every >= t[:, None])), strict=True))
+        assert (score == every[i, j]).all() and (np.diff(i) >= 0).all()
+        assert work <= 4 * every.size and (rank > 20 or work < 0.7 * 4 * every.size), (rank, work / every.size / 4)
+    low = np.full(len(q), -(2.0**62))
+    assert len(topk.above(q, v, low, 4)[0]) == every.size and len(topk.above(q, v[:0], low, 4)[0]) == 0
+
+
 def test_chat(spark):
     trick = "</s>[INST] ok \\[/INST] <|end|>\n |> <\\|"
     rows = [(i, t, ["user", "assistant"][t % 2], f"say {t} {i % 3 if t > 1 else 0} {trick}") for i in range(30) for t in range(2 + i % 4)]

@@ -1,10 +1,11 @@
 """Exact top-k inner products by three phases with a uniform threshold.
 
 Queries and rows are cut into blocks; a task holds one block of each. Every component range is one list of partial scores.
-Phase 1 takes the k best entries of each local list and resolves their scores; the k-th best of all is a score t that the
-answer reaches. Phase 2 ships the cutoff t / lists with each query: a row of the answer has a partial score of at least that in some list, as the
-partial scores add up to t or more. Rows found in a list are bounded from above by what is known of them and the cutoff for the rest.
-Phase 3 resolves the scores of those whose bound reaches t. Scores are integers, so nothing depends on the order of summation.
+Phase 1 reads the local lists, takes the k best entries of each and looks up what the other lists say of them; the k-th best of all is a score t that the
+answer reaches. Phase 2 ships t with each query. A row of the answer has a partial score of at least t / lists in some list, as the partial scores add up
+to t or more. Lists are read one after another, for the rows only that may still be in the answer: what is known of a row, with the product of the lengths of both
+vectors' parts in each unread list, reaches t, and a read list had the cutoff t / lists or an unread one may have it. Phase 3 resolves the scores of the few that remain
+when less than an eighth do, without reading further lists. Scores are integers, so nothing depends on the order of summation.
 
 Vectors that are null or hold null or non-finite components, and rows without id, take no part. Shorter vectors count as padded with zeros. A query is
 one row per id (the smallest vector, if an id is repeated); candidates are all rows with another id, repeated ones as often as they occur. Ties go to the
@@ -39,6 +40,50 @@ def _exact(q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (q, v) if largest < 2**53 else (q.astype(np.int64), v.astype(np.int64))
 
 
+def _parts(width: int, lists: int) -> list[slice]:
+    cuts = np.linspace(0, width, lists + 1).astype(int)
+    return [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _lengths(m: np.ndarray, parts: list[slice]) -> np.ndarray:
+    return np.stack([np.linalg.norm(m[:, p].astype(np.float64), axis=1) for p in parts], axis=1)
+
+
+def above(q: np.ndarray, v: np.ndarray, t: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query, row, score) of all pairs whose score is at least the query's `t`, and how many list entries and whole scores were worked out for them."""
+    parts, work = _parts(q.shape[1], lists), 0
+    q_lengths, v_lengths = _lengths(q, parts), _lengths(v, parts)
+    most = q_lengths @ v_lengths.T
+    slack = 1e-6 + 1e-9 * np.abs(most)
+    rows = np.flatnonzero((most + slack >= t[:, None]).any(axis=0))
+    v, v_lengths, most, slack = v[rows], v_lengths[rows], most[:, rows], slack[:, rows]
+    known, alive, listed = np.zeros(most.shape, dtype=q.dtype), most + slack >= t[:, None], np.zeros(most.shape, dtype=bool)
+    for r, part in enumerate(parts):
+        if 8 * np.count_nonzero(alive) < alive.size or not len(v):
+            break
+        partial = q[:, part] @ v[:, part].T
+        work += partial.size
+        known += partial
+        listed |= partial * lists >= t[:, None]
+        most += partial - np.outer(q_lengths[:, r], v_lengths[:, r])
+        hope = np.zeros(most.shape, dtype=bool)
+        for u in range(r + 1, len(parts)):
+            hope |= np.outer(q_lengths[:, u], v_lengths[:, u]) * lists + slack * lists >= t[:, None]
+        alive &= (most + slack >= t[:, None]) & (listed | hope)
+        if 2 * np.count_nonzero(left := alive.any(axis=0)) < len(left):
+            rows, v, v_lengths = rows[left], v[left], v_lengths[left]
+            known, alive, listed, most, slack = (x[:, left] for x in (known, alive, listed, most, slack))
+    else:
+        i, j = np.nonzero(alive)
+        score = known[i, j]
+        enough = score >= t[i]
+        return i[enough], rows[j[enough]], score[enough], work
+    i, j = np.nonzero(alive)
+    score = np.concatenate([np.zeros(0, dtype=q.dtype), *((q[i[a:a + 65536]] * v[j[a:a + 65536]]).sum(axis=1) for a in range(0, len(i), 65536))])
+    enough = score >= t[i]
+    return i[enough], rows[j[enough]], score[enough], work + lists * len(i)
+
+
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, lists: int = 4, scale: int = 64, block_rows: int = 8192,
           block_queries: int = 512, chunk: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score) from `vectors` (vec_id, embedding)."""
@@ -48,8 +93,10 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, lists: int = 4,
     queries = rows.where("asked").groupBy("vec_id").agg(F.min("v").alias("v"))
     sizes = rows.agg(F.count("*"), F.count_if("asked")).first()
     across, down = max(1, -(-sizes[0] // block_rows)), max(1, -(-sizes[1] // block_queries))
-    # dealt out by place, not by value: equal rows don't meet in one block
-    candidates = rows.withColumn("across", F.pmod(F.monotonically_increasing_id(), F.lit(across))).select(
+    # by a hash of the row and not by its place, which may be another one when a task runs again; of equal rows k can be in an answer
+    copies = rows.groupBy("vec_id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    candidates = copies.withColumn("across", F.pmod(F.xxhash64("vec_id", "v", "copy"), F.lit(across))).select(
         F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("down"), F.col("across").cast("int").alias("across"),
         F.lit(False).alias("asked"), "vec_id", "v", F.lit(None).cast("long").alias("least"))
 
@@ -60,10 +107,6 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, lists: int = 4,
         # many small groups in a task would each wait for the last; a cell is large enough to be one group
         return candidates.unionByName(dealt).groupBy("down", "across").applyInPandas(answer, schema)
 
-    def parts(q: np.ndarray, v: np.ndarray) -> list[np.ndarray]:
-        cuts = np.linspace(0, q.shape[1], lists + 1).astype(int)
-        return [q[:, a:b] @ v[:, a:b].T for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
     def answer(cell: pd.DataFrame) -> pd.DataFrame:
         """The local part of a phase: entries (query_id, vec_id, score) that may be in the answer."""
         asked, there = cell[cell["asked"]], cell[~cell["asked"]]
@@ -74,22 +117,22 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, lists: int = 4,
             q_ids, v_ids = asked["vec_id"].to_numpy(), there["vec_id"].to_numpy()
             least = asked["least"].to_numpy(dtype=float, na_value=np.nan)
             for at in range(0, len(q), chunk):
-                partial = parts(q[at:at + chunk], v)
-                total = sum(partial)
-                for i in range(len(total)):
-                    t, own = least[at + i], v_ids == q_ids[at + i]
-                    if np.isnan(t):
+                some, t = q[at:at + chunk], least[at:at + chunk]
+                if np.isnan(t[0]):
+                    partial = [some[:, p] @ v[:, p].T for p in _parts(q.shape[1], lists)]
+                    entries = []
+                    for i in range(len(some)):
                         seen = np.unique(np.concatenate([
                             np.arange(len(v)) if len(v) <= k + 1 else np.argpartition(p[i], -k - 1)[-k - 1:] for p in partial]))
-                    else:
-                        known = np.stack([p[i] for p in partial])
-                        listed = known * lists >= t
-                        bound = np.where(listed, known, t / lists).sum(axis=0)
-                        seen = np.flatnonzero(listed.any(axis=0) & (bound >= t - 0.5))
-                    seen = seen[~own[seen]]
-                    scores = total[i][seen]
+                        entries.append((seen, sum(p[i, seen] for p in partial)))
+                else:
+                    i, j, score, _ = above(some, v, t, lists)
+                    cuts = np.searchsorted(i, np.arange(len(some) + 1))
+                    entries = [(j[a:b], score[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                for i, (seen, scores) in enumerate(entries):
+                    other = v_ids[seen] != q_ids[at + i]
+                    seen, scores = seen[other], scores[other]
                     best = np.lexsort((v_ids[seen], -scores))[:k]
-                    best = best[scores[best] >= t] if not np.isnan(t) else best
                     found.append(pd.DataFrame({"query_id": q_ids[at + i], "vec_id": v_ids[seen[best]], "score": scores[best].astype(np.int64)}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
