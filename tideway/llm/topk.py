@@ -53,26 +53,31 @@ def above(q: np.ndarray, v: np.ndarray, t: np.ndarray, lists: int) -> tuple[np.n
     """(query, row, score) of all pairs whose score is at least the query's `t`, and how many list entries and whole scores were worked out for them."""
     parts, work = _parts(q.shape[1], lists), 0
     q_lengths, v_lengths = _lengths(q, parts), _lengths(v, parts)
+    # bounds are doubles: a little too large rather than too small
+    v_lengths = v_lengths * (1 + 1e-9) + 1e-9
     most = q_lengths @ v_lengths.T
-    slack = 1e-6 + 1e-9 * np.abs(most)
-    rows = np.flatnonzero((most + slack >= t[:, None]).any(axis=0))
-    v, v_lengths, most, slack = v[rows], v_lengths[rows], most[:, rows], slack[:, rows]
-    known, alive, listed = np.zeros(most.shape, dtype=q.dtype), most + slack >= t[:, None], np.zeros(most.shape, dtype=bool)
+    most += (1e-6 + 1e-9 * (most.max(axis=1, initial=0) + np.abs(t)) - t)[:, None]
+    rows = np.flatnonzero((most >= 0).any(axis=0))
+    if len(rows) < len(v):
+        v, v_lengths, most = v[rows], v_lengths[rows], most[:, rows]
+    known, alive, listed = np.zeros(most.shape, dtype=q.dtype), most >= 0, np.zeros(most.shape, dtype=bool)
+    cutoff = ((t - 1e-9 * np.abs(t)) / lists)[:, None]
     for r, part in enumerate(parts):
         if 8 * np.count_nonzero(alive) < alive.size or not len(v):
             break
         partial = q[:, part] @ v[:, part].T
         work += partial.size
         known += partial
-        listed |= partial * lists >= t[:, None]
-        most += partial - np.outer(q_lengths[:, r], v_lengths[:, r])
-        hope = np.zeros(most.shape, dtype=bool)
-        for u in range(r + 1, len(parts)):
-            hope |= np.outer(q_lengths[:, u], v_lengths[:, u]) * lists + slack * lists >= t[:, None]
-        alive &= (most + slack >= t[:, None]) & (listed | hope)
+        listed |= partial >= cutoff
+        most += partial
+        most -= q_lengths[:, r, None] * v_lengths[:, r]
+        alive &= most >= 0
+        # a list that is still to be read may have the cutoff for a row if its longest part allows it
+        hope = (q_lengths[:, r + 1:].max(axis=1, initial=0)[:, None] * v_lengths[:, r + 1:].max(axis=1, initial=0)) >= cutoff if r + 1 < len(parts) else False
+        alive &= listed | hope
         if 2 * np.count_nonzero(left := alive.any(axis=0)) < len(left):
             rows, v, v_lengths = rows[left], v[left], v_lengths[left]
-            known, alive, listed, most, slack = (x[:, left] for x in (known, alive, listed, most, slack))
+            known, alive, listed, most = (x[:, left] for x in (known, alive, listed, most))
     else:
         i, j = np.nonzero(alive)
         score = known[i, j]
@@ -85,7 +90,8 @@ def above(q: np.ndarray, v: np.ndarray, t: np.ndarray, lists: int) -> tuple[np.n
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, lists: int = 4, scale: int = 64, block_rows: int = 8192,
-          block_queries: int = 512, chunk: int = 64) -> DataFrame:
+          block_queries: int = 512, chunk: int = 64,
+          rows_at_once: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score) from `vectors` (vec_id, embedding)."""
     rows = vectors.where(F.col("vec_id").isNotNull() & finite(F.col("embedding"))).select(
         "vec_id", is_query.alias("asked"),
@@ -126,7 +132,12 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, lists: int = 4,
                             np.arange(len(v)) if len(v) <= k + 1 else np.argpartition(p[i], -k - 1)[-k - 1:] for p in partial]))
                         entries.append((seen, sum(p[i, seen] for p in partial)))
                 else:
-                    i, j, score, _ = above(some, v, t, lists)
+                    # parts that a processor's cache holds
+                    hits = [(i, j + b, score) for b in range(0, len(v), rows_at_once)
+                            for i, j, score, _ in [above(some, v[b:b + rows_at_once], t, lists)]]
+                    i, j, score = (np.concatenate(x) for x in zip(*hits, strict=True))
+                    order = np.argsort(i, kind="stable")
+                    i, j, score = i[order], j[order], score[order]
                     cuts = np.searchsorted(i, np.arange(len(some) + 1))
                     entries = [(j[a:b], score[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 for i, (seen, scores) in enumerate(entries):
