@@ -497,6 +497,8 @@ def test_strength():
 
 def test_learned_exceptions(spark):
     """A phrase that only clean documents hold takes nothing from the word's weight elsewhere."""
+    from pyspark.sql import functions as F
+
     rng = random.Random(6)
     clean = ["".join(rng.choices("qwertzuiop", k=5)) for _ in range(300)]
     rows = [(i, " ".join([*rng.choices(clean, k=15), *(["you", "scum"] if i % 4 == 0 else ["pond", "scum"] if i % 100 == 1 else []), *rng.choices(clean, k=15)]))
@@ -506,6 +508,10 @@ def test_learned_exceptions(spark):
     assert " scum " in model.weights and "pond scum" in model.exceptions and "you scum" not in model.exceptions
     odd = spark.createDataFrame([(1, "green pond scum here"), (2, "vile scum here"), (3, "p0nd scum and scum")], "doc_id long, text string")
     assert [r["predicted"] for r in toxicity.score(odd, model).orderBy("doc_id").collect()] == [0, 1, 1]
+    blank = toxicity.fit(docs.withColumn("text", F.lit("")), spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert blank.weights == {} and toxicity.score(odd, blank).where("predicted = 1").count() == 0
+    single = spark.createDataFrame([(i, "scum" if i % 4 == 0 else "pond") for i in range(400)], "doc_id long, text string")  # no two words anywhere
+    assert toxicity.fit(single, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int"), exceptions=()).exceptions == ()
 
 
 @pytest.mark.parametrize("collide", [False, True])

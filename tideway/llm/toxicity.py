@@ -121,7 +121,8 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts[int(toxic)].update(starts)
             counts[int(toxic)].update(f" {w} " for w in words)
         names = list(counts[0].keys() | counts[1].keys())
-        yield pd.DataFrame({"feature": names, "clean": [counts[0][x] for x in names], "toxic": [counts[1][x] for x in names]})
+        if names:
+            yield pd.DataFrame({"feature": names, "clean": [counts[0][x] for x in names], "toxic": [counts[1][x] for x in names]})
 
 
 def _lexicon(rows: list, toxic: int, clean: int, least_odds: float) -> dict[str, float]:
@@ -173,7 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000, max_entries
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 counts[int(toxic)].update(_around(automaton, text))
             names = list(counts[0].keys() | counts[1].keys())
-            yield pd.DataFrame({"feature": names, "clean": [counts[0][x] for x in names], "toxic": [counts[1][x] for x in names]})
+            if names:
+                yield pd.DataFrame({"feature": names, "clean": [counts[0][x] for x in names], "toxic": [counts[1][x] for x in names]})
 
     learned = [r["feature"] for r in taught.mapInPandas(phrases, "feature string, clean long, toxic long").groupBy("feature")
                .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("clean") >= least_clean) & (odds <= 0))
