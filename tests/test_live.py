@@ -366,3 +366,22 @@ def test_ordered_folds_on_streams(spark):
         grouped().window_by_session((5, "seconds")).reduce_sessions(fold).df, fresh_path(spark, "s").rsplit("/", 1)[1])
     assert got(only(sessions.snapshot()), "key", "window_from", "value") == [
         ("a", 1000, "2,1,3,"), ("a", 12000, "5,"), ("b", 5000, "4,")]
+
+
+def test_sliding_windows_of_one_key_spread_over_time_buckets(spark):
+    """No group holds more than a stretch of a hot key, and windows that reach into the bucket before are whole, over late and early records."""
+    span = 2000
+    times = [(i * 37) % 400 + 1 for i in range(400)]
+    batches = [[("a", t, t) for t in times[i::3]] for i in range(3)] + [[("b", 150, 7)], END]
+    df, path, _ = file_stream(spark, batches)
+    rows = spark.read.parquet(path).filter("key = 'a'").withColumn("_ms", F.unix_millis("timestamp"))
+    spread, width = stateful._sliding_buckets(rows, span)
+    sizes = [r["count"] for r in spread.groupBy("key", "_b").count().collect()]
+    assert len(sizes) == 400_000 // width + 1 and max(sizes) <= (width + span) // 1000
+    fold = folds.together(n=folds.count(), total=folds.total(lambda k, v: v), low=folds.minimum(lambda k, v: v))
+    out = run.run_to_files(Stream(df).group_by_key().window(span, "sliding", retention="1 hour").reduce_windows(fold).df)
+    near = lambda t: [x for x in range(1, 401) if t - 2 <= x <= t]
+    wanted = sorted(("a", t * 1000, len(near(t)), sum(near(t)), min(near(t))) for t in range(1, 401))
+    found = out.filter("key = 'a'").select("key", "window_to", "value.*").collect()
+    assert sorted(tuple(r) for r in found) == wanted
+    assert out.filter("key = 'b'").count() == 1

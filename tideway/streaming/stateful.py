@@ -39,6 +39,27 @@ def _plain(value):
     return {k: _plain(v) for k, v in value.items()} if isinstance(value, dict) else value
 
 
+class _Held:
+    """What a key holds, as pickled parts in list state: one call adds what a micro-batch brings, one reads all of it. A call per record costs more
+    than all else that is done with the record."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.state = handle.getListState(name, _struct(("part", T.BinaryType())))
+
+    def add(self, part) -> None:
+        self.state.appendValue((pickle.dumps(part, pickle.HIGHEST_PROTOCOL),))
+
+    def parts(self) -> list:
+        return [pickle.loads(x[0]) for x in self.state.get()]
+
+    def replace(self, part) -> None:
+        """Hold this alone, or nothing if it is empty."""
+        if part:
+            self.state.put([(pickle.dumps(part, pickle.HIGHEST_PROTOCOL),)])
+        else:
+            self.state.clear()
+
+
 def _watermarked(df: DataFrame, retention) -> DataFrame:
     return df.withWatermark("timestamp", f"{interval_ms(retention)} milliseconds")
 
@@ -548,58 +569,72 @@ class TwoStacks:
         return self.merge(self.front[-1][1], self.sum) if self.back else self.front[-1][1]
 
 
+SLIDING_SPAN = 16  # length of a time bucket in windows
+
+
 class _Sliding(StatefulProcessor):
-    """Aggregates of the moments of a key within the last interval. When the watermark has passed moments, one pass over what is held
-    answers them all; a key has one timer at a time."""
+    """Aggregates of the moments of a key in one time bucket within the last interval. When the watermark has passed moments, one pass over what is
+    held answers them all; a bucket has one timer at a time. Records of the bucket before that its windows reach are held as well."""
 
-    def __init__(self, value: Callable, step: Callable, merge: Callable, agg: T.StructType, span_ms: int):
-        self.value, self.step, self.merge, self.agg, self.span = value, step, merge, agg, span_ms
+    def __init__(self, value: Callable, step: Callable, merge: Callable, span_ms: int, width_ms: int):
+        self.value, self.step, self.merge, self.span, self.width = value, step, merge, span_ms, width_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.points = handle.getMapState("points", _struct(("ms", T.LongType())), self.agg)
+        self.points = _Held(handle, "points")
         self.done = handle.getValueState("done", _struct(("until", T.LongType()), ("due", T.LongType())))
 
     def _timer(self, until, due, first: int) -> None:
         if due is None or first + 1 < due:
             due = first + 1
             self.handle.registerTimer(due)
-        self.done.update((until, due))
+            self.done.update((until, due))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        until, due = self.done.get() if self.done.exists() else (None, None)
+        until, due = self.done.get() or (None, None)
         fresh: dict[int, tuple] = {}
         for row in rows:
             ms = row["_ms"]
             if until is not None and ms < until:
                 continue  # later than the watermark: its moment is answered
-            if ms not in fresh:
-                fresh[ms] = tuple(self.points.getValue((ms,))) if self.points.containsKey((ms,)) else None
-            fresh[ms] = self.step(fresh[ms], key[0], self.value(row))
-        for ms, agg in fresh.items():
-            self.points.updateValue((ms,), _plain(agg))
+            fresh[ms] = self.step(fresh.get(ms), key[0], self.value(row))
         if fresh:
+            self.points.add(fresh)
             self._timer(until, due, min(fresh))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        before, _ = self.done.get()
-        window, later = TwoStacks(self.merge), None
-        for ms, agg in sorted(((k[0], tuple(v)) for k, v in self.points.iterator()), key=lambda p: p[0]):
+        state = self.done.get()
+        if state is None:
+            return  # the bucket is closed
+        before, home = state[0], key[1] * self.width
+        held: dict[int, tuple] = {}
+        for part in self.points.parts():
+            for ms, agg in part.items():
+                held[ms] = self.merge(held[ms], agg) if ms in held else agg
+        if until >= home + self.width:
+            self.points.replace(None)  # no later window of the bucket
+            self.done.clear()
+        else:  # before the pass, in which a merge may change what it is given
+            self.points.replace({ms: agg for ms, agg in held.items() if ms >= until - self.span})
+            # with nothing that waits, the end of the bucket
+            self._timer(until, None, min((ms for ms in held if ms >= until), default=home + self.width - 1))
+        window = TwoStacks(self.merge)
+        for ms in sorted(held):
             if ms >= until:
-                later = ms
                 break
-            window.push(ms, agg)
+            window.push(ms, held[ms])
             window.evict(ms - self.span)
-            if before is None or ms >= before:
+            if ms >= home and (before is None or ms >= before):
                 yield Row(key=key[0], window_from=ms - self.span, window_to=ms, agg=window.value())
-            if ms < until - self.span:
-                self.points.removeKey((ms,))
-        if later is None:
-            self.done.update((until, None))
-        else:
-            self._timer(until, None, later)
+
+
+def _sliding_buckets(rows: DataFrame, span_ms: int) -> tuple[DataFrame, int]:
+    """Each record in the time buckets whose windows hold it, two at most, so that a hot key spreads over its buckets."""
+    width = max(span_ms, 1) * SLIDING_SPAN
+    bucket = lambda c: F.floor(c / width).cast("bigint")
+    return rows.withColumn("_b", F.explode(F.sequence(bucket(F.col("_ms")), bucket(F.col("_ms") + span_ms)))), width
 
 
 class _SlidingRows(StatefulProcessor):
@@ -669,7 +704,8 @@ def _sliding_fold(df: DataFrame, fold: Fold, span_ms: int, retention) -> DataFra
 
     step = lambda held, k, v: v if held is None else merge(held, v)
     out = _struct(("key", typed["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()), ("agg", agg))
-    windows = rows.groupBy("key").transformWithState(_Sliding(value, step, merge, agg, span_ms), out, "Append", "EventTime")
+    rows, width = _sliding_buckets(rows, span_ms)
+    windows = rows.groupBy("key", "_b").transformWithState(_Sliding(value, step, merge, span_ms, width), out, "Append", "EventTime")
     return windows.select("key", "window_from", "window_to", "agg.*").select("key", "window_from", "window_to", fold.finished().alias("value"))
 
 
@@ -690,8 +726,9 @@ def sliding_windows(df: DataFrame, fold: Fold | RowFold, interval, retention=DAY
     step = lambda held, k, v: (one(seed() if held is None else held[0], k, v),)
     merge = lambda a, b: (many(a[0], b[0]),)
     agg = _struct(("value", kind))
-    windows = rows.groupBy("key").transformWithState(
-        _Sliding(lambda row: row["value"], step, merge, agg, span), out("agg", agg), "Append", "EventTime")
+    rows, width = _sliding_buckets(rows, span)
+    windows = rows.groupBy("key", "_b").transformWithState(
+        _Sliding(lambda row: row["value"], step, merge, span, width), out("agg", agg), "Append", "EventTime")
     return windows.select("key", "window_from", "window_to", "agg.value")
 
 
