@@ -554,3 +554,16 @@ def test_minhash(docs, nothing, corpus):
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == want
     assert sum(r["kept"] for r in got) == len(set(of.values()))
     assert minhash.groups(nothing).count() == 0
+
+
+def test_linked_lines_of_any_length_have_a_key_in_common():
+    """One word in five differs, and those are long, so that runs without them come late; with 16 keys a line some pairs had none in common."""
+    rng, missed = np.random.default_rng(3), []
+    word = lambda letters: "".join(chr(97 + c) for c in rng.integers(0, 26, letters))
+    for n in (*range(10, 60), *range(60, 210)):
+        one = [word(20 if i % 5 == 4 else 3) for i in range(n)]
+        two = [word(20) if i % 5 == 4 else x for i, x in enumerate(one)]
+        of, key = lines._Lines([(0, 0, " ".join(one) + "\n" + " ".join(two))]).keys(np.ones(2, dtype=bool), 0.8, 3)
+        if not set(key[of == 0].tolist()) & set(key[of == 1].tolist()):
+            missed.append(n)
+    assert not missed
