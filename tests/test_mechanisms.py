@@ -471,3 +471,121 @@ def test_changelog_follows_the_order_of_its_tables(spark):
     assert got(joined.snapshot(), "key", "value.l", "value.r") == [("a", 2, 20), ("b", 3, None)]
     assert got(joined.changelog(), "key", "topic", "offset", "value.l", "value.r") == [
         ("a", "l", 0, 1, None), ("a", "l", 1, 2, None), ("a", "r", 0, 2, 10), ("a", "r", 1, 2, 20), ("b", "l", 2, 3, None), ("b", "r", 2, 3, None)]
+
+
+class CountedState:
+    """State of one key that counts the calls made to it."""
+
+    def __init__(self):
+        self.calls, self.rows, self.map, self.row = 0, [], {}, None
+
+    def _called(self):
+        self.calls += 1
+
+    def appendValue(self, row):
+        self._called()
+        self.rows.append(row)
+
+    def put(self, rows):
+        self._called()
+        self.rows = list(rows)
+
+    def clear(self):
+        self._called()
+        self.rows, self.row = [], None
+
+    def get(self):
+        self._called()
+        return self.row if self.row is not None or not self.rows else iter(self.rows)
+
+    def update(self, row):
+        self._called()
+        self.row = row
+
+    def containsKey(self, k):
+        self._called()
+        return k in self.map
+
+    def getValue(self, k):
+        self._called()
+        return self.map.get(k)
+
+    def updateValue(self, k, v):
+        self._called()
+        self.map[k] = v
+
+    def removeKey(self, k):
+        self._called()
+        del self.map[k]
+
+    def iterator(self):
+        self._called()
+        return iter(self.map.items())
+
+    def keys(self):
+        self._called()
+        return iter(self.map)
+
+
+def test_a_processors_store_asks_state_once_for_all_records_of_a_call():
+    from pyspark.sql import types as T
+
+    state = CountedState()
+    store = stateful._MapStore(state, T.StringType(), T.LongType())
+    for i in range(1000):
+        store.put("n", (store.get("n") or 0) + 1)
+    store.put("gone", 1)
+    assert store.remove("gone") == 1 and store.get("gone") is None and store.count() == 1
+    assert list(store.range()) == [("n", 1000)]
+    store.forget()
+    assert state.map == {("n",): (1000,)} and state.calls < 20
+    state.map[("n",)] = (7,)  # another key's state
+    assert store.get("n") == 7
+    store.put("n", 2.0)  # not as the state gives it back
+    assert state.map[("n",)] == (2.0,)
+
+
+def test_records_of_a_key_are_held_with_one_call_to_state(spark):
+    from pyspark.sql import Row
+
+    class Handle:
+        def __init__(self):
+            self.states, self.timers = {}, []
+
+        def getListState(self, name, schema):
+            return self.states.setdefault(name, CountedState())
+
+        def getValueState(self, name, schema):
+            state = self.states.setdefault(name, CountedState())
+            state.get = lambda: state.row
+            return state
+
+        def registerTimer(self, ms):
+            self.timers.append(ms)
+
+    class Until:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    handle = Handle()
+    ordered = stateful._Reorder(10)
+    ordered.init(handle)
+    rows = [Row(_ms=ms, _record={"at": {"t": ms}, "value": {"value": ms}}) for ms in (*range(999, -1, -2), *range(0, 1000, 2))]
+    list(ordered.handleInputRows(("a",), iter(rows), None))
+    first = list(ordered.handleExpiredTimer(("a",), Until(505), Until(505)))
+    rest = list(ordered.handleExpiredTimer(("a",), Until(2000), Until(2000)))
+    assert [r["_value"]["value"] for r in first] == list(range(500))
+    assert [(r["_n"], r["_value"]["value"]) for r in first + rest] == [(ms + 1, ms) for ms in range(1000)]
+    assert sum(s.calls for s in handle.states.values()) < 20
+
+    handle = Handle()
+    joined = stateful._AsOf()
+    joined.init(handle)
+    updates = [Row(_us=us, _side=0, _place="p", _record=None, _update={"value": us}) for us in range(0, 1_000_000, 10_000)]
+    records = [Row(_us=us, _side=1, _place=None, _record={"value": us}, _update=None) for us in range(5_000, 1_000_000, 10_000)]
+    list(joined.handleInputRows(("a",), iter(records[::2] + updates), None))
+    list(joined.handleInputRows(("a",), iter(records[1::2]), None))
+    first = list(joined.handleExpiredTimer(("a",), Until(500), Until(500)))
+    found = first + list(joined.handleExpiredTimer(("a",), Until(2000), Until(2000)))
+    assert len(first) == 50 and [(r["_record"]["value"], r["_seen"]["value"]) for r in found] == [(us, us - 5_000) for us in range(5_000, 1_000_000, 10_000)]
+    assert sum(s.calls for s in handle.states.values()) < 30

@@ -69,63 +69,58 @@ def _watermarked(df: DataFrame, retention) -> DataFrame:
 
 class _AsOf(StatefulProcessor):
     """Table updates and stream records by time; records are answered once the watermark is past them. Of the updates of one moment
-    the last one counts. Records of one moment are held in a list: after flat maps, joins and merges several have one place."""
-
-    def __init__(self, record: T.StructType, update: T.StructType):
-        self.record, self.update = record, update
+    the last one counts. Records of one moment are all held: after flat maps, joins and merges several have one place."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        at = _struct(("us", T.LongType()))
-        self.updates = handle.getMapState("updates", at, _struct(("place", T.StringType()), ("row", self.update)))
-        self.waiting = handle.getMapState("waiting", at, _struct(("rows", T.ArrayType(self.record))))
+        self.updates, self.waiting = _Held(handle, "updates"), _Held(handle, "waiting")
         self.due = handle.getValueState("due", _struct(("ms", T.LongType())))
 
-    def _wait(self, first: int) -> None:
+    def _wait(self, first: int, due) -> None:
         """One timer per key, for the first record that waits."""
         ms = first // 1000 + 1
-        if not self.due.exists() or ms < self.due.get()[0]:
+        if due is None or ms < due[0]:
             self.due.update((ms,))
             self.handle.registerTimer(ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         updates: dict[int, tuple] = {}
-        fresh: dict[int, list] = {}
+        fresh: list[tuple] = []
         for row in rows:
             us = row["_us"]
             if row["_side"] == 1:
-                fresh.setdefault(us, []).append(row["_record"])
+                fresh.append((us, row["_record"]))
             elif us not in updates or updates[us][0] <= row["_place"]:
                 updates[us] = row["_place"], row["_update"]
-        for us, (place, update) in updates.items():
-            if not self.updates.containsKey((us,)) or self.updates.getValue((us,))[0] <= place:
-                self.updates.updateValue((us,), _plain((place, update)))
-        for us, records in fresh.items():
-            held = list(self.waiting.getValue((us,))[0]) if self.waiting.containsKey((us,)) else []
-            self.waiting.updateValue((us,), _plain((held + records,)))
+        if updates:
+            self.updates.add(updates)
         if fresh:
-            self._wait(min(fresh))
+            self.waiting.add(fresh)
+            self._wait(min(us for us, _ in fresh), self.due.get())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
         self.due.clear()
-        times = sorted(k[0] for k in self.waiting.keys())
-        known = sorted(k[0] for k in self.updates.keys())
-        i, seen = 0, None
-        for us in times:
-            if us >= until:
-                self._wait(us)
-                break
-            if bisect_right(known, us) > i:
-                i = bisect_right(known, us)
-                seen = self.updates.getValue((known[i - 1],))[1]
-            for record in self.waiting.getValue((us,))[0]:
-                yield Row(key=key[0], _record=record, _seen=seen)
-            self.waiting.removeKey((us,))
+        waiting = sorted((x for part in self.waiting.parts() for x in part), key=lambda x: x[0])
+        later = bisect_left(waiting, until, key=lambda x: x[0])
+        if later:
+            self.waiting.replace(waiting[later:])
+        if later < len(waiting):
+            self._wait(waiting[later][0], None)
+        updates: dict[int, tuple] = {}
+        for part in self.updates.parts():
+            for us, (place, update) in part.items():
+                if us not in updates or updates[us][0] <= place:
+                    updates[us] = place, update
+        known = sorted(updates)
+        for us, record in waiting[:later]:
+            i = bisect_right(known, us)
+            yield Row(key=key[0], _record=record, _seen=updates[known[i - 1]][1] if i else None)
         # of the updates that no record can come before any more, the last one may still answer later records
-        for us in known[:max(0, bisect_left(known, until) - 1)]:
-            self.updates.removeKey((us,))
+        gone = max(0, bisect_left(known, until) - 1)
+        if gone:
+            self.updates.replace({us: updates[us] for us in known[gone:]})
 
 
 def _place(df: DataFrame):
@@ -147,7 +142,7 @@ def as_of_join(stream: DataFrame, changes: DataFrame, f, how: str, retention=DAY
     rows = _watermarked(rows, retention).withColumn("_us", F.unix_micros("timestamp"))
     record_type, update_type = left.schema["_record"].dataType, right.schema["_update"].dataType
     out = _struct(("key", left.schema["key"].dataType), ("_record", record_type), ("_seen", update_type))
-    seen = rows.groupBy("key").transformWithState(_AsOf(record_type, update_type), out, "Append", "EventTime")
+    seen = rows.groupBy("key").transformWithState(_AsOf(), out, "Append", "EventTime")
     found = F.col("_seen.value")
     if how == "inner":
         seen = seen.filter(found.isNotNull())
@@ -770,20 +765,17 @@ def fold_stream(df: DataFrame, keys: list[str], fold: RowFold, length_ms: int |
 
 
 class _Reorder(StatefulProcessor):
-    """Holds the records of a key in time buckets; those of a bucket that the watermark has passed are sent on in order, numbered on. A key
-    has one timer, for its first bucket."""
+    """Holds the records of a key; those of the time buckets that the watermark has passed are sent on in order, numbered on. A key has one timer, for
+    its first bucket."""
 
-    def __init__(self, record: T.StructType, width_ms: int):
-        self.record, self.width = record, width_ms
+    def __init__(self, width_ms: int):
+        self.width = width_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buckets = handle.getMapState("buckets", _struct(("b", T.LongType())), _struct(("rows", T.ArrayType(self.record))))
+        self.held = _Held(handle, "held")
         self.sent = handle.getValueState("sent", _struct(("n", T.LongType()), ("until", T.LongType()), ("due", T.LongType())))
 
-    def _state(self):
-        return self.sent.get() if self.sent.exists() else (0, None, None)
-
     def _wait(self, n: int, until, due, first) -> None:
         if first is not None and (due is None or (first + 1) * self.width < due):
             due = (first + 1) * self.width
@@ -791,31 +783,28 @@ class _Reorder(StatefulProcessor):
         self.sent.update((n, until, due))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        n, until, due = self._state()
-        fresh: dict[int, list] = {}
+        n, until, due = self.sent.get() or (0, None, None)
+        fresh: list[tuple] = []
         for row in rows:
             b = row["_ms"] // self.width
             if until is None or b >= until:  # else later than the watermark
-                fresh.setdefault(b, []).append(row["_record"])
-        for b, records in fresh.items():
-            held = list(self.buckets.getValue((b,))[0]) if self.buckets.containsKey((b,)) else []
-            self.buckets.updateValue((b,), _plain((held + records,)))
+                record = row["_record"]
+                fresh.append((b, _at(record["at"]), record["value"]))
         if fresh:
-            self._wait(n, until, due, min(fresh))
+            self.held.add(fresh)
+            self._wait(n, until, due, min(x[0] for x in fresh))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        n, _, _ = self._state()
+        n, _, _ = self.sent.get() or (0, None, None)
         until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) // self.width
-        waiting = sorted(k[0] for k in self.buckets.keys())
-        for b in waiting:
-            if b >= until:
-                break
-            for record in sorted(self.buckets.getValue((b,))[0], key=lambda r: _at(r["at"])):
-                n += 1
-                yield Row(key=key[0], _n=n, _value=record["value"])
-            self.buckets.removeKey((b,))
-        self._wait(n, until, None, next((b for b in waiting if b >= until), None))
+        waiting = sorted((x for part in self.held.parts() for x in part), key=lambda x: x[:2])
+        due = bisect_left(waiting, until, key=lambda x: x[0])
+        if due:
+            self.held.replace(waiting[due:])
+        self._wait(n + due, until, None, waiting[due][0] if due < len(waiting) else None)
+        for i, (_, _, value) in enumerate(waiting[:due]):
+            yield Row(key=key[0], _n=n + i + 1, _value=value)
 
 
 def in_order(df: DataFrame, order: list[str], retention=DAY) -> DataFrame:
@@ -828,28 +817,58 @@ def in_order(df: DataFrame, order: list[str], retention=DAY) -> DataFrame:
     rows = _watermarked(df.filter(known), retention).select("key", "timestamp", F.unix_millis("timestamp").alias("_ms"), record)
     kind = rows.schema["_record"].dataType
     out = _struct(("key", rows.schema["key"].dataType), ("_n", T.LongType()), ("_value", kind["value"].dataType))
-    sent = rows.groupBy("key").transformWithState(_Reorder(kind, width), out, "Append", "EventTime")
+    sent = rows.groupBy("key").transformWithState(_Reorder(width), out, "Append", "EventTime")
     return sent.select("key", F.col("_value.value").alias("value"), "_n")
 
 
 # -- processors -------------------------------------------------------------------------------------
 
 
+PLAIN_VALUES = {T.LongType: int, T.DoubleType: float, T.StringType: str, T.BooleanType: bool}
+
+
 class _MapStore:
-    """A processor's store on Spark state, with the methods of the batch one."""
+    """A processor's store on Spark state, with the methods of the batch one. Plain values that a call of the processor for a key reads are read once,
+    and those that it changes are written once, by `flush`; others are read and written each time, as they come back in another form."""
 
-    def __init__(self, state):
-        self.state = state
+    def __init__(self, state, key: T.DataType | None = None, value: T.DataType | None = None):
+        self.state, self.seen, self.changed = state, {}, set()
+        self.kinds = PLAIN_VALUES.get(type(key)), PLAIN_VALUES.get(type(value))
+
+    def _plain(self, k, v) -> bool:
+        return type(k) is self.kinds[0] and (v is None or type(v) is self.kinds[1])
 
     def get(self, k):
-        return self.state.getValue((k,))[0] if self.state.containsKey((k,)) else None
+        if self._plain(k, None) and k in self.seen:
+            return self.seen[k]
+        held = self.state.getValue((k,)) if self.state.containsKey((k,)) else None
+        v = None if held is None else held[0]
+        if self.kinds[1] and self._plain(k, v):
+            self.seen[k] = v
+        return v
 
     def put(self, k, v):
         if v is None:
             self.remove(k)
+        elif self._plain(k, v):
+            self.seen[k] = v
+            self.changed.add(k)
         else:
+            if self._plain(k, None):
+                self.seen.pop(k, None)
+                self.changed.discard(k)
             self.state.updateValue((k,), _plain((v,)))
 
+    def flush(self) -> None:
+        for k in self.changed:
+            self.state.updateValue((k,), (self.seen[k],))
+        self.changed.clear()
+
+    def forget(self) -> None:
+        """After `flush`, before another key."""
+        self.flush()
+        self.seen.clear()
+
     def offer(self, k, v):
         old = self.get(k)
         if old is None:
@@ -859,15 +878,20 @@ class _MapStore:
     def remove(self, k):
         old = self.get(k)
         if old is not None:
+            self.flush()
             self.state.removeKey((k,))
+            if self._plain(k, None):
+                self.seen.pop(k, None)
         return old
 
     def range(self, low=None, high=None):
+        self.flush()
         for k, v in sorted((k[0], v[0]) for k, v in self.state.iterator()):
             if (low is None or k >= low) and (high is None or k <= high):
                 yield k, v
 
     def count(self):
+        self.flush()
         return sum(1 for _ in self.state.keys())
 
 
@@ -889,7 +913,7 @@ class _UserProcessor(StatefulProcessor):
         self.handle = handle
         self.made = instance(self.processor)
         self.states = {
-            n: _MapStore(handle.getMapState(n, k, v)) for n, (k, v) in self.types.items()
+            n: _MapStore(handle.getMapState(n, k, v), k["k"].dataType, v["v"].dataType) for n, (k, v) in self.types.items()
         }
         self.timers = handle.getMapState("_timers", _struct(("i", T.IntegerType())),
                                          _struct(("due", T.LongType()), ("live", T.BooleanType())))
@@ -910,6 +934,8 @@ class _UserProcessor(StatefulProcessor):
         return ctx, user
 
     def _save(self, ctx, user, wall_ms: int | None) -> None:
+        for store in self.states.values():
+            store.forget()
         for i, timer in enumerate(ctx._timers):
             by_wall = timer["kind"] == "wall-clock-time"
             if by_wall and self.mode != "ProcessingTime":
