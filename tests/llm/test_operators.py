@@ -442,6 +442,19 @@ def test_mixture(spark):
                 assert abs(sum(r["tokens"] * r["probability"] for r in got if r[side] == value) / total - share) < 0.005
 
 
+@pytest.mark.parametrize("keep", [None, 0.8])
+def test_mixture_by_cells_in_spark(spark, monkeypatch, keep):
+    """Cells that stay in Spark, as they are many, give the same probabilities to the last bit, cells held at 1 among them."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["word", "other", "third"], k=rng.randint(1, 60))), rng.choices(["a", "b", None, "d"], [90, 6, 3, 1])[0],
+             rng.choices(["en", "de", None], [9, 3, 1])[0]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    mixed = lambda: {r["doc_id"]: (r["weight"], r["probability"], r["sampled"]) for r in mixing.mix(docs, flatten=0.3, keep=keep, topics=2).collect()}
+    near = mixed()
+    monkeypatch.setattr(mixing, "MOST_CELLS", 0)
+    assert mixed() == near and (keep is None or any(p == 1 for _, p, _ in near.values()))
+
+
 def test_topics_of_all(spark):
     """Means and centres come from all documents, not from the sample that the first centres are drawn from."""
     rng = random.Random(6)

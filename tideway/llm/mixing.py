@@ -15,6 +15,7 @@ through; columns named like the new ones are replaced. Repeated rows share their
 from __future__ import annotations
 
 import logging
+import math
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 from tideway.llm.common import written
 
 SIDES = ("source", "lang", "topic")
-MOST_CELLS = 200_000
+MOST_CELLS = 200_000  # on the driver; results don't depend on it
+STALLED = 20  # rounds without progress after which shares count as out of reach
+SPENT = 100
 MOST = 0.9
 FIRST = 8  # documents looked at for each first centre, as some are equal
 
@@ -114,97 +117,183 @@ def learn_topics(docs: DataFrame, topics: int, sample: int | None = None, rounds
     return learned
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], *, tolerance: float = 2e-3, rounds: int = 30) -> DataFrame:
-    """Cells (source, lang, topic, tokens) with `weight`, such that weighted tokens have the wanted shares.
+class _Cells:
+    """Cells (source, lang, topic, tokens) by codes of their categories. A cell's value is the product of a factor of its source, its language and its
+    topic. Sums are made of whole units, 2^-50 of all tokens, so that they are the same in whatever order, on the driver or in Spark."""
+
+    wanted: list[np.ndarray]  # shares by side and code
+    there: list[np.ndarray]   # tokens by side and code
+
+    def __init__(self):
+        self.total = float(self.there[0].sum())
+        self.unit = 2.0 ** (np.ceil(np.log2(max(self.total, 1.0))) - 50)
+        self.wanted = [w * (t > 0) for w, t in zip(self.wanted, self.there, strict=True)]
+        self.wanted = [w / (math.fsum(w) or 1.0) * self.total for w in self.wanted]
 
-    `targets`: for each side (side, share); categories that no cell has are left out and the rest scaled to 1.
-    """
-    wanted = {}
-    for side, shares in targets.items():
-        there = shares.join(cells.where("tokens > 0").select(side).distinct(), side, "left_semi")
-        total = there.agg(F.sum("share")).first()[0] or 1.0
-        wanted[side] = written(there.select(side, (F.col("share") / total).alias("share")), "shares")
-    total = F.lit(float(cells.agg(F.sum("tokens")).first()[0] or 0))
-    cells = cells.withColumn("weight", F.lit(1.0))
-    for _ in range(rounds):
-        moved = F.lit(0.0)
-        for side, shares in wanted.items():
-            sums = cells.groupBy(side).agg(F.sum(F.col("weight") * F.col("tokens")).alias("_sum"))
-            factor = sums.join(shares, side, "left").select(
-                side, F.when(F.col("_sum") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("_sum")).otherwise(F.lit(1.0)).alias(f"_{side}"))
-            cells = cells.join(factor, side).withColumn("weight", F.col("weight") * F.col(f"_{side}"))
-            moved = F.greatest(moved, F.abs(F.col(f"_{side}") - 1))
-        cells = written(cells.select(*SIDES, "tokens", "weight", moved.alias("_moved")), "cells")
-        largest = cells.agg(F.max("_moved")).first()[0]
-        cells = cells.drop("_moved")
-        if largest is None or largest <= tolerance:
-            break
-    return cells
+    def even(self) -> list[np.ndarray]:
+        return [np.ones(len(t)) for t in self.there]
+
+    def parts(self, codes: list[np.ndarray], tokens: np.ndarray, factors: list[np.ndarray], most: float) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each cell if its value is `most` or more, and units of its value times its tokens if it is less."""
+        x = _product(codes, factors)
+        full = x >= most
+        return np.where(full, tokens, 0), np.where(full, 0.0, np.rint(np.where(full, 0.0, x) * tokens / self.unit))
+
+
+def _product(codes: list[np.ndarray], factors: list[np.ndarray]) -> np.ndarray:
+    return factors[0][codes[0]] * factors[1][codes[1]] * factors[2][codes[2]]
+
+
+class _Near(_Cells):
+    """Cells on the driver."""
+
+    def __init__(self, cells: DataFrame, shares: dict[str, DataFrame]):
+        self.spark, self.cells = cells.sparkSession, cells.toPandas()
+        self.tokens = self.cells["tokens"].to_numpy(dtype=np.int64)
+        coded = [pd.factorize(self.cells[side]) for side in SIDES]
+        self.codes, self.names_ = [c for c, _ in coded], [list(n) for _, n in coded]
+        self.there = [np.bincount(c, self.tokens, len(n)) for c, n in coded]
+        given = [{r[side]: r["share"] for r in shares[side].select(side, "share").collect()} for side in SIDES]
+        self.wanted = [np.array([float(g.get(x) or 0.0) for x in names]) for g, names in zip(given, self.names_, strict=True)]
+        super().__init__()
+
+    def sums(self, side: int, factors: list[np.ndarray], most: float) -> tuple[np.ndarray, np.ndarray]:
+        taken, rest = self.parts(self.codes, self.tokens, factors, most)
+        code, n = self.codes[side], len(self.there[side])
+        return np.bincount(code, taken, n), np.bincount(code, rest, n) * self.unit
+
+    def largest(self, factors: list[np.ndarray]) -> float:
+        return float(_product(self.codes, factors)[self.tokens > 0].max())
+
+    def names(self, side: int, codes: list[int]) -> list[str]:
+        return [self.names_[side][k] for k in codes]
+
+    def rows(self, **values: list[np.ndarray]) -> DataFrame:
+        """The cells with the given values, which are small enough to be sent to every task."""
+        made = {name: _product(self.codes, factors) for name, factors in values.items()}
+        rows = self.cells[[*SIDES, "tokens"]].assign(**made)
+        return F.broadcast(self.spark.createDataFrame(rows, ", ".join(["source string, lang string, topic string, tokens long", *[f"{n} double" for n in made]])))
+
+
+class _Far(_Cells):
+    """Cells in Spark. The driver holds one factor per category, not the cells and not the names."""
 
+    def __init__(self, cells: DataFrame, shares: dict[str, DataFrame]):
+        spark = cells.sparkSession
+        self.named, self.there, self.wanted = [], [], []
+        for side in SIDES:
+            there = cells.groupBy(side).agg(F.sum("tokens").alias("there"))
+            there = written(there.join(shares[side].select(side, "share"), side, "left").select(side, "there", F.coalesce("share", F.lit(0.0)).alias("share")), "categories")
+            numbered = there.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
+            named = written(spark.createDataFrame(numbered, f"{side} string, there long, share double, _{side} long"), "categories")
+            by_code = named.select("there", "share", F.col(f"_{side}").alias("code")).toArrow().to_pandas().sort_values("code")
+            self.named.append(named)
+            self.there.append(by_code["there"].to_numpy(dtype=np.float64))
+            self.wanted.append(by_code["share"].to_numpy(dtype=np.float64))
+            cells = cells.join(named.select(side, f"_{side}"), side)
+        self.cells = written(cells.select(*SIDES, "tokens", *[f"_{side}" for side in SIDES]), "cells")
+        super().__init__()
 
-def _fit(tokens: np.ndarray, sides: list[tuple[np.ndarray, np.ndarray]], start: np.ndarray, most: float, tolerance: float, rounds: int) -> tuple[np.ndarray, float]:
-    """Factors, at most `most` (1, or no limit) where they count, that give each category (code, wanted tokens) of each side its tokens; and how far from it the worst one is."""
-    x, off = start.copy(), 0.0
+    def sums(self, side: int, factors: list[np.ndarray], most: float) -> tuple[np.ndarray, np.ndarray]:
+        parts = _Cells.parts
+        unit = type("Unit", (), {"unit": self.unit})
+
+        def partial(batches):
+            for batch in batches:
+                codes = [batch[f"_{x}"].to_numpy() for x in SIDES]
+                taken, rest = parts(unit, codes, batch["tokens"].to_numpy(), factors, most)
+                code, at = np.unique(codes[side], return_inverse=True)
+                yield pd.DataFrame({"code": code, "taken": np.bincount(at, taken, len(code)).astype(np.int64), "rest": np.bincount(at, rest, len(code)).astype(np.int64)})
+
+        rows = self.cells.select("tokens", *[f"_{x}" for x in SIDES]).mapInPandas(partial, "code long, taken long, rest long")
+        got = rows.groupBy("code").agg(F.sum("taken").alias("taken"), F.sum("rest").alias("rest")).toArrow().to_pandas().sort_values("code")
+        return got["taken"].to_numpy(dtype=np.float64), got["rest"].to_numpy(dtype=np.float64) * self.unit
+
+    def _of(self, factors: list[np.ndarray]):
+        @F.pandas_udf("double")
+        def of(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+            return pd.Series(_product([x.to_numpy() for x in (a, b, c)], factors))
+
+        return of(*[f"_{x}" for x in SIDES])
+
+    def largest(self, factors: list[np.ndarray]) -> float:
+        return self.cells.where("tokens > 0").select(self._of(factors).alias("x")).agg(F.max("x")).first()[0]
+
+    def names(self, side: int, codes: list[int]) -> list[str]:
+        name = SIDES[side]
+        known = {r[1]: r[0] for r in self.named[side].where(F.col(f"_{name}").isin(codes)).select(name, f"_{name}").collect()}
+        return [known[k] for k in codes]
+
+    def rows(self, **values: list[np.ndarray]) -> DataFrame:
+        return written(self.cells.select(*SIDES, "tokens", *[self._of(f).alias(n) for n, f in values.items()]), "weights")
+
+
+def _cells(cells: DataFrame, shares: dict[str, DataFrame]) -> _Near | _Far:
+    """Many cells stay in Spark, with the same results to the last bit."""
+    return _Near(cells, shares) if cells.count() <= MOST_CELLS else _Far(cells, shares)
+
+
+def _fit(cells: _Near | _Far, wanted: list[np.ndarray], start: list[np.ndarray], most: float, tolerance: float, rounds: int, stalled: int = 200) -> tuple[list[np.ndarray], float]:
+    """Factors that give each category its wanted tokens, where a cell's value counts as `most` (1, or no limit) at most; and how far from it the worst
+    category is. Ends early if that hasn't become less by a hundredth in `stalled` rounds."""
+    factors, off, seen = list(start), 0.0, []
     for _ in range(rounds):
         off = 0.0
-        for code, wanted in sides:
-            n, factor = len(wanted), np.ones(len(wanted))
+        for side, goal in enumerate(wanted):
             for inner in range(4):
-                now = x * factor[code]
-                full = now >= most
-                taken = np.bincount(code, np.where(full, tokens, 0.0), n)
-                rest = np.bincount(code, np.where(full, 0.0, x * tokens), n)
-                there = taken + rest * factor
+                taken, rest = cells.sums(side, factors, most)
+                there = taken + rest
                 if not inner:
-                    off = max(off, float(np.max(np.abs(there - wanted) / np.where(wanted > 0, wanted, 1.0), where=there > 0, initial=0.0)))
-                held = (rest > 0) & (wanted > taken)
-                part = np.divide(wanted, there, out=np.ones(n), where=there > 0)
-                factor = np.where(held, (wanted - taken) / np.where(held, rest, 1.0), factor * part)
-            x = np.minimum(x * factor[code], 1e12)
-        if off <= tolerance:
+                    off = max(off, float(np.max(np.abs(there - goal) / np.where(goal > 0, goal, 1.0), where=there > 0, initial=0.0)))
+                held = (rest > 0) & (goal > taken)
+                by = np.where(held, (goal - taken) / np.where(held, rest, 1.0), np.divide(goal, there, out=np.ones(len(goal)), where=there > 0))
+                factors[side] = np.minimum(factors[side] * by, 1e12)
+                if most == np.inf or (np.abs(by - 1) <= tolerance / 10).all():
+                    break  # no cell is held
+        seen.append(off)
+        if off <= tolerance or (len(seen) > stalled and off > 0.99 * seen[-1 - stalled]):
             break
-    return x, off
-
-
-def _sides(cells: pd.DataFrame, shares: dict[str, dict], total: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    out = []
-    for side in SIDES:
-        code, names = pd.factorize(cells[side])
-        there = np.bincount(code, cells["tokens"], len(names)) > 0
-        wanted = np.array([float(shares[side].get(x) or 0.0) for x in names]) * there
-        out.append((code, wanted / (wanted.sum() or 1.0) * total))
-    return out
+    return factors, off
 
 
 def _within(wanted: np.ndarray, there: np.ndarray) -> np.ndarray:
     """The wanted tokens, with what a category doesn't have spread over the others in proportion."""
     full = np.zeros(len(wanted), dtype=bool)
     while True:
-        rest = wanted[~full].sum()
-        out = np.where(full, there, wanted * ((wanted.sum() - there[full].sum()) / rest if rest else 0.0))
+        rest = math.fsum(wanted[~full])
+        out = np.where(full, there, wanted * ((math.fsum(wanted) - math.fsum(there[full])) / rest if rest else 0.0))
         if not (over := (out > there) & ~full).any():
             return out
         full |= over
 
 
-def weigh(cells: pd.DataFrame, shares: dict[str, dict], keep: float | None = None, *, tolerance: float = 2e-3, rounds: int = 200) -> pd.DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], *, tolerance: float = 2e-3, rounds: int = 200) -> DataFrame:
+    """Cells (source, lang, topic, tokens) with `weight`, such that weighted tokens have the wanted shares.
+
+    `targets`: for each side (side, share); categories that no cell has are left out and the rest scaled to 1.
+    """
+    held = _cells(cells, targets)
+    return held.rows(weight=_fit(held, held.wanted, held.even(), np.inf, tolerance, rounds)[0])
+
+
+def weigh(cells: DataFrame, shares: dict[str, DataFrame], keep: float | None = None, *, tolerance: float = 2e-3, rounds: int = 200) -> DataFrame:
     """Cells (source, lang, topic, tokens) with weight, as by `rake`, and probability: expected tokens have the shares of weighted ones if the budget
     `keep` allows it; without one they are the largest part of all with which they can."""
-    tokens = cells["tokens"].to_numpy(dtype=np.float64)
-    total, even = tokens.sum(), np.ones(len(tokens))
+    held = _cells(cells, shares)
+    total, even = held.total, held.even()
     if not total:
-        return cells.assign(weight=1.0, probability=1.0)
-    sides = _sides(cells, shares, total)
-    weight, _ = _fit(tokens, sides, even, np.inf, tolerance / 10, rounds)
+        return held.rows(weight=even, probability=even)
+    scaled = lambda c, factors: [c * factors[0], *factors[1:]]
+    all_of = lambda sums: math.fsum(sums[0]) + math.fsum(sums[1])
+    weight, _ = _fit(held, held.wanted, even, np.inf, tolerance / 10, rounds)
     # contradicting targets are met as far as the weights do
-    sides = [(code, np.bincount(code, weight * tokens, len(wanted))) for code, wanted in sides]
-    there = [np.bincount(code, tokens, len(wanted)) for code, wanted in sides]
+    wanted = [sum(held.sums(side, weight, np.inf)) for side in range(len(SIDES))]
     most = MOST if keep is None else keep
-    low = min(most, 1 / max(float(weight[tokens > 0].max()), 1e-12))
-    high = min([most, *(float((t[w > 0] / w[w > 0]).min()) for t, (_, w) in zip(there, sides, strict=True) if (w > 0).any())])
-    best, tried = low * weight, high
+    low = min(most, 1 / max(held.largest(weight), 1e-12))
+    high = min([most, *(float((t[w > 0] / w[w > 0]).min()) for t, w in zip(held.there, wanted, strict=True) if (w > 0).any())])
+    best, tried = scaled(low, weight), high
     while high > low * 1.001:
-        x, off = _fit(tokens, [(code, tried * wanted) for code, wanted in sides], tried * weight, 1.0, tolerance, rounds)
+        x, off = _fit(held, [tried * w for w in wanted], scaled(tried, weight), 1.0, tolerance, rounds, STALLED)
         if off <= tolerance:
             best, low = x, tried
         else:
@@ -212,43 +301,30 @@ def weigh(cells: pd.DataFrame, shares: dict[str, dict], keep: float | None = Non
         if low == high:
             break
         tried = (low + high) / 2
-    probability = np.minimum(1.0, best)
-    reached = float(probability @ tokens / total)
+    reached = all_of(held.sums(2, best, 1.0)) / total
     if keep is not None and reached < keep * (1 - tolerance):
-        spread = [(code, _within(keep * wanted, t)) for t, (code, wanted) in zip(there, sides, strict=True)]
-        x, _ = _fit(tokens, spread, keep * weight, 1.0, tolerance, rounds)
-        less, more = 0.0, 1.0
-        while np.minimum(1.0, more * x) @ tokens < keep * total and more < 1e15:
-            more *= 2
-        for _ in range(100):
-            c = (less + more) / 2
-            less, more = (c, more) if np.minimum(1.0, c * x) @ tokens < keep * total else (less, c)
-        probability = np.minimum(1.0, more * x)
-        off = []
-        for side, (code, wanted), t in zip(SIDES, sides, there, strict=True):
-            names, got = pd.unique(cells[side]), np.bincount(code, probability * tokens, len(wanted)) / (probability @ tokens)
-            off += [(side, names[k], round(float(wanted[k] / total), 4), round(float(got[k]), 4)) for k in np.flatnonzero(keep * wanted > t * (1 + tolerance))]
+        best, _ = _fit(held, [_within(keep * w, t) for w, t in zip(wanted, held.there, strict=True)], scaled(keep, weight), 1.0, tolerance, rounds)
+        for _ in range(SPENT):  # what is full stays so while the rest grows, and the other way round
+            taken, rest = (math.fsum(x) for x in held.sums(2, best, 1.0))
+            if abs(taken + rest - keep * total) <= 1e-9 * total or (not rest and taken < keep * total):
+                break
+            c = (keep * total - taken) / rest if rest and keep * total > taken else keep * total / (taken + rest) if taken + rest else 1.0
+            best = scaled(c, best)
+        off, spent = [], 0.0
+        for side, (w, t) in enumerate(zip(wanted, held.there, strict=True)):
+            got = sum(held.sums(side, best, 1.0))
+            spent = math.fsum(got)
+            missed = [int(k) for k in np.flatnonzero(keep * w > t * (1 + tolerance))]
+            few = missed[:20]
+            off += [(SIDES[side], name, round(float(w[k] / total), 4), round(float(got[k] / (spent or 1.0)), 4)) for k, name in zip(few, held.names(side, few), strict=True)]
         logging.getLogger(__name__).warning(
-            "wanted shares can be had with %.3f of all tokens, not with %.3f; %d are missed, wanted and expected: %s", reached, keep, len(off), off[:20])
-    return cells.assign(weight=weight, probability=probability)
+            "wanted shares can be had with %.3f of all tokens, not with %.3f; missed, wanted and expected: %s", reached, keep, off[:20])
+    # a cell without tokens has no weight of its own: that of its categories
+    return _capped(held.rows(weight=weight, probability=best))
 
 
-def calibrate(cells: DataFrame, keep: float | None) -> DataFrame:
-    """`probability` = min(1, c · weight); without a budget c is so small that no cell is cut to 1, with one such that the expected tokens are `keep` of all."""
-    if keep is None:
-        largest = cells.where("tokens > 0").agg(F.max("weight")).first()[0]
-        return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * min(MOST, 1 / largest)) if largest else F.lit(1.0))
-    budget = (cells.agg(F.sum("tokens")).first()[0] or 0) * keep
-    c, product = 0.0, F.col("weight") * F.col("tokens")
-    while True:
-        full = F.col("weight") * c >= 1
-        taken, rest = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(product))).first()
-        # cells only ever become full, so this ends
-        new = max(c, (budget - taken) / rest) if rest else c
-        if new <= c * (1 + 1e-9):
-            break
-        c = new
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * c) if c else F.lit(1.0))
+def _capped(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("probability", F.least(F.lit(1.0), "probability"))
 
 
 def mix(docs: DataFrame, *, targets: dict[str, dict] | None = None, flatten: float = 0.8, keep: float | None = None, topics: int = 8,
@@ -282,12 +358,6 @@ def mix(docs: DataFrame, *, targets: dict[str, dict] | None = None, flatten: flo
         else:
             mark = "" if side == "topic" else "="
             wanted[side] = spark.createDataFrame([(mark + str(k) if k != "" else "", float(v)) for k, v in given.items()], f"{side} string, share double")
-    if cells.count() <= MOST_CELLS:
-        shares = {side: {r[side]: r["share"] for r in wanted[side].select(side, "share").collect()} for side in SIDES}
-        fitted = weigh(cells.orderBy(*SIDES).toPandas(), shares, keep)
-        # at most MOST_CELLS rows
-        weighed = F.broadcast(spark.createDataFrame(fitted, "source string, lang string, topic string, tokens long, weight double, probability double"))
-    else:  # too many for the driver: no cells are held at 1, so there are fewer tokens, or shares that a budget moves
-        weighed = written(calibrate(rake(cells, wanted), keep), "weights")
+    weighed = weigh(cells, wanted, keep)
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc.doc_id", "doc.text"), 11) / F.lit(2.0**53)
     return keyed.join(weighed.drop("tokens"), list(SIDES)).select("doc.*", "weight", "probability", (drawn < F.col("probability")).alias("sampled"))
