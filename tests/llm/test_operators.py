@@ -455,6 +455,18 @@ def test_mixture_by_cells_in_spark(spark, monkeypatch, keep):
     assert mixed() == near and (keep is None or any(p == 1 for _, p, _ in near.values()))
 
 
+def test_texts_are_profiled_once(spark, monkeypatch):
+    seen, real = spark.sparkContext.accumulator(0), mixing.profile
+
+    def counted(text):
+        seen.add(1)
+        return real(text)
+
+    monkeypatch.setattr(mixing, "profile", counted)
+    docs = spark.createDataFrame([(i, f"word {i % 7} other" if i else None, "s", "en") for i in range(50)], "doc_id long, text string, source string, lang string")
+    assert mixing.mix(docs, topics=2).count() == 50 and seen.value == 50
+
+
 def test_topics_of_all(spark):
     """Means and centres come from all documents, not from the sample that the first centres are drawn from."""
     rng = random.Random(6)

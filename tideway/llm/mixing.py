@@ -52,8 +52,12 @@ class Topics:
         points = profiles - np.stack([self.means.get(str(x), self.mean) for x in langs])
         return points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
 
-    def of(self, text: str | None, lang: str | None) -> int:
-        return int((self.apart(profile(text)[None, :], [lang]) @ self.centres.T).argmax())
+    def of(self, profiles: np.ndarray, langs: list[str | None]) -> np.ndarray:
+        return (self.apart(profiles, langs) @ self.centres.T).argmax(axis=1).astype(np.int32)
+
+
+def _points(packed) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), dtype=np.float32).reshape(len(packed), -1).astype(np.float64)
 
 
 UNIT = 2**30
@@ -67,7 +71,7 @@ def _sums(rows: DataFrame, grouped) -> dict[str, np.ndarray]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
             if len(batch):
-                names, points = grouped(np.frombuffer(b"".join(batch["p"]), dtype=np.float32).reshape(len(batch), -1).astype(np.float64), list(batch["lang"]))
+                names, points = grouped(_points(batch["p"]), list(batch["lang"]))
                 code, of = pd.factorize(np.asarray(names, dtype=object))
                 whole = np.concatenate([np.rint(points * UNIT).astype(np.int64), np.ones((len(points), 1), dtype=np.int64)], axis=1)
                 for k, name in enumerate(of):
@@ -82,16 +86,24 @@ def _sums(rows: DataFrame, grouped) -> dict[str, np.ndarray]:
     return {k: np.array([v[i] for i in range(len(v))], dtype=np.float64) for k, v in out.items()}
 
 
+def _packed(texts) -> list[bytes]:
+    return [profile(x).astype(np.float32).tobytes() for x in texts]
+
+
 def learn_topics(docs: DataFrame, topics: int, sample: int | None = None, rounds: int = 25, seed: int = 11) -> Topics:
     """From all documents with text. The driver gets one mean per language and the centres; the first centres are profiles of documents drawn by hash,
     different ones among at most `sample` (`FIRST` for each centre)."""
 
     def profiles(batches):
         for batch in batches:
-            yield pd.DataFrame({"h": batch["h"], "lang": batch["lang"], "p": [profile(x).astype(np.float32).tobytes() for x in batch["text"]]})
+            yield pd.DataFrame({"h": batch["h"], "lang": batch["lang"], "p": _packed(batch["text"])})
 
     known = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("h"), F.col("lang").cast("string").alias("lang"), "text")
-    known = written(known.mapInPandas(profiles, "h long, lang string, p binary"), "profiles")
+    return _learn(written(known.mapInPandas(profiles, "h long, lang string, p binary"), "profiles"), topics, sample, rounds, seed)
+
+
+def _learn(known: DataFrame, topics: int, sample: int | None = None, rounds: int = 25, seed: int = 11) -> Topics:
+    """From profiles (h, lang, p)."""
     by_lang = _sums(known, lambda points, langs: ([str(x) for x in langs], points))
     n = sum(s[-1] for s in by_lang.values()) or 1.0
     all_sums = sum((s[:-1] for s in by_lang.values()), np.zeros(256))
@@ -335,20 +347,25 @@ def mix(docs: DataFrame, *, targets: dict[str, dict] | None = None, flatten: flo
     """
     spark = docs.sparkSession
     docs = docs.drop("tokens", "topic", "weight", "probability", "sampled")
-    learned = learn_topics(docs, topics, sample)
 
-    @F.pandas_udf("struct<tokens:long,topic:int>")
-    def seen(text: pd.Series, lang: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("struct<tokens:long,p:binary>")
+    def seen(text: pd.Series) -> pd.DataFrame:
         # bytes: only ASCII white space parts words
-        return pd.DataFrame({"tokens": [len((t or "").encode("utf-8", "replace").split()) for t in text],
-                             "topic": np.array([learned.of(t, x) for t, x in zip(text, lang, strict=True)], dtype=np.int32)})
-
-    # columns of the documents lie in a struct, so that none is taken for one of those made here
-    known = docs.select(F.struct(*docs.columns).alias("doc"), seen("text", F.col("lang").cast("string")).alias("of"))
-    known = written(known.select("doc.*", "of.tokens", "of.topic"), "known")  # texts are looked at once more only
-    sides = {"source": F.concat(F.lit("="), F.col("source").cast("string")), "lang": F.concat(F.lit("="), F.col("lang").cast("string"))}
-    keyed = known.select(F.struct(*known.columns).alias("doc"), *[F.coalesce(v, F.lit("")).alias(k) for k, v in sides.items()],
-                         F.col("topic").cast("string").alias("topic"))
+        return pd.DataFrame({"tokens": [len((t or "").encode("utf-8", "replace").split()) for t in text], "p": _packed(text)})
+
+    # texts are looked at once; columns of the documents lie in a struct, so that none is taken for one of those made here
+    lang = F.col("lang").cast("string")
+    known = docs.select(F.struct(*docs.columns).alias("doc"), F.when(F.col("text").isNotNull(), F.xxhash64("doc_id", "text")).alias("h"), lang.alias("lang"), seen("text").alias("of"))
+    known = written(known.select("doc", "h", "lang", "of.tokens", "of.p"), "known")
+    learned = _learn(known.where("h is not null").select("h", "lang", "p"), topics, sample)
+
+    @F.pandas_udf("int")
+    def topic(p: pd.Series, lang: pd.Series) -> pd.Series:
+        return pd.Series(learned.of(_points(p), list(lang)))
+
+    known = known.select("doc", "lang", F.col("doc")["source"].cast("string").alias("source"), "tokens", topic("p", "lang").alias("topic"))
+    keyed = known.select(F.struct(*[F.col("doc")[c].alias(c) for c in docs.columns], "tokens", "topic").alias("doc"),
+                         *[F.coalesce(F.concat(F.lit("="), c), F.lit("")).alias(c) for c in ("source", "lang")], F.col("topic").cast("string").alias("topic"))
     cells = written(keyed.groupBy(*SIDES).agg(F.sum("doc.tokens").alias("tokens")), "cells")
     wanted = {}
     for side in SIDES:
