@@ -385,3 +385,20 @@ def test_sliding_windows_of_one_key_spread_over_time_buckets(spark):
     found = out.filter("key = 'a'").select("key", "window_to", "value.*").collect()
     assert sorted(tuple(r) for r in found) == wanted
     assert out.filter("key = 'b'").count() == 1
+
+
+def test_previous_times_by_stretches(spark, monkeypatch):
+    """Over several micro-batches and stretches of offsets, out of order within a batch; records of a partition pass its task one at a time."""
+    monkeypatch.setattr(stateful, "OFFSETS", 3)
+    batches = [[("a", 5 * i % 17, i) for i in range(11)], [("b", 40 - i, i) for i in range(7)], [("c", None, 0), ("c", 3, 1)]]
+    df, path, _ = file_stream(spark, batches)
+    kept = spark.read.parquet(path).orderBy("offset").select("offset", F.unix_millis("timestamp").alias("ms")).collect()
+    out = run.run_to_files(stateful.with_previous_time(df).select("offset", F.unix_millis("_previous.timestamp").alias("before")))
+    assert got(out, "offset", "before") == sorted(
+        ((r["offset"], None if i == 0 else kept[i - 1]["ms"]) for i, r in enumerate(kept)), key=repr)
+
+    def endless():
+        while True:
+            yield {"_record": 1, "_before": at(1), "_last": None, "offset": 5, "timestamp": at(2)}
+
+    assert next(stateful._PreviousTime().handleInputRows(("t", 0, False, 1), endless(), None))["_previous"] == {"timestamp": at(1)}

@@ -12,7 +12,9 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from decimal import Decimal
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,29 +158,64 @@ def as_of_join(stream: DataFrame, changes: DataFrame, f, how: str, retention=DAY
 # -- event time from the record before -------------------------------------------------------------
 
 
-class _PreviousTime(StatefulProcessor):
-    """Each record of a partition with the time of the one before it."""
+OFFSETS = 65_536  # offsets of a partition that are sorted together
+
 
-    def __init__(self, record: T.StructType):
-        self.record = record
+class _PreviousTime(StatefulProcessor):
+    """Each record of a partition with the time of the one before it. Records that are not the first of their stretch of offsets know it already."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", _struct(("timestamp", T.TimestampType())))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if not key[2]:
+            for row in rows:
+                yield Row(_record=row["_record"], _previous={"timestamp": row["_before"]})
+            return
         before = self.last.get()[0] if self.last.exists() else None
-        for row in sorted(rows, key=lambda r: r["offset"]):
+        for row in sorted(rows, key=lambda r: (r["offset"] is not None, r["offset"])):
             yield Row(_record=row["_record"], _previous={"timestamp": before})
-            before = row["timestamp"]
+            before = row["_last"]
         self.last.update((before,))
 
 
+def _stretches(batches):
+    """A task's records with the time before them in their stretch; the first record of one, marked so, with the last time of the stretch."""
+    held = list(batches)
+    if not sum(b.num_rows for b in held):
+        return
+    by = ["topic", "partition", "_b"]
+    table = pa.Table.from_batches(held)
+    del held
+    table = table.take(pc.sort_indices(table.select([*by, "offset"]), [(c, "ascending") for c in (*by, "offset")], null_placement="at_start"))
+    n = table.num_rows
+    first = np.zeros(n, dtype=bool)
+    first[0] = True
+    for c in by:
+        code = pc.dictionary_encode(table[c].combine_chunks(), null_encoding="encode").indices.to_numpy()
+        first[1:] |= code[1:] != code[:-1]
+    at, starts = np.arange(n), np.flatnonzero(first)
+    ends = np.zeros(n, dtype=np.int64)
+    ends[starts] = np.append(starts[1:], n) - 1
+    times = table["timestamp"].combine_chunks()
+    table = (table.append_column("_first", pa.array(first)).append_column("_before", times.take(pa.array(at - 1, mask=first)))
+             .append_column("_last", times.take(pa.array(ends, mask=~first))))
+    yield from table.to_batches(max_chunksize=10_000)
+
+
 def with_previous_time(df: DataFrame) -> DataFrame:
-    """Streaming records plus `_previous.timestamp`, per (topic, partition) in offset order."""
+    """Streaming records plus `_previous.timestamp`, per (topic, partition) in offset order.
+
+    Stretches of offsets are sorted by tasks of their own; the partition's task sees one record of each at a time in order and lets the others pass.
+    """
     rows = df.select("topic", "partition", "offset", "timestamp", F.struct(*df.columns).alias("_record"))
     record = rows.schema["_record"].dataType
-    out = _struct(("_record", record), ("_previous", _struct(("timestamp", T.TimestampType()))))
-    seen = rows.groupBy("topic", "partition").transformWithState(_PreviousTime(record), out, "Append", "None")
+    rows = rows.withColumn("_b", F.floor(F.col("offset") / OFFSETS).cast("bigint")).repartition("topic", "partition", "_b")
+    time = T.TimestampType()
+    schema = T.StructType([*rows.schema.fields, T.StructField("_first", T.BooleanType()), T.StructField("_before", time), T.StructField("_last", time)])
+    rows = rows.mapInArrow(_stretches, schema).withColumn("_b", F.when(~F.col("_first"), F.col("_b")))
+    out = _struct(("_record", record), ("_previous", _struct(("timestamp", time))))
+    seen = rows.groupBy("topic", "partition", "_first", "_b").transformWithState(_PreviousTime(), out, "Append", "None")
     return seen.select("_record.*", "_previous")
 
 
