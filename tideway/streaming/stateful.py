@@ -41,6 +41,24 @@ def _plain(value):
     return {k: _plain(v) for k, v in value.items()} if isinstance(value, dict) else value
 
 
+SHARDS = 512  # groups of keys that share their state; the same for all runs of a query
+
+
+def _sharded(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(SHARDS)))
+
+
+def _same(key):
+    """A key as a value that can be looked up; equal for keys that Spark groups together."""
+    if isinstance(key, dict):
+        return tuple((n, _same(v)) for n, v in key.items())
+    if isinstance(key, (list, tuple)):
+        return tuple(map(_same, key))
+    if isinstance(key, bytearray):
+        return bytes(key)
+    return ("nan",) if key != key else key
+
+
 class _Held:
     """What a key holds, as pickled parts in list state: one call adds what a micro-batch brings, one reads all of it. A call per record costs more
     than all else that is done with the record."""
@@ -426,46 +444,55 @@ def regrouped_rows(changes: DataFrame, add, sub, seed, schema: str, order: list[
 
 
 class _Eager(StatefulProcessor):
-    """The records of both sides that lie in one time bucket of a key (at home) or within reach of it (guests). On arrival a record is
-    paired with what is there of the other side; with nothing there, a home record of a side in `alone` is sent by itself.
+    """The records of both sides that lie in one time bucket of a shard of keys (at home) or within reach of it (guests). On arrival a record is
+    paired with what is there of the other side of its key; with nothing there, a home record of a side in `alone` is sent by itself.
 
     A pair belongs to the bucket of its left record. The state of a bucket goes at once when no record can reach it any more.
     """
 
-    def __init__(self, left: T.StructType, right: T.StructType, reach_us: int, width_us: int, alone: tuple[bool, bool]):
-        self.types, self.reach, self.width, self.alone = (left, right), reach_us, width_us, alone
+    def __init__(self, reach_us: int, width_us: int, alone: tuple[bool, bool]):
+        self.reach, self.width, self.alone = reach_us, width_us, alone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        item = lambda t: _struct(("us", T.LongType()), ("home", T.BooleanType()), ("row", t))
-        self.sides = [handle.getListState(n, item(t)) for n, t in zip("lr", self.types)]
+        self.sides = [_Held(handle, n) for n in "lr"]
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = [sorted(s.get(), key=lambda x: x[0]) if s.exists() else [] for s in self.sides]
-        times = [[x[0] for x in h] for h in held]
-        fresh = [], []
-        for row in sorted(rows, key=lambda r: (r["_us"], r["_side"], r["_place"])):
-            side, us, home = row["_side"], row["_us"], row["_home"]
-            mine = row["_r"] if side else row["_l"]
-            there = times[1 - side]
-            near = held[1 - side][bisect_left(there, us - self.reach):bisect_right(there, us + self.reach)]
-            if home and not near and self.alone[side]:
-                yield Row(key=key[0], l=None if side else mine, r=mine if side else None)
-            for _, other_home, other in near:
-                if other_home if side else home:
-                    yield Row(key=key[0], l=other if side else mine, r=mine if side else other)
-            i = bisect_right(times[side], us)
-            times[side].insert(i, us)
-            held[side].insert(i, (us, home, mine))
-            fresh[side].append((us, home, mine))
+        arrived: dict = {}
+        for row in rows:
+            arrived.setdefault(_same(row["key"]), []).append(row)
+        known: tuple[dict, dict] = {}, {}
+        for side, state in zip(known, self.sides):
+            for part in state.parts():
+                for k, items in part.items():
+                    if k in arrived:
+                        side.setdefault(k, []).extend(items)
+        fresh: tuple[dict, dict] = {}, {}
+        for k, mine_rows in arrived.items():
+            held = [sorted(side.get(k, ()), key=lambda x: x[0]) for side in known]
+            times = [[x[0] for x in h] for h in held]
+            for row in sorted(mine_rows, key=lambda r: (r["_us"], r["_side"], r["_place"])):
+                side, us, home = row["_side"], row["_us"], row["_home"]
+                mine = row["_r"] if side else row["_l"]
+                there = times[1 - side]
+                near = held[1 - side][bisect_left(there, us - self.reach):bisect_right(there, us + self.reach)]
+                if home and not near and self.alone[side]:
+                    yield Row(key=row["key"], l=None if side else mine, r=mine if side else None)
+                for _, other_home, other in near:
+                    if other_home if side else home:
+                        yield Row(key=row["key"], l=other if side else mine, r=mine if side else other)
+                i = bisect_right(times[side], us)
+                times[side].insert(i, us)
+                held[side].insert(i, (us, home, mine))
+                fresh[side].setdefault(k, []).append((us, home, mine))
         for state, items in zip(self.sides, fresh):
             if items:
-                state.appendList(_plain(items))
+                state.add(items)
         self.handle.registerTimer(((key[1] + 1) * self.width + self.reach) // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         for side in self.sides:
-            side.clear()
+            side.replace(None)
         return iter(())
 
 
@@ -473,7 +500,7 @@ def eager_join(left: DataFrame, right: DataFrame, f, interval, how: str, retenti
     """Streaming join that emits pairs as they meet and, for the sides that `how` keeps, (v, null) or (null, v) for records without a
     partner so far. At equal times the left record counts as the earlier one.
 
-    The state is kept by (key, time bucket), so a hot key spreads over its buckets.
+    The state is kept by (shard of keys, time bucket): a hot key spreads over its buckets, and rare keys share the calls that a bucket costs.
     """
     from tideway.operators.joins import BUCKET_SPAN, _joined_record
 
@@ -493,7 +520,7 @@ def eager_join(left: DataFrame, right: DataFrame, f, interval, how: str, retenti
     lt, rt = l.schema["_l"].dataType, r.schema["_r"].dataType
     out = _struct(("key", l.schema["key"].dataType), ("l", lt), ("r", rt))
     alone = how in ("left", "outer"), how == "outer"
-    pairs = rows.groupBy("key", "_b").transformWithState(_Eager(lt, rt, reach, width, alone), out, "Append", "EventTime")
+    pairs = _sharded(rows).groupBy("_shard", "_b").transformWithState(_Eager(reach, width, alone), out, "Append", "EventTime")
     pairs = pairs.withColumns({f"{side}_us": F.unix_micros(F.col(side)["timestamp"]) for side in "lr"})
     return _joined_record(pairs, f, left.columns, right.columns)
 
