@@ -147,6 +147,27 @@ def test_eager_keys_share_state(spark, monkeypatch):
 # -- sliding windows --------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("by_columns", [True, False])
+def test_sliding_keys_share_state(spark, monkeypatch, by_columns):
+    """Forty keys hold two groups per time bucket; a late key of a shard whose earlier moments are answered is whole, too."""
+    monkeypatch.setattr(stateful, "SHARDS", 2)
+    keys = [float(i) for i in range(40)] + [math.nan]
+    batches = [[(k, 1000 + t, 1) for k in keys for t in (0, 2, 1)], [(-0.0, 1001, 5), (99.0, 1004, 7)], [(77.0, 2000, 1)], [(77.0, 2001, 1)]]
+    df, _, _ = file_stream(spark, batches, key="double")
+    fold = folds.total(lambda k, v: v) if by_columns else folds.RowFold(
+        lambda: 0, lambda agg, k, v: agg + v, "bigint", merge=lambda a, b: a + b)
+    path = fresh_path(spark, "out")
+    out = stateful.sliding_windows(df.repartition(1), fold, "1 second", "20 seconds")
+    query = run.start_to_files(out, path, f"{path}-checkpoint")
+    query.awaitTermination()
+    rows = spark.read.schema(out.schema).parquet(path).filter("key <> 77")
+    want = [(k, 1000 + t, n) for k in keys if k for t, n in ((0, 1), (1, 2), (2, 2))] + [(0.0, 1000, 1), (0.0, 1001, 7), (0.0, 1002, 7), (99.0, 1004, 7)]
+    found = [(abs(k), to // 1000, v) for k, to, v in rows.select("key", "window_to", "value").collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, want))
+    most = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+    assert most < 20
+
+
 def test_two_stacks():
     rng = random.Random(3)
     merges = [0]

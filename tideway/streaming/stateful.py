@@ -11,6 +11,7 @@ import pickle
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from decimal import Decimal
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,108 @@ class _Held:
             self.state.clear()
 
 
+PACKED = 100_000  # records that a task sorts into packs at a time
+PACK_ROWS = 10_000  # records of a pack at most
+SLOTS = 8192  # groups of keys where state is not cut by time; the same for all runs of a query
+
+
+def _slotted(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.withColumn("_slot", F.pmod(F.xxhash64(*keys), F.lit(SLOTS)))
+
+
+def _packs(rows: DataFrame, by: list[str], timed: bool = False) -> DataFrame:
+    """The records of a group as packs of pickled column lists, made by the task that reads them: a row costs a state operator in Python some dozen
+    microseconds per column, a record in a pack about one. `by` are whole numbers. With `timed`, a pack has the time of its last record, so that Spark
+    takes packs with any record on time."""
+    names = [c for c in rows.columns if c not in by and not (timed and c == "timestamp")]
+    time = [T.StructField("timestamp", T.TimestampType())] if timed else []
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in by], *time, T.StructField("_pack", T.BinaryType())])
+    arrow = to_arrow_schema(schema)
+
+    def packs(held):
+        table = pa.Table.from_batches(held)
+        table = table.take(pc.sort_indices(table.select(by), [(c, "ascending") for c in by]))
+        groups = [table[c].to_numpy() for c in by]
+        first = np.zeros(table.num_rows, dtype=bool)
+        first[::PACK_ROWS] = True
+        for g in groups:
+            first[1:] |= g[1:] != g[:-1]
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], table.num_rows)
+        lists = [table[c].to_pylist() for c in names]
+        out = [pa.array(g[starts]) for g in groups]
+        if timed:
+            us = table["timestamp"].cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy()
+            out.append(pa.array(np.maximum.reduceat(us, starts)).cast(arrow.field("timestamp").type))
+        out.append(pa.array([pickle.dumps([x[a:b] for x in lists], pickle.HIGHEST_PROTOCOL) for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()))
+        return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(out, arrow)], schema=arrow)
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= PACKED:
+                yield packs(held)
+                held, n = [], 0
+        if held:
+            yield packs(held)
+
+    return rows.select(*[F.col(c).cast("bigint").alias(c) if c in by else c for c in rows.columns]).mapInArrow(run, schema)
+
+
+def _records(packs: Iterator[Row]) -> Iterator[tuple]:
+    for pack in packs:
+        yield from zip(*pickle.loads(pack["_pack"]))
+
+
+OUT = _struct(("_out", T.BinaryType()))
+
+
+def _sent(rows: Iterator[tuple]) -> Iterator[Row]:
+    """Output records as packs, which `_opened` turns into rows."""
+    rows = iter(rows)
+    while chunk := list(islice(rows, PACK_ROWS)):
+        yield Row(_out=pickle.dumps([list(c) for c in zip(*chunk)], pickle.HIGHEST_PROTOCOL))
+
+
+def _opened(packs: DataFrame, schema: T.StructType) -> DataFrame:
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            for pack in batch.column(0):
+                yield pa.RecordBatch.from_pydict(dict(zip(arrow.names, pickle.loads(pack.as_py()))), schema=arrow)
+
+    return packs.mapInArrow(run, schema)
+
+
+class _Shelf:
+    """What the keys of a slot hold, by `_same` key: parts of changes in list state, put together when there are several. None is what is gone."""
+
+    MOST_PARTS = 8
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.held, self.parts = _Held(handle, name), 0
+
+    def read(self) -> dict:
+        known: dict = {}
+        parts = self.held.parts()
+        self.parts = len(parts)
+        for part in parts:
+            known.update(part)
+        return {k: v for k, v in known.items() if v is not None}
+
+    def write(self, known: dict, changed) -> None:
+        """After `read`: `known` is all there is now, `changed` the keys of it that are new, other or gone."""
+        if self.parts >= self.MOST_PARTS or 2 * len(changed) >= len(known):
+            if known or self.parts:
+                self.held.replace(known)
+        elif changed:
+            self.held.add({k: known.get(k) for k in changed})
+
+
 def _watermarked(df: DataFrame, retention) -> DataFrame:
     return df.withWatermark("timestamp", f"{interval_ms(retention)} milliseconds")
 
@@ -632,8 +735,8 @@ SLIDING_SPAN = 16  # length of a time bucket in windows
 
 
 class _Sliding(StatefulProcessor):
-    """Aggregates of the moments of a key in one time bucket within the last interval. When the watermark has passed moments, one pass over what is
-    held answers them all; a bucket has one timer at a time. Records of the bucket before that its windows reach are held as well."""
+    """Aggregates of the moments of a shard of keys in one time bucket within the last interval. When the watermark has passed moments, one pass over
+    what is held answers them all; a bucket has one timer at a time. Records of the bucket before that its windows reach are held as well."""
 
     def __init__(self, value: Callable, step: Callable, merge: Callable, span_ms: int, width_ms: int):
         self.value, self.step, self.merge, self.span, self.width = value, step, merge, span_ms, width_ms
@@ -651,42 +754,50 @@ class _Sliding(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         until, due = self.done.get() or (None, None)
-        fresh: dict[int, tuple] = {}
-        for row in rows:
-            ms = row["_ms"]
+        fresh: dict = {}  # by key: the key itself and its aggregates by moment
+        first = None
+        for k, ms, *lifted in _records(rows):
             if until is not None and ms < until:
                 continue  # later than the watermark: its moment is answered
-            fresh[ms] = self.step(fresh.get(ms), key[0], self.value(row))
+            first = ms if first is None else min(ms, first)
+            _, points = fresh.setdefault(_same(k), (k, {}))
+            points[ms] = self.step(points.get(ms), k, self.value(lifted))
         if fresh:
             self.points.add(fresh)
-            self._timer(until, due, min(fresh))
+            self._timer(until, due, first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         state = self.done.get()
-        if state is None:
-            return  # the bucket is closed
-        before, home = state[0], key[1] * self.width
-        held: dict[int, tuple] = {}
+        if state is None or (state[0] is not None and until <= state[0]):
+            return  # the bucket is closed, or an earlier timer has answered what is due
+        yield from _sent(self._answers(key[1] * self.width, until, state[0]))
+
+    def _answers(self, home: int, until: int, before: int | None) -> Iterator[tuple]:
+        held: dict = {}
         for part in self.points.parts():
-            for ms, agg in part.items():
-                held[ms] = self.merge(held[ms], agg) if ms in held else agg
+            for same, (k, points) in part.items():
+                _, known = held.setdefault(same, (k, {}))
+                for ms, agg in points.items():
+                    known[ms] = self.merge(known[ms], agg) if ms in known else agg
         if until >= home + self.width:
             self.points.replace(None)  # no later window of the bucket
             self.done.clear()
         else:  # before the pass, in which a merge may change what it is given
-            self.points.replace({ms: agg for ms, agg in held.items() if ms >= until - self.span})
+            rest = {same: (k, {ms: agg for ms, agg in points.items() if ms >= until - self.span}) for same, (k, points) in held.items()}
+            self.points.replace({same: x for same, x in rest.items() if x[1]})
             # with nothing that waits, the end of the bucket
-            self._timer(until, None, min((ms for ms in held if ms >= until), default=home + self.width - 1))
-        window = TwoStacks(self.merge)
-        for ms in sorted(held):
-            if ms >= until:
-                break
-            window.push(ms, held[ms])
-            window.evict(ms - self.span)
-            if ms >= home and (before is None or ms >= before):
-                yield Row(key=key[0], window_from=ms - self.span, window_to=ms, agg=window.value())
+            self._timer(until, None, min((ms for _, points in held.values() for ms in points if ms >= until), default=home + self.width - 1))
+        for k, points in held.values():
+            window = TwoStacks(self.merge)
+            for ms in sorted(points):
+                if ms >= until:
+                    break
+                window.push(ms, points[ms])
+                window.evict(ms - self.span)
+                if ms >= home and (before is None or ms >= before):
+                    yield k, ms - self.span, ms, window.value()
 
 
 def _sliding_buckets(rows: DataFrame, span_ms: int) -> tuple[DataFrame, int]:
@@ -745,17 +856,23 @@ def _larger(a, b):
 COMBINE = {"sum": lambda a, b: a + b, "count": lambda a, b: a + b, "min": _smaller, "max": _larger}
 
 
+def _slid(rows: DataFrame, value: Callable, step: Callable, merge: Callable, span_ms: int, out: T.StructType, retention) -> DataFrame:
+    """Sliding windows over rows (key, _ms, timestamp, what `value` takes …)."""
+    rows, width = _sliding_buckets(rows, span_ms)
+    packs = _watermarked(_packs(_sharded(rows), ["_shard", "_b"], timed=True), retention)
+    return _opened(packs.groupBy("_shard", "_b").transformWithState(_Sliding(value, step, merge, span_ms, width), OUT, "Append", "EventTime"), out)
+
+
 def _sliding_fold(df: DataFrame, fold: Fold, span_ms: int, retention) -> DataFrame:
     """A `Fold` in sliding windows: Columns give each record's contributions and finish the result, the state merges partial ones."""
-    rows = _watermarked(fold.lifted(df, "key", "timestamp"), retention).withColumn("_ms", F.unix_millis("timestamp"))
+    rows = fold.lifted(df, "key", "timestamp").withColumn("_ms", F.unix_millis("timestamp"))
     names, kinds = list(fold.parts), [p.kind for p in fold.parts.values()]
     typed = rows.groupBy("key").agg(*fold.partials()).schema
     agg = T.StructType([T.StructField(n, typed[n].dataType) for n in names])
-    rows = rows.select("key", "timestamp", "_ms", *[F.col(f"_in_{n}") if k == "count" else F.col(f"_in_{n}").cast(typed[n].dataType).alias(f"_in_{n}")
+    rows = rows.select("key", "_ms", "timestamp", *[F.col(f"_in_{n}") if k == "count" else F.col(f"_in_{n}").cast(typed[n].dataType).alias(f"_in_{n}")
                                                     for n, k in zip(names, kinds)])
 
-    def value(row):
-        lifted = (row[f"_in_{n}"] for n in names)
+    def value(lifted):
         return tuple(int(x is not None) if k == "count" else x for x, k in zip(lifted, kinds))
 
     def merge(a, b):
@@ -763,8 +880,7 @@ def _sliding_fold(df: DataFrame, fold: Fold, span_ms: int, retention) -> DataFra
 
     step = lambda held, k, v: v if held is None else merge(held, v)
     out = _struct(("key", typed["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()), ("agg", agg))
-    rows, width = _sliding_buckets(rows, span_ms)
-    windows = rows.groupBy("key", "_b").transformWithState(_Sliding(value, step, merge, span_ms, width), out, "Append", "EventTime")
+    windows = _slid(rows, value, step, merge, span_ms, out, retention)
     return windows.select("key", "window_from", "window_to", "agg.*").select("key", "window_from", "window_to", fold.finished().alias("value"))
 
 
@@ -775,19 +891,17 @@ def sliding_windows(df: DataFrame, fold: Fold | RowFold, interval, retention=DAY
     df = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
     if isinstance(fold, Fold):
         return _sliding_fold(df, fold, span, retention)
-    rows = _watermarked(df.select("key", "timestamp", "value"), retention).withColumn("_ms", F.unix_millis("timestamp"))
+    rows = df.select("key", F.unix_millis("timestamp").alias("_ms"), "timestamp", "value")
     kind = _type(fold.schema)
     out = lambda name, t: _struct(("key", df.schema["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()), (name, t))
     if fold.merge is None:
-        return rows.groupBy("key").transformWithState(
+        return _watermarked(rows, retention).groupBy("key").transformWithState(
             _SlidingRows(fold, df.schema["value"].dataType, span), out("value", kind), "Append", "EventTime")
     seed, one, many = fold.seed, fold.step, fold.merge
     step = lambda held, k, v: (one(seed() if held is None else held[0], k, v),)
     merge = lambda a, b: (many(a[0], b[0]),)
     agg = _struct(("value", kind))
-    rows, width = _sliding_buckets(rows, span)
-    windows = rows.groupBy("key", "_b").transformWithState(
-        _Sliding(lambda row: row["value"], step, merge, span, width), out("agg", agg), "Append", "EventTime")
+    windows = _slid(rows, lambda lifted: lifted[0], step, merge, span, out("agg", agg), retention)
     return windows.select("key", "window_from", "window_to", "agg.value")
 
 
