@@ -64,6 +64,41 @@ def test_regrouped_table_on_a_stream(spark, seed):
     assert [r for r in got(rows, "key", "value") if r[1]] == [(g, t) for g, n, t in latest_by_tens(batches) if t]
 
 
+def most_state(query):
+    return max(p["stateOperators"][-1]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+
+
+def test_regrouped_keys_share_state(spark, monkeypatch):
+    """Two hundred keys are two slots; over ten micro-batches, parts of changes are put together, and keys that leave stay away."""
+    monkeypatch.setattr(stateful, "SLOTS", 2, raising=False)
+    keys = [f"k{i}" for i in range(200)]
+    batches = [[(k, 1, i % 30 + 1) for i, k in enumerate(keys)], *[[(keys[j], 2 + j, None if j % 2 else 39)] for j in range(12)]]
+    want = [r for r in latest_by_tens(batches) if r[1]]
+    for python in (False, True):
+        table = grouped_by_tens(Table(file_stream(spark, batches)[0], order=["timestamp"]))
+        out = table.reduce_values(lambda agg, k, v: agg + v, lambda agg, k, v: agg - v, lambda: 0, "bigint") if python else table.reduce_values(
+            folds.together(n=folds.count(), total=folds.total(lambda k, v: v)))
+        query, store = run.start_to_store(out.snapshot(), NAME(spark), f"{fresh_path(spark, 'c')}", "append")
+        query.awaitTermination()
+        rows = got(store.snapshot(), "key", "value" if python else "value.total")
+        assert [r for r in rows if r[1]] == [(g, t) for g, n, t in want if t]
+        assert most_state(query) < 40
+
+
+def test_updating_sessions_share_state(spark, monkeypatch):
+    """Forty keys in two slots: sessions grow, are bridged, and are forgotten by one timer of their slot."""
+    monkeypatch.setattr(stateful, "SLOTS", 2, raising=False)
+    keys = [f"k{i}" for i in range(40)]
+    batches = [[(k, t, 1) for k in keys for t in (110, 100)], [(k, 105, 1) for k in keys], [("zz", 100_000, 1)], [("k1", 100_001, 1)]]
+    fold = folds.RowFold(lambda: 0, lambda agg, k, v: agg + v, "bigint", merge=lambda a, b: a + b)
+    out = stateful.updating_sessions(file_stream(spark, batches)[0], fold, "6 seconds", "1 minute")
+    query, store = run.start_to_store(out, NAME(spark), fresh_path(spark, "c"), "update")
+    query.awaitTermination()
+    want = [(k, 100_000, 110_000, 3) for k in keys] + [("k1", 100_001_000, 100_001_000, 1), ("zz", 100_000_000, 100_000_000, 1)]
+    assert got(store.snapshot(), "key", "window_from", "window_to", "value") == sorted(want)
+    assert most_state(query) < 20
+
+
 def test_regrouping_is_summed_before_the_shuffle(spark, monkeypatch):
     monkeypatch.setattr(stateful, "SUMS_HELD", 10)
     rows = spark.range(1000).select((F.col("id") % 7).alias("key"), F.col("id").alias("a"), F.col("id").cast("decimal(38,2)").alias("b")).coalesce(1)

@@ -397,36 +397,44 @@ def _at(place) -> tuple:
 
 
 class _Replaced(StatefulProcessor):
-    """Each update together with the value it replaces. An update that comes after a later one of its key is left out: what it
+    """Each update of a slot of keys together with the value it replaces. An update that comes after a later one of its key is left out: what it
     added would be taken out again at once."""
 
-    def __init__(self, place: T.StructType, value: T.StructType):
-        self.place, self.value = place, value
-
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", _struct(("at", self.place), ("row", self.value)))
+        self.last = _Shelf(handle, "last")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        at, before = self.last.get() if self.last.exists() else (None, None)
-        for row in sorted(rows, key=lambda r: _at(r["_at"])):  # structs arrive as dicts
-            if at is not None and _at(row["_at"]) < _at(at):
-                continue
-            yield Row(key=key[0], timestamp=row["timestamp"], _old=before, _new=row["_v"])
-            at, before = row["_at"], row["_v"]
-        if before is not None:
-            self.last.update(_plain((at, before)))
+        yield from _sent(self._pairs(_records(rows)))
+
+    def _pairs(self, records: Iterator[tuple]) -> Iterator[tuple]:
+        arrived: dict = {}
+        for k, us, value, *place in records:
+            arrived.setdefault(_same(k), []).append((_at(place), k, us, value))
+        last = self.last.read()
+        for same, updates in arrived.items():
+            at, before = last.get(same, (None, None))
+            for place, k, us, value in sorted(updates, key=lambda u: u[0]):
+                if at is not None and place < at:
+                    continue
+                yield k, us, before, value
+                at, before = place, value
+            last[same] = at, before
+        self.last.write(last, arrived)
 
 
 def signed_changes(changes: DataFrame, order: list[str]) -> DataFrame:
     """Streaming updates whose values are (new key, new value), as rows (key, timestamp, sign, value): the replaced value with sign −1,
-    the new one with +1."""
-    rows = changes.filter(F.col("key").isNotNull()).select(
-        "key", "timestamp", _order(changes, order).alias("_at"), F.struct("value").alias("_v"))
-    place, value = rows.schema["_at"].dataType, rows.schema["_v"].dataType
-    out = _struct(("key", rows.schema["key"].dataType), ("timestamp", T.TimestampType()), ("_old", value), ("_new", value))
-    pairs = rows.groupBy("key").transformWithState(_Replaced(place, value), out, "Append", "None")
-    part = lambda sign, side: F.when(F.col(side)["value"].isNotNull(), F.struct(F.lit(sign).alias("sign"), F.col(side)["value"].alias("kv")))
-    signed = pairs.select("timestamp", F.explode(F.array(part(-1, "_old"), part(1, "_new"))).alias("e")).filter(F.col("e.kv.key").isNotNull())
+    the new one with +1. State is kept by slots of keys."""
+    place = _order(changes, order)
+    rows = changes.filter(F.col("key").isNotNull()).select("key", F.unix_micros("timestamp").alias("_us"), "value", place.alias("_at"))
+    rows = _slotted(rows, "key").select("key", "_us", "value", *[F.col("_at")[c].alias(f"_at_{i}") for i, c in enumerate(order)], "_slot")
+    value = rows.schema["value"].dataType
+    out = _struct(("key", rows.schema["key"].dataType), ("_us", T.LongType()), ("_old", value), ("_new", value))
+    packs = _packs(rows, ["_slot"])
+    pairs = _opened(packs.groupBy("_slot").transformWithState(_Replaced(), OUT, "Append", "None"), out)
+    part = lambda sign, side: F.when(F.col(side).isNotNull(), F.struct(F.lit(sign).alias("sign"), F.col(side).alias("kv")))
+    signed = pairs.select(F.timestamp_micros("_us").alias("timestamp"), F.explode(F.array(part(-1, "_old"), part(1, "_new"))).alias("e"))
+    signed = signed.filter(F.col("e.kv.key").isNotNull())
     return signed.select(F.col("e.kv.key").alias("key"), "timestamp", F.col("e.sign").alias("sign"), F.col("e.kv.value").alias("value"))
 
 
@@ -520,27 +528,32 @@ def regrouped(changes: DataFrame, fold: Fold, order: list[str]) -> DataFrame:
 
 
 class _SignedFold(StatefulProcessor):
-    """A group's aggregate under Python `add` and `sub`."""
+    """The aggregates of a slot of groups under Python `add` and `sub`."""
 
-    def __init__(self, add, sub, seed, agg: T.DataType):
-        self.add, self.sub, self.seed, self.agg = add, sub, seed, agg
+    def __init__(self, add, sub, seed):
+        self.add, self.sub, self.seed = add, sub, seed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("agg", _struct(("agg", self.agg)))
+        self.aggs = _Shelf(handle, "aggs")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        agg = self.state.get()[0] if self.state.exists() else self.seed()
-        for row in rows:
-            agg = (self.add if row["sign"] > 0 else self.sub)(agg, key[0], row["value"])
-        self.state.update(_plain((agg,)))
-        yield Row(key=key[0], value=agg)
+        aggs, changed = self.aggs.read(), {}
+        add, sub = self.add, self.sub
+        for k, sign, value in _records(rows):
+            same = _same(k)
+            if same not in changed:
+                changed[same] = aggs[same] if same in aggs else (k, self.seed())
+            changed[same] = k, (add if sign > 0 else sub)(changed[same][1], k, value)
+        aggs.update(changed)
+        self.aggs.write(aggs, changed)
+        yield from _sent(changed.values())
 
 
 def regrouped_rows(changes: DataFrame, add, sub, seed, schema: str, order: list[str]) -> DataFrame:
     """The same with Python functions, which are called in undefined order."""
-    rows = signed_changes(changes, order).select("key", "sign", "value")
+    rows = _slotted(signed_changes(changes, order).select("key", "sign", "value"), "key")
     out = _struct(("key", rows.schema["key"].dataType), ("value", _type(schema)))
-    return rows.groupBy("key").transformWithState(_SignedFold(add, sub, seed, _type(schema)), out, "Append", "None")
+    return _opened(_packs(rows, ["_slot"]).groupBy("_slot").transformWithState(_SignedFold(add, sub, seed), OUT, "Append", "None"), out)
 
 
 # -- stream–stream join, eager ----------------------------------------------------------------------
@@ -636,47 +649,80 @@ def eager_left_join(left: DataFrame, right: DataFrame, f, interval, retention=DA
 
 
 class _Sessions(StatefulProcessor):
-    """Sessions of a key as (from, to, aggregate); a record extends, opens or bridges sessions at once."""
+    """Sessions of a slot of keys as (from, to, aggregate); a record extends, opens or bridges sessions at once."""
 
-    def __init__(self, fold, agg: T.DataType, gap_us: int, keep_ms: int):
-        self.fold, self.agg, self.gap, self.keep = fold, agg, gap_us, keep_ms
+    def __init__(self, fold, gap_us: int, keep_ms: int):
+        self.fold, self.gap, self.keep = fold, gap_us, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", _struct(("us", T.LongType())),
-                                       _struct(("to", T.LongType()), ("agg", self.agg)))
+        self.open = _Shelf(handle, "open")
+        self.due = handle.getValueState("due", _struct(("ms", T.LongType())))
+
+    def _wait(self, ends: Iterator[int], due) -> None:
+        """One timer per slot, for the session that ends first."""
+        ms = min((to // 1000 + self.keep for to in ends), default=None)
+        if ms is not None and (due is None or ms < due[0]):
+            self.due.update((ms,))
+            self.handle.registerTimer(ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        fold = self.fold
-        sessions = {k[0]: (v[0], v[1]) for k, v in self.open.iterator()}
-        before, changed = dict(sessions), {}
-        for row in sorted(rows, key=lambda r: r["_us"]):
-            us = row["_us"]
-            start, end, agg = us, us, fold.step(fold.seed(), key[0], row["value"])
-            near = sorted(s for s, (to, _) in sessions.items() if s - self.gap <= us <= to + self.gap)
-            merged = None
-            for s in near:
-                to, other = sessions.pop(s)
-                merged = other if merged is None else fold.merge(merged, other)
-                start, end = min(start, s), max(end, to)
-                changed.pop(s, None)
-            if merged is not None:
-                agg = fold.merge(merged, agg)
-            sessions[start] = changed[start] = (end, agg)
-        for s in before.keys() - sessions.keys():
-            self.open.removeKey((s,))
-            yield Row(key=key[0], window_from=s // 1000, window_to=before[s][0] // 1000, value=None)
-        for s, (to, agg) in changed.items():
-            if s in before and before[s][0] != to:
-                yield Row(key=key[0], window_from=s // 1000, window_to=before[s][0] // 1000, value=None)
-            self.open.updateValue((s,), _plain((to, agg)))
-            self.handle.registerTimer(to // 1000 + self.keep)
-            yield Row(key=key[0], window_from=s // 1000, window_to=to // 1000, value=agg)
+        yield from _sent(self._updates(_records(rows)))
+
+    def _updates(self, records: Iterator[tuple]) -> Iterator[tuple]:
+        fold, arrived = self.fold, {}
+        for k, us, value in records:
+            arrived.setdefault(_same(k), (k, []))[1].append((us, value))
+        held = self.open.read()
+        ends: list[int] = []
+        for same, (k, items) in arrived.items():
+            before = held[same][1] if same in held else {}
+            sessions, changed = dict(before), {}
+            starts = sorted(sessions)
+            for us, value in sorted(items, key=lambda x: x[0]):
+                start, end, agg = us, us, fold.step(fold.seed(), k, value)
+                i = bisect_right(starts, us + self.gap)  # sessions don't overlap: those near are neighbours
+                first = i
+                while first and sessions[starts[first - 1]][0] + self.gap >= us:
+                    first -= 1
+                merged = None
+                for s in starts[first:i]:
+                    to, other = sessions.pop(s)
+                    merged = other if merged is None else fold.merge(merged, other)
+                    start, end = min(start, s), max(end, to)
+                    changed.pop(s, None)
+                if merged is not None:
+                    agg = fold.merge(merged, agg)
+                starts[first:i] = [start]
+                sessions[start] = changed[start] = (end, agg)
+            for s in before.keys() - sessions.keys():
+                yield k, s // 1000, before[s][0] // 1000, None
+            for s, (to, agg) in changed.items():
+                if s in before and before[s][0] != to:
+                    yield k, s // 1000, before[s][0] // 1000, None
+                ends.append(to)
+                yield k, s // 1000, to // 1000, agg
+            held[same] = k, sessions
+        self.open.write(held, arrived)
+        self._wait(ends, self.due.get())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = (expiredTimerInfo.getExpiryTimeInMs() - self.keep) * 1000
-        for s in [k[0] for k, v in self.open.iterator() if v[0] // 1000 * 1000 <= until]:
-            self.open.removeKey((s,))
+        due = self.due.get()
+        if due is None or due[0] > expiredTimerInfo.getExpiryTimeInMs():
+            return iter(())  # a timer that was replaced
+        until = (max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) - self.keep) * 1000
+        held, changed = self.open.read(), []
+        for same, (k, sessions) in list(held.items()):
+            rest = {s: x for s, x in sessions.items() if x[0] // 1000 * 1000 > until}
+            if len(rest) < len(sessions):
+                changed.append(same)
+                if rest:
+                    held[same] = k, rest
+                else:
+                    del held[same]
+        self.open.write(held, changed)
+        self.due.clear()
+        self._wait((to for _, sessions in held.values() for to, _ in sessions.values()), None)
         return iter(())
 
 
@@ -685,15 +731,13 @@ def updating_sessions(df: DataFrame, fold: RowFold, interval, retention=DAY) ->
     (null value) and emitted under its new ones. Needs a Python fold with `merge`."""
     if fold.merge is None:
         raise ValueError("sessions need merge(a, b): a late record may bridge two of them")
-    rows = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
-    rows = _watermarked(rows.select("key", "timestamp", "value"), retention).withColumn(
-        "_us", F.unix_micros("timestamp"))
-    agg = _type(fold.schema)
+    rows = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull() & F.col("timestamp").isNotNull())
+    rows = _slotted(rows.select("key", F.unix_micros("timestamp").alias("_us"), "value", "timestamp"), "key")
     out = _struct(("key", df.schema["key"].dataType), ("window_from", T.LongType()), ("window_to", T.LongType()),
-                  ("value", agg))
+                  ("value", _type(fold.schema)))
     gap = interval_ms(interval)
-    return rows.groupBy("key").transformWithState(
-        _Sessions(fold, agg, gap * 1000, gap + 1), out, "Update", "EventTime")
+    packs = _watermarked(_packs(rows, ["_slot"], timed=True), retention)
+    return _opened(packs.groupBy("_slot").transformWithState(_Sessions(fold, gap * 1000, gap + 1), OUT, "Update", "EventTime"), out)
 
 
 class TwoStacks:
