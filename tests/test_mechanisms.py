@@ -661,3 +661,28 @@ def test_records_of_a_key_are_held_with_one_call_to_state(spark):
     found = first + list(joined.handleExpiredTimer(("a",), Until(2000), Until(2000)))
     assert len(first) == 50 and [(r["_record"]["value"], r["_seen"]["value"]) for r in found] == [(us, us - 5_000) for us in range(5_000, 1_000_000, 10_000)]
     assert sum(s.calls for s in handle.states.values()) < 30
+
+
+def test_keys_of_a_task_are_processed_in_one_pass(spark):
+    """No call per key; keys that span batches, are null, no number or a negative zero are grouped as Spark groups them."""
+    from tideway.operators.processors import process_values
+
+    class Before:
+        value_type = "bigint"
+
+        def init(self, ctx):
+            return {"last": None}
+
+        def on_record(self, ctx, state, record):
+            before, state["last"] = state["last"], record["value"]
+            return before
+
+    rows = [(k, t, v) for v, (t, k) in enumerate((t, k) for t in range(20) for k in (0.0 if t % 2 else -0.0, math.nan, None, 7.5))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = process_values(records(spark, rows, key="double"), Before)
+        found = sorted((r["offset"], r["value"]) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == [(i, i - 4 if i >= 4 else None) for i in range(80)]
+    assert "FlatMapGroupsInArrow" not in out._jdf.queryExecution().toString()

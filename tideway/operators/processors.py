@@ -24,7 +24,6 @@ import itertools
 import pickle
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta, timezone
-from typing import Tuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -98,37 +97,74 @@ def _round(df: DataFrame, keys: list[str], order: list[str], body: Body, schema:
            carry: bool = False) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
-    def batch_of(columns: dict[str, list]) -> pa.RecordBatch:
-        n = len(next(iter(columns.values())))
-        return pa.RecordBatch.from_pydict({f.name: columns.get(f.name, [None] * n) for f in arrow}, schema=arrow)
-
-    # Arrow rather than pandas: whole numbers next to nulls stay whole numbers
-    def run(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = tuple(k.as_py() for k in key)
-        batches = (b for b in batches if b.num_rows)
-        state = None
-        if carry:
-            first = next(batches)
-            carried = first.column(_STATE)[0].as_py()
-            if carried is not None:
-                state = pickle.loads(carried)
-                first = first.slice(1)
-            batches = itertools.chain([first], batches)
-        work = body(names, (b.to_pydict() for b in batches if b.num_rows), state, last)
-        while True:
-            try:
-                columns = next(work)
-            except StopIteration as done:
-                state = done.value
-                break
-            yield batch_of(columns)
-        if carry and not last:
-            yield batch_of({**{f"_k_{k}": [v] for k, v in zip(keys, names)}, _STATE: [pickle.dumps(state)]})
+    def columns_of(outputs: list[dict[str, list]]) -> pa.RecordBatch:
+        joined = {f.name: [] for f in arrow}
+        for columns in outputs:
+            n = len(next(iter(columns.values())))
+            for name, values in joined.items():
+                values.extend(columns.get(name) or [None] * n)
+        return pa.RecordBatch.from_pydict(joined, schema=arrow)
+
+    # Arrow rather than pandas: whole numbers next to nulls stay whole numbers. One pass over the sorted task, as a call per key costs more than what
+    # is done for a key with few records.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outputs, held = [], 0
+        for _, stretches in itertools.groupby(_stretches(batches, keys), key=lambda x: x[0]):
+            _, names, first = next(stretches)
+            frames = itertools.chain([first], (columns for _, _, columns in stretches))
+            state = None
+            if carry and first[_STATE][0] is not None:
+                state = pickle.loads(first[_STATE][0])
+                for values in first.values():
+                    del values[0]
+            work = body(names, (f for f in frames if f[keys[0]]), state, last)
+            while True:
+                try:
+                    columns = next(work)
+                except StopIteration as done:
+                    state = done.value
+                    break
+                outputs.append(columns)
+                held += len(next(iter(columns.values())))
+                if held >= OUTPUT_ROWS:
+                    yield columns_of(outputs)
+                    outputs, held = [], 0
+            if carry and not last:
+                outputs.append({**{f"_k_{k}": [v] for k, v in zip(keys, names)}, _STATE: [pickle.dumps(state)]})
+                held += 1
+        if outputs:
+            yield columns_of(outputs)
 
     # the state row sorts before all records of its key
     by = [F.col(k) for k in keys] + ([F.col(_STATE).isNull().asc()] if carry else []) + [F.col(c) for c in order]
-    ordered = df.repartition(*keys).sortWithinPartitions(*by)
-    return ordered.groupBy(*keys).applyInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*by).mapInArrow(run, schema)
+
+
+OUTPUT_ROWS = 10_000  # records that are handed back together
+
+
+def _same(key):
+    """A key as a value that can be compared; equal for keys that Spark groups together."""
+    if isinstance(key, dict):
+        return tuple((n, _same(v)) for n, v in key.items())
+    if isinstance(key, (list, tuple)):
+        return tuple(map(_same, key))
+    return ("nan",) if key != key else key
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple]:
+    """Of sorted batches, each stretch of records with equal keys: the keys as `_same` and as they are, and its columns as lists."""
+    for batch in batches:
+        columns, n = batch.to_pydict(), batch.num_rows
+        named = list(zip(*[columns[k] for k in keys]))
+        same = [_same(k) for k in named]
+        start = 0
+        while start < n:
+            end = start + 1
+            while end < n and same[end] == same[start]:
+                end += 1
+            yield same[start], named[start], {c: values[start:end] for c, values in columns.items()}
+            start = end
 
 
 # -- folds -------------------------------------------------------------------------------------
