@@ -686,3 +686,94 @@ def test_keys_of_a_task_are_processed_in_one_pass(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert found == [(i, i - 4 if i >= 4 else None) for i in range(80)]
     assert "FlatMapGroupsInArrow" not in out._jdf.queryExecution().toString()
+
+
+def test_keys_of_a_slot_share_the_calls_to_state_and_a_timer(spark):
+    import pickle
+
+    from pyspark.sql import types as T
+
+    class Handle:
+        def __init__(self):
+            self.states, self.timers = {}, []
+
+        def getListState(self, name, schema):
+            state = self.states.setdefault(name, CountedState())
+            state.get = lambda: iter(state.rows)
+            return state
+
+        def getValueState(self, name, schema):
+            state = self.states.setdefault(name, CountedState())
+            state.get = lambda: state.row
+            return state
+
+        def registerTimer(self, ms):
+            self.timers.append(ms)
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    class Ticking:
+        key_type, value_type = "string", "bigint"
+        stores = {"n": ("string", "bigint")}
+
+        def init(self, ctx):
+            ctx.schedule((10, "seconds"), "stream-time", lambda now: ctx.forward("tick", ctx.store("n").get("n")))
+
+        def on_record(self, ctx, state, record):
+            ctx.store("n").put("n", (ctx.store("n").get("n") or 0) + record["value"])
+
+    fields = T.StructType.fromDDL("topic string, partition int, offset bigint, timestamp timestamp, key string, value bigint")
+    out = stateful.output_schema(spark.createDataFrame([], fields), Ticking)
+    made, handle = stateful._UserProcessor(Ticking, fields, out, False, "EventTime"), Handle()
+    made.init(handle)
+    packed = lambda rows: [{"_pack": pickle.dumps([list(c) for c in zip(*rows)])}]
+    rows = [(f"k{i}", "", 1000 * (1000 + i), "t", 0, i, None, f"k{i}", i) for i in range(500)]
+    assert list(made.handleInputRows((0,), packed(rows), Now(0))) == []
+    assert handle.timers == [11_000] and sum(s.calls for s in handle.states.values()) < 10
+    sent = [x for pack in made.handleExpiredTimer((0,), Now(11_100), Now(11_000)) for x in zip(*pickle.loads(pack["_out"]))]
+    assert sorted(x[5] for x in sent) == list(range(100)) and handle.timers == [11_000, 11_100]
+    assert list(made.handleInputRows((0,), packed([("k0", "", 11_050_000, "t", 0, 0, None, "k0", 7)]), Now(11_100))) == []
+    sent = [x for pack in made.handleExpiredTimer((0,), Now(21_001), Now(21_000)) for x in zip(*pickle.loads(pack["_out"]))]
+    assert sum(s.calls for s in handle.states.values()) < 40
+    assert min(x[5] for x in sent) == 0  # the record that timers had passed was not taken
+
+
+def test_records_without_time_and_nested_values_on_streams(spark):
+    class Nested:
+        key_type, value_type = "string", "struct<a:bigint,m:map<string,bigint>>"
+        stores = {"seen": ("bigint", "struct<a:bigint>")}
+
+        def on_record(self, ctx, state, record):
+            store = ctx.store("seen")
+            store.put(store.count(), {"a": record["value"]["a"]})
+            ctx.forward(record["key"], (sum(v["a"] for _, v in store.range()), {"n": record["value"]["m"]["n"] + store.count()}))
+
+    path = fresh_path(spark, "in")
+    df = records(spark, [("a", None, 1), ("a", 1, 2), ("b", None, 4)]).withColumn("value", F.struct(F.col("value").alias("a"), F.create_map(F.lit("n"), F.col("value")).alias("m")))
+    df.write.parquet(path)
+    live = spark.readStream.schema(df.schema).parquet(path)
+    for mode in ("None", "EventTime"):
+        out = run.run_to_files(Stream(live).process(Nested, time_mode=mode).df, "update")
+        assert sorted((r["key"], r["value"]["a"], r["value"]["m"]["n"]) for r in out.collect()) == [("a", 1, 2), ("a", 3, 4), ("b", 4, 5)]
+
+
+def test_a_sink_runs_the_query_once_per_micro_batch(spark):
+    seen = spark.sparkContext.accumulator(0)
+    df, _, _ = file_stream(spark, [[("a", 1, 1), ("b", 2, 2)], [("c", 3, 3)]])
+    topics = TopicDataset(spark, fresh_path(spark, "topics"), "string", "bigint", partitions=2)
+    Stream(df).do_kv(lambda k, v: seen.add(1)).sink_topic(topics, "out", checkpoint=f"{topics.path}-c").awaitTermination()
+    assert got(topics.read(), "key", "value") == [("a", 1), ("b", 2), ("c", 3)] and seen.value == 3
+
+
+def test_a_step_of_several_files_is_one_micro_batch(spark, monkeypatch):
+    from tideway.sources import adapters
+
+    monkeypatch.setattr(adapters, "FILE_ROWS", 100)
+    sf = "/root/testdata/sf0.001"
+    out = run.run_to_files(adapters.events_in_batches(spark, sf, [F.col("ts"), F.col("event_id")]).df.select("key", "offset"))
+    events = adapters.raw(spark, sf, "events")
+    n = dict(out.groupBy("batch").count().collect())
+    assert n.pop(3) == 1 and sorted(n) == [0, 1, 2] and sum(n.values()) == events.count() == out.select("offset").distinct().count() - 1
+    assert min(n.values()) > 200

@@ -333,20 +333,34 @@ def output_schema(df: DataFrame, processor) -> T.StructType:
 RECORD_FIELDS = ("topic", "partition", "offset", "timestamp", "headers", "key", "value")
 
 
+def opened(made, kept: dict | None, values_only: bool) -> tuple[Context, object]:
+    """The context and the state of a key, as `closed` left them."""
+    kept = kept or {}
+    stores = {n: KeyValueStore(kept.get("stores", {}).get(n)) for n in getattr(made, "stores", {})}
+    ctx = Context(stores, forbid_forward=values_only)
+    init = getattr(made, "init", None)
+    user = init(ctx) if init else None
+    if kept:
+        ctx.out.clear()
+        ctx.now_ms = kept["now"]
+    if "user" in kept:
+        user = taken_up(user, kept["user"])
+    for timer, (due, live) in zip(ctx._timers, kept.get("timers", [])):
+        timer["due"], timer["live"] = due, live
+    return ctx, user
+
+
+def closed(ctx: Context, user) -> dict:
+    return {
+        "stores": {n: s.data for n, s in ctx._stores.items()}, "now": ctx.now_ms,
+        "timers": [(t["due"], t["live"]) for t in ctx._timers], **({"user": user} if user is not None else {}),
+    }
+
+
 def _processor_body(processor, names: list[str], values_only: bool) -> Body:
     def body(key, frames, state, last):
         made = instance(processor)
-        kept = state or {}
-        stores = {n: KeyValueStore(kept.get("stores", {}).get(n)) for n in getattr(made, "stores", {})}
-        ctx = Context(stores, forbid_forward=values_only)
-        init = getattr(made, "init", None)
-        user = init(ctx) if init else None
-        if "user" in kept:
-            user = taken_up(user, kept["user"])
-            ctx.out.clear()
-        ctx.now_ms = kept.get("now")
-        for timer, (due, live) in zip(ctx._timers, kept.get("timers", [])):
-            timer["due"], timer["live"] = due, live
+        ctx, user = opened(made, state, values_only)
         for frame in frames:
             columns = [c for c in RECORD_FIELDS if c in frame]
             rows = []
@@ -371,10 +385,7 @@ def _processor_body(processor, names: list[str], values_only: bool) -> Body:
                 yield dict(zip(names, map(list, zip(*rows))))
         if last and hasattr(made, "close"):
             made.close()
-        return {
-            "stores": {n: s.data for n, s in stores.items()}, "now": ctx.now_ms,
-            "timers": [(t["due"], t["live"]) for t in ctx._timers], **({"user": user} if user is not None else {}),
-        }
+        return closed(ctx, user)
 
     return body
 

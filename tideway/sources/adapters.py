@@ -101,19 +101,26 @@ def events_stream(spark: SparkSession, sf_dir: str, closing: bool = True) -> Str
     return Stream(event_records(streamed(spark, sf_dir, "events", last if closing else None)))
 
 
+FILE_ROWS = 500_000  # a file of a micro-batch has up to twice as many
+
+
 def events_in_batches(spark: SparkSession, sf_dir: str, order: list[Column], batches: int = 3) -> Stream:
     """`events` as a stream that arrives in several micro-batches, in the given order, and then a late record that moves event time past all of them."""
     df = raw(spark, sf_dir, "events")
     path = fresh_path(spark, "batches")
-    # one file and micro-batch per step; files are taken by their time, so they are written one after the other
-    parts = df.withColumn("_part", F.ntile(batches).over(Window.partitionBy(F.col("user_id") % 64).orderBy(*order)))
+    files = max(1, -(-df.count() // batches // FILE_ROWS))
+    # a micro-batch per step, of as many files each; files are taken by their time, so steps are written one after the other
+    cut = df.withColumn("_part", F.ntile(batches).over(Window.partitionBy(F.col("user_id") % 64).orderBy(*order)))
+    cut.write.partitionBy("_part").parquet(f"{path}-cut")
+    parts = spark.read.schema(cut.schema).parquet(f"{path}-cut")
     for i in range(1, batches + 1):
-        parts.filter(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
+        part = parts.filter(F.col("_part") == i).drop("_part")
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
     last = df.agg(F.max("ts").alias("ts")).select(
         F.lit(10**15).alias("event_id"), (F.col("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts"), F.lit(CLOSING_KEY).alias("user_id"),
         F.lit("click").alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
     last.select(*[F.col(f.name).cast(f.dataType) for f in df.schema]).coalesce(1).write.mode("append").parquet(path)
-    return Stream(event_records(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)))
+    return Stream(event_records(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)))
 
 
 def orders_stream(spark: SparkSession, sf_dir: str) -> Table:

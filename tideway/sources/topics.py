@@ -19,6 +19,7 @@ import time
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,8 +242,13 @@ class TopicDataset:
         instead must be of this query and checkpoint alone."""
         def write(batch: DataFrame, batch_id: int):
             query = name or json.loads(self.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-            with self.transaction(f"{query}-{batch_id}") as txn:
-                txn.produce(batch, **options)
+            # offsets take several looks at the records, each of which would run the query's state operators again
+            batch.persist(StorageLevel.DISK_ONLY)
+            try:
+                with self.transaction(f"{query}-{batch_id}") as txn:
+                    txn.produce(batch, **options)
+            finally:
+                batch.unpersist()
 
         writer = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
         return (writer.trigger(availableNow=True) if available_now else writer).start()

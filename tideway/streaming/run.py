@@ -41,7 +41,7 @@ def run_to_files(df: DataFrame, mode: str = "append", path: str | None = None) -
 
 def run_until_idle(df: DataFrame, mode: str = "append", path: str | None = None, most_seconds: float = 600) -> DataFrame:
     """The same for queries in processing time, which never end by themselves, as they wait for their timers: stopped once a micro-batch has found
-    nothing more to read."""
+    nothing more to read, or if none ends for `most_seconds`."""
     spark = df.sparkSession
     path = path or fresh_path(spark, "stream")
 
@@ -50,10 +50,12 @@ def run_until_idle(df: DataFrame, mode: str = "append", path: str | None = None,
 
     query = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}-checkpoint").start()
     try:
-        until = time.monotonic() + most_seconds
+        until, before = time.monotonic() + most_seconds, None
         while query.isActive and not ((last := query.lastProgress) and last["batchId"] and not last["numInputRows"]):
+            if last and last["batchId"] != before:
+                until, before = time.monotonic() + most_seconds, last["batchId"]
             if time.monotonic() > until:
-                raise TimeoutError(f"input is not read after {most_seconds} s")
+                raise TimeoutError(f"no micro-batch has ended for {most_seconds} s")
             time.sleep(0.2)
     finally:
         query.stop()

@@ -10,6 +10,7 @@ from __future__ import annotations
 import pickle
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from datetime import timedelta
 from decimal import Decimal
 from itertools import islice
 
@@ -23,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideway.functions.folds import Fold, RowFold
-from tideway.operators.processors import EPOCH, MILLISECOND, RECORD_FIELDS, Context, _apart, _type, clocks, instance, output_schema, taken_up
+from tideway.operators.processors import EPOCH, MILLISECOND, RECORD_FIELDS, _apart, _type, clocks, closed, instance, opened, output_schema
 from tideway.record import interval_ms, interval_us
 
 DAY = (1, "days")
@@ -112,8 +113,9 @@ def _packs(rows: DataFrame, by: list[str], timed: bool = False) -> DataFrame:
         lists = [table[c].to_pylist() for c in names]
         out = [pa.array(g[starts]) for g in groups]
         if timed:
-            us = table["timestamp"].cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy()
-            out.append(pa.array(np.maximum.reduceat(us, starts)).cast(arrow.field("timestamp").type))
+            least = np.iinfo(np.int64).min
+            last = np.maximum.reduceat(table["timestamp"].cast(pa.int64()).fill_null(least).to_numpy(), starts)
+            out.append(pa.array(last, mask=last == least).cast(arrow.field("timestamp").type))
         out.append(pa.array([pickle.dumps([x[a:b] for x in lists], pickle.HIGHEST_PROTOCOL) for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()))
         return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(out, arrow)], schema=arrow)
 
@@ -1117,108 +1119,174 @@ class _MapStore:
         return sum(1 for _ in self.state.keys())
 
 
+def _as_dicts(value, kind: T.DataType):
+    """Structs given as rows or tuples as dicts, and maps as lists of pairs, which Arrow takes."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        named = value if isinstance(value, dict) else dict(zip(kind.names, value))
+        return {f.name: _as_dicts(named.get(f.name), f.dataType) for f in kind}
+    if isinstance(kind, T.ArrayType):
+        return [_as_dicts(x, kind.elementType) for x in value]
+    if isinstance(kind, T.MapType):
+        pairs = value.items() if isinstance(value, dict) else value
+        return [(_as_dicts(k, kind.keyType), _as_dicts(v, kind.valueType)) for k, v in pairs]
+    return value
+
+
+def _with_maps(value, kind: T.DataType):
+    """Maps as dicts, where Arrow gives lists of pairs."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        return {f.name: _with_maps(value[f.name], f.dataType) for f in kind}
+    if isinstance(kind, T.ArrayType):
+        return [_with_maps(x, kind.elementType) for x in value]
+    if isinstance(kind, T.MapType):
+        return {_same(k): _with_maps(v, kind.valueType) for k, v in value}
+    return value
+
+
+NESTED = T.StructType, T.ArrayType, T.MapType
+
+
 class _UserProcessor(StatefulProcessor):
-    """Runs a processor on a stream. Stores, timers, stream time and what `init` returned are durable.
+    """Runs a processor on a stream, for the keys of a slot. Stores, timers, stream time and what `init` returned are durable; a key has them as one
+    pickled piece, which is opened for the keys that have records or whose timers are due.
 
     In event time, stream-time timers fire when the watermark passes them, also for keys without further records. In the other modes the stream
     time of a key is that of its records, and a timer fires before the record that passes it, as on a batch; in processing time there are
-    wall-clock timers beside them.
+    wall-clock timers beside them. A slot has one timer, for the key that is due first.
     """
 
-    def __init__(self, processor, values_only: bool, mode: str):
+    def __init__(self, processor, fields: T.StructType, out: T.StructType, values_only: bool, mode: str):
         self.processor, self.values_only, self.mode = processor, values_only, mode
-        # DDL is parsed here, on the driver
-        self.types = {n: (_struct(("k", _type(k))), _struct(("v", _type(v))))
-                      for n, (k, v) in getattr(instance(processor), "stores", {}).items()}
+        self.names = fields.names
+        self.maps = [(i, f.dataType) for i, f in enumerate(fields) if "map<" in f.dataType.simpleString()]
+        self.nested = [(i, f.dataType) for i, f in enumerate(out) if isinstance(f.dataType, NESTED)]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.made = instance(self.processor)
-        self.states = {
-            n: _MapStore(handle.getMapState(n, k, v), k["k"].dataType, v["v"].dataType) for n, (k, v) in self.types.items()
-        }
-        self.timers = handle.getMapState("_timers", _struct(("i", T.IntegerType())),
-                                         _struct(("due", T.LongType()), ("live", T.BooleanType())))
-        self.kept = handle.getValueState("_kept", _struct(("now", T.LongType()), ("user", T.BinaryType())))
-
-    def _context(self):
-        ctx = Context(self.states, forbid_forward=self.values_only)
-        start = getattr(self.made, "init", None)
-        user = start(ctx) if start else None
-        if self.kept.exists():
-            ctx.out.clear()
-            ctx.now_ms, kept = self.kept.get()
-            if kept is not None:
-                user = taken_up(user, pickle.loads(kept))
-        for i, timer in enumerate(ctx._timers):
-            if self.timers.containsKey((i,)):
-                timer["due"], timer["live"] = self.timers.getValue((i,))
-        return ctx, user
-
-    def _save(self, ctx, user, wall_ms: int | None) -> None:
-        for store in self.states.values():
-            store.forget()
-        for i, timer in enumerate(ctx._timers):
+        self.keys = _Shelf(handle, "keys")
+        if self.mode != "None":
+            self.clock = handle.getValueState("clock", _struct(("seen", T.LongType()), ("due", T.LongType())))
+
+    def _kept(self, ctx, user, wall_ms: int | None) -> tuple:
+        """When the key is due, and what it holds."""
+        first = None
+        for timer in ctx._timers:
             by_wall = timer["kind"] == "wall-clock-time"
             if by_wall and self.mode != "ProcessingTime":
                 raise ValueError("timers by wall clock need processing time: schedule them in init, name them in `clocks`, or ask for time_mode=\"ProcessingTime\"")
-            timed = by_wall or self.mode == "EventTime"
+            if not (by_wall or self.mode == "EventTime"):
+                continue
             now = wall_ms if by_wall else ctx.now_ms
-            if timed and timer["due"] is None and timer["live"] and now is not None:
+            if timer["due"] is None and timer["live"] and now is not None:
                 timer["due"] = now + timer["every"]
-                self.handle.registerTimer(timer["due"])
-            self.timers.updateValue((i,), (timer["due"], timer["live"]))
-        self.kept.update((ctx.now_ms, None if user is None else pickle.dumps(user)))
+            if timer["live"] and timer["due"] is not None:
+                first = timer["due"] if first is None else min(first, timer["due"])
+        return first, pickle.dumps(closed(ctx, user), pickle.HIGHEST_PROTOCOL)
+
+    def _wait(self, seen: int | None, due: int | None, held: dict, keys) -> None:
+        """One timer for the slot; `due` is the one it has."""
+        first = min((held[k][0] for k in keys if held[k][0] is not None), default=None)
+        if first is not None and (due is None or first < due):
+            due = first
+            self.handle.registerTimer(due)
+        self.clock.update((seen, due))
+
+    def _out(self, rows: Iterator[tuple]) -> Iterator[Row]:
+        if self.nested:
+            rows = map(self._arrow, rows)
+        return _sent(rows)
 
-    def _emitted(self, ctx) -> Iterator[Row]:
+    def _arrow(self, row: tuple) -> list:
+        row = list(row)
+        for i, kind in self.nested:
+            row[i] = _as_dicts(row[i], kind)
+        return row
+
+    def _emitted(self, ctx) -> Iterator[tuple]:
         for i, (k, v, ts, child) in enumerate(ctx.out):
-            yield Row(topic=ctx.topic, partition=ctx.partition, offset=ctx.offset, timestamp=ts, key=k, value=v,
-                      child=child, _pos=[i])
+            yield ctx.topic, ctx.partition, ctx.offset, ts, k, v, child, [i]
         ctx.out.clear()
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        ctx, user = self._context()
-        order = lambda r: (r["timestamp"] or EPOCH, r["topic"], r["partition"], r["offset"])
-        for row in sorted(rows, key=order):
-            ctx.topic, ctx.partition, ctx.offset = row["topic"], row["partition"], row["offset"]
-            ctx.headers = row["headers"] if "headers" in row else None
-            if row["timestamp"] is not None:
-                ms = (row["timestamp"] - EPOCH) // MILLISECOND
-                if self.mode == "EventTime":
-                    ctx.now_ms = ms if ctx.now_ms is None else max(ms, ctx.now_ms)
+        yield from self._out(self._processed(_records(rows), timerValues))
+
+    def _processed(self, records: Iterator[tuple], timerValues) -> Iterator[tuple]:
+        event_time = self.mode == "EventTime"
+        seen, due = (self.clock.get() or (None, None)) if self.mode != "None" else (None, None)
+        arrived: dict = {}
+        for by, part, us, *values in records:
+            if not (event_time and seen and us is not None and us <= seen * 1000):  # else timers have passed it
+                arrived.setdefault(_same((by, part)), []).append((us, values))
+        wall = timerValues.getCurrentProcessingTimeInMs() if self.mode == "ProcessingTime" else None
+        held = self.keys.read()
+        topic, partition, offset, stamp = (self.names.index(c) for c in ("topic", "partition", "offset", "timestamp"))
+        told = [(i, c) for i, c in enumerate(self.names) if c in RECORD_FIELDS]
+        headers = self.names.index("headers") if "headers" in self.names else None
+        value = self.names.index("value")
+        for same, items in arrived.items():
+            ctx, user = opened(self.made, pickle.loads(held[same][1]) if same in held else None, self.values_only)
+            for us, values in sorted(items, key=lambda x: (x[0] or 0, x[1][topic], x[1][partition], x[1][offset])):
+                for i, kind in self.maps:
+                    values[i] = _with_maps(values[i], kind)
+                ctx.topic, ctx.partition, ctx.offset = values[topic], values[partition], values[offset]
+                ctx.headers = None if headers is None else values[headers]
+                values[stamp] = None if us is None else EPOCH + timedelta(microseconds=us)
+                if us is not None:
+                    ms = us // 1000
+                    if event_time:
+                        ctx.now_ms = ms if ctx.now_ms is None else max(ms, ctx.now_ms)
+                    else:
+                        ctx.advance(ms)
+                ctx.timestamp = values[stamp]
+                result = self.made.on_record(ctx, user, {c: values[i] for i, c in told})
+                if self.values_only:
+                    values[value] = result
+                    yield values
                 else:
-                    ctx.advance(ms)
-            ctx.timestamp = row["timestamp"]
-            record = {c: row[c] for c in RECORD_FIELDS if c in row}
-            if isinstance(record.get("value"), Row):
-                record["value"] = record["value"].asDict(recursive=True)
-            result = self.made.on_record(ctx, user, record)
-            if self.values_only:
-                yield Row(_record=row["_record"], _result=result)
-            else:
-                yield from self._emitted(ctx)
-        self._save(ctx, user, timerValues.getCurrentProcessingTimeInMs() if self.mode == "ProcessingTime" else None)
+                    yield from self._emitted(ctx)
+            held[same] = self._kept(ctx, user, wall)
+        self.keys.write(held, arrived)
+        if self.mode != "None":
+            self._wait(timerValues.getCurrentWatermarkInMs() if event_time else None, due, held, arrived)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ctx, user = self._context()
-        due = expiredTimerInfo.getExpiryTimeInMs()
+        yield from self._out(self._fired(timerValues, expiredTimerInfo.getExpiryTimeInMs()))
+
+    def _fired(self, timerValues, expiry: int) -> Iterator[tuple]:
+        _, due = self.clock.get() or (None, None)
+        if due is None or due > expiry:
+            return  # a timer that was replaced
         event_time = self.mode == "EventTime"
         now = timerValues.getCurrentWatermarkInMs() if event_time else timerValues.getCurrentProcessingTimeInMs()
-        if event_time:
-            ctx.now_ms = due
-        ctx.timestamp = EPOCH + due * MILLISECOND
         kind = "stream-time" if event_time else "wall-clock-time"
-        for timer in list(ctx._timers):
-            if timer["kind"] != kind or timer["due"] != due or not timer["live"]:
+        passed = lambda ms: ms is not None and (ms <= expiry or ms < now)
+        held, changed = self.keys.read(), []
+        for same, (first, kept) in list(held.items()):
+            if not passed(first):
                 continue
-            timer["call"](due)
-            if timer["live"]:
-                # ticks that were jumped over are not made up for
-                timer["due"] += timer["every"] * (1 + max(0, now - due) // timer["every"])
-                self.handle.registerTimer(timer["due"])
-        self._save(ctx, user, None if event_time else now)
-        if not self.values_only:
-            yield from self._emitted(ctx)
+            changed.append(same)
+            ctx, user = opened(self.made, pickle.loads(kept), self.values_only)
+            for timer in sorted((t for t in ctx._timers if t["kind"] == kind and passed(t["due"])), key=lambda t: t["due"]):
+                if not timer["live"]:
+                    continue
+                due = timer["due"]
+                if event_time:
+                    ctx.now_ms = due
+                ctx.timestamp = EPOCH + due * MILLISECOND
+                timer["call"](due)
+                if timer["live"]:
+                    # ticks that were jumped over are not made up for
+                    timer["due"] += timer["every"] * (1 + max(0, now - due) // timer["every"])
+                if not self.values_only:
+                    yield from self._emitted(ctx)
+            held[same] = self._kept(ctx, user, None if event_time else now)
+        self.keys.write(held, changed)
+        self._wait(now if event_time else None, None, held, held)
 
     def close(self) -> None:
         if hasattr(self.made, "close"):
@@ -1235,17 +1303,29 @@ def process_stream(df: DataFrame, processor, time_mode: str | None = None, reten
         time_mode = "ProcessingTime" if "wall-clock-time" in clocks(processor) else "EventTime"
     if time_mode not in TIME_MODES:
         raise ValueError(f"unknown time mode: {time_mode!r}")
-    if time_mode == "EventTime":
-        df = _watermarked(df, retention)
     df = df if "_part" in df.columns else _apart(df, "_by")
-    return df.groupBy("_by", "_part").transformWithState(
-        _UserProcessor(processor, False, time_mode), output_schema(df, processor), "Update", time_mode)
+    columns = [c for c in RECORD_FIELDS if c in df.columns]
+    return _processed(df, "_by", columns, processor, output_schema(df, processor), False, time_mode, retention)
 
 
 def process_values_stream(df: DataFrame, processor, value_type: T.DataType) -> DataFrame:
-    rows = _apart(df.withColumn("_record", F.struct(*df.columns)), "key")
-    out = _struct(("_record", rows.schema["_record"].dataType), ("_result", value_type))
+    out = T.StructType([T.StructField(f.name, value_type if f.name == "value" else f.dataType) for f in df.schema])
     mode = "ProcessingTime" if "wall-clock-time" in clocks(processor) else "None"
-    done = rows.groupBy("key", "_part").transformWithState(_UserProcessor(processor, True, mode), out, "Update", mode)
-    return done.select(*[F.col("_result").alias("value") if c == "value" else F.col(f"_record.{c}").alias(c)
-                         for c in df.columns])
+    return _processed(_apart(df, "key"), "key", df.columns, processor, out, True, mode)
+
+
+def _processed(df: DataFrame, by: str, columns: list[str], processor, out: T.StructType, values_only: bool, mode: str, retention=DAY) -> DataFrame:
+    """Records (`by`, _part, `columns`) through a processor, by slots of keys. In event time Spark drops a pack if all its records are late; of others,
+    those are dropped that timers of the slot may have passed."""
+    timed = mode == "EventTime"
+    fields = df.select(*columns).schema
+    # times are whole numbers on the way: pickled ones cost more than all else; those without are in packs of their own, which are never late
+    named = [F.lit(None).cast("int").alias(f"_c{i}") if c == "timestamp" else F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)]
+    rows = _slotted(df, by, "_part").select(
+        F.col(by).alias("_by"), F.col("_part").alias("_p"), F.unix_micros("timestamp").alias("_us"), *named, "_slot",
+        *[x for x in ("timestamp", F.col("timestamp").isNull().cast("bigint").alias("_timeless")) if timed])
+    packs = _packs(rows, ["_slot", *(["_timeless"] if timed else [])], timed)
+    if timed:
+        packs = _watermarked(packs, retention)
+    made = _UserProcessor(processor, fields, out, values_only, mode)
+    return _opened(packs.groupBy("_slot").transformWithState(made, OUT, "Update", mode), out)
