@@ -592,3 +592,17 @@ def test_linked_lines_of_any_length_have_a_key_in_common():
         if not set(key[of == 0].tolist()) & set(key[of == 1].tolist()):
             missed.append(n)
     assert not missed
+
+
+def test_rounds_read_profiles_in_packs(spark, monkeypatch):
+    """A row holds many profiles of a language; sums are those of single vectors, to the last bit."""
+    monkeypatch.setattr(mixing, "PACK", 7)
+    texts = [(f"text {i * i} {'abc' * (i % 5)}", [None, "en", "fr"][i % 3]) for i in range(100)]
+    known = spark.createDataFrame([(lang, np.asarray(mixing.profile(t), dtype=np.float32).tobytes()) for t, lang in texts], "lang string, p binary").coalesce(1)
+    packs = mixing._packs(known)
+    assert packs.count() == 15 and sum(len(r["p"]) for r in packs.collect()) == 100 * 4 * mixing.SIZE
+    sums = mixing._sums(packs, lambda points, lang: ([str(lang), "none"], np.zeros(len(points), dtype=np.int64), points))
+    assert sorted(sums) == ["None", "en", "fr"]
+    for name, s in sums.items():
+        points = [mixing.profile(t).astype(np.float32).astype(np.float64) for t, lang in texts if str(lang) == name]
+        assert s[-1] == len(points) and np.array_equal(s[:-1], np.rint(np.stack(points) * mixing.UNIT).sum(axis=0))

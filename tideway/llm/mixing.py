@@ -19,6 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +30,11 @@ MOST_CELLS = 200_000  # on the driver; results don't depend on it
 STALLED = 20  # rounds without progress after which shares count as out of reach
 SPENT = 100
 MOST = 0.9
+SIZE = 256  # numbers of a profile
 FIRST = 8  # documents looked at for each first centre, as some are equal
 
 
-def profile(text: str | None, size: int = 256) -> np.ndarray:
+def profile(text: str | None, size: int = SIZE) -> np.ndarray:
     """Square roots of the shares of hashed byte trigrams."""
     b = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8).astype(np.uint32)
     if len(b) < 3:
@@ -57,31 +59,50 @@ class Topics:
 
 
 def _points(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), dtype=np.float32).reshape(len(packed), -1).astype(np.float64)
+    return np.frombuffer(b"".join(packed), dtype=np.float32).reshape(-1, SIZE).astype(np.float64)
 
 
 UNIT = 2**30
 SUMS = "k string, i int, s long"
+PACK = 1000  # profiles of a language in a row
 
 
-def _sums(rows: DataFrame, grouped) -> dict[str, np.ndarray]:
-    """Sums of vectors by name; `grouped` turns a batch into names and vectors. A task adds up its own before the shuffle."""
+def _packs(known: DataFrame) -> DataFrame:
+    """Rows (lang, p) with up to `PACK` profiles each, as every round reads all of them."""
+
+    def run(batches):
+        for batch in batches:
+            langs, packs = batch.column("lang").to_pylist(), batch.column("p").to_pylist()
+            by: dict[str | None, list[bytes]] = {}
+            for lang, p in zip(langs, packs, strict=True):
+                by.setdefault(lang, []).append(p)
+            rows = [(lang, b"".join(ps[i:i + PACK])) for lang, ps in by.items() for i in range(0, len(ps), PACK)]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.string()), pa.array([x for _, x in rows], pa.binary())], names=["lang", "p"])
+
+    return written(known.select("lang", "p").mapInArrow(run, "lang string, p binary"), "packs")
+
+
+def _sums(packs: DataFrame, grouped) -> dict[str, np.ndarray]:
+    """Sums of vectors by name; `grouped` turns the profiles of a language into names, the number of each vector's name, and vectors. A task adds up
+    its own before the shuffle."""
 
     def partial(batches):
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            if len(batch):
-                names, points = grouped(_points(batch["p"]), list(batch["lang"]))
-                code, of = pd.factorize(np.asarray(names, dtype=object))
-                whole = np.concatenate([np.rint(points * UNIT).astype(np.int64), np.ones((len(points), 1), dtype=np.int64)], axis=1)
-                for k, name in enumerate(of):
-                    held[name] = held.get(name, 0) + whole[code == k].sum(axis=0)
+            for lang, p in zip(batch.column("lang").to_pylist(), batch.column("p"), strict=True):
+                names, code, points = grouped(_points([p.as_py()]), lang)
+                # whole numbers below 2^53, so that their sums are exact in doubles
+                mine = (code[None, :] == np.arange(len(names))[:, None]).astype(np.float64)
+                sums = np.concatenate([mine @ np.rint(points * UNIT), mine.sum(axis=1)[:, None]], axis=1).astype(np.int64)
+                for name, s in zip(names, sums, strict=True):
+                    held[name] = held.get(name, 0) + s
         for name, s in held.items():
-            yield pd.DataFrame({"k": name, "i": np.arange(len(s), dtype=np.int32), "s": s})
+            if s[-1]:
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(s), pa.string()), pa.array(np.arange(len(s), dtype=np.int32)), pa.array(s)], names=["k", "i", "s"])
 
     out: dict[str, dict[int, int]] = {}
     # sums of 2^30 parts in longs: enough for 2^33 vectors
-    for r in rows.mapInPandas(partial, SUMS).groupBy("k", "i").agg(F.sum("s").alias("s")).collect():
+    for r in packs.mapInArrow(partial, SUMS).groupBy("k", "i").agg(F.sum("s").alias("s")).collect():
         out.setdefault(r["k"], {})[r["i"]] = r["s"]
     return {k: np.array([v[i] for i in range(len(v))], dtype=np.float64) for k, v in out.items()}
 
@@ -104,9 +125,10 @@ def learn_topics(docs: DataFrame, topics: int, sample: int | None = None, rounds
 
 def _learn(known: DataFrame, topics: int, sample: int | None = None, rounds: int = 25, seed: int = 11) -> Topics:
     """From profiles (h, lang, p)."""
-    by_lang = _sums(known, lambda points, langs: ([str(x) for x in langs], points))
+    packs = _packs(known)
+    by_lang = _sums(packs, lambda points, lang: ([str(lang)], np.zeros(len(points), dtype=np.int64), points))
     n = sum(s[-1] for s in by_lang.values()) or 1.0
-    all_sums = sum((s[:-1] for s in by_lang.values()), np.zeros(256))
+    all_sums = sum((s[:-1] for s in by_lang.values()), np.zeros(SIZE))
     learned = Topics({k: s[:-1] / s[-1] / UNIT for k, s in by_lang.items()}, all_sums / n / UNIT)
     # a few rows of each task: those that come first by another hash
     first = known.orderBy(F.xxhash64(F.lit(seed), "h"), "h", "p", "lang").limit(sample or FIRST * topics).toPandas().drop_duplicates(["p", "lang"])[:topics]
@@ -115,11 +137,11 @@ def _learn(known: DataFrame, topics: int, sample: int | None = None, rounds: int
     centres = learned.apart(np.stack([np.frombuffer(p, dtype=np.float32).astype(np.float64) for p in first["p"]]), list(first["lang"]))
     for _ in range(rounds):
 
-        def nearest(points: np.ndarray, langs: list, learned=learned, centres=centres):
-            points = learned.apart(points, langs)
-            return [str(k) for k in (points @ centres.T).argmax(axis=1)], points
+        def nearest(points: np.ndarray, lang: str | None, learned=learned, centres=centres):
+            points = learned.apart(points, [lang])
+            return [str(k) for k in range(len(centres))], (points @ centres.T).argmax(axis=1), points
 
-        sums = _sums(known, nearest)
+        sums = _sums(packs, nearest)
         new = np.stack([sums[str(k)][:-1] if str(k) in sums else c for k, c in enumerate(centres)])
         new /= np.maximum(np.linalg.norm(new, axis=1, keepdims=True), 1e-12)
         if np.array_equal(new, centres):
