@@ -30,3 +30,18 @@ def test_codec_nan(spark):
     df = spark.createDataFrame([(1.5,), (float("nan"),), (None,), (float("inf"),)], "x double").repartition(1)
     got = df.select("x", decoded(encoded(F.col("x"), "double"), "double").alias("y")).collect()
     assert all(r["x"] == r["y"] or (r["x"] is not None and math.isnan(r["x"]) and r["y"] is not None and math.isnan(r["y"])) for r in got)
+
+
+def test_records_of_a_partition_do_not_meet_in_a_task(spark, tmp_path):
+    topics = TopicDataset(spark, str(tmp_path / "topics"), key_type="bigint", value_type="bigint")
+    df = spark.range(10).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.timestamp_seconds("id").alias("timestamp"), F.col("id").alias("key"), F.col("id").alias("value"))
+    topics.produce(df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if positions were dealt by partition
+    try:
+        for read in (topics.records(), topics.records("read_uncommitted"), P.seek(topics.records(), topics.end_offsets()), topics.read("t", start={("t", 0): 4})):
+            plan = read._jdf.queryExecution().sparkPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert topics.read("t", start={("t", 0): 4}).count() == 6

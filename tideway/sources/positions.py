@@ -61,7 +61,8 @@ def positions(spark: SparkSession, offsets) -> DataFrame:
 
 def _bounded(df: DataFrame, offsets, keep, others: bool) -> DataFrame:
     """Rows for which `keep(offset column, bound)` holds; where that is unknown, for want of a bound or an offset, they stay if `others`."""
-    bounds = positions(df.sparkSession, offsets).withColumnRenamed("offset", "_bound")
+    # one row per partition: dealt by partition instead, all records of one would meet in a task
+    bounds = F.broadcast(positions(df.sparkSession, offsets).withColumnRenamed("offset", "_bound"))
     joined = df.join(bounds, ["topic", "partition"], "left" if others else "inner")
     inside = keep(F.col("offset"), F.col("_bound"))
     return joined.filter(F.coalesce(inside, F.lit(others))).select(*df.columns)

@@ -89,10 +89,10 @@ class TopicDataset:
         manifest = self.manifest()
         if isolation == "read_committed":
             current = (F.col("state") == "committed") & (F.col("generation") == self._generation())
-            data = data.join(manifest.filter(current).select("part"), "part", "left_semi")
+            data = data.join(F.broadcast(manifest.filter(current).select("part")), "part", "left_semi")  # a row per part, which may be large
         elif isolation == "read_uncommitted":
             gone = (F.col("state") == "aborted") | (F.col("generation") < self._generation())
-            data = data.join(manifest.filter(gone).select("part"), "part", "left_anti")
+            data = data.join(F.broadcast(manifest.filter(gone).select("part")), "part", "left_anti")
         else:
             raise ValueError(f"unknown isolation: {isolation!r}")
         return data.drop("part")
@@ -342,7 +342,7 @@ class Transaction:
             base = base.unionByName(zones.select("topic", "partition", (F.col("last") + 1).alias("offset")))
         base = base.groupBy("topic", "partition").agg(F.max("offset").alias("_base"))
         numbered = S.scan(rows, ["topic", "partition"], [*by, "_hash"], {"_n": S.number()})
-        placed = numbered.join(base, ["topic", "partition"], "left").withColumn(
+        placed = numbered.join(F.broadcast(base), ["topic", "partition"], "left").withColumn(
             "offset", F.coalesce("_base", F.lit(0)) + F.col("_n") - 1)
         return self.write(placed)
 
