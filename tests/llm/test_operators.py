@@ -606,3 +606,12 @@ def test_rounds_read_profiles_in_packs(spark, monkeypatch):
     for name, s in sums.items():
         points = [mixing.profile(t).astype(np.float32).astype(np.float64) for t, lang in texts if str(lang) == name]
         assert s[-1] == len(points) and np.array_equal(s[:-1], np.rint(np.stack(points) * mixing.UNIT).sum(axis=0))
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from tideway.llm.common import written
+
+    files = lambda: spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
+    before = files()
+    out = written(spark.range(1000).repartition(3, "id").groupBy("id").count(), "counts")
+    assert files() <= before and out.count() == 1000

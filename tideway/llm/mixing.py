@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideway.llm.common import written
+from tideway.llm.common import released, written
 
 SIDES = ("source", "lang", "topic")
 MOST_CELLS = 200_000  # on the driver; results don't depend on it
@@ -79,7 +79,7 @@ def _packs(known: DataFrame) -> DataFrame:
             rows = [(lang, b"".join(ps[i:i + PACK])) for lang, ps in by.items() for i in range(0, len(ps), PACK)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.string()), pa.array([x for _, x in rows], pa.binary())], names=["lang", "p"])
 
-    return written(known.select("lang", "p").mapInArrow(run, "lang string, p binary"), "packs")
+    return written(known.select("lang", "p").mapInArrow(released(run), "lang string, p binary"), "packs")
 
 
 def _sums(packs: DataFrame, grouped) -> dict[str, np.ndarray]:

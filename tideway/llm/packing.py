@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tideway.llm.common import released
+
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long, "
           "tier int, step_group long")
 TIERS = (2048, 1024, 512, 256)
@@ -152,4 +154,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, end: int = 1, tiers: tupl
         if held:
             yield emit()
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInPandas(released(run), SCHEMA)
