@@ -615,3 +615,54 @@ def test_a_written_table_leaves_no_shuffle_files(spark):
     before = files()
     out = written(spark.range(1000).repartition(3, "id").groupBy("id").count(), "counts")
     assert files() <= before and out.count() == 1000
+
+
+def test_keys_are_shuffled_in_packs(spark):
+    """Six bytes for a key and its line, a row for a task's keys of a bucket; the lines that meet are those that plain groups of keys give."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(60)]
+    lists = [rng.choices(words, k=rng.randint(3, 40)) for _ in range(300)]
+    made = lines._Lines([(0, 0, "\n".join(" ".join(x) for x in lists))])
+    text = made.symbols()
+    said = [text[a:a + n] for a, n in zip(made.start.tolist(), made.n.tolist(), strict=True)]
+    numbers = [(i % 3 << 33) + 70_000 * i for i in range(len(said))]  # of several files, beyond 16 bits
+    coded = spark.createDataFrame(list(zip(numbers, said, strict=True)), "id long, text string").repartition(3).cache()
+    counts = lines._symbol_counts(coded)
+    assert counts.sum() == len(text) and counts[ord(text[0])] == text.count(text[0])
+    packed = lines._packed(coded, counts, 5, 0.8, 3).cache()
+    common = np.round(np.log2(counts + 1.0) * 256).astype(np.uint64)
+    symbol = np.frombuffer(text.encode("utf-16-le"), dtype="<u2")
+    of, key = lines._Lines.of_symbols(symbol, made.n).keys(np.ones(len(said), dtype=bool), 0.8, 3, common[symbol])
+    assert sum(len(r["entries"]) for r in packed.collect()) == 6 * len(key)
+    groups = {}
+    for line, k in zip(of.tolist(), key.tolist(), strict=True):
+        groups.setdefault(k, set()).add(numbers[line])
+    got = {}
+    for r in lines._shared(packed).collect():
+        got.setdefault(r["key"], []).append((r["id"], r["n"]))
+    assert all(len(ids) == len(set(ids)) == n for ids in got.values() for _, n in ids)
+    assert sorted(sorted(i for i, _ in ids) for ids in got.values()) == sorted(sorted(ids) for ids in groups.values() if len(ids) > 1)
+
+
+def test_pairs_are_verified_once(spark):
+    """Two lines of different classes that share many keys are one pair; blocks with many pairs give a forest."""
+    base = [chr(0x900 + i) for i in range(60)]
+    coded = [(i, "".join(base[:50] + [chr(0x1000 + 20 * i + j) for j in range(10)])) for i in range(4)]
+    frame = lines._coded(spark.createDataFrame([(i, i, x) for i, x in coded], "id long, g long, text string"))
+    rows = spark.createDataFrame([(k, i, i, 0) for k in range(30) for i in range(4)], "key long, id long, component long, head long")
+    asked = []
+
+    def verify(pairs, lines_):
+        asked.extend(pairs.collect())
+        return pairs
+
+    before = lines.PAIRS
+    try:
+        links = lines._settle(rows, frame, verify, 0.8, 128)
+        assert sorted(map(tuple, asked)) == [(a, b) for a in range(4) for b in range(a)] and links.count() == 6
+        lines.PAIRS = 0
+        asked.clear()
+        links = {tuple(r) for r in lines._settle(rows, frame, verify, 0.8, 128).collect()}
+    finally:
+        lines.PAIRS = before
+    assert not asked and set(classes(range(4), links).values()) == {0}
